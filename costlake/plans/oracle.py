@@ -98,3 +98,195 @@ changed AS (
 SELECT service_name, week, CAST(weekly_cost AS DOUBLE) AS weekly_cost,
        CAST(prev_weekly_cost AS DOUBLE) AS prev_weekly_cost, pct_change
 FROM changed WHERE pct_change > 0.20"""
+
+# --- dimensions ---------------------------------------------------------------------------
+
+SALT = "costlake-demo-salt"
+RUN_TS = "2024-02-01 00:00:00"
+
+CATEGORY = """CASE
+    WHEN {pc} IN ('AmazonEC2') THEN 'Compute'
+    WHEN {pc} IN ('AmazonS3') THEN 'Storage'
+    WHEN {pc} IN ('AmazonRDS', 'AmazonRedshift') THEN 'Database'
+    WHEN {pc} IN ('AWSLambda') THEN 'Serverless'
+    WHEN {pc} IN ('AmazonCloudWatch') THEN 'Monitoring'
+    ELSE 'Other' END"""
+
+DIM_SERVICE = """
+obs AS (
+  SELECT product_code, usage_type, MIN(usage_date) AS first_seen, MAX(usage_date) AS last_seen
+  FROM usage GROUP BY product_code, usage_type
+),
+dim AS (
+  SELECT CAST(ROW_NUMBER() OVER (ORDER BY product_code, usage_type) AS BIGINT) AS service_key,
+         product_code, usage_type, """ + CATEGORY.format(pc="product_code") + """ AS service_category,
+         first_seen AS first_seen_date, last_seen AS last_seen_date
+  FROM obs
+)"""
+
+SQL["dim_service"] = _with(USAGE, DIM_SERVICE) + "SELECT * FROM dim"
+
+SQL["dim_service_reload"] = _with(USAGE, """
+obs1 AS (SELECT product_code, usage_type, MIN(usage_date) AS first_seen, MAX(usage_date) AS last_seen
+         FROM usage WHERE usage_date < '2024-01-16' GROUP BY 1, 2),
+k1 AS (SELECT ROW_NUMBER() OVER (ORDER BY product_code, usage_type) AS service_key, * FROM obs1),
+obs2 AS (SELECT product_code, usage_type, MIN(usage_date) AS first_seen, MAX(usage_date) AS last_seen
+         FROM usage GROUP BY 1, 2),
+k2 AS (SELECT ROW_NUMBER() OVER (ORDER BY product_code, usage_type)
+              + (SELECT COALESCE(MAX(service_key), 0) FROM k1) AS service_key, * FROM obs2)""") + """
+SELECT CAST(COALESCE(k1.service_key, k2.service_key) AS BIGINT) AS service_key,
+       COALESCE(k1.product_code, k2.product_code) AS product_code,
+       COALESCE(k1.usage_type, k2.usage_type) AS usage_type,
+       """ + CATEGORY.format(pc="COALESCE(k1.product_code, k2.product_code)") + """ AS service_category,
+       CASE WHEN k1.product_code IS NOT NULL THEN k1.first_seen ELSE k2.first_seen END AS first_seen_date,
+       CASE WHEN k2.product_code IS NOT NULL THEN k2.last_seen ELSE k1.last_seen END AS last_seen_date,
+       CASE WHEN k1.product_code IS NOT NULL THEN 'load-1' ELSE 'load-2' END AS _loaded_at,
+       CASE WHEN k2.product_code IS NOT NULL THEN 'load-2' ELSE 'load-1' END AS _updated_at
+FROM k1 FULL OUTER JOIN k2 ON k1.product_code = k2.product_code AND k1.usage_type = k2.usage_type"""
+
+SNAPSHOTS = """
+v1 AS (
+  SELECT c_custkey AS customer_id, lower(c_name) || '@example.com' AS email,
+         '555-' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS phone,
+         regexp_extract(c_name, '^[^#]*') AS first_name, regexp_extract(c_name, '[^#]*$') AS last_name,
+         c_mktsegment AS segment
+  FROM customer WHERE c_custkey % 20 <> 19
+),
+v2 AS (
+  SELECT c_custkey AS customer_id, lower(c_name) || '@example.com' AS email,
+         CASE WHEN c_custkey % 11 = 5 THEN '556-' ELSE '555-' END || lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS phone,
+         regexp_extract(c_name, '^[^#]*') AS first_name, regexp_extract(c_name, '[^#]*$') AS last_name,
+         CASE WHEN c_custkey % 7 = 3 THEN CASE WHEN c_mktsegment = 'BUILDING' THEN 'MACHINERY' ELSE 'BUILDING' END
+              ELSE c_mktsegment END AS segment
+  FROM customer
+)"""
+
+
+def _mask(src: str) -> str:
+    return f"""
+  SELECT customer_id, sha256(lower(trim(email)) || '{SALT}') AS email_token,
+         'XXX-XXX-' || right(regexp_replace(phone, '[^0-9]', '', 'g'), 4) AS phone_redacted,
+         first_name, last_name, segment
+  FROM {src}"""
+
+
+MASKED = f"""
+m1 AS ({_mask('v1')}),
+m2 AS ({_mask('v2')})"""
+
+DIM_CUSTOMER = """
+load1 AS (
+  SELECT CAST(ROW_NUMBER() OVER (ORDER BY customer_id) AS BIGINT) AS customer_key, * FROM m1
+),
+ins2 AS (
+  SELECT m2.* FROM m2 LEFT JOIN load1 l ON l.customer_id = m2.customer_id
+  WHERE l.customer_id IS NULL OR l.segment IS DISTINCT FROM m2.segment
+),
+closed AS (SELECT i.customer_id FROM ins2 i JOIN load1 l ON l.customer_id = i.customer_id),
+dimc AS (
+  SELECT l.customer_key, l.customer_id, l.email_token, l.phone_redacted, l.first_name, l.last_name,
+         l.segment, '2024-01-01' AS effective_from,
+         CASE WHEN c.customer_id IS NOT NULL THEN '2024-01-15' END AS effective_to,
+         c.customer_id IS NULL AS is_current, '2024-01-01' AS _loaded_at
+  FROM load1 l LEFT JOIN closed c ON c.customer_id = l.customer_id
+  UNION ALL
+  SELECT CAST(ROW_NUMBER() OVER (ORDER BY customer_id) + (SELECT MAX(customer_key) FROM load1) AS BIGINT),
+         customer_id, email_token, phone_redacted, first_name, last_name, segment,
+         '2024-01-15', CAST(NULL AS VARCHAR), TRUE, '2024-01-15'
+  FROM ins2
+)"""
+
+SQL["masked_customers"] = _with(SNAPSHOTS, MASKED) + """
+SELECT *, (position('@' IN email_token) = 0 AND length(email_token) = 64) AS email_masked,
+       starts_with(phone_redacted, 'XXX-XXX-') AS phone_masked
+FROM m2"""
+
+SQL["snapshot_diff"] = _with(SNAPSHOTS) + """
+SELECT COALESCE(n.customer_id, o.customer_id) AS customer_id,
+       CASE WHEN o.customer_id IS NULL THEN 'new'
+            WHEN n.customer_id IS NULL THEN 'removed'
+            WHEN o.segment IS DISTINCT FROM n.segment THEN 'segment_changed'
+            WHEN o.email IS DISTINCT FROM n.email OR o.phone IS DISTINCT FROM n.phone THEN 'contact_changed'
+            ELSE 'unchanged' END AS change_type,
+       o.segment AS old_segment, n.segment AS new_segment
+FROM v1 o FULL OUTER JOIN v2 n ON o.customer_id = n.customer_id"""
+
+SQL["dim_customer_scd2"] = _with(SNAPSHOTS, MASKED, DIM_CUSTOMER) + "SELECT * FROM dimc"
+
+# --- facts ---------------------------------------------------------------------------------
+
+
+def _service_daily(usage: str = "usage") -> str:
+    return f"""
+  SELECT u.usage_date, d.service_key,
+         ROUND(SUM(COALESCE(CAST(u.cost AS DECIMAL(18,6)), 0)), 2) AS daily_cost,
+         CAST(COUNT(*) AS BIGINT) AS record_count,
+         CAST(SUM(CASE WHEN u.cost IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_cost_count
+  FROM {usage} u JOIN dim d ON u.product_code = d.product_code AND u.usage_type = d.usage_type
+  GROUP BY u.usage_date, d.service_key"""
+
+
+SD = f"""
+sd AS ({_service_daily()})"""
+
+SQL["fact_daily_cost"] = _with(USAGE, DIM_SERVICE, SD) + """
+SELECT usage_date, service_key, CAST(daily_cost AS DOUBLE) AS daily_cost, record_count, null_cost_count
+FROM sd"""
+
+SQL["fact_daily_upsert"] = _with(USAGE, DIM_SERVICE, """
+usage1 AS (SELECT * FROM usage WHERE id IN (SELECT CAST(event_id AS VARCHAR) FROM events
+                                            WHERE ts < TIMESTAMP '2024-01-20 12:00:00')),
+usage2 AS (SELECT * FROM usage WHERE id IN (SELECT CAST(event_id AS VARCHAR) FROM events
+                                            WHERE ts >= TIMESTAMP '2024-01-10 00:00:00')),""" + f"""
+f1 AS ({_service_daily('usage1')}),
+f2 AS ({_service_daily('usage2')})""") + """
+SELECT COALESCE(f1.usage_date, f2.usage_date) AS usage_date,
+       COALESCE(f1.service_key, f2.service_key) AS service_key,
+       CAST(CASE WHEN f2.usage_date IS NOT NULL THEN f2.daily_cost ELSE f1.daily_cost END AS DOUBLE) AS daily_cost,
+       CASE WHEN f2.usage_date IS NOT NULL THEN f2.record_count ELSE f1.record_count END AS record_count,
+       CASE WHEN f2.usage_date IS NOT NULL THEN f2.null_cost_count ELSE f1.null_cost_count END AS null_cost_count,
+       CASE WHEN f2.usage_date IS NOT NULL THEN 'run-2' ELSE 'run-1' END AS _loaded_at
+FROM f1 FULL OUTER JOIN f2 ON f1.usage_date = f2.usage_date AND f1.service_key = f2.service_key"""
+
+ACTIVE = """
+ac AS (
+  SELECT DISTINCT sd.usage_date, c.customer_key
+  FROM sd JOIN dimc c
+    ON c.effective_from <= sd.usage_date AND COALESCE(c.effective_to, '9999-12-31') > sd.usage_date
+),
+cc AS (SELECT usage_date, CAST(COUNT(*) AS BIGINT) AS active_count FROM ac GROUP BY usage_date),
+fc AS (
+  SELECT sd.usage_date, ac.customer_key, sd.service_key,
+         CAST(daily_cost * 100 AS BIGINT) AS cents, cc.active_count AS n,
+         sd.record_count, sd.null_cost_count
+  FROM sd JOIN ac ON sd.usage_date = ac.usage_date JOIN cc ON sd.usage_date = cc.usage_date
+),
+fact AS (
+  SELECT usage_date, customer_key, service_key,
+         CAST(sign(cents) * ((2 * abs(cents) + n) // (2 * n)) AS DOUBLE) / 100.0 AS allocated_cost,
+         CAST(sign(cents) * ((2 * abs(cents) + n) // (2 * n)) AS DECIMAL(38,0)) AS alloc_cents,
+         record_count, null_cost_count
+  FROM fc
+)"""
+
+_CUST = (USAGE, DIM_SERVICE, SD, SNAPSHOTS, MASKED, DIM_CUSTOMER, ACTIVE)
+
+SQL["active_customers"] = _with(*_CUST) + "SELECT usage_date, active_count FROM cc"
+
+SQL["fact_customer_cost"] = _with(*_CUST) + """
+SELECT usage_date, customer_key, service_key, allocated_cost, record_count, null_cost_count FROM fact"""
+
+SQL["segment_cost"] = _with(*_CUST) + """
+SELECT c.segment, CAST(SUM(f.alloc_cents) / 100 AS DOUBLE) AS total_cost
+FROM fact f JOIN dimc c ON f.customer_key = c.customer_key
+GROUP BY c.segment"""
+
+SQL["distinct_customers_per_date"] = _with(*_CUST) + """
+SELECT usage_date, CAST(COUNT(DISTINCT customer_key) AS BIGINT) AS customers FROM fact GROUP BY usage_date"""
+
+SQL["enriched_fact"] = _with(USAGE, DIM_SERVICE, SD) + """
+SELECT sd.usage_date, sd.service_key, d.product_code, d.usage_type, d.service_category,
+       CAST(sd.daily_cost AS DOUBLE) AS daily_cost
+FROM sd JOIN dim d ON sd.service_key = d.service_key
+ORDER BY sd.daily_cost DESC, sd.usage_date, sd.service_key
+LIMIT 5"""

@@ -13,10 +13,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from costlake.functions.masking import is_masked
+from costlake.operators import dims as D
+from costlake.operators import facts as FA
 from costlake.operators import summary as S
+from costlake.session import materialize
 from costlake.sources import views as V
 from costlake.sources.usage import normalize_usage
 
+# Fixed parameters of the named queries.
+RUN_TS = "2024-02-01 00:00:00"
+SALT = "costlake-demo-salt"
+FIRST_LOAD_BEFORE = "2024-01-16"          # dim_service_reload: first load sees earlier dates
+LATE_CUTOFF_TS = "2024-01-20 12:00:00"    # fact_daily_upsert: run 1 sees events before this
+RERUN_FROM_TS = "2024-01-10 00:00:00"     # fact_daily_upsert: run 2 re-reads events from here
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -63,10 +74,127 @@ def q_weekly_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dbl(a, "weekly_cost", "prev_weekly_cost")
 
 
+# --- dimensions --------------------------------------------------------------------
+
+def dim_service(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.load_dim_service(raw_usage(spark, sf_dir), None, RUN_TS)
+
+
+def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SCD2 dimension after loading snapshot v1 then v2 (each load is a table
+    version in the pipeline; here the first is materialised)."""
+    cust = V.table(spark, sf_dir, "customer")
+    d1 = materialize(D.load_dim_customer(None, V.snapshot_v1(cust), SALT, V.SNAPSHOT_V1_DATE))
+    return D.load_dim_customer(d1, V.snapshot_v2(cust), SALT, V.SNAPSHOT_V2_DATE)
+
+
+_DIM_SERVICE_OUT = ["service_key", "product_code", "usage_type", "service_category",
+                    "first_seen_date", "last_seen_date"]
+
+
+def q_dim_service(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dim_service(spark, sf_dir).select(*_DIM_SERVICE_OUT)
+
+
+def q_dim_service_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_usage(spark, sf_dir)
+    first = materialize(D.load_dim_service(
+        raw.filter(F.col("line_item_usage_start_date") < FIRST_LOAD_BEFORE), None, "load-1"))
+    return D.load_dim_service(raw, first, "load-2").select(*_DIM_SERVICE_OUT, "_loaded_at", "_updated_at")
+
+
+def q_masked_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = D.mask_snapshot(V.snapshot_v2(V.table(spark, sf_dir, "customer")), SALT)
+    return m.select("*", is_masked("email_token", "email").alias("email_masked"),
+                    is_masked("phone_redacted", "phone").alias("phone_masked"))
+
+
+def q_snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cust = V.table(spark, sf_dir, "customer")
+    return D.snapshot_diff(V.snapshot_v1(cust), V.snapshot_v2(cust))
+
+
+def q_dim_customer_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dim_customer(spark, sf_dir)
+
+
+# --- facts -------------------------------------------------------------------------
+
+def fact_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_usage(spark, sf_dir)
+    dim = materialize(D.load_dim_service(raw, None, RUN_TS))
+    return FA.load_fact_daily_cost(raw, dim, None, RUN_TS)
+
+
+def q_fact_daily_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dbl(fact_daily(spark, sf_dir), "daily_cost").drop("_loaded_at")
+
+
+def q_fact_daily_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late data: run 1 sees events up to noon of 2024-01-20, run 2 re-reads
+    from 2024-01-10 on; the upsert keeps run-1 days, replaces the rest."""
+    ev = V.table(spark, sf_dir, "events")
+    raw = raw_usage(spark, sf_dir)
+    dim = materialize(D.load_dim_service(raw, None, RUN_TS))
+    raw1 = normalize_usage(V.usage_from_events(ev.filter(F.col("ts") < F.lit(LATE_CUTOFF_TS).cast("timestamp_ntz"))))
+    raw2 = normalize_usage(V.usage_from_events(ev.filter(F.col("ts") >= F.lit(RERUN_FROM_TS).cast("timestamp_ntz"))))
+    f1 = materialize(FA.load_fact_daily_cost(raw1, dim, None, "run-1"))
+    return _dbl(FA.load_fact_daily_cost(raw2, dim, f1, "run-2"), "daily_cost")
+
+
+def _customer_fact(spark: SparkSession, sf_dir: str):
+    raw = raw_usage(spark, sf_dir)
+    ds = materialize(D.load_dim_service(raw, None, RUN_TS))
+    dc = materialize(dim_customer(spark, sf_dir))
+    return raw, ds, dc
+
+
+def q_active_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw, ds, dc = _customer_fact(spark, sf_dir)
+    return FA.active_customers_per_date(dc, FA.service_daily(raw, ds))
+
+
+def q_fact_customer_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw, ds, dc = _customer_fact(spark, sf_dir)
+    return _dbl(FA.customer_cost(raw, ds, dc, RUN_TS), "allocated_cost").drop("_loaded_at")
+
+
+def q_segment_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw, ds, dc = _customer_fact(spark, sf_dir)
+    return _dbl(FA.segment_cost(FA.customer_cost(raw, ds, dc, RUN_TS), dc), "total_cost")
+
+
+def q_distinct_customers_per_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw, ds, dc = _customer_fact(spark, sf_dir)
+    return FA.distinct_customers_per_date(FA.customer_cost(raw, ds, dc, RUN_TS))
+
+
+def q_enriched_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_usage(spark, sf_dir)
+    ds = materialize(D.load_dim_service(raw, None, RUN_TS))
+    f = FA.load_fact_daily_cost(raw, ds, None, RUN_TS)
+    e = FA.enrich_daily_fact(f, ds)
+    top = e.orderBy(F.col("daily_cost").desc(), F.col("usage_date"), F.col("service_key")).limit(5)
+    return _dbl(top.select("usage_date", "service_key", "product_code", "usage_type",
+                           "service_category", "daily_cost"), "daily_cost")
+
+
 QUERIES: dict[str, Query] = {
     "daily_cost_summary": q_daily_cost_summary,
     "cost_trend_7": q_cost_trend_7,
     "top_services": q_top_services,
     "month_over_month": q_month_over_month,
     "weekly_anomalies": q_weekly_anomalies,
+    "dim_service": q_dim_service,
+    "dim_service_reload": q_dim_service_reload,
+    "masked_customers": q_masked_customers,
+    "snapshot_diff": q_snapshot_diff,
+    "dim_customer_scd2": q_dim_customer_scd2,
+    "fact_daily_cost": q_fact_daily_cost,
+    "fact_daily_upsert": q_fact_daily_upsert,
+    "active_customers": q_active_customers,
+    "fact_customer_cost": q_fact_customer_cost,
+    "segment_cost": q_segment_cost,
+    "distinct_customers_per_date": q_distinct_customers_per_date,
+    "enriched_fact": q_enriched_fact,
 }
