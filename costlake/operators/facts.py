@@ -6,12 +6,14 @@ A4 ``active_customers_per_date``, J3/D6 ``customer_cost``, A7, A8, J4.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from costlake.functions.dates import strict_date
 from costlake.functions.money import allocate_even, cost_or_zero, round_money
-from costlake.operators.joins import join_small
+from costlake.operators.joins import broadcast_limit, salted_join
 from costlake.operators.upsert import upsert, upsert_partitions
 from costlake.session import materialize
 from costlake.schemas import FACT_CUSTOMER_COLUMNS, FACT_DAILY_COLUMNS, MONEY_2DP, MONEY_SUM, OPEN_END_DATE
@@ -25,9 +27,12 @@ def service_daily(raw: DataFrame, dim_service: DataFrame) -> DataFrame:
 
     Aggregates first (partial + final hash aggregate on date, product and
     usage type), then looks the service key up in ``dim_service`` (inner
-    join: NULL keys and unknown services drop out). ``dim_service`` is
-    broadcast only after its size check. (product_code, usage_type) is unique
-    in ``dim_service``, so no second aggregation is needed.
+    join: NULL keys and unknown services drop out). The dimension join is
+    left to the planner's size check: broadcast when the dimension's file
+    statistics are under ``spark.sql.autoBroadcastJoinThreshold``, or when
+    AQE sees its real shuffle size under the adaptive threshold; otherwise a
+    sort-merge join. (product_code, usage_type) is unique in ``dim_service``,
+    so no second aggregation is needed.
     """
     cost = F.col("line_item_unblended_cost")
     pre = (raw.groupBy(F.col("line_item_usage_start_date").alias("usage_date"),
@@ -37,7 +42,7 @@ def service_daily(raw: DataFrame, dim_service: DataFrame) -> DataFrame:
                 F.count(F.lit(1)).alias("record_count"),
                 F.count_if(cost.isNull()).alias("null_cost_count")))
     dim = dim_service.select("product_code", "usage_type", "service_key")
-    j = join_small(pre, dim, ["product_code", "usage_type"])
+    j = pre.join(dim, ["product_code", "usage_type"], "inner")
     return j.select("usage_date", F.col("service_key").cast("bigint").alias("service_key"),
                     round_money("_cost", 2).cast(MONEY_2DP).alias("daily_cost"),
                     "record_count", "null_cost_count")
@@ -98,24 +103,29 @@ def active_pairs(dim_customer: DataFrame, dates: DataFrame, date_span: tuple[str
 
     Each version is expanded to the days it is active, clipped to the span
     of ``dates`` (no open-ended version runs to 9999), then kept on the
-    dates that occur (equi join against the distinct dates, broadcast after
-    a size check; dates are bounded by the calendar). Work is proportional
-    to the output, and no range join or nested loop is planned.
+    dates that occur (equi join against the distinct dates). The distinct
+    dates are at most the days of the span, a proven bound checked before
+    they are broadcast. Work is proportional to the output; no range join
+    or nested loop is planned.
     """
+    spark = dim_customer.sparkSession
     d = dates.select("usage_date").distinct()
     if date_span is None:
         row = d.agg(F.min("usage_date"), F.max("usage_date")).first()
         date_span = (row[0], row[1])
     lo_d, hi_d = date_span
     if lo_d is None:
-        return dim_customer.sparkSession.createDataFrame([], "usage_date string, customer_key bigint")
+        return spark.createDataFrame([], "usage_date string, customer_key bigint")
+    span_days = (date.fromisoformat(hi_d) - date.fromisoformat(lo_d)).days + 1
     v = _valid_versions(dim_customer)
     lo = F.greatest(strict_date("effective_from"), F.to_date(F.lit(lo_d)))
     hi = F.least(F.date_sub(strict_date("_to"), 1), F.to_date(F.lit(hi_d)))
     days = (v.filter(lo <= hi)
             .select("customer_key", F.explode(F.sequence(lo, hi)).alias("_d"))
             .select(F.date_format("_d", "yyyy-MM-dd").alias("usage_date"), "customer_key"))
-    return join_small(days, d, ["usage_date"])
+    if span_days <= broadcast_limit(spark):
+        d = F.broadcast(d)
+    return days.join(d, "usage_date", "inner")
 
 
 # --- J3 / D6 -------------------------------------------------------------------------------
@@ -144,11 +154,16 @@ def customer_cost(raw: DataFrame, dim_service: DataFrame, dim_customer: DataFram
     pairs are never shuffled; beyond it the join is salted by customer so a
     date holding a third of all rows is split across tasks.
     """
-    sd = materialize(service_daily(raw, dim_service))
+    sd, st = materialize(service_daily(raw, dim_service), {
+        "rows": F.count(F.lit(1)), "lo": F.min("usage_date"), "hi": F.max("usage_date")})
     counts = active_customers_per_date(dim_customer, sd)
     alloc = allocation_per_service_day(sd, counts)
-    pairs = active_pairs(dim_customer, sd)
-    fact = join_small(pairs, alloc, ["usage_date"], salt_of=F.col("customer_key"))
+    pairs = active_pairs(dim_customer, sd, (st["lo"], st["hi"]))
+    # alloc has at most one row per service-day row: its bound is sd's count.
+    if int(st["rows"]) <= broadcast_limit(raw.sparkSession):
+        fact = pairs.join(F.broadcast(alloc), "usage_date", "inner")
+    else:
+        fact = salted_join(pairs, alloc, ["usage_date"], F.col("customer_key"))
     return fact.select("usage_date", F.col("customer_key").cast("bigint").alias("customer_key"),
                        "service_key", "allocated_cost", "record_count", "null_cost_count",
                        F.lit(run_ts).alias("_loaded_at"))
@@ -192,6 +207,7 @@ def distinct_customers_per_date(fact_customer: DataFrame) -> DataFrame:
 
 
 def enrich_daily_fact(fact_daily: DataFrame, dim_service: DataFrame) -> DataFrame:
-    """Daily fact with the service attributes (dimension broadcast after its size check)."""
+    """Daily fact with the service attributes (the planner's size check
+    decides the broadcast of the dimension, as in ``service_daily``)."""
     dim = dim_service.select("service_key", "product_code", "usage_type", "service_category")
-    return join_small(fact_daily, dim, ["service_key"])
+    return fact_daily.join(dim, "service_key", "inner")

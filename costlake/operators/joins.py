@@ -33,8 +33,8 @@ class Side:
 def bounded(df: DataFrame, max_rows: int | None = None) -> Side:
     """Materialise ``df`` and decide, from its exact row count, whether it may be broadcast."""
     limit = broadcast_limit(df.sparkSession) if max_rows is None else max_rows
-    m = materialize(df)
-    n = m.count()
+    m, stats = materialize(df, {"rows": F.count(F.lit(1))})
+    n = int(stats["rows"])
     return Side(F.broadcast(m) if n <= limit else m, n, n <= limit)
 
 

@@ -10,7 +10,7 @@ Two ways to number rows ``start + 1, start + 2, ...`` in a given order:
   count rows per partition, turn the counts into offsets (a frame with one
   row per partition, broadcast) and add the row's position inside its
   partition. No step holds more than one partition; the only shuffle is
-  the range partitioning.
+  the range partitioning (plus a tiny one for the per-partition counts).
 """
 
 from __future__ import annotations
@@ -44,10 +44,11 @@ def assign_keys_range(df: DataFrame, order_by: list[str | Column], key: str, sta
                       num_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = materialize(
-        df.repartitionByRange(n, *_order(order_by)).sortWithinPartitions(*_order(order_by)))
-    mid = F.monotonically_increasing_id()
-    tagged = ordered.withColumn("_mid", mid).withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS))
+    # Partition id and row index are taken in the task that sorts the range
+    # partition, then written: later passes do not depend on file order.
+    ordered = (df.repartitionByRange(n, *_order(order_by)).sortWithinPartitions(*_order(order_by))
+               .withColumn("_mid", F.monotonically_increasing_id()))
+    tagged = materialize(ordered).withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS))
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # One row per partition: the broadcast is bounded by the partition count.
     offsets = counts.select(

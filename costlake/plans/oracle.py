@@ -290,3 +290,135 @@ SELECT sd.usage_date, sd.service_key, d.product_code, d.usage_type, d.service_ca
 FROM sd JOIN dim d ON sd.service_key = d.service_key
 ORDER BY sd.daily_cost DESC, sd.usage_date, sd.service_key
 LIMIT 5"""
+
+# --- ingest / SQL surface ------------------------------------------------------------------------
+
+SQL["new_usage_rows"] = _with(USAGE_LONG) + """
+SELECT b.id AS identity_line_item_id, b.usage_date AS line_item_usage_start_date,
+       b.product_code AS line_item_product_code, b.usage_type AS line_item_usage_type,
+       b.cost AS line_item_unblended_cost
+FROM usage b
+WHERE b.usage_date >= '1998-01-01' AND b.id IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM usage t WHERE t.usage_date < '1998-07-01' AND t.id = b.id)"""
+
+SQL["segment_counts"] = _with(SNAPSHOTS, MASKED, DIM_CUSTOMER) + """
+SELECT segment, CAST(COUNT(*) AS BIGINT) AS customers FROM dimc WHERE is_current GROUP BY segment"""
+
+SQL["daily_cost_since"] = _with(USAGE, DIM_SERVICE, SD) + """
+SELECT usage_date, service_key, CAST(daily_cost AS DOUBLE) AS daily_cost, record_count
+FROM sd WHERE usage_date >= '2024-01-15'"""
+
+# --- data quality ------------------------------------------------------------------------------------
+
+
+def _orphan(label: str, fact: str, key: str, dim: str) -> str:
+    return (f"SELECT '{label}' AS check_name, CAST(COUNT(*) AS BIGINT) AS violations FROM {fact} f "
+            f"WHERE NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.{key} = f.{key})")
+
+
+SQL["dq_orphans"] = _with(*_CUST) + "\nUNION ALL\n".join([
+    _orphan("fact_customer_cost.customer_key", "fact", "customer_key", "dimc"),
+    _orphan("fact_customer_cost.service_key", "fact", "service_key", "dim"),
+    _orphan("fact_daily_cost.service_key", "sd", "service_key", "dim"),
+])
+
+
+def _grain(label: str, table: str, keys: str) -> str:
+    return (f"SELECT '{label}' AS table_name, CAST(COALESCE(SUM(n), 0) AS BIGINT) AS row_count, "
+            f"CAST(COUNT(*) AS BIGINT) AS distinct_keys, "
+            f"CAST(COUNT(*) FILTER (WHERE n > 1) AS BIGINT) AS duplicate_keys "
+            f"FROM (SELECT {keys}, COUNT(*) AS n FROM {table} GROUP BY {keys}) g")
+
+
+USAGE_LONG_NAMED = USAGE_LONG.replace("usage AS (", "usage_long AS (", 1)
+
+SQL["dq_grain"] = _with(*_CUST, USAGE_LONG_NAMED) + "\nUNION ALL\n".join([
+    _grain("dim_service", "dim", "service_key"),
+    _grain("dim_service.natural_key", "dim", "product_code, usage_type"),
+    _grain("dim_customer", "dimc", "customer_key"),
+    _grain("fact_daily_cost", "sd", "usage_date, service_key"),
+    _grain("fact_customer_cost", "fact", "usage_date, customer_key, service_key"),
+    _grain("raw_usage", "usage", "id"),
+    _grain("raw_usage_long", "usage_long", "id"),
+])
+
+SQL["dq_reconcile_counts"] = _with(USAGE, DIM_SERVICE, SD) + """
+SELECT fact_records, raw_rows, raw_rows - fact_records AS unmatched FROM (
+  SELECT CAST((SELECT COALESCE(SUM(record_count), 0) FROM sd) AS BIGINT) AS fact_records,
+         CAST((SELECT COUNT(*) FROM usage) AS BIGINT) AS raw_rows) t"""
+
+SQL["dq_reconcile_cost"] = _with(*_CUST, """
+alloc AS (
+  SELECT usage_date, service_key, CAST(SUM(alloc_cents) AS DECIMAL(38,0)) * CAST(0.01 AS DECIMAL(3,2)) AS total,
+         COUNT(*) AS customers
+  FROM fact GROUP BY usage_date, service_key
+),
+rc AS (
+  SELECT COALESCE(a.usage_date, s.usage_date) AS usage_date, COALESCE(a.service_key, s.service_key) AS service_key,
+         a.total, s.daily_cost, CAST(COALESCE(a.customers, 0) AS BIGINT) AS customers,
+         COALESCE(a.total, 0) - COALESCE(s.daily_cost, 0) AS diff
+  FROM alloc a FULL OUTER JOIN sd s ON a.usage_date = s.usage_date AND a.service_key = s.service_key
+)""") + """
+SELECT usage_date, service_key, CAST(total AS DOUBLE) AS allocated_total, CAST(daily_cost AS DOUBLE) AS daily_cost,
+       customers, CAST(diff AS DOUBLE) AS diff,
+       ABS(diff) <= customers * CAST(0.005 AS DECIMAL(10,6)) AS within_tolerance
+FROM rc"""
+
+DQ_SCD2 = """
+SELECT 'multiple_current' AS check_name, CAST(COUNT(*) FILTER (WHERE first AND currents > 1) AS BIGINT) AS violations FROM scdw
+UNION ALL SELECT 'no_current', CAST(COUNT(*) FILTER (WHERE first AND currents = 0) AS BIGINT) FROM scdw
+UNION ALL SELECT 'closed_without_end', CAST(COUNT(*) FILTER (WHERE NOT is_current AND effective_to IS NULL) AS BIGINT) FROM scdw
+UNION ALL SELECT 'current_with_end', CAST(COUNT(*) FILTER (WHERE is_current AND effective_to IS NOT NULL) AS BIGINT) FROM scdw
+UNION ALL SELECT 'end_before_start', CAST(COUNT(*) FILTER (WHERE COALESCE(effective_to, '9999-12-31') < effective_from) AS BIGINT) FROM scdw
+UNION ALL SELECT 'overlapping_versions', CAST(COUNT(*) FILTER (WHERE next_from IS NOT NULL AND next_from < COALESCE(effective_to, '9999-12-31')) AS BIGINT) FROM scdw
+UNION ALL SELECT 'duplicate_customer_key', CAST(COUNT(*) AS BIGINT) FROM (SELECT customer_key FROM dimc GROUP BY customer_key HAVING COUNT(*) > 1) d"""
+
+SCDW = """
+scdw AS (
+  SELECT *, LEAD(effective_from) OVER (PARTITION BY customer_id ORDER BY effective_from, customer_key) AS next_from,
+         COUNT(*) FILTER (WHERE is_current) OVER (PARTITION BY customer_id) AS currents,
+         ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY effective_from, customer_key) = 1 AS first
+  FROM dimc
+)"""
+
+SQL["dq_scd2"] = _with(SNAPSHOTS, MASKED, DIM_CUSTOMER, SCDW) + DQ_SCD2
+
+DQ_RANGES = """
+SELECT 'null_cost' AS check_name, CAST(COUNT(*) FILTER (WHERE daily_cost IS NULL) AS BIGINT) AS violations FROM sd
+UNION ALL SELECT 'negative_cost', CAST(COUNT(*) FILTER (WHERE daily_cost < 0) AS BIGINT) FROM sd
+UNION ALL SELECT 'non_positive_record_count', CAST(COUNT(*) FILTER (WHERE record_count <= 0) AS BIGINT) FROM sd
+UNION ALL SELECT 'negative_null_cost_count', CAST(COUNT(*) FILTER (WHERE null_cost_count < 0) AS BIGINT) FROM sd
+UNION ALL SELECT 'null_service_key', CAST(COUNT(*) FILTER (WHERE service_key IS NULL) AS BIGINT) FROM sd
+UNION ALL SELECT 'more_than_2dp', CAST(COUNT(*) FILTER (WHERE daily_cost IS NOT NULL AND ROUND(daily_cost, 2) <> daily_cost) AS BIGINT) FROM sd
+UNION ALL SELECT 'empty_usage_date', CAST(COUNT(*) FILTER (WHERE usage_date IS NULL OR length(usage_date) = 0) AS BIGINT) FROM sd"""
+
+SQL["dq_ranges"] = _with(USAGE, DIM_SERVICE, SD) + DQ_RANGES
+
+DQ_PII = """
+SELECT 'email_token_has_at' AS check_name, CAST(COUNT(*) FILTER (WHERE contains(email_token, '@')) AS BIGINT) AS violations FROM dimc
+UNION ALL SELECT 'email_token_not_sha256_hex', CAST(COUNT(*) FILTER (WHERE NOT regexp_full_match(email_token, '[0-9a-f]{64}')) AS BIGINT) FROM dimc
+UNION ALL SELECT 'phone_not_redacted', CAST(COUNT(*) FILTER (WHERE NOT regexp_full_match(phone_redacted, 'XXX-XXX-[0-9]{4}')) AS BIGINT) FROM dimc
+UNION ALL SELECT 'pii_column_in_fact', CAST(0 AS BIGINT)"""
+
+SQL["dq_pii"] = _with(SNAPSHOTS, MASKED, DIM_CUSTOMER) + DQ_PII
+
+SQL["control_coverage"] = _with(USAGE, DIM_SERVICE, SD, SNAPSHOTS, MASKED, DIM_CUSTOMER, SCDW, f"""
+ledger AS (
+  SELECT 'dq_pii:' || check_name AS evidence_id, 'C-04' AS control_id,
+         CASE WHEN violations = 0 THEN 'pass' ELSE 'fail' END AS status FROM ({DQ_PII}) a
+  UNION ALL
+  SELECT 'dq_ranges:' || check_name, 'C-06', CASE WHEN violations = 0 THEN 'pass' ELSE 'fail' END FROM ({DQ_RANGES}) b
+  UNION ALL
+  SELECT 'dq_scd2:' || check_name, 'C-08', CASE WHEN violations = 0 THEN 'pass' ELSE 'fail' END FROM ({DQ_SCD2}) c
+),
+required AS (SELECT * FROM (VALUES ('C-04'), ('C-05'), ('C-06'), ('C-08')) r(control_id)),
+per AS (
+  SELECT r.control_id, CASE WHEN p.n IS NOT NULL THEN 'SATISFIED' ELSE 'MISSING' END AS status,
+         CAST(COALESCE(p.n, 0) AS BIGINT) AS evidence_count
+  FROM required r
+  LEFT JOIN (SELECT control_id, COUNT(*) AS n FROM ledger WHERE status = 'pass' GROUP BY control_id) p
+    ON p.control_id = r.control_id
+)""") + """
+SELECT *, CASE WHEN MIN(CASE WHEN status = 'SATISFIED' THEN 1 ELSE 0 END) OVER () = 1 THEN 'READY' ELSE 'BLOCKED' END
+       AS gate_result
+FROM per"""

@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 from costlake.functions.masking import is_masked
 from costlake.operators import dims as D
 from costlake.operators import facts as FA
+from costlake.operators import quality as QA
 from costlake.operators import summary as S
 from costlake.session import materialize
 from costlake.sources import views as V
-from costlake.sources.usage import normalize_usage
+from costlake.sources.tables import run_sql
+from costlake.sources.usage import new_usage_rows, normalize_usage
 
 # Fixed parameters of the named queries.
 RUN_TS = "2024-02-01 00:00:00"
@@ -27,6 +29,12 @@ SALT = "costlake-demo-salt"
 FIRST_LOAD_BEFORE = "2024-01-16"          # dim_service_reload: first load sees earlier dates
 LATE_CUTOFF_TS = "2024-01-20 12:00:00"    # fact_daily_upsert: run 1 sees events before this
 RERUN_FROM_TS = "2024-01-10 00:00:00"     # fact_daily_upsert: run 2 re-reads events from here
+TABLE_BEFORE = "1998-07-01"               # new_usage_rows: loaded table holds earlier ship dates
+BATCH_FROM = "1998-01-01"                 # new_usage_rows: the batch starts here (overlap)
+SLICE_FROM = "2024-01-15"                 # daily_cost_since: slice start
+# Controls the derived evidence covers, and the controls a gate requires.
+CONTROL_OF_CHECK = {"dq_pii": "C-04", "dq_ranges": "C-06", "dq_scd2": "C-08"}
+REQUIRED_CONTROLS = ["C-04", "C-05", "C-06", "C-08"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,7 +92,7 @@ def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SCD2 dimension after loading snapshot v1 then v2 (each load is a table
     version in the pipeline; here the first is materialised)."""
     cust = V.table(spark, sf_dir, "customer")
-    d1 = materialize(D.load_dim_customer(None, V.snapshot_v1(cust), SALT, V.SNAPSHOT_V1_DATE))
+    d1 = D.load_dim_customer(None, V.snapshot_v1(cust), SALT, V.SNAPSHOT_V1_DATE)
     return D.load_dim_customer(d1, V.snapshot_v2(cust), SALT, V.SNAPSHOT_V2_DATE)
 
 
@@ -144,7 +152,7 @@ def q_fact_daily_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _customer_fact(spark: SparkSession, sf_dir: str):
     raw = raw_usage(spark, sf_dir)
-    ds = materialize(D.load_dim_service(raw, None, RUN_TS))
+    ds = D.load_dim_service(raw, None, RUN_TS)
     dc = materialize(dim_customer(spark, sf_dir))
     return raw, ds, dc
 
@@ -179,6 +187,103 @@ def q_enriched_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
                            "service_category", "daily_cost"), "daily_cost")
 
 
+# --- ingest / SQL surface -----------------------------------------------------------------
+
+def q_new_usage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 on the long view: the loaded table holds ship dates before 1998-07,
+    the batch everything from 1998-01; ids repeat inside the batch."""
+    raw = raw_usage_long(spark, sf_dir)
+    d = F.col("line_item_usage_start_date")
+    new = new_usage_rows(raw.filter(d >= BATCH_FROM), raw.filter(d < TABLE_BEFORE))
+    return new.select("identity_line_item_id", "line_item_usage_start_date", "line_item_product_code",
+                      "line_item_usage_type", "line_item_unblended_cost")
+
+
+def q_segment_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A11 + P7 through the SQL surface."""
+    return run_sql(spark, "SELECT segment, COUNT(*) AS customers FROM dim_customer "
+                          "WHERE is_current GROUP BY segment",
+                   {"dim_customer": dim_customer(spark, sf_dir)})
+
+
+def q_daily_cost_since(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P8 slice with a bound parameter through the SQL surface."""
+    f = fact_daily(spark, sf_dir)
+    return run_sql(spark, "SELECT usage_date, service_key, CAST(daily_cost AS DOUBLE) AS daily_cost, "
+                          "record_count FROM fact_daily_cost WHERE usage_date >= :start",
+                   {"fact_daily_cost": f}, {"start": SLICE_FROM})
+
+
+# --- data quality -------------------------------------------------------------------------
+
+def _warehouse(spark: SparkSession, sf_dir: str):
+    raw, ds, dc = _customer_fact(spark, sf_dir)
+    ds = materialize(ds)
+    fd = FA.load_fact_daily_cost(raw, ds, None, RUN_TS)
+    fc = FA.customer_cost(raw, ds, dc, RUN_TS)
+    return raw, ds, dc, fd, fc
+
+
+def q_dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw, ds, dc, fd, fc = _warehouse(spark, sf_dir)
+    return QA.referential_integrity(fc, fd, dc, ds)
+
+
+def q_dq_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw, ds, dc, fd, fc = _warehouse(spark, sf_dir)
+    parts = [
+        QA.grain_check(ds, ["service_key"], "dim_service"),
+        QA.grain_check(ds, ["product_code", "usage_type"], "dim_service.natural_key"),
+        QA.grain_check(dc, ["customer_key"], "dim_customer"),
+        QA.grain_check(fd, ["usage_date", "service_key"], "fact_daily_cost"),
+        QA.grain_check(fc, ["usage_date", "customer_key", "service_key"], "fact_customer_cost"),
+        QA.grain_check(raw, ["identity_line_item_id"], "raw_usage"),
+        QA.grain_check(raw_usage_long(spark, sf_dir), ["identity_line_item_id"], "raw_usage_long"),
+    ]
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out
+
+
+def q_dq_reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_usage(spark, sf_dir)
+    return QA.reconcile_counts(fact_daily(spark, sf_dir), raw)
+
+
+def q_dq_reconcile_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw, ds, dc, fd, fc = _warehouse(spark, sf_dir)
+    return _dbl(QA.reconcile_cost(fc, fd), "allocated_total", "daily_cost", "diff")
+
+
+def q_dq_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return QA.scd2_integrity(dim_customer(spark, sf_dir))
+
+
+def q_dq_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return QA.cost_range_checks(fact_daily(spark, sf_dir), "daily_cost")
+
+
+def q_dq_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw, ds, dc, fd, fc = _warehouse(spark, sf_dir)
+    return QA.pii_leak_check(dc, fd, fc)
+
+
+def q_control_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q8 over an evidence ledger derived from the quality checks: each check
+    row is one evidence entry of its control, ``pass`` when it has no
+    violation."""
+    ledger = None
+    for q, control in CONTROL_OF_CHECK.items():
+        rows = QUERIES[q](spark, sf_dir).select(
+            F.concat(F.lit(q + ":"), F.col("check_name")).alias("evidence_id"),
+            F.lit(control).alias("control_id"),
+            F.when(F.col("violations") == 0, F.lit("pass")).otherwise(F.lit("fail")).alias("status"))
+        ledger = rows if ledger is None else ledger.unionByName(rows)
+    required = spark.createDataFrame([(c,) for c in REQUIRED_CONTROLS], "control_id string")
+    return QA.control_coverage(ledger, required)
+
+
 QUERIES: dict[str, Query] = {
     "daily_cost_summary": q_daily_cost_summary,
     "cost_trend_7": q_cost_trend_7,
@@ -197,4 +302,15 @@ QUERIES: dict[str, Query] = {
     "segment_cost": q_segment_cost,
     "distinct_customers_per_date": q_distinct_customers_per_date,
     "enriched_fact": q_enriched_fact,
+    "new_usage_rows": q_new_usage_rows,
+    "segment_counts": q_segment_counts,
+    "daily_cost_since": q_daily_cost_since,
+    "dq_orphans": q_dq_orphans,
+    "dq_grain": q_dq_grain,
+    "dq_reconcile_counts": q_dq_reconcile_counts,
+    "dq_reconcile_cost": q_dq_reconcile_cost,
+    "dq_scd2": q_dq_scd2,
+    "dq_ranges": q_dq_ranges,
+    "dq_pii": q_dq_pii,
+    "control_coverage": q_control_coverage,
 }

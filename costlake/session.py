@@ -1,7 +1,7 @@
 """Session helpers: a configured SparkSession and lineage cuts.
 
-Lineage is cut with reliable ``checkpoint()`` into the folder the session
-names in ``spark.checkpoint.dir``. Only a local session may get a scratch
+Lineage is cut by writing Parquet into the folder the session names in
+``spark.checkpoint.dir`` (``materialize``). Only a local session may get a scratch
 folder of its own when none is set; a cluster session must name a shared
 folder.
 """
@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def build_session(master: str | None = None, app: str = "costlake",
@@ -57,12 +58,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once, write it to the checkpoint folder and cut its lineage.
+def scratch_path(spark: SparkSession, kind: str = "tables") -> str:
+    """A fresh folder under the session's checkpoint folder (shared storage on a cluster)."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/costlake-{kind}/{uuid.uuid4().hex}"
 
-    Survives executor loss (the data lives in the shared folder, not in
-    executor memory) and makes non-deterministic plans (range partitioning,
-    sampling) stable for every later reader.
+
+def materialize(df: DataFrame, metrics: dict[str, Column] | None = None) -> DataFrame | tuple[DataFrame, dict]:
+    """Write ``df`` once as Parquet into the checkpoint folder and read it back.
+
+    Cuts the lineage in one job (a reliable RDD checkpoint computes the plan
+    twice unless cached), survives executor loss (the data is in the shared
+    folder), and gives the planner exact file sizes for its broadcast
+    decisions. With ``metrics`` (name -> aggregate column) the aggregates are
+    collected by an ``Observation`` on the same write and returned with the
+    frame.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark)
+    if metrics:
+        obs = Observation(f"materialize-{uuid.uuid4().hex[:8]}")
+        df.observe(obs, *[c.alias(n) for n, c in metrics.items()]).write.parquet(path)
+        return spark.read.parquet(path), dict(obs.get)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
