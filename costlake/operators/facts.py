@@ -122,7 +122,7 @@ def active_pairs(dim_customer: DataFrame, dates: DataFrame, date_span: tuple[str
     hi = F.least(F.date_sub(strict_date("_to"), 1), F.to_date(F.lit(hi_d)))
     days = (v.filter(lo <= hi)
             .select("customer_key", F.explode(F.sequence(lo, hi)).alias("_d"))
-            .select(F.date_format("_d", "yyyy-MM-dd").alias("usage_date"), "customer_key"))
+            .select(F.col("_d").cast("string").alias("usage_date"), "customer_key"))
     if span_days <= broadcast_limit(spark):
         d = F.broadcast(d)
     return days.join(d, "usage_date", "inner")

@@ -38,7 +38,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _iso(d: Column) -> Column:
-    return F.date_format(d, "yyyy-MM-dd")
+    """DATE -> ``YYYY-MM-DD`` text (the cast needs no per-row formatter)."""
+    return d.cast("string")
 
 
 def _cents_text(c: Column) -> Column:
