@@ -105,14 +105,17 @@ def _masked_columns(salt: str) -> list[Column]:
 
 
 def mask_snapshot(snapshot: DataFrame, salt: str) -> DataFrame:
-    """D4 strict: mask every row; one invalid row fails the job (before any write)."""
+    """D4 strict: mask every row; one invalid row fails the job (before any write).
+
+    The check is part of the ``customer_id`` output expression, so column
+    pruning cannot drop it.
+    """
     check_salt(salt)
-    checked = snapshot.withColumn("_reason", _reason(snapshot))
-    checked = checked.withColumn(
-        "_reason", F.when(F.col("_reason") != "", F.raise_error(
-            F.concat(F.lit("invalid customer row "), F.col("customer_id").cast("string"),
-                     F.lit(": "), F.col("_reason")))).otherwise(F.col("_reason")))
-    return checked.select(*_masked_columns(salt))
+    reason = _reason(snapshot)
+    checked_id = F.when(reason != "", F.raise_error(
+        F.concat(F.lit("invalid customer row "), F.col("customer_id").cast("string"), F.lit(": "), reason))
+    ).otherwise(F.col("customer_id"))
+    return snapshot.select(checked_id.alias("customer_id"), *_masked_columns(salt)[1:])
 
 
 def mask_snapshot_quarantine(snapshot: DataFrame, salt: str) -> MaskResult:
