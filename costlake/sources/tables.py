@@ -11,8 +11,11 @@ overwrite) inside the current version.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def _fs(spark: SparkSession, path: str):
@@ -66,8 +69,16 @@ class Warehouse:
         return self.location(name) is not None
 
     def read(self, name: str) -> DataFrame | None:
+        """Current version; read with the schema it was written with, so
+        partition columns keep their type (no inference of dates)."""
         loc = self.location(name)
-        return None if loc is None else self.spark.read.parquet(loc)
+        if loc is None:
+            return None
+        schema = _read_text(self.spark, f"{loc}/_schema.json")
+        reader = self.spark.read
+        if schema:
+            reader = reader.schema(StructType.fromJson(json.loads(schema)))
+        return reader.parquet(loc)
 
     def _next_version(self, name: str) -> str:
         cur = _read_text(self.spark, self._pointer(name))
@@ -81,6 +92,7 @@ class Warehouse:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(f"{self.root}/{name}/{v}")
+        _write_text(self.spark, f"{self.root}/{name}/{v}/_schema.json", json.dumps(df.schema.jsonValue()))
         _write_text(self.spark, self._pointer(name), v)
         return f"{self.root}/{name}/{v}"
 
