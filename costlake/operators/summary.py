@@ -107,3 +107,12 @@ def detect_cost_anomalies(summary: DataFrame, threshold: float = 0.20) -> DataFr
                    .withColumn("pct_change", pct_change(F.col("weekly_cost"), F.col("prev_weekly_cost"))))
     return (with_change.filter(F.col("pct_change") > F.lit(float(threshold)))
             .select("service_name", "week", "weekly_cost", "prev_weekly_cost", "pct_change"))
+
+
+def summary_metrics(summary: DataFrame) -> dict:
+    """A13 for the summary step: rows, distinct dates and distinct services
+    (one aggregation job over the small summary frame)."""
+    r = summary.agg(F.count(F.lit(1)).alias("rows"),
+                    F.countDistinct("usage_date").alias("dates"),
+                    F.countDistinct("service_name").alias("services")).first()
+    return {"rows": int(r["rows"]), "dates": int(r["dates"]), "services": int(r["services"])}

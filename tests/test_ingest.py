@@ -70,3 +70,18 @@ def test_read_customer_snapshot(spark, tmp_root):
                           "customer_id long, email string, phone string, first_name string, last_name string, "
                           "segment string, created_at string").write.parquet(p)
     assert U.read_customer_snapshot(spark, p).count() == 1
+
+
+def test_sql_surface_file_scan_cte_window_params(spark, tmp_root):
+    from costlake.sources.tables import read_parquet_sql, run_sql
+    p = os.path.join(tmp_root, "u.parquet")
+    usage_df(spark, [("1", "2025-01-01", "EC2", "a", "1.5"), ("2", "2025-01-02", "EC2", "a", "2.5"),
+                     ("3", "2025-01-02", "S3", "a", "4")]).write.parquet(p)
+    assert read_parquet_sql(spark, p).count() == 3
+    out = run_sql(spark, """
+        WITH s AS (SELECT line_item_usage_start_date AS d, line_item_product_code AS svc,
+                          SUM(CAST(line_item_unblended_cost AS DECIMAL(18,6))) AS c
+                   FROM usage WHERE line_item_usage_start_date >= :start GROUP BY 1, 2)
+        SELECT d, svc, c, SUM(c) OVER (PARTITION BY svc ORDER BY d) AS running FROM s""",
+                  {"usage": spark.read.parquet(p)}, {"start": "2025-01-02"})
+    assert sorted((r.svc, float(r.running)) for r in out.collect()) == [("EC2", 2.5), ("S3", 4.0)]

@@ -72,3 +72,9 @@ def test_anomalies_threshold_zero_prev_and_year_boundary(spark):
     # 0 -> 0 is NaN and flagged, 0 -> 5 is +inf (T6); 5 -> 5 is not
     assert math.isnan(got[("S3", "2025-W01")]) and got[("S3", "2025-W02")] == math.inf
     assert ("S3", "2025-W03") not in got
+
+
+def test_summary_metrics(spark):
+    s = _summary(spark, [("1", "2025-01-01", "EC2", "a", "1"), ("2", "2025-01-02", "EC2", "a", "1"),
+                         ("3", "2025-01-02", "S3", "a", "1")])
+    assert S.summary_metrics(s) == {"rows": 3, "dates": 2, "services": 2}
