@@ -56,14 +56,17 @@ def new_usage_rows(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
     """S4 (rows part): batch rows whose id is not yet in ``existing``.
 
     Duplicates inside the batch are all kept (the key is checked against
-    the table only). Rows with a NULL id are dropped. The anti join is a
-    shuffle on the id at scale, or a broadcast when the table side is small
-    enough for the planner's size check.
+    the table only). Rows with a NULL id are dropped. The table's ids are
+    made distinct first (partial aggregation; the table itself may repeat
+    ids), and the anti join reuses that hash partitioning on the id. A
+    skewed id on the batch side is split by AQE's skew-join handling; a
+    small table side is broadcast by the planner's size check.
     """
     rows = normalize_usage(batch).filter(F.col(ID).isNotNull())
     if existing is None:
         return rows
-    return rows.join(existing.select(ID).filter(F.col(ID).isNotNull()), ID, "left_anti")
+    known = existing.select(ID).filter(F.col(ID).isNotNull()).distinct()
+    return rows.join(known, ID, "left_anti")
 
 
 @dataclass
