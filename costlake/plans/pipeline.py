@@ -7,6 +7,7 @@ partitions), so each step can be retried on its own.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +16,10 @@ from costlake.operators import dims as D
 from costlake.operators import facts as FA
 from costlake.operators import summary as S
 from costlake.sources.tables import Warehouse, _fs
-from costlake.sources.usage import append_new_usage, normalize_usage, read_usage
+from costlake.sources.usage import append_new_usage, read_raw_table, read_usage
 
 RAW = "raw_usage"
+RAW_PARTITION = "line_item_usage_start_date"
 
 
 @dataclass
@@ -42,7 +44,7 @@ def read_raw(wh: Warehouse) -> DataFrame | None:
     fs, p = _fs(wh.spark, raw_path(wh))
     if not fs.exists(p):
         return None
-    return normalize_usage(wh.spark.read.parquet(raw_path(wh)))
+    return read_raw_table(wh.spark, raw_path(wh))
 
 
 def load_dimensions(wh: Warehouse, raw: DataFrame, snapshots: list[Snapshot], salt: str, run_ts: str) -> None:
@@ -66,7 +68,7 @@ def run_pipeline(spark: SparkSession, root: str, usage_path: str | DataFrame, sn
     the (lazy, unpersisted) daily summary."""
     wh = Warehouse(spark, root)
     batch = read_usage(spark, usage_path) if isinstance(usage_path, str) else usage_path
-    res = append_new_usage(batch, raw_path(wh))
+    res = append_new_usage(batch, raw_path(wh), partition_by=RAW_PARTITION)
     raw = read_raw(wh)
     load_dimensions(wh, raw, snapshots, salt, run_ts)
     load_facts(wh, raw, run_ts)
@@ -90,15 +92,20 @@ def rebuild_from_raw(spark: SparkSession, root: str, snapshots: list[Snapshot],
 
 def drop_raw_dates(spark: SparkSession, root: str, start: str, end: str) -> int:
     """D9 reprocess: remove raw lines with usage dates in [start, end) so a
-    reload can bring them back. Writes a new raw copy and switches to it."""
+    reload can bring them back. The raw layer is partitioned by usage date,
+    so this deletes whole date folders (a metadata operation); the number of
+    removed lines is counted first with a partition-pruned scan."""
     wh = Warehouse(spark, root)
     raw = read_raw(wh)
-    d = F.col("line_item_usage_start_date")
-    keep = raw.filter(d.isNull() | (d < start) | (d >= end))
-    tmp = raw_path(wh) + "_rewrite"
-    keep.write.mode("overwrite").parquet(tmp)
-    removed = raw.count() - spark.read.parquet(tmp).count()
+    if raw is None:
+        return 0
+    d = F.col(RAW_PARTITION)
+    removed = raw.filter((d >= start) & (d < end)).count()
     fs, p = _fs(spark, raw_path(wh))
-    fs.delete(p, True)
-    fs.rename(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(tmp), p)
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(RAW_PARTITION + "="):
+            value = unquote(name.split("=", 1)[1])
+            if start <= value < end:
+                fs.delete(st.getPath(), True)
     return removed

@@ -88,6 +88,9 @@ class Warehouse:
     def replace(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
         """Write ``df`` as a new version of ``name`` and switch to it."""
         v = self._next_version(name)
+        if partition_by:
+            # AQE sizes the write partitions: a hot value is split, small ones merged.
+            df = df.hint("rebalance", *partition_by)
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
@@ -108,7 +111,7 @@ class Warehouse:
             return self.replace(name, df, [partition_col])
         # Spark cannot overwrite partitions it reads in the same plan: stage first.
         from costlake.session import materialize
-        staged = materialize(df)
+        staged = materialize(df).hint("rebalance", partition_col)
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(partition_col).parquet(loc))
         return loc

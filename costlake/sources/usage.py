@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from costlake.schemas import LEDGER_SCHEMA, SNAPSHOT_SCHEMA, USAGE_COLUMNS
+from costlake.schemas import LEDGER_SCHEMA, RAW_USAGE_SCHEMA, SNAPSHOT_SCHEMA, USAGE_COLUMNS
 
 ID = "identity_line_item_id"
 
@@ -75,22 +75,37 @@ class AppendResult:
     metrics: dict = field(default_factory=dict)
 
 
-def append_new_usage(batch: DataFrame, table_path: str) -> AppendResult:
+def read_raw_table(spark: SparkSession, table_path: str) -> DataFrame:
+    """The raw layer, read with its fixed all-text schema: a partition folder
+    such as ``line_item_usage_start_date=2025-01-01`` is taken as text, never
+    inferred as a date."""
+    return spark.read.schema(RAW_USAGE_SCHEMA).parquet(table_path).select(*USAGE_COLUMNS)
+
+
+def append_new_usage(batch: DataFrame, table_path: str, partition_by: str | None = None) -> AppendResult:
     """Append the new rows of ``batch`` to the raw table at ``table_path``.
 
     Re-running with the same batch inserts 0. The count comes from an
-    ``Observation`` on the written rows, so no second job is run.
+    ``Observation`` on the written rows, so no second job is run. With
+    ``partition_by`` (e.g. the usage start date) the table is written in
+    one folder per value; a ``rebalance`` hint lets AQE split a value that
+    holds most of the batch and merge small ones before the write.
     """
     spark = batch.sparkSession
-    existing = spark.read.parquet(table_path) if _exists(spark, table_path) else None
+    existing = read_raw_table(spark, table_path) if _exists(spark, table_path) else None
     rows = new_usage_rows(batch, existing)
+    if partition_by:
+        rows = rows.hint("rebalance", partition_by)
     obs = Observation("append_new_usage")
     observed = rows.observe(
         obs,
         F.count(F.lit(1)).alias("inserted"),
         F.count_if(F.col("line_item_unblended_cost").isNull()).alias("null_cost"),
     )
-    observed.write.mode("append").parquet(table_path)
+    w = observed.write.mode("append")
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.parquet(table_path)
     m = obs.get
     return AppendResult(inserted=int(m.get("inserted", 0)), metrics=dict(m))
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from costlake.operators import facts as FA
-from costlake.plans.pipeline import RAW, raw_path, read_raw
+from costlake.plans.pipeline import RAW, RAW_PARTITION, raw_path, read_raw
 from costlake.sources.tables import Warehouse
 from costlake.sources.usage import append_new_usage
 
@@ -46,7 +46,7 @@ def ingest_stream(spark: SparkSession, source_dir: str, root: str, checkpoint_lo
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        append_new_usage(batch, raw_path(wh))
+        append_new_usage(batch, raw_path(wh), partition_by=RAW_PARTITION)
         if refresh:
             refresh_fact_daily(wh, batch.select("line_item_usage_start_date"), run_ts)
 

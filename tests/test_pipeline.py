@@ -1,7 +1,10 @@
 """D8/D9 end to end, idempotency (run twice, compare) and X1/X2 streaming ingest."""
 import os
 
-from costlake.plans.pipeline import Snapshot, drop_raw_dates, rebuild_from_raw, run_pipeline
+from costlake.operators import facts as FA
+from costlake.plans.pipeline import (
+    Snapshot, drop_raw_dates, load_dimensions, load_facts, read_raw, rebuild_from_raw, run_pipeline,
+)
 from costlake.sources import views as V
 from costlake.sources.tables import Warehouse
 from costlake.streaming.ingest import ingest_stream
@@ -44,6 +47,7 @@ def test_pipeline_twice_is_idempotent_and_rebuild_equal(spark, tmp_root):
     assert removed > 0
     r3 = run_pipeline(spark, tmp_root, usage, snaps[-1:], SALT, "run")
     assert r3.inserted == removed and _contents(wh) == first
+    assert dict(read_raw(wh).dtypes)["line_item_usage_start_date"] == "string"
 
 
 def test_stream_ingest_available_now(spark, tmp_root):
@@ -55,11 +59,21 @@ def test_stream_ingest_available_now(spark, tmp_root):
     run_pipeline(spark, root, usage.limit(0), [], SALT, "run")
     ingest_stream(spark, src, root, ck)
     wh = Warehouse(spark, root)
-    n1 = spark.read.parquet(f"{root}/raw_usage").count()
+    n1 = read_raw(wh).count()
+    # the daily fact exists for the first days; the second batch refreshes only its own dates
+    load_dimensions(wh, read_raw(wh), [], SALT, "run")
+    load_facts(wh, read_raw(wh), "run")
+    before = rows(wh.read("fact_daily_cost"), "usage_date", "service_key", "_loaded_at")
     usage.filter("line_item_usage_start_date >= '2024-01-10'").write.mode("append").parquet(src)
-    ingest_stream(spark, src, root, ck, refresh=False)
-    n2 = spark.read.parquet(f"{root}/raw_usage").count()
+    load_dimensions(wh, usage, [], SALT, "run")    # services are known before their facts arrive
+    ingest_stream(spark, src, root, ck, refresh=True, run_ts="stream-2")
+    n2 = read_raw(wh).count()
     assert 0 < n1 < n2 == 1000
+    after = rows(wh.read("fact_daily_cost"), "usage_date", "service_key", "_loaded_at")
+    assert [r for r in after if r[0] < "2024-01-10"] == before
+    assert {r[2] for r in after if r[0] >= "2024-01-10"} == {"stream-2"}
+    full = rows(FA.load_fact_daily_cost(read_raw(wh), wh.read("dim_service"), None, "x"),
+                "usage_date", "service_key", "daily_cost", "record_count")
+    assert rows(wh.read("fact_daily_cost"), "usage_date", "service_key", "daily_cost", "record_count") == full
     ingest_stream(spark, src, root, ck)   # nothing new
-    assert spark.read.parquet(f"{root}/raw_usage").count() == 1000
-    assert wh.exists("dim_service") or True
+    assert read_raw(wh).count() == 1000
