@@ -332,7 +332,7 @@ def _grain(label: str, table: str, keys: str) -> str:
 
 USAGE_LONG_NAMED = USAGE_LONG.replace("usage AS (", "usage_long AS (", 1)
 
-SQL["dq_grain"] = _with(*_CUST, USAGE_LONG_NAMED) + "\nUNION ALL\n".join([
+GRAIN = "\nUNION ALL\n".join([
     _grain("dim_service", "dim", "service_key"),
     _grain("dim_service.natural_key", "dim", "product_code, usage_type"),
     _grain("dim_customer", "dimc", "customer_key"),
@@ -342,6 +342,26 @@ SQL["dq_grain"] = _with(*_CUST, USAGE_LONG_NAMED) + "\nUNION ALL\n".join([
     _grain("raw_usage_long", "usage_long", "id"),
 ])
 
+SQL["dq_grain"] = _with(*_CUST, USAGE_LONG_NAMED) + GRAIN
+
+SQL["override_status"] = _with(*_CUST, USAGE_LONG_NAMED, f"""
+grain AS ({GRAIN}),
+ledger AS (
+  SELECT 'dq_grain:' || table_name AS evidence_id, 'C-06' AS control_id,
+         CASE WHEN duplicate_keys > 0 THEN 'fail' ELSE 'pass' END AS status,
+         CAST(NULL AS VARCHAR) AS remediation_status
+  FROM grain
+  UNION ALL
+  SELECT 'override:' || table_name, 'C-11', 'pass', 'pending' FROM grain WHERE duplicate_keys > 0
+),
+o AS (SELECT COALESCE(remediation_status, 'unknown') AS rs FROM ledger WHERE control_id = 'C-11')""") + """
+SELECT CAST(COUNT(*) AS BIGINT) AS overrides_found,
+       CASE WHEN COUNT(*) = 0 THEN 'CLEAN'
+            WHEN bool_and(rs = 'completed') THEN 'REMEDIATED'
+            WHEN bool_or(rs = 'escalated') THEN 'ESCALATED'
+            ELSE 'PENDING' END AS status
+FROM o"""
+
 SQL["dq_reconcile_counts"] = _with(USAGE, DIM_SERVICE, SD) + """
 SELECT fact_records, raw_rows, raw_rows - fact_records AS unmatched FROM (
   SELECT CAST((SELECT COALESCE(SUM(record_count), 0) FROM sd) AS BIGINT) AS fact_records,

@@ -284,6 +284,23 @@ def q_control_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QA.control_coverage(ledger, required)
 
 
+def q_override_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q9 over a ledger derived from the grain checks: each table's check is
+    evidence for C-06; a failing one (the long usage view repeats ids, T1) is
+    deferred by an emergency override (C-11) whose remediation is pending."""
+    grain = q_dq_grain(spark, sf_dir)
+    failing = F.col("duplicate_keys") > 0
+    evidence = grain.select(F.concat(F.lit("dq_grain:"), F.col("table_name")).alias("evidence_id"),
+                            F.lit("C-06").alias("control_id"),
+                            F.when(failing, F.lit("fail")).otherwise(F.lit("pass")).alias("status"),
+                            F.lit(None).cast("string").alias("remediation_status"))
+    overrides = grain.filter(failing).select(
+        F.concat(F.lit("override:"), F.col("table_name")).alias("evidence_id"),
+        F.lit("C-11").alias("control_id"), F.lit("pass").alias("status"),
+        F.lit("pending").alias("remediation_status"))
+    return QA.override_status(evidence.unionByName(overrides))
+
+
 QUERIES: dict[str, Query] = {
     "daily_cost_summary": q_daily_cost_summary,
     "cost_trend_7": q_cost_trend_7,
@@ -313,4 +330,5 @@ QUERIES: dict[str, Query] = {
     "dq_ranges": q_dq_ranges,
     "dq_pii": q_dq_pii,
     "control_coverage": q_control_coverage,
+    "override_status": q_override_status,
 }
