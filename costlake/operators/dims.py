@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from costlake.functions.masking import (
     check_salt, email_is_valid, mask_email, phone_is_valid, redact_phone,
 )
-from costlake.operators.keys import assign_surrogate_keys, max_key
+from costlake.operators.keys import assign_surrogate_keys, max_key_column
 from costlake.operators.upsert import upsert
 from costlake.schemas import DEFAULT_CATEGORY, DIM_CUSTOMER_COLUMNS, DIM_SERVICE_COLUMNS, SERVICE_CATEGORIES
 
@@ -62,7 +62,7 @@ def load_dim_service(raw: DataFrame, existing: DataFrame | None, run_ts: str,
     service catalogue), so the key numbering may use one partition.
     """
     obs = _require_not_null(service_observations(raw), ["product_code", "usage_type"], "dim_service")
-    start = max_key(existing, "service_key")
+    start = max_key_column(existing, "service_key")
     keyed = assign_surrogate_keys(obs, ["product_code", "usage_type"], "service_key", start, method="global")
     ts = F.lit(run_ts)
     src = keyed.select(
@@ -156,7 +156,7 @@ def load_dim_customer(dim: DataFrame | None, snapshot: DataFrame, salt: str, sna
         dim = dim.select(*DIM_CUSTOMER_COLUMNS)
         history = dim.filter(~F.col("is_current"))
         current = dim.filter(F.col("is_current"))
-        start = max_key(dim, "customer_key")
+        start = max_key_column(dim, "customer_key")
 
     # A customer twice in one snapshot fails the load. The check rides on the
     # tracked column (every snapshot row reads it) and on a window partitioned

@@ -31,16 +31,32 @@ def max_key(df: DataFrame | None, key: str) -> int:
     return int(v) if v is not None else 0
 
 
+def max_key_column(df: DataFrame | None, key: str) -> Column:
+    """A12 as a scalar subquery: ``COALESCE((SELECT MAX(key) FROM df), 0)``.
+
+    Stays inside the plan (no driver round trip); Spark runs the one-row
+    aggregate before the stage that needs it.
+    """
+    if df is None:
+        return F.lit(0).cast("bigint")
+    return df.agg(F.coalesce(F.max(key).cast("bigint"), F.lit(0).cast("bigint"))).scalar()
+
+
+def _start(start: int | Column) -> Column:
+    return start if isinstance(start, Column) else F.lit(int(start)).cast("bigint")
+
+
 def _order(cols: list[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-def assign_keys_global(df: DataFrame, order_by: list[str | Column], key: str, start: int = 0) -> DataFrame:
+def assign_keys_global(df: DataFrame, order_by: list[str | Column], key: str,
+                       start: int | Column = 0) -> DataFrame:
     w = Window.orderBy(*_order(order_by))
-    return df.withColumn(key, (F.row_number().over(w) + F.lit(start)).cast("bigint"))
+    return df.withColumn(key, (F.row_number().over(w) + _start(start)).cast("bigint"))
 
 
-def assign_keys_range(df: DataFrame, order_by: list[str | Column], key: str, start: int = 0,
+def assign_keys_range(df: DataFrame, order_by: list[str | Column], key: str, start: int | Column = 0,
                       num_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -57,11 +73,11 @@ def assign_keys_range(df: DataFrame, order_by: list[str | Column], key: str, sta
          ).alias("_off"))
     local = F.col("_mid") - F.shiftleft(F.col("_pid"), _LOCAL_BITS)
     return (tagged.join(F.broadcast(offsets), "_pid", "left")
-            .withColumn(key, (F.coalesce(F.col("_off"), F.lit(0)) + local + F.lit(start + 1)).cast("bigint"))
+            .withColumn(key, (F.coalesce(F.col("_off"), F.lit(0)) + local + _start(start) + F.lit(1)).cast("bigint"))
             .drop("_mid", "_pid", "_off"))
 
 
-def assign_surrogate_keys(df: DataFrame, order_by: list[str | Column], key: str, start: int = 0,
+def assign_surrogate_keys(df: DataFrame, order_by: list[str | Column], key: str, start: int | Column = 0,
                           method: str = "range") -> DataFrame:
     """Add ``key`` = ``start`` + position in ``order_by`` order (1-based)."""
     if method == "global":
