@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costlake.functions.masking import (
@@ -158,14 +158,20 @@ def load_dim_customer(dim: DataFrame | None, snapshot: DataFrame, salt: str, sna
         current = dim.filter(F.col("is_current"))
         start = max_key_column(dim, "customer_key")
 
-    # A customer twice in one snapshot fails the load. The check rides on the
-    # tracked column (every snapshot row reads it) and on a window partitioned
-    # by customer_id, whose shuffle the join below reuses.
-    dup = F.count(F.lit(1)).over(Window.partitionBy("customer_id"))
+    # A customer twice in one snapshot fails the load. The check is an
+    # aggregate by customer_id: partial aggregation collapses a repeated id
+    # inside each task, so even an id holding a third of the snapshot never
+    # lands in one task; the result is hash-partitioned by customer_id and the
+    # join below reuses that. The failure rides on the tracked columns, which
+    # every snapshot row reads.
+    others = [c for c in masked.columns if c != "customer_id"]
+    masked = masked.groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in others])
     for c in tracked:
-        masked = masked.withColumn(c, F.when(dup > 1, F.raise_error(
+        masked = masked.withColumn(c, F.when(F.col("_n") > 1, F.raise_error(
             F.concat(F.lit("duplicate customer_id in snapshot: "), F.col("customer_id").cast("string"))))
             .otherwise(F.col(c)))
+    masked = masked.drop("_n")
     s = masked.select(*[F.col(c).alias(f"s_{c}") for c in masked.columns], F.lit(True).alias("_in_s"))
     if current is None:
         j = s.withColumn("_new", F.lit(True)).withColumn("_chg", F.lit(False))

@@ -100,7 +100,9 @@ def reconcile_cost(fact_customer: DataFrame, fact_daily: DataFrame, per_customer
 
 def scd2_integrity(dim_customer: DataFrame) -> DataFrame:
     """Q5: SCD2 invariants in one pass over the dimension (one shuffle on
-    customer_id for the per-customer window)."""
+    customer_id for the per-customer window). A customer gains at most one
+    version per snapshot load, so a window group is bounded by the number
+    of loads, not by the data volume."""
     w = Window.partitionBy("customer_id").orderBy("effective_from", "customer_key")
     wc = Window.partitionBy("customer_id")
     to = F.coalesce(F.col("effective_to"), F.lit(OPEN_END_DATE))
