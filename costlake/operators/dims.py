@@ -12,7 +12,7 @@ from costlake.functions.masking import (
     check_salt, email_is_valid, mask_email, phone_is_valid, redact_phone,
 )
 from costlake.operators.keys import assign_surrogate_keys, max_key_column
-from costlake.operators.upsert import upsert
+from costlake.operators.upsert import unique_rows, upsert
 from costlake.schemas import DEFAULT_CATEGORY, DIM_CUSTOMER_COLUMNS, DIM_SERVICE_COLUMNS, SERVICE_CATEGORIES
 
 
@@ -158,20 +158,9 @@ def load_dim_customer(dim: DataFrame | None, snapshot: DataFrame, salt: str, sna
         current = dim.filter(F.col("is_current"))
         start = max_key_column(dim, "customer_key")
 
-    # A customer twice in one snapshot fails the load. The check is an
-    # aggregate by customer_id: partial aggregation collapses a repeated id
-    # inside each task, so even an id holding a third of the snapshot never
-    # lands in one task; the result is hash-partitioned by customer_id and the
-    # join below reuses that. The failure rides on the tracked columns, which
-    # every snapshot row reads.
-    others = [c for c in masked.columns if c != "customer_id"]
-    masked = masked.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in others])
-    for c in tracked:
-        masked = masked.withColumn(c, F.when(F.col("_n") > 1, F.raise_error(
-            F.concat(F.lit("duplicate customer_id in snapshot: "), F.col("customer_id").cast("string"))))
-            .otherwise(F.col(c)))
-    masked = masked.drop("_n")
+    # A customer twice in one snapshot fails the load (aggregate-based guard:
+    # skew-proof, and its partitioning by customer_id is reused by the join).
+    masked = unique_rows(masked, ["customer_id"], "customer snapshot", check_cols=tracked)
     s = masked.select(*[F.col(c).alias(f"s_{c}") for c in masked.columns], F.lit(True).alias("_in_s"))
     if current is None:
         j = s.withColumn("_new", F.lit(True)).withColumn("_chg", F.lit(False))
@@ -219,11 +208,15 @@ def snapshot_diff(old: DataFrame, new: DataFrame, tracked_cols: list[str] | None
 
     ``change_type`` is ``new``, ``removed``, ``segment_changed`` (any tracked
     column differs), ``contact_changed`` (only contact columns differ) or
-    ``unchanged``. One full outer join on ``customer_id``.
+    ``unchanged``. One full outer join on ``customer_id``; each side is
+    first made unique per id (a repeated id fails), so the join never
+    multiplies rows.
     """
     tracked = tracked_cols or ["segment"]
     contact = contact_cols or ["email", "phone"]
     cols = tracked + contact
+    old = unique_rows(old.select("customer_id", *cols), ["customer_id"], "old snapshot")
+    new = unique_rows(new.select("customer_id", *cols), ["customer_id"], "new snapshot")
     o = old.select(F.col("customer_id").alias("o_id"), *[F.col(c).alias(f"o_{c}") for c in cols])
     n = new.select(F.col("customer_id").alias("n_id"), *[F.col(c).alias(f"n_{c}") for c in cols])
     j = o.join(n, F.col("o_id") == F.col("n_id"), "full_outer")

@@ -87,7 +87,7 @@ def test_scd2_same_day_zero_length(spark):
 
 def test_scd2_duplicate_in_snapshot_fails(spark):
     v = snap(spark, [(1, "a@x.com", "555-000-0001", "premium"), (1, "a@x.com", "555-000-0001", "premium")])
-    with pytest.raises(Exception, match="duplicate customer_id"):
+    with pytest.raises(Exception, match="duplicate key in customer snapshot"):
         D.load_dim_customer(None, v, SALT, "2025-01-01").collect()
 
 
@@ -110,3 +110,10 @@ def test_snapshot_diff(spark):
                       (4, "d@x", "4444", "p")])
     got = rows(D.snapshot_diff(v1, v2), "customer_id", "change_type")
     assert got == [(1, "segment_changed"), (2, "contact_changed"), (3, "unchanged"), (4, "new"), (5, "removed")]
+
+
+def test_snapshot_diff_duplicate_id_fails(spark):
+    v1 = snap(spark, [(1, "a@x", "1111", "p"), (1, "a@x", "1111", "p")])
+    v2 = snap(spark, [(1, "a@x", "1111", "p")])
+    with pytest.raises(Exception, match="duplicate key in old snapshot"):
+        D.snapshot_diff(v1, v2).collect()

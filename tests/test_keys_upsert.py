@@ -60,3 +60,11 @@ def test_upsert_partitions_only_touched(spark):
     s = spark.createDataFrame([("d2", 1, 7), ("d2", 2, 8)], "usage_date string, k int, v int")
     got = rows(upsert_partitions(t, s, ["usage_date", "k"], ["v"], "usage_date"))
     assert got == [("d2", 1, 7), ("d2", 2, 8)]
+
+
+def test_upsert_duplicate_source_key_fails(spark):
+    import pytest
+    t = _t(spark, [("x", 1, 10, "old")])
+    s = _t(spark, [("x", 1, 11, "a"), ("x", 1, 12, "b")])
+    with pytest.raises(Exception, match="duplicate key in upsert source"):
+        upsert(t, s, ["k1", "k2"], ["a"]).collect()
