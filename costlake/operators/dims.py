@@ -75,8 +75,9 @@ def load_dim_service(raw: DataFrame, existing: DataFrame | None, run_ts: str,
     )
     if existing is None:
         return src
+    # src is grouped by (product_code, usage_type): unique by construction
     return upsert(existing.select(*DIM_SERVICE_COLUMNS), src,
-                  ["product_code", "usage_type"], ["last_seen_date", "_updated_at"])
+                  ["product_code", "usage_type"], ["last_seen_date", "_updated_at"], check_unique=False)
 
 
 # --- D4: masking -----------------------------------------------------------------------

@@ -61,9 +61,10 @@ def load_fact_daily_cost(raw: DataFrame, dim_service: DataFrame, existing: DataF
     upd = ["daily_cost", "record_count", "null_cost_count", "_loaded_at"]
     keys = ["usage_date", "service_key"]
     tgt = existing.select(*FACT_DAILY_COLUMNS)
+    # src is an aggregate (or a join of aggregates) keyed by ``keys``: unique by construction
     if partitions_only:
-        return upsert_partitions(tgt, src, keys, upd, "usage_date")
-    return upsert(tgt, src, keys, upd)
+        return upsert_partitions(tgt, src, keys, upd, "usage_date", check_unique=False)
+    return upsert(tgt, src, keys, upd, check_unique=False)
 
 
 # --- J2 / A4 -------------------------------------------------------------------------------
@@ -182,9 +183,10 @@ def load_fact_customer_cost(raw: DataFrame, dim_service: DataFrame, dim_customer
     keys = ["usage_date", "customer_key", "service_key"]
     upd = ["allocated_cost", "record_count", "null_cost_count", "_loaded_at"]
     tgt = existing.select(*FACT_CUSTOMER_COLUMNS)
+    # src is an aggregate (or a join of aggregates) keyed by ``keys``: unique by construction
     if partitions_only:
-        return upsert_partitions(tgt, src, keys, upd, "usage_date")
-    return upsert(tgt, src, keys, upd)
+        return upsert_partitions(tgt, src, keys, upd, "usage_date", check_unique=False)
+    return upsert(tgt, src, keys, upd, check_unique=False)
 
 
 # --- A7 / A8 / J4 --------------------------------------------------------------------------
