@@ -133,7 +133,22 @@ def mask_snapshot_quarantine(snapshot: DataFrame, salt: str) -> MaskResult:
 
 def load_dim_customer(dim: DataFrame | None, snapshot: DataFrame, salt: str, snapshot_date: str,
                       tracked_cols: list[str] | None = None, key_method: str = "range") -> DataFrame:
-    """D3: SCD2 load of one full snapshot; returns the whole new dimension.
+    """D3: SCD2 load of one full snapshot; returns the whole new dimension
+    (see ``scd2_changes`` for the rules and the part a load rewrites)."""
+    history, changed = scd2_changes(dim, snapshot, salt, snapshot_date, tracked_cols, key_method)
+    return changed if history is None else history.unionByName(changed)
+
+
+def scd2_changes(dim: DataFrame | None, snapshot: DataFrame, salt: str, snapshot_date: str,
+                 tracked_cols: list[str] | None = None,
+                 key_method: str = "range") -> tuple[DataFrame | None, DataFrame]:
+    """D3 split for writing: ``(history, changed)``.
+
+    ``history`` is the closed versions before this load (untouched);
+    ``changed`` is every version that was current before the load (kept or
+    now closed) plus the new versions. Stored partitioned by
+    ``(is_current, effective_to)``, a load rewrites only the current slice
+    and the history partition of its own snapshot date.
 
     * new customer -> current version from ``snapshot_date``;
     * tracked column changed (default: segment only) -> current version
@@ -196,9 +211,7 @@ def load_dim_customer(dim: DataFrame | None, snapshot: DataFrame, salt: str, sna
         "segment", snap.alias("effective_from"), F.lit(None).cast("string").alias("effective_to"),
         F.lit(True).alias("is_current"), snap.alias("_loaded_at"))
     out = inserts if kept is None else kept.unionByName(inserts)
-    if history is not None:
-        out = history.unionByName(out)
-    return out
+    return history, out
 
 
 # --- D7: snapshot diff ------------------------------------------------------------------

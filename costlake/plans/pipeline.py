@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from costlake.operators import dims as D
 from costlake.operators import facts as FA
 from costlake.operators import summary as S
+from costlake.session import release_scratch
 from costlake.sources.tables import Warehouse, _fs
 from costlake.sources.usage import append_new_usage, read_raw_table, read_usage
 
@@ -47,10 +48,26 @@ def read_raw(wh: Warehouse) -> DataFrame | None:
     return read_raw_table(wh.spark, raw_path(wh))
 
 
+DIM_CUSTOMER_PARTITIONS = ["is_current", "effective_to"]
+
+
+def load_customer_snapshot(wh: Warehouse, snap: Snapshot, salt: str) -> None:
+    """One SCD2 load. The table is partitioned by (is_current, effective_to):
+    the load rewrites the current slice and the closed-history partition of
+    its own date (with the rows already closed on that date), nothing else."""
+    dim = wh.read("dim_customer")
+    history, changed = D.scd2_changes(dim, snap.df, salt, snap.snapshot_date)
+    if history is None:
+        wh.replace("dim_customer", changed, DIM_CUSTOMER_PARTITIONS)
+        return
+    same_day = history.filter(F.col("effective_to") == snap.snapshot_date)
+    wh.write_partitions("dim_customer", changed.unionByName(same_day), DIM_CUSTOMER_PARTITIONS)
+
+
 def load_dimensions(wh: Warehouse, raw: DataFrame, snapshots: list[Snapshot], salt: str, run_ts: str) -> None:
     wh.replace("dim_service", D.load_dim_service(raw, wh.read("dim_service"), run_ts))
     for snap in sorted(snapshots, key=lambda s: s.snapshot_date):
-        wh.replace("dim_customer", D.load_dim_customer(wh.read("dim_customer"), snap.df, salt, snap.snapshot_date))
+        load_customer_snapshot(wh, snap, salt)
 
 
 def load_facts(wh: Warehouse, raw: DataFrame, run_ts: str) -> None:
@@ -75,6 +92,7 @@ def run_pipeline(spark: SparkSession, root: str, usage_path: str | DataFrame, sn
     counts = {t: wh.read(t).count() for t in ("dim_service", "dim_customer", "fact_daily_cost", "fact_customer_cost")
               if wh.exists(t)}
     counts[RAW] = raw.count()
+    release_scratch(spark)     # every table is written; staged frames are no longer read
     return PipelineResult(res.inserted, counts, S.daily_cost_summary(raw))
 
 
@@ -88,6 +106,7 @@ def rebuild_from_raw(spark: SparkSession, root: str, snapshots: list[Snapshot],
     raw = read_raw(wh)
     load_dimensions(wh, raw, snapshots, salt, run_ts)
     load_facts(wh, raw, run_ts)
+    release_scratch(spark)
 
 
 def drop_raw_dates(spark: SparkSession, root: str, start: str, end: str) -> int:

@@ -64,6 +64,24 @@ def scratch_path(spark: SparkSession, kind: str = "tables") -> str:
     return f"{base}/costlake-{kind}/{uuid.uuid4().hex}"
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the folders ``materialize`` wrote for this application. Call it
+    once nothing lazy still reads them (e.g. at the end of a pipeline run)."""
+    app = spark.sparkContext.applicationId
+    paths = _SCRATCH.pop(app, [])
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        jp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = jp.getFileSystem(conf)
+        if fs.exists(jp):
+            fs.delete(jp, True)
+    return len(paths)
+
+
 def materialize(df: DataFrame, metrics: dict[str, Column] | None = None) -> DataFrame | tuple[DataFrame, dict]:
     """Write ``df`` once as Parquet into the checkpoint folder and read it back.
 
@@ -76,6 +94,7 @@ def materialize(df: DataFrame, metrics: dict[str, Column] | None = None) -> Data
     """
     spark = df.sparkSession
     path = scratch_path(spark)
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
     if metrics:
         obs = Observation(f"materialize-{uuid.uuid4().hex[:8]}")
         df.observe(obs, *[c.alias(n) for n, c in metrics.items()]).write.parquet(path)

@@ -99,21 +99,22 @@ class Warehouse:
         _write_text(self.spark, self._pointer(name), v)
         return f"{self.root}/{name}/{v}"
 
-    def write_partitions(self, name: str, df: DataFrame, partition_col: str = "usage_date") -> str:
-        """Overwrite only the ``partition_col`` values present in ``df``.
+    def write_partitions(self, name: str, df: DataFrame, partition_col: str | list[str] = "usage_date") -> str:
+        """Overwrite only the partitions whose values occur in ``df``.
 
-        ``df`` must hold the *merged* rows of those partitions (see
-        ``upsert_partitions``), or an upsert would lose rows. Dynamic
-        partition overwrite is set for this write only.
+        ``df`` must hold the *complete* rows of those partitions (see
+        ``upsert_partitions``), or rows would be lost. Dynamic partition
+        overwrite is set for this write only; it is one job with one commit.
         """
+        cols = [partition_col] if isinstance(partition_col, str) else list(partition_col)
         loc = self.location(name)
         if loc is None:
-            return self.replace(name, df, [partition_col])
+            return self.replace(name, df, cols)
         # Spark cannot overwrite partitions it reads in the same plan: stage first.
         from costlake.session import materialize
-        staged = materialize(df).hint("rebalance", partition_col)
+        staged = materialize(df).hint("rebalance", *cols)
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(partition_col).parquet(loc))
+         .partitionBy(*cols).parquet(loc))
         return loc
 
     def drop(self, name: str) -> None:
