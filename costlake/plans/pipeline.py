@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from costlake.operators import dims as D
 from costlake.operators import facts as FA
 from costlake.operators import summary as S
-from costlake.session import release_scratch
+from costlake.session import release_scratch, scratch_mark
 from costlake.sources.tables import Warehouse, _fs
 from costlake.sources.usage import append_new_usage, read_raw_table, read_usage
 
@@ -84,6 +84,7 @@ def run_pipeline(spark: SparkSession, root: str, usage_path: str | DataFrame, sn
     """Ingest -> dimensions -> facts; returns insert count, table sizes and
     the (lazy, unpersisted) daily summary."""
     wh = Warehouse(spark, root)
+    mark = scratch_mark(spark)
     batch = read_usage(spark, usage_path) if isinstance(usage_path, str) else usage_path
     res = append_new_usage(batch, raw_path(wh), partition_by=RAW_PARTITION)
     raw = read_raw(wh)
@@ -92,7 +93,7 @@ def run_pipeline(spark: SparkSession, root: str, usage_path: str | DataFrame, sn
     counts = {t: wh.read(t).count() for t in ("dim_service", "dim_customer", "fact_daily_cost", "fact_customer_cost")
               if wh.exists(t)}
     counts[RAW] = raw.count()
-    release_scratch(spark)     # every table is written; staged frames are no longer read
+    release_scratch(spark, mark)     # every table is written; this run's staged frames are unused
     return PipelineResult(res.inserted, counts, S.daily_cost_summary(raw))
 
 
@@ -101,12 +102,13 @@ def rebuild_from_raw(spark: SparkSession, root: str, snapshots: list[Snapshot],
     replaying customer snapshots in date order. Removes stale fact rows that
     upserts keep."""
     wh = Warehouse(spark, root)
+    mark = scratch_mark(spark)
     for t in ("dim_service", "dim_customer", "fact_daily_cost", "fact_customer_cost"):
         wh.drop(t)
     raw = read_raw(wh)
     load_dimensions(wh, raw, snapshots, salt, run_ts)
     load_facts(wh, raw, run_ts)
-    release_scratch(spark)
+    release_scratch(spark, mark)
 
 
 def drop_raw_dates(spark: SparkSession, root: str, start: str, end: str) -> int:

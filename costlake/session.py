@@ -67,11 +67,18 @@ def scratch_path(spark: SparkSession, kind: str = "tables") -> str:
 _SCRATCH: dict[str, list[str]] = {}
 
 
-def release_scratch(spark: SparkSession) -> int:
-    """Delete the folders ``materialize`` wrote for this application. Call it
-    once nothing lazy still reads them (e.g. at the end of a pipeline run)."""
+def scratch_mark(spark: SparkSession) -> int:
+    """Number of scratch folders written so far by this application."""
+    return len(_SCRATCH.get(spark.sparkContext.applicationId, []))
+
+
+def release_scratch(spark: SparkSession, since: int = 0) -> int:
+    """Delete the folders ``materialize`` wrote for this application after
+    mark ``since``. Call it once nothing lazy still reads them (e.g. at the
+    end of a pipeline run, with the mark taken at its start)."""
     app = spark.sparkContext.applicationId
-    paths = _SCRATCH.pop(app, [])
+    held = _SCRATCH.get(app, [])
+    paths, _SCRATCH[app] = held[since:], held[:since]
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for p in paths:
