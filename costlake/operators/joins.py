@@ -1,19 +1,13 @@
-"""Join helpers: broadcast only behind a size check, salt beyond it.
-
-``bounded(df, max_rows)`` materialises a side that is *expected* to be small
-(a dimension, a per-date frame), counts it and marks it for broadcast only
-if the count is within ``max_rows``; otherwise it is returned as is and
-the caller takes the shuffle path (``salted_join``).
+"""Join helpers: the broadcast row limit and the salted shuffle join used
+beyond it. Callers broadcast a side only when a proven bound on its rows
+(a materialised count, or a span of days) is within ``broadcast_limit``.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from costlake.session import materialize
 
 DEFAULT_BROADCAST_ROWS = 500_000
 DEFAULT_SALTS = 32
@@ -23,21 +17,6 @@ def broadcast_limit(spark) -> int:
     return int(spark.conf.get("costlake.broadcast.maxRows", str(DEFAULT_BROADCAST_ROWS)))
 
 
-@dataclass
-class Side:
-    df: DataFrame
-    rows: int
-    small: bool
-
-
-def bounded(df: DataFrame, max_rows: int | None = None) -> Side:
-    """Materialise ``df`` and decide, from its exact row count, whether it may be broadcast."""
-    limit = broadcast_limit(df.sparkSession) if max_rows is None else max_rows
-    m, stats = materialize(df, {"rows": F.count(F.lit(1))})
-    n = int(stats["rows"])
-    return Side(F.broadcast(m) if n <= limit else m, n, n <= limit)
-
-
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], salt_of: Column,
                 salts: int = DEFAULT_SALTS, how: str = "inner") -> DataFrame:
     """Equi join on ``on`` that spreads each key over ``salts`` tasks.
@@ -50,15 +29,3 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], salt_of: Column
     b = big.withColumn("_salt", F.pmod(F.xxhash64(salt_of), F.lit(salts)).cast("int"))
     s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return b.join(s, on + ["_salt"], how).drop("_salt")
-
-
-def join_small(big: DataFrame, small: DataFrame, on: list[str], salt_of: Column | None = None,
-               max_rows: int | None = None, salts: int = DEFAULT_SALTS, how: str = "inner") -> DataFrame:
-    """Broadcast hash join when ``small`` passes the size check, else a
-    shuffle join (salted when ``salt_of`` is given)."""
-    side = bounded(small, max_rows)
-    if side.small:
-        return big.join(side.df, on, how)
-    if salt_of is not None and how == "inner":
-        return salted_join(big, side.df, on, salt_of, salts, how)
-    return big.join(side.df, on, how)

@@ -19,23 +19,24 @@ from pyspark.sql import functions as F
 def unique_rows(df: DataFrame, keys: list[str], what: str, check_cols: list[str] | None = None) -> DataFrame:
     """``df`` with a guarantee of one row per key: a repeated key fails the job.
 
-    Built as an aggregate by the keys (count + the row's values), so partial
-    aggregation collapses a repeated key inside each task; even a key that
-    holds a third of the rows never reaches one task whole, and no later
-    join on the keys can multiply it. The output is hash-partitioned by the
-    keys, which a following join or window on them reuses. The failure is
-    attached to ``check_cols`` (default: every non-key column), so column
-    pruning cannot remove it.
+    The rows per key are counted by a hash aggregate whose partial step runs
+    before the shuffle, so even a key that holds a third of the rows never
+    reaches one task whole; the repeated keys are then reduced to one scalar
+    subquery (how many, and the smallest as an example). The rows themselves
+    are neither sorted nor joined. The failure is attached to ``check_cols``
+    (default: every non-key column), so column pruning cannot remove it.
     """
     others = [c for c in df.columns if c not in keys]
-    if not others:
-        return df.distinct()
-    agg = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in others])
-    msg = F.concat(F.lit(f"duplicate key in {what}: "),
-                   F.concat_ws(",", *[F.col(k).cast("string") for k in keys]))
-    for c in (check_cols or others):
-        agg = agg.withColumn(c, F.when(F.col("_n") > 1, F.raise_error(msg)).otherwise(F.col(c)))
-    return agg.select(*df.columns)
+    key_text = F.concat_ws(",", *[F.col(k).cast("string") for k in keys])
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    bad = (counts.filter(F.col("_n") > 1)
+           .agg(F.struct(F.count(F.lit(1)).alias("dups"), F.min(key_text).alias("example")).alias("b"))
+           .scalar())
+    fail = F.raise_error(F.concat(F.lit(f"duplicate key in {what}: "), bad.getField("example")))
+    out = df
+    for c in (check_cols or others or keys[:1]):
+        out = out.withColumn(c, F.when(bad.getField("dups") > 0, fail).otherwise(F.col(c)))
+    return out
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], update_cols: list[str],
@@ -54,7 +55,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update_cols: l
     if bad:
         raise ValueError(f"update columns must be non-key target columns: {bad}")
     if check_unique:
-        source = unique_rows(source.select(*cols), keys, "upsert source")
+        source = unique_rows(source.select(*cols), keys, "upsert source", update_cols or None)
     t = target.select(*[F.col(c).alias(f"t_{c}") for c in cols], F.lit(True).alias("_in_t"))
     s = source.select(*[F.col(c).alias(f"s_{c}") for c in cols], F.lit(True).alias("_in_s"))
     cond = [F.col(f"t_{k}") == F.col(f"s_{k}") for k in keys]
