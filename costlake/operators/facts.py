@@ -142,8 +142,15 @@ def allocation_per_service_day(sd: DataFrame, counts: DataFrame) -> DataFrame:
                     "record_count", "null_cost_count"))
 
 
+def materialized_service_daily(raw: DataFrame, dim_service: DataFrame) -> tuple[DataFrame, dict]:
+    """``service_daily`` written once to the checkpoint folder, with its row
+    count and date span observed on the same write (for size checks)."""
+    return materialize(service_daily(raw, dim_service), {
+        "rows": F.count(F.lit(1)), "lo": F.min("usage_date"), "hi": F.max("usage_date")})
+
+
 def customer_cost(raw: DataFrame, dim_service: DataFrame, dim_customer: DataFrame,
-                  run_ts: str) -> DataFrame:
+                  run_ts: str, service_day: tuple[DataFrame, dict] | None = None) -> DataFrame:
     """D6 source rows: each service-day's cost split evenly over the customers
     active that day. ``record_count`` and ``null_cost_count`` are copied to
     every customer, not split.
@@ -155,8 +162,7 @@ def customer_cost(raw: DataFrame, dim_service: DataFrame, dim_customer: DataFram
     pairs are never shuffled; beyond it the join is salted by customer so a
     date holding a third of all rows is split across tasks.
     """
-    sd, st = materialize(service_daily(raw, dim_service), {
-        "rows": F.count(F.lit(1)), "lo": F.min("usage_date"), "hi": F.max("usage_date")})
+    sd, st = service_day or materialized_service_daily(raw, dim_service)
     counts = active_customers_per_date(dim_customer, sd)
     alloc = allocation_per_service_day(sd, counts)
     pairs = active_pairs(dim_customer, sd, (st["lo"], st["hi"]))

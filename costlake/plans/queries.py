@@ -219,8 +219,9 @@ def q_daily_cost_since(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _warehouse(spark: SparkSession, sf_dir: str):
     raw, ds, dc = _customer_fact(spark, sf_dir)
     ds = materialize(ds)
-    fd = FA.load_fact_daily_cost(raw, ds, None, RUN_TS)
-    fc = FA.customer_cost(raw, ds, dc, RUN_TS)
+    sd = FA.materialized_service_daily(raw, ds)     # shared by both facts
+    fd = sd[0].withColumn("_loaded_at", F.lit(RUN_TS))
+    fc = FA.customer_cost(raw, ds, dc, RUN_TS, service_day=sd)
     return raw, ds, dc, fd, fc
 
 

@@ -68,3 +68,13 @@ def test_upsert_duplicate_source_key_fails(spark):
     s = _t(spark, [("x", 1, 11, "a"), ("x", 1, 12, "b")])
     with pytest.raises(Exception, match="duplicate key in upsert source"):
         upsert(t, s, ["k1", "k2"], ["a"]).collect()
+
+
+def test_unique_rows_hot_key_fails_and_clean_passes(spark):
+    import pytest
+    from costlake.operators.upsert import unique_rows
+    hot = spark.range(30000).selectExpr("IF(id % 3 = 0, 7, id) AS k", "CAST(id AS STRING) AS v")
+    with pytest.raises(Exception, match="duplicate key in hot: 7"):
+        unique_rows(hot, ["k"], "hot").collect()
+    clean = spark.range(1000).selectExpr("id AS k", "CAST(id AS STRING) AS v")
+    assert unique_rows(clean, ["k"], "clean").count() == 1000
