@@ -54,3 +54,19 @@ def test_pushed_filter_on_raw(spark, tmp_root):
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     assert "PushedFilters: [IsNotNull(line_item_usage_start_date), GreaterThanOrEqual(line_item_usage_start_date" in text
     assert "ReadSchema: struct<line_item_usage_start_date:string,line_item_product_code:string>" in text
+
+
+def test_partition_upsert_reads_only_touched_partitions(spark, tmp_root):
+    from costlake.operators import dims as D
+    from costlake.operators import facts as FA
+    wh = Warehouse(spark, tmp_root)
+    raw = raw_usage(spark, SF_SMALL)
+    wh.replace("dim_service", D.load_dim_service(raw, None, "t"))
+    wh.replace("fact_daily_cost", FA.load_fact_daily_cost(raw, wh.read("dim_service"), None, "t"), ["usage_date"])
+    late = raw.filter("line_item_usage_start_date = '2024-01-20'")
+    out = FA.load_fact_daily_cost(late, wh.read("dim_service"), wh.read("fact_daily_cost"), "t2",
+                                  partitions_only=True)
+    text = out._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "PartitionFilters: [(usage_date" in text and "2024-01-20" in text
+    assert {r.usage_date for r in out.collect()} == {"2024-01-20"}
