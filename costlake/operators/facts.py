@@ -107,7 +107,8 @@ def active_pairs(dim_customer: DataFrame, dates: DataFrame, date_span: tuple[str
     dates that occur (equi join against the distinct dates). The distinct
     dates are at most the days of the span, a proven bound checked before
     they are broadcast. Work is proportional to the output; no range join
-    or nested loop is planned.
+    or nested loop is planned. ``customer_key`` is the dimension's primary
+    key, so the pairs are distinct without a DISTINCT (U1; Q2 checks the key).
     """
     spark = dim_customer.sparkSession
     d = dates.select("usage_date").distinct()
@@ -156,7 +157,7 @@ def customer_cost(raw: DataFrame, dim_service: DataFrame, dim_customer: DataFram
     every customer, not split.
 
     Plan: service_daily (one aggregate over raw, materialised: it is small and
-    used twice) -> active counts by sweep -> share per service-day -> join
+    read three times) -> active counts by sweep -> share per service-day -> join
     with the active (date, customer) pairs on the date. The share frame
     (dates x services) is broadcast when it passes the size check, so the
     pairs are never shuffled; beyond it the join is salted by customer so a

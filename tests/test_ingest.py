@@ -85,3 +85,15 @@ def test_sql_surface_file_scan_cte_window_params(spark, tmp_root):
         SELECT d, svc, c, SUM(c) OVER (PARTITION BY svc ORDER BY d) AS running FROM s""",
                   {"usage": spark.read.parquet(p)}, {"start": "2025-01-02"})
     assert sorted((r.svc, float(r.running)) for r in out.collect()) == [("EC2", 2.5), ("S3", 4.0)]
+
+
+def test_sql_surface_variant_pass_through(spark):
+    from costlake.sources.tables import run_sql
+    from costlake.sources.views import table
+    from tests.conftest import SF_SMALL
+    out = run_sql(spark, "SELECT event_type, SUM(variant_get(parse_json(props), '$.k', 'int')) AS k_sum "
+                         "FROM events GROUP BY event_type", {"events": table(spark, SF_SMALL, "events")})
+    import duckdb
+    want = dict(duckdb.sql(f"SELECT event_type, SUM(CAST(json_extract(props, '$.k') AS INTEGER)) "
+                           f"FROM '{SF_SMALL}/events.parquet' GROUP BY 1").fetchall())
+    assert {r.event_type: r.k_sum for r in out.collect()} == want
