@@ -150,15 +150,17 @@ def q_fact_daily_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dbl(FA.load_fact_daily_cost(raw2, dim, f1, "run-2"), "daily_cost")
 
 
-def _customer_fact(spark: SparkSession, sf_dir: str):
+def _customer_fact(spark: SparkSession, sf_dir: str, keep_dim: bool = True):
+    """Raw lines and both dimensions; the customer dimension is written once
+    (``keep_dim``) when the query reads it several times."""
     raw = raw_usage(spark, sf_dir)
     ds = D.load_dim_service(raw, None, RUN_TS)
-    dc = materialize(dim_customer(spark, sf_dir))
-    return raw, ds, dc
+    dc = dim_customer(spark, sf_dir)
+    return raw, ds, materialize(dc) if keep_dim else dc
 
 
 def q_active_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw, ds, dc = _customer_fact(spark, sf_dir)
+    raw, ds, dc = _customer_fact(spark, sf_dir, keep_dim=False)
     return FA.active_customers_per_date(dc, FA.service_daily(raw, ds))
 
 
