@@ -442,3 +442,14 @@ per AS (
 SELECT *, CASE WHEN MIN(CASE WHEN status = 'SATISFIED' THEN 1 ELSE 0 END) OVER () = 1 THEN 'READY' ELSE 'BLOCKED' END
        AS gate_result
 FROM per"""
+
+SQL["usage_metrics"] = _with(USAGE) + """
+SELECT CAST(COUNT(*) AS BIGINT) AS rows_read,
+       CAST(COUNT(*) FILTER (WHERE cost IS NULL) AS BIGINT) AS null_cost,
+       CAST(COUNT(*) FILTER (WHERE cost IS NULL OR CAST(cost AS DECIMAL(18,6)) = 0) AS BIGINT) AS zero_or_null_cost,
+       CAST(COUNT(*) FILTER (WHERE id IS NULL) AS BIGINT) AS null_id
+FROM usage"""
+
+SQL["duplicate_usage_ids"] = _with(USAGE_LONG) + """
+SELECT id AS identity_line_item_id, CAST(COUNT(*) AS BIGINT) AS n
+FROM usage GROUP BY id HAVING COUNT(*) > 1"""

@@ -21,7 +21,7 @@ from costlake.operators import summary as S
 from costlake.session import materialize
 from costlake.sources import views as V
 from costlake.sources.tables import run_sql
-from costlake.sources.usage import new_usage_rows, normalize_usage
+from costlake.sources.usage import new_usage_rows, normalize_usage, usage_metrics_frame
 
 # Fixed parameters of the named queries.
 RUN_TS = "2024-02-01 00:00:00"
@@ -304,6 +304,16 @@ def q_override_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QA.override_status(evidence.unionByName(overrides))
 
 
+def q_usage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run counters of the raw usage layer (T19: zero and NULL together)."""
+    return usage_metrics_frame(raw_usage(spark, sf_dir))
+
+
+def q_duplicate_usage_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that repeat in the long usage view, with their counts."""
+    return QA.duplicate_keys(raw_usage_long(spark, sf_dir), ["identity_line_item_id"])
+
+
 QUERIES: dict[str, Query] = {
     "daily_cost_summary": q_daily_cost_summary,
     "cost_trend_7": q_cost_trend_7,
@@ -334,4 +344,6 @@ QUERIES: dict[str, Query] = {
     "dq_pii": q_dq_pii,
     "control_coverage": q_control_coverage,
     "override_status": q_override_status,
+    "usage_metrics": q_usage_metrics,
+    "duplicate_usage_ids": q_duplicate_usage_ids,
 }

@@ -128,16 +128,24 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
                       & F.col("status").isNull())))
 
 
+def _metric_columns() -> dict:
+    cost = F.col("line_item_unblended_cost")
+    return {
+        "rows_read": F.count(F.lit(1)),
+        "null_cost": F.count_if(cost.isNull()),
+        "zero_or_null_cost": F.count_if(cost.isNull() | (cost.cast("decimal(18,6)") == 0)),
+        "null_id": F.count_if(F.col(ID).isNull()),
+    }
+
+
 def usage_run_metrics(raw: DataFrame) -> tuple[DataFrame, Observation]:
     """Attach run counters to a raw usage frame; they are filled when
     the frame is consumed by any action (no extra pass)."""
     obs = Observation("usage_run_metrics")
-    cost = F.col("line_item_unblended_cost")
-    out = raw.observe(
-        obs,
-        F.count(F.lit(1)).alias("rows_read"),
-        F.count_if(cost.isNull()).alias("null_cost"),
-        F.count_if(cost.isNull() | (cost.cast("decimal(18,6)") == 0)).alias("zero_or_null_cost"),
-        F.count_if(F.col(ID).isNull()).alias("null_id"),
-    )
+    out = raw.observe(obs, *[c.alias(n) for n, c in _metric_columns().items()])
     return out, obs
+
+
+def usage_metrics_frame(raw: DataFrame) -> DataFrame:
+    """A13 as a one-row frame (the same counters, as a standalone aggregate)."""
+    return raw.agg(*[c.cast("bigint").alias(n) for n, c in _metric_columns().items()])
