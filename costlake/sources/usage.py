@@ -57,17 +57,29 @@ def new_usage_rows(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
     """S4 (rows part): batch rows whose id is not yet in ``existing``.
 
     Duplicates inside the batch are all kept (the key is checked against
-    the table only). Rows with a NULL id are dropped. The table's ids are
-    made distinct first (partial aggregation; the table itself may repeat
-    ids), and the anti join reuses that hash partitioning on the id. A
-    skewed id on the batch side is split by AQE's skew-join handling; a
-    small table side is broadcast by the planner's size check.
+    the table only). Rows with a NULL id are dropped.
+
+    A batch is usually far smaller than the accumulated table. The batch's
+    distinct ids are written once and counted; within the broadcast limit
+    the table's id column is probed against them map-side (broadcast semi
+    join), which leaves only the table ids that also occur in the batch (at
+    most the batch's id count), and the batch is anti-joined with those,
+    broadcast too: the table's ids are scanned but never shuffled. Beyond
+    the limit, the table's ids are made distinct (partial aggregation) and
+    anti-joined by a shuffle on the id, where AQE splits a skewed id.
     """
+    from costlake.operators.joins import broadcast_limit
+    from costlake.session import materialize
+
     rows = normalize_usage(batch).filter(F.col(ID).isNotNull())
     if existing is None:
         return rows
-    known = existing.select(ID).filter(F.col(ID).isNotNull()).distinct()
-    return rows.join(known, ID, "left_anti")
+    table_ids = existing.select(ID).filter(F.col(ID).isNotNull())
+    batch_ids, st = materialize(rows.select(ID).distinct(), {"rows": F.count(F.lit(1))})
+    if int(st["rows"]) <= broadcast_limit(batch.sparkSession):
+        seen = table_ids.join(F.broadcast(batch_ids), ID, "left_semi").distinct()
+        return rows.join(F.broadcast(seen), ID, "left_anti")
+    return rows.join(table_ids.distinct(), ID, "left_anti")
 
 
 @dataclass

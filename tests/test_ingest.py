@@ -97,3 +97,18 @@ def test_sql_surface_variant_pass_through(spark):
     want = dict(duckdb.sql(f"SELECT event_type, SUM(CAST(json_extract(props, '$.k') AS INTEGER)) "
                            f"FROM '{SF_SMALL}/events.parquet' GROUP BY 1").fetchall())
     assert {r.event_type: r.k_sum for r in out.collect()} == want
+
+
+def test_new_rows_broadcast_and_shuffle_paths_agree(spark):
+    existing = U.normalize_usage(usage_df(spark, [(str(i), "2025-01-01", "L", "x", "1") for i in range(0, 300, 2)]
+                                          + [("4", "2025-01-01", "L", "y", "1")]))
+    batch = usage_df(spark, [(str(i), "2025-01-02", "L", "x", "1") for i in range(100, 400)]
+                     + [("399", "2025-01-02", "L", "z", "1"), (None, "2025-01-02", "L", "x", "1")])
+    a = sorted(r[0] for r in U.new_usage_rows(batch, existing).select("identity_line_item_id").collect())
+    spark.conf.set("costlake.broadcast.maxRows", "0")
+    try:
+        b = sorted(r[0] for r in U.new_usage_rows(batch, existing).select("identity_line_item_id").collect())
+    finally:
+        spark.conf.unset("costlake.broadcast.maxRows")
+    want = sorted([str(i) for i in range(100, 400) if i >= 300 or i % 2] + ["399"])
+    assert a == b == want
