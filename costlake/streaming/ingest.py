@@ -3,8 +3,8 @@
 A file-source stream over the folder where usage exports land; each
 micro-batch runs the same keyed append as the batch loader (only ids not yet
 in the raw table are written), so a replayed batch after a failure inserts
-nothing twice. With ``refresh`` the daily fact partitions of the dates the
-batch touched are recomputed from the raw table.
+nothing twice. With ``refresh`` the fact partitions (daily and per customer)
+of the dates the batch touched are recomputed from the raw table.
 """
 
 from __future__ import annotations
@@ -19,8 +19,13 @@ from costlake.sources.tables import Warehouse
 from costlake.sources.usage import append_new_usage
 
 
-def refresh_fact_daily(wh: Warehouse, dates: DataFrame, run_ts: str) -> None:
-    """Recompute ``fact_daily_cost`` for the given usage dates only."""
+def refresh_facts(wh: Warehouse, dates: DataFrame, run_ts: str) -> None:
+    """Recompute both facts for the given usage dates only.
+
+    The raw lines of those dates (a semi join with the distinct dates, which
+    prunes the date-partitioned raw scan) feed the same loaders as the batch
+    pipeline; each fact then rewrites only those date partitions.
+    """
     raw = read_raw(wh)
     ds = wh.read("dim_service")
     if raw is None or ds is None:
@@ -29,6 +34,13 @@ def refresh_fact_daily(wh: Warehouse, dates: DataFrame, run_ts: str) -> None:
                        "line_item_usage_start_date", "left_semi")
     wh.write_partitions("fact_daily_cost", FA.load_fact_daily_cost(
         touched, ds, wh.read("fact_daily_cost"), run_ts, partitions_only=True))
+    dc = wh.read("dim_customer")
+    if dc is not None:
+        wh.write_partitions("fact_customer_cost", FA.load_fact_customer_cost(
+            touched, ds, dc, wh.read("fact_customer_cost"), run_ts, partitions_only=True))
+
+
+refresh_fact_daily = refresh_facts  # earlier name
 
 
 def ingest_stream(spark: SparkSession, source_dir: str, root: str, checkpoint_location: str,
@@ -48,7 +60,7 @@ def ingest_stream(spark: SparkSession, source_dir: str, root: str, checkpoint_lo
             return
         append_new_usage(batch, raw_path(wh), partition_by=RAW_PARTITION)
         if refresh:
-            refresh_fact_daily(wh, batch.select("line_item_usage_start_date"), run_ts)
+            refresh_facts(wh, batch.select("line_item_usage_start_date"), run_ts)
 
     q = (stream.writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", checkpoint_location)

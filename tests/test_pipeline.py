@@ -56,7 +56,7 @@ def test_stream_ingest_available_now(spark, tmp_root):
     usage.filter("line_item_usage_start_date < '2024-01-10'").write.parquet(src)
     root = os.path.join(tmp_root, "wh")
     ck = os.path.join(tmp_root, "ckpt")
-    run_pipeline(spark, root, usage.limit(0), [], SALT, "run")
+    run_pipeline(spark, root, usage.limit(0), snaps, SALT, "run")
     ingest_stream(spark, src, root, ck)
     wh = Warehouse(spark, root)
     n1 = read_raw(wh).count()
@@ -75,6 +75,9 @@ def test_stream_ingest_available_now(spark, tmp_root):
     full = rows(FA.load_fact_daily_cost(read_raw(wh), wh.read("dim_service"), None, "x"),
                 "usage_date", "service_key", "daily_cost", "record_count")
     assert rows(wh.read("fact_daily_cost"), "usage_date", "service_key", "daily_cost", "record_count") == full
+    cols = ("usage_date", "customer_key", "service_key", "allocated_cost", "record_count")
+    full_c = rows(FA.customer_cost(read_raw(wh), wh.read("dim_service"), wh.read("dim_customer"), "x"), *cols)
+    assert rows(wh.read("fact_customer_cost"), *cols) == full_c and len(full_c) > 0
     ingest_stream(spark, src, root, ck)   # nothing new
     assert read_raw(wh).count() == 1000
 
