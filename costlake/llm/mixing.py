@@ -64,11 +64,12 @@ def flat_targets(cells: DataFrame, power: float) -> dict[str, DataFrame]:
     return out
 
 
-def rake_arrays(tokens: np.ndarray, codes: list[np.ndarray], shares: list[np.ndarray], budget: float) -> np.ndarray:
+def rake_arrays(tokens: np.ndarray, codes: list[np.ndarray], shares: list[np.ndarray], budget: float,
+                rounds: int = ROUNDS) -> np.ndarray:
     """Cell weights (tokens wanted) whose marginals are ``shares`` of ``budget``,
     none above the cell's tokens."""
     w = tokens * (budget / max(tokens.sum(), 1.0))
-    for _ in range(ROUNDS):
+    for _ in range(rounds):
         worst = 0.0
         for c, s in zip(codes, shares, strict=True):
             now = np.bincount(c, w, len(s))
@@ -81,13 +82,13 @@ def rake_arrays(tokens: np.ndarray, codes: list[np.ndarray], shares: list[np.nda
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], budget_share: float,
-         max_cells: int = MAX_CELLS) -> DataFrame:
+         max_cells: int = MAX_CELLS, rounds: int = ROUNDS) -> DataFrame:
     """``cells`` (source, lang, topic, tokens) with ``weight``."""
     spark = cells.sparkSession
     got = cells.agg(F.count(F.lit(1)).alias("n"), F.sum("tokens").alias("t")).first()
     budget = float(got["t"] or 0) * budget_share
     if got["n"] > max_cells:
-        return _rake_by_joins(cells, targets, budget, float(got["t"] or 0))
+        return _rake_by_joins(cells, targets, budget, float(got["t"] or 0), rounds)
     rows = cells.select(*DIMS, "tokens").orderBy(*DIMS).collect()
     codes, shares = [], []
     for d in DIMS:
@@ -95,15 +96,16 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], budget_share: float,
         at = {v: i for i, v in enumerate(share)}
         codes.append(np.array([at[r[d]] for r in rows], np.int64))
         shares.append(np.array(list(share.values()), float))
-    w = rake_arrays(np.array([r["tokens"] for r in rows], float), codes, shares, budget) if rows else []
+    w = rake_arrays(np.array([r["tokens"] for r in rows], float), codes, shares, budget, rounds) if rows else []
     kinds = dict(cells.dtypes)
     schema = ", ".join(f"{d} {kinds[d]}" for d in DIMS) + ", tokens bigint, weight double"
     return spark.createDataFrame([(*r, float(x)) for r, x in zip(rows, w, strict=True)], schema)
 
 
-def _rake_by_joins(cells: DataFrame, targets: dict[str, DataFrame], budget: float, total: float) -> DataFrame:
+def _rake_by_joins(cells: DataFrame, targets: dict[str, DataFrame], budget: float, total: float,
+                   rounds: int) -> DataFrame:
     now = cells.select(*DIMS, "tokens", (F.col("tokens") * (budget / max(total, 1.0))).alias("weight"))
-    for _ in range(ROUNDS):
+    for _ in range(rounds):
         worst = 0.0
         for d in DIMS:
             sums = now.groupBy(F.col(d).alias("_v")).agg(F.sum("weight").alias("_now"))
@@ -122,14 +124,14 @@ def _rake_by_joins(cells: DataFrame, targets: dict[str, DataFrame], budget: floa
 
 def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, key: str = "doc_id", text: str = "text",
         budget_share: float = BUDGET_SHARE, flatten: float = FLATTEN, seed: int = SEED, drop_text: bool = False,
-        max_cells: int = MAX_CELLS) -> DataFrame:
+        max_cells: int = MAX_CELLS, rounds: int = ROUNDS) -> DataFrame:
     """``docs`` with topic, n_tokens, weight (tokens wanted from its cell),
     probability and selected."""
     t = text_of(text)
     rows = docs.select(packed(docs, (*OUT, text) if drop_text else OUT), F.col("source"), F.col("lang"),
                        topic_of(t).alias("topic"), n_tokens(t).alias("n_tokens"), _draw(key, text, seed).alias("u"))
     cells = materialize(rows.groupBy(*DIMS).agg(F.sum("n_tokens").alias("tokens")))
-    raked = rake(cells, targets or flat_targets(cells, flatten), budget_share, max_cells)
+    raked = rake(cells, targets or flat_targets(cells, flatten), budget_share, max_cells, rounds)
     p = F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.col("weight") / F.col("tokens"))).otherwise(1.0)
     raked = raked.select(F.struct(*DIMS).alias("c"), "weight", p.alias("probability"))
     same = [F.col(d).eqNullSafe(F.col(f"c.{d}")) for d in DIMS]

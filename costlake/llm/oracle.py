@@ -54,4 +54,14 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b JOIN verdict ON b.source IS NOT DISTINCT FROM verdict.source
 """
 
-SQL = {"op1_decontaminate": OP1, "op7_host_quality": OP7}
+OP6 = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha1(b) AS payload_digest FROM p),
+t AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS top FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN top END AS refers_to
+FROM t
+"""
+
+SQL = {"op6_warc": OP6, "op1_decontaminate": OP1, "op7_host_quality": OP7}

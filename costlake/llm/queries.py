@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costlake.llm import decontam, mixing, quality_rules, sharding, simhash
+from costlake.llm import decontam, html_mss, mixing, quality_rules, sharding, simhash, warc
 from costlake.sources.views import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,11 @@ def op5_rake_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, drop_text=True)
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.host_quality(table(spark, sf_dir, "documents").select("doc_id", "text", "source"),
                                      drop_text=True)
@@ -42,6 +47,10 @@ def op8_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), drop_text=True)
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_mss.main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -49,4 +58,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_decontaminate, op2_ring_shards, op5_rake_mix, op7_host_quality, op8_simhash_pigeonring, pipeline)}
+    op1_decontaminate, op2_ring_shards, op5_rake_mix, op6_warc, op7_host_quality,
+    op8_simhash_pigeonring, op9_main_text, pipeline)}
