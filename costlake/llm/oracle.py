@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from costlake.llm.licenses import COMMENT_BREAK, LICENSE_FILE, MIN_COSINE, NAMES_LICENCE, TEMPLATES
+from costlake.llm.ngram_lm import BACKOFF, MIN_PAIR
 from costlake.llm.quality_rules import MAX_HOST_RATE, MAX_REPEAT_PCT, MIN_WORDS, REPEAT_WINDOW
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -64,4 +66,73 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM t
 """
 
-SQL = {"op6_warc": OP6, "op1_decontaminate": OP1, "op7_host_quality": OP7}
+OP3 = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+w AS (SELECT doc_id, i, words[i] AS w, CASE WHEN i > 1 THEN words[i - 1] END AS v
+      FROM d, unnest(range(1, len(words) + 1)) AS u(i)),
+one AS (SELECT w, count(*)::DOUBLE AS c FROM w GROUP BY w),
+two AS (SELECT v, w, count(*)::DOUBLE AS c FROM w WHERE v IS NOT NULL GROUP BY v, w),
+total AS (SELECT sum(c) AS n FROM one),
+scored AS (SELECT w.doc_id, w.v IS NOT NULL AND two.c < {MIN_PAIR} AS back,
+                  CASE WHEN w.v IS NULL THEN one.c / n WHEN two.c >= {MIN_PAIR} THEN two.c / before.c
+                       ELSE {BACKOFF} * (one.c / n) END AS p
+           FROM w JOIN one USING (w) JOIN total ON true LEFT JOIN two ON two.v = w.v AND two.w = w.w
+           LEFT JOIN one AS before ON before.w = w.v)
+SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(count(*) FILTER (back), 0)::BIGINT AS n_backoff,
+       round(coalesce(sum(log10(p)), 0.0), 4) AS lm_score
+FROM d LEFT JOIN scored USING (doc_id) GROUP BY d.doc_id, len(words)
+"""
+
+_NOTICES = ", ".join("({}, '{}', '{}')".format(i, n, t.replace("'", "''")) for i, (n, t) in enumerate(TEMPLATES))
+
+
+def _norm(text: str) -> str:
+    return (f"array_to_string(regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+            rf"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), ' ')")
+
+
+OP4 = rf"""
+WITH f AS (SELECT doc_id, coalesce(text, '') AS t,
+                  source || '/' || (doc_id // 10000) || '/' || (doc_id // 100) AS dir,
+                  length(text) <= 1000 AND regexp_matches(text, '{NAMES_LICENCE}') AS named FROM documents),
+p AS (SELECT doc_id, t, dir, CASE WHEN named THEN 'LICENSE' ELSE doc_id || '.txt' END AS name FROM f),
+raw AS (SELECT doc_id, unnest(string_split(regexp_replace(t, '{COMMENT_BREAK}', ' ', 'g'), chr(10))) AS x FROM p),
+found AS (SELECT DISTINCT doc_id, {_norm('x')} AS line FROM raw WHERE regexp_matches(x, '{NAMES_LICENCE}')),
+lines AS (SELECT line, count(*) AS n FROM found GROUP BY line),
+total AS (SELECT coalesce(sum(n), 0) AS n FROM lines),
+terms AS (SELECT line, n, term, count(*) AS tf
+          FROM (SELECT line, n, unnest(string_split(line, ' ')) AS term FROM lines) GROUP BY ALL),
+df AS (SELECT term, sum(n) AS df FROM terms GROUP BY term),
+idf AS (SELECT term, ln((1.0 + total.n) / (1 + df)) + 1 AS idf FROM df, total),
+vec AS (SELECT line, term, tf * idf AS w FROM terms JOIN idf USING (term)),
+given AS (SELECT t, license, {_norm('x')} AS line FROM (VALUES {_NOTICES}) AS v(t, license, x)),
+tterms AS (SELECT t, license, term, count(*) AS tf
+           FROM (SELECT t, license, unnest(string_split(line, ' ')) AS term FROM given) GROUP BY ALL),
+tvec AS (SELECT t, license, term, tf * coalesce(idf, ln(1.0 + total.n) + 1) AS w
+         FROM tterms LEFT JOIN idf USING (term), total),
+cosine AS (SELECT v.line, t.license, sum(v.w * t.w) / (any_value(a.n) * any_value(b.n)) AS c
+           FROM vec v JOIN tvec t USING (term)
+           JOIN (SELECT line, sqrt(sum(w * w)) AS n FROM vec GROUP BY line) a ON a.line = v.line
+           JOIN (SELECT t, sqrt(sum(w * w)) AS n FROM tvec GROUP BY t) b ON b.t = t.t
+           GROUP BY v.line, t.t, t.license),
+ranked AS (SELECT line, license, round(c, 6) AS similarity,
+                  row_number() OVER (PARTITION BY line ORDER BY round(c, 6) DESC, license) AS r FROM cosine),
+own AS (SELECT doc_id, license, similarity,
+               row_number() OVER (PARTITION BY doc_id ORDER BY similarity DESC, license) AS r
+        FROM found JOIN ranked USING (line) WHERE ranked.r = 1 AND similarity >= {MIN_COSINE}),
+owned AS (SELECT p.*, license, similarity FROM p LEFT JOIN (FROM own WHERE r = 1) USING (doc_id)),
+given_dir AS (SELECT dir AS up, license, similarity,
+                     row_number() OVER (PARTITION BY dir ORDER BY similarity DESC, license) AS r
+              FROM owned WHERE license IS NOT NULL AND regexp_matches(name, '{LICENSE_FILE}')),
+above AS (SELECT dir, k, array_to_string(string_split(dir, '/')[:k], '/') AS up
+          FROM (SELECT DISTINCT dir FROM p), unnest(range(0, len(string_split(dir, '/')) + 1)) AS u(k)),
+nearest AS (SELECT dir, up, license, similarity, row_number() OVER (PARTITION BY dir ORDER BY k DESC) AS r
+            FROM above JOIN (FROM given_dir WHERE r = 1) USING (up))
+SELECT o.doc_id, o.dir || '/' || o.name AS path, coalesce(o.license, n.license) AS license,
+       coalesce(o.similarity, n.similarity) AS similarity,
+       CASE WHEN o.license IS NOT NULL THEN 'file' WHEN n.license IS NOT NULL THEN 'inherited' END AS license_from,
+       CASE WHEN o.license IS NULL THEN n.up END AS license_dir
+FROM owned o LEFT JOIN (SELECT dir, up, license, similarity FROM nearest WHERE r = 1) n USING (dir)
+"""
+
+SQL = {"op3_stupid_backoff": OP3, "op4_license_scan": OP4, "op6_warc": OP6, "op1_decontaminate": OP1, "op7_host_quality": OP7}

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costlake.llm import decontam, html_mss, mixing, quality_rules, sharding, simhash, warc
+from costlake.llm import decontam, html_mss, licenses, mixing, ngram_lm, quality_rules, sharding, simhash, warc
 from costlake.sources.views import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,24 @@ def op2_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.bounded_ring(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ngram_lm.lm_scores(table(spark, sf_dir, "documents").select("doc_id", "text"), drop_text=True)
+    return out.select("doc_id", "n_words", "n_backoff", F.round("lm_score", 4).alias("lm_score"))
+
+
+def document_files(docs: DataFrame) -> DataFrame:
+    """Documents as files of a source tree: ``source/<ten thousand>/<hundred>/name``;
+    a short text that names a licence is its directory's LICENSE file."""
+    named = (F.char_length("text") <= 1000) & F.rlike("text", F.lit(licenses.NAMES_LICENCE))
+    bucket = [F.floor(F.col("doc_id") / n).cast("string") for n in (10_000, 100)]
+    name = F.when(named, "LICENSE").otherwise(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return docs.select("doc_id", "text", F.concat_ws("/", "source", *bucket, name).alias("path"))
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(document_files(table(spark, sf_dir, "documents")), drop_text=True)
+
+
 def op5_rake_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return mixing.mix(docs, drop_text=True)
@@ -58,5 +76,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_decontaminate, op2_ring_shards, op5_rake_mix, op6_warc, op7_host_quality,
-    op8_simhash_pigeonring, op9_main_text, pipeline)}
+    op1_decontaminate, op2_ring_shards, op3_stupid_backoff, op4_license_scan, op5_rake_mix, op6_warc,
+    op7_host_quality, op8_simhash_pigeonring, op9_main_text, pipeline)}
