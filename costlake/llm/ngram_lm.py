@@ -188,6 +188,10 @@ def lm_scores(docs: DataFrame, text: str = "text", stored: bool = True, drop_tex
     if not stored:
         docs = materialize(docs)
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text_of(text))), F.lit(0))).first()[0]
+    if not size:
+        out = docs.select(packed(docs, (*OUT, text) if drop_text else OUT))
+        none = F.lit(0).cast("bigint")
+        return out.select("_doc.*", none.alias("n_words"), none.alias("n_backoff"), F.lit(0.0).alias("lm_score"))
     parts = 1 << max(4, (int(size) // BYTES_PER_PARTITION).bit_length())
     place = F.monotonically_increasing_id()
     block = F.shiftleft(F.shiftright(place, 33), 33) + F.floor(
