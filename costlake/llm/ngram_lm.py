@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from costlake.llm.blocks import block_id, planes, unplanes
 from costlake.llm.text import packed, text_of
 from costlake.session import materialize
 
@@ -91,16 +92,6 @@ def pairs(h: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return _mix(h[at - 1] * _U(3) + _mix(h[at])), at
 
 
-def _planes(x: np.ndarray) -> bytes:
-    """Bytes of equal significance together: zeros compress in the shuffle."""
-    return x.view(np.uint8).reshape(len(x), -1).T.tobytes()
-
-
-def _unplanes(data: bytes, kind: type) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.frombuffer(data, np.uint8).reshape(size, -1).T.copy().view(kind).reshape(-1)
-
-
 def _grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     h, counts = word_hashes(texts)
     two, at = pairs(h, counts)
@@ -124,7 +115,7 @@ def _ask(parts: int):
                 part = (g >> shift).astype(np.int64) if parts > 1 else np.zeros(len(g), np.int64)
                 cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(g) else np.zeros(0, np.int64)
                 ends = np.r_[cut[1:], len(g)]
-                rows = [(int(one), int(part[i]), _planes(np.diff(g[i:j], prepend=_U(0))), _planes(n[i:j]),
+                rows = [(int(one), int(part[i]), planes(np.diff(g[i:j], prepend=_U(0))), planes(n[i:j]),
                          len(h) if i == 0 else 0) for i, j in zip(cut, ends)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[c] for r in rows], f.type) for c, f in enumerate(schema)], schema=schema)
@@ -139,13 +130,13 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held, now = [], None
 
     def totals() -> Iterator[pa.RecordBatch]:
-        asked = [np.cumsum(_unplanes(g, np.uint64), dtype=_U) for _, g, _ in held]
+        asked = [np.cumsum(unplanes(g, np.uint64), dtype=_U) for _, g, _ in held]
         g, at = np.unique(np.concatenate(asked), return_inverse=True)
-        n = np.bincount(at, np.concatenate([_unplanes(c, np.uint32) for _, _, c in held]), len(g)).astype(np.uint64)
+        n = np.bincount(at, np.concatenate([unplanes(c, np.uint32) for _, _, c in held]), len(g)).astype(np.uint64)
         for (block, packed_grams, _), own in zip(held, asked):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block], pa.int64()), pa.array([packed_grams], pa.binary()),
-                 pa.array([_planes(n[np.searchsorted(g, own)])], pa.binary())], schema=schema)
+                 pa.array([planes(n[np.searchsorted(g, own)])], pa.binary())], schema=schema)
 
     for b in batches:
         for i in range(b.num_rows):
@@ -193,10 +184,7 @@ def lm_scores(docs: DataFrame, text: str = "text", stored: bool = True, drop_tex
         none = F.lit(0).cast("bigint")
         return out.select("_doc.*", none.alias("n_words"), none.alias("n_backoff"), F.lit(0.0).alias("lm_score"))
     parts = 1 << max(4, (int(size) // BYTES_PER_PARTITION).bit_length())
-    place = F.monotonically_increasing_id()
-    block = F.shiftleft(F.shiftright(place, 33), 33) + F.floor(
-        place.bitwiseAND((1 << 33) - 1) / rows_per_block).cast("bigint")
-    rows = docs.select(block.alias("block"), text_of(text).alias("text"),
+    rows = docs.select(block_id(rows_per_block).alias("block"), text_of(text).alias("text"),
                        packed(docs, (*OUT, text) if drop_text else OUT))
     seen = Observation(f"ngram-words-{uuid.uuid4().hex[:8]}")
     asked = rows.select("block", "text").mapInArrow(
@@ -210,8 +198,8 @@ def lm_scores(docs: DataFrame, text: str = "text", stored: bool = True, drop_tex
     schema = pa.schema([("n_words", pa.int64()), ("n_backoff", pa.int64()), ("lm_score", pa.float64())])
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        grams = [np.cumsum(_unplanes(g.as_py(), np.uint64), dtype=_U) for g in right["grams"]]
-        counts = [_unplanes(t.as_py(), np.uint64) for t in right["totals"]]
+        grams = [np.cumsum(unplanes(g.as_py(), np.uint64), dtype=_U) for g in right["grams"]]
+        counts = [unplanes(t.as_py(), np.uint64) for t in right["totals"]]
         g, c = np.concatenate([np.zeros(0, _U), *grams]), np.concatenate([np.zeros(0, _U), *counts])
         order = np.argsort(g, kind="stable")
         texts = left["text"].combine_chunks()

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costlake.llm import decontam, html_mss, licenses, mixing, ngram_lm, quality_rules, sharding, simhash, warc
+from costlake.llm import decontam, html_mss, licenses, mixing, ngram_lm, quality_rules, sharding, simhash, suffix_dedup, warc
 from costlake.sources.views import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,11 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_mss.main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"), drop_text=True)
+    return out.drop("kept")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -77,4 +82,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_decontaminate, op2_ring_shards, op3_stupid_backoff, op4_license_scan, op5_rake_mix, op6_warc,
-    op7_host_quality, op8_simhash_pigeonring, op9_main_text, pipeline)}
+    op7_host_quality, op8_simhash_pigeonring, op9_main_text, op10_suffix_dedup, pipeline)}

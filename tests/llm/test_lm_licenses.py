@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from costlake.llm import licenses, ngram_lm
+from costlake.llm.blocks import planes, unplanes
 from tests.llm.brute import SPACE
 
 
@@ -59,7 +60,7 @@ def test_word_hashes_follow_the_words(texts, skip):
 
 def test_planes_round_trip():
     x = np.array([0, 1, 2**63, 5], np.uint64)
-    assert (ngram_lm._unplanes(ngram_lm._planes(x), np.uint64) == x).all()
+    assert (unplanes(planes(x), np.uint64) == x).all()
 
 
 MIT, GPL = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
