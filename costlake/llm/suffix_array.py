@@ -28,20 +28,16 @@ def suffix_array(data: np.ndarray, depth: int | None = None) -> np.ndarray:
     if n == 0:
         return np.zeros(0, np.int64)
     key = _first_eight(data)
-    sa = np.argsort(key, kind="stable")
-    if n > 1:
-        # Near the end a suffix may be a prefix of another: the shorter is first.
-        tail = np.arange(max(0, n - 8), n)
-        left = np.full(n, 8, np.int64)
-        left[tail] = n - tail
-        k = key[sa]
-        same = np.flatnonzero(k[1:] == k[:-1])
-        if len(same):
-            group = np.cumsum(np.r_[True, k[1:] != k[:-1]])
-            sa = sa[np.lexsort((left[sa], group))]
-        new = np.r_[True, (key[sa][1:] != key[sa][:-1]) | (left[sa][1:] != left[sa][:-1])]
-    else:
-        new = np.ones(1, bool)
+    sa = np.argsort(key)
+    k = key[sa]
+    new = np.r_[True, k[1:] != k[:-1]]
+    # Near the end a suffix may be a prefix of another: the shorter is first.
+    for end in np.unique(key[max(0, n - 8):]):
+        lo, hi = np.searchsorted(k, end, "left"), np.searchsorted(k, end, "right")
+        left = np.minimum(n - sa[lo:hi], 8)
+        order = np.argsort(left)
+        sa[lo:hi] = sa[lo:hi][order]
+        new[lo + 1:hi] = left[order][1:] != left[order][:-1]
     first = np.flatnonzero(new)
     rank = np.empty(n + 1, np.int64)
     rank[sa] = np.repeat(first, np.diff(np.r_[first, n]))
@@ -55,7 +51,7 @@ def suffix_array(data: np.ndarray, depth: int | None = None) -> np.ndarray:
             break
         who = sa[at]
         after = rank[np.minimum(who + h, n)]
-        order = np.lexsort((after, rank[who]))
+        order = np.argsort(rank[who] * (n + 1) + after + 1)
         who, after = who[order], after[order]
         sa[at] = who
         r = rank[who]

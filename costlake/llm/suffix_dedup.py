@@ -49,9 +49,9 @@ from costlake.session import materialize
 LENGTH = 50
 GRAM = 16
 ROWS_PER_BLOCK = 1024
-PIECE_BYTES = 4 << 20
-SHARD_BYTES = 4 << 20
-BYTES_PER_PARTITION = 4 << 20
+PIECE_BYTES = 1 << 17
+SHARD_BYTES = 1 << 20
+BYTES_PER_PARTITION = 2 << 20
 HOT_DOCS = 1000             # a minimiser of more documents has its windows dealt one by one
 NO_ID = (1 << 63) - 1
 OUT = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
@@ -120,7 +120,8 @@ class Runs:
         m = g[p]
         new = np.flatnonzero(np.r_[True, (m[1:] != m[:-1]) | (doc[1:] != doc[:-1])])
         count = np.diff(np.r_[new, len(m)])
-        return np.stack([p[new] + base, count, doc[new]], axis=1), m[new]
+        # Minima crowd at small values; an odd factor spreads them over the parts.
+        return np.stack([p[new] + base, count, doc[new]], axis=1), m[new] * _U(0x9E3779B97F4A7C15)
 
     def minimisers(self, shift: int) -> list[tuple]:
         """(part, grams, low, spread, docs): the block's distinct minimisers with
@@ -241,13 +242,13 @@ def _cut(parts: int):
 
 
 def smallest_holder(data: np.ndarray, sizes: np.ndarray, low: np.ndarray, length: int = LENGTH,
-                    shard_bytes: int = SHARD_BYTES) -> tuple[np.ndarray, np.ndarray]:
+                    shard_bytes: int | None = None) -> np.ndarray:
     """For every window of ``length`` bytes inside the segments of ``data`` (in
-    order): (the smallest ``low`` of any segment that holds it, its segment)."""
+    order): the smallest ``low`` of any segment that holds it."""
+    shard_bytes = shard_bytes or SHARD_BYTES
     ends = np.cumsum(sizes)
     n_win = np.maximum(sizes - (length - 1), 0)
     out = np.repeat(low, n_win)
-    of = np.repeat(np.arange(len(sizes)), n_win)
     first_win = np.cumsum(n_win) - n_win
     arrays = []
     s = 0
@@ -278,21 +279,29 @@ def smallest_holder(data: np.ndarray, sizes: np.ndarray, low: np.ndarray, length
                 arrays[j][2][b] = both
     for _, _, least, who, cls in arrays:
         out[who] = least[cls]
-    return out, of
+    return out
 
 
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for held in by_part(batches):
-        sizes = [unplanes(r[3], np.uint32).astype(np.int64) for r in held]
-        low = np.concatenate([unplanes(r[4], np.int64) for r in held])
-        data = np.frombuffer(b"".join(r[2] for r in held), np.uint8)
-        least, of = smallest_holder(data, np.concatenate(sizes), low)
-        smaller = least < low[of]
-        at = 0
-        for r, own in zip(held, sizes):
-            n = int((own - (LENGTH - 1)).sum())
-            yield batch(_TOLD, [(r[0], 1, r[1], np.packbits(smaller[at:at + n]).tobytes())])
-            at += n
+        # Equal segments of several blocks are one segment of the shard.
+        seen: dict[bytes, int] = {}
+        which, lows, sizes = [], [], []
+        for r in held:
+            sizes.append(unplanes(r[3], np.uint32).astype(np.int64))
+            lows.append(unplanes(r[4], np.int64))
+            ends = np.cumsum(sizes[-1]).tolist()
+            which.append(np.array([seen.setdefault(r[2][i:j], len(seen)) for i, j in zip([0, *ends], ends)], np.int64))
+        low = np.full(len(seen), NO_ID, np.int64)
+        np.minimum.at(low, np.concatenate(which), np.concatenate(lows))
+        own = np.array([len(k) for k in seen], np.int64)
+        least = smallest_holder(np.frombuffer(b"".join(seen), np.uint8), own, low)
+        n_win = own - (LENGTH - 1)
+        first = np.cumsum(n_win) - n_win
+        for r, e, low_here in zip(held, which, lows):
+            n = n_win[e]
+            at = np.arange(n.sum()) + np.repeat(first[e] - (np.cumsum(n) - n), n)
+            yield batch(_TOLD, [(r[0], 1, r[1], np.packbits(least[at] < np.repeat(low_here, n)).tobytes())])
 
 
 def removed_mask(runs: Runs, told: list[tuple[int, int, bytes]], parts: int) -> np.ndarray:
