@@ -21,12 +21,17 @@ def _first_eight(data: np.ndarray) -> np.ndarray:
 
 def suffix_array(data: np.ndarray, depth: int | None = None) -> np.ndarray:
     """Start positions in the order of their suffixes (of their first ``depth``
-    bytes at least). Groups of equal prefixes are refined by the rank of what
+    bytes at least)."""
+    return ranked_suffixes(data, depth)[0]
+
+
+def ranked_suffixes(data: np.ndarray, depth: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(suffix array, rank of each position; equal up to ``depth``, equal rank). Groups of equal prefixes are refined by the rank of what
     follows, doubling the prefix each round; singleton groups are never sorted
     again (Larsson and Sadakane)."""
     n = len(data)
     if n == 0:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     key = _first_eight(data)
     sa = np.argsort(key)
     k = key[sa]
@@ -59,70 +64,54 @@ def suffix_array(data: np.ndarray, depth: int | None = None) -> np.ndarray:
         first = np.flatnonzero(new)
         rank[sa] = np.repeat(first, np.diff(np.r_[first, n]))
         h *= 2
-    return sa
+    return sa, rank[:n]
 
 
-def kasai(data: np.ndarray, sa: np.ndarray, cap: int | None = None) -> np.ndarray:
-    """Common prefix (up to ``cap``) of each suffix with its predecessor in ``sa``,
-    a complete suffix array (not one of a bounded depth).
+def kasai(data: np.ndarray, sa: np.ndarray, cap: int | None = None, rank: np.ndarray | None = None) -> np.ndarray:
+    """Common prefix (up to ``cap``) of each suffix with its predecessor in ``sa``.
 
     Kasai's walk in text order, where a common prefix shrinks by one at most
     from one position to the next, is run on many stretches of the text at once,
-    one vector step per position of a stretch."""
+    one vector step per position of a stretch. For a suffix array of bounded
+    depth (``cap`` at most that), ``rank`` tells ties: the bound from the position
+    before holds only if what follows its predecessor ranks truly lower."""
     n = len(data)
-    lcp = np.zeros(n, np.int64)
     if n < 2:
-        return lcp
+        return np.zeros(n, np.int64)
     cap = n if cap is None else cap
     before = np.full(n, -1, np.int64)
     before[sa[1:]] = sa[:-1]
     plcp = np.zeros(n, np.int64)
     starts = np.arange(0, n, LANES_STEP)
-    h = np.zeros(len(starts), np.int64)
+    h, was = np.zeros(len(starts), np.int64), np.full(len(starts), n, np.int64)
     for step in range(LANES_STEP):
         i = starts + step
         live = i < n
-        i, h = i[live], h[live]
-        starts = starts[live]
+        i, h, was, starts = i[live], h[live], was[live], starts[live]
         j = before[i]
-        h = np.where(j < 0, 0, np.maximum(h - 1, 0))
+        h = np.maximum(h - 1, 0)
+        if rank is not None:
+            after = np.minimum(was + 1, n - 1)
+            h[(was + 1 >= n) | (rank[after] >= rank[i])] = 0
+        h[j < 0] = 0
         todo = np.flatnonzero(j >= 0)
         while len(todo):
             a, b, l = i[todo], j[todo], h[todo]
             more = (l < cap) & (np.maximum(a, b) + l < n)
             todo, a, b, l = todo[more], a[more], b[more], l[more]
-            same = data[a + l] == data[b + l]
-            todo = todo[same]
+            todo = todo[data[a + l] == data[b + l]]
             h[todo] += 1
         plcp[i] = h
-    lcp[:] = plcp[sa]
-    return lcp
-
-
-def packed_rows(rows: np.ndarray) -> np.ndarray:
-    """Byte rows as rows of big-endian words, which compare in byte order."""
-    n, w = rows.shape
-    words = -(-w // 8)
-    out = np.zeros((n, words * 8), np.uint8)
-    out[:, :w] = rows
-    return out.view(">u8").astype(np.uint64)
+        was = np.where(j < 0, n, j)
+    return plcp[sa]
 
 
 def find_rows(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Index in the sorted distinct ``table`` of each of ``rows`` (both from
-    ``packed_rows``), -1 where there is none: one binary search for all."""
-    lo, hi = np.zeros(len(rows), np.int64), np.full(len(rows), len(table), np.int64)
-    while (open_ := lo < hi).any():
-        mid = (lo + hi) >> 1
-        at = np.minimum(mid, max(len(table) - 1, 0))
-        less, equal = np.zeros(len(rows), bool), open_.copy()
-        for w in range(table.shape[1]):
-            t = table[at, w]
-            less |= equal & (t < rows[:, w])
-            equal &= t == rows[:, w]
-        lo = np.where(open_ & less, mid + 1, lo)
-        hi = np.where(open_ & ~less, mid, hi)
-    if not len(table):
+    """Index in the sorted distinct byte rows ``table`` of each of the byte rows
+    ``rows`` (equal widths), -1 where there is none, by binary search."""
+    if not len(table) or not len(rows):
         return np.full(len(rows), -1, np.int64)
-    at = np.minimum(lo, len(table) - 1)
-    return np.where((lo < len(table)) & (table[at] == rows).all(axis=1), at, -1)
+    kind = f"S{table.shape[1]}"         # rows of one width compare byte by byte
+    t, r = (np.ascontiguousarray(x).view(kind).reshape(-1) for x in (table, rows))
+    at = np.minimum(np.searchsorted(t, r), len(t) - 1)
+    return np.where(t[at] == r, at, -1)

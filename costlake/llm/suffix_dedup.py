@@ -38,11 +38,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costlake.llm.blocks import batch, block_id, by_part, planes, unplanes, whole_blocks
-from costlake.llm.suffix_array import find_rows, kasai, packed_rows, suffix_array
+from costlake.llm.suffix_array import find_rows, kasai, ranked_suffixes
 from costlake.llm.text import packed, text_of
 from costlake.session import materialize
 
@@ -50,7 +51,7 @@ LENGTH = 50
 GRAM = 16
 ROWS_PER_BLOCK = 1024
 PIECE_BYTES = 1 << 17
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 2 << 20
 BYTES_PER_PARTITION = 2 << 20
 HOT_DOCS = 1000             # a minimiser of more documents has its windows dealt one by one
 NO_ID = (1 << 63) - 1
@@ -229,13 +230,13 @@ def _cut(parts: int):
             return pa.Table.from_batches([], _CUT)
         runs = Runs(*_block_rows(left))
         texts, low, part, *_ = runs.entries(_checked(runs, _status(_told_rows(right))), _shift(parts))
-        block, rows = left["block"][0].as_py(), []
+        block, rows, squeeze = left["block"][0].as_py(), [], zstandard.ZstdCompressor(level=1)
         order = np.argsort(part, kind="stable")
         p = np.array(part, np.int64)[order]
         first = np.flatnonzero(np.r_[True, p[1:] != p[:-1]]) if len(p) else []
         for i, j in zip(first, [*first[1:], len(p)]):
             own = order[i:j]
-            rows.append((block, int(p[i]), b"".join(texts[e] for e in own),
+            rows.append((block, int(p[i]), squeeze.compress(b"".join(texts[e] for e in own)),
                          planes(np.array([len(texts[e]) for e in own], np.uint32)), planes(low[own])))
         return pa.Table.from_batches([batch(_CUT, rows)], _CUT)
     return run
@@ -256,8 +257,8 @@ def smallest_holder(data: np.ndarray, sizes: np.ndarray, low: np.ndarray, length
         base = int(ends[s] - sizes[s])
         e = max(s + 1, int(np.searchsorted(ends, base + shard_bytes, "right")))
         d = data[base:int(ends[e - 1])]
-        sa = suffix_array(d)      # complete: the walk of kasai relies on it
-        group = np.cumsum(kasai(d, sa, length) < length) - 1
+        sa, rank = ranked_suffixes(d, length)
+        group = np.cumsum(kasai(d, sa, length, rank) < length) - 1
         win = np.full(len(d), -1, np.int64)
         at = np.arange(first_win[s], first_win[e - 1] + n_win[e - 1])
         where = np.repeat((ends - sizes)[s:e] - base, n_win[s:e]) + at - np.repeat(first_win[s:e], n_win[s:e])
@@ -269,7 +270,8 @@ def smallest_holder(data: np.ndarray, sizes: np.ndarray, low: np.ndarray, length
         arrays.append((d, pos[new] if len(new) else new, least, who, np.repeat(np.arange(len(new)), np.diff(np.r_[new, len(group)]))))
         s = e
     if len(arrays) > 1:                        # merge the arrays by binary search
-        keys = [packed_rows(d[p[:, None] + np.arange(length)]) for d, p, *_ in arrays]
+        keys = [np.lib.stride_tricks.sliding_window_view(d, length)[p] if len(p) else np.zeros((0, length), np.uint8)
+                for d, p, *_ in arrays]
         for i in range(len(arrays)):
             for j in range(i + 1, len(arrays)):
                 hit = find_rows(keys[i], keys[j])
@@ -288,10 +290,11 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, int] = {}
         which, lows, sizes = [], [], []
         for r in held:
+            raw = zstandard.decompress(r[2])
             sizes.append(unplanes(r[3], np.uint32).astype(np.int64))
             lows.append(unplanes(r[4], np.int64))
             ends = np.cumsum(sizes[-1]).tolist()
-            which.append(np.array([seen.setdefault(r[2][i:j], len(seen)) for i, j in zip([0, *ends], ends)], np.int64))
+            which.append(np.array([seen.setdefault(raw[i:j], len(seen)) for i, j in zip([0, *ends], ends)], np.int64))
         low = np.full(len(seen), NO_ID, np.int64)
         np.minimum.at(low, np.concatenate(which), np.concatenate(lows))
         own = np.array([len(k) for k in seen], np.int64)
@@ -307,24 +310,23 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def removed_mask(runs: Runs, told: list[tuple[int, int, bytes]], parts: int) -> np.ndarray:
     """Which bytes of the block are covered by a window of a smaller doc_id."""
     texts, low, part, entry, start, count, doc = runs.entries(_checked(runs, _status(told)), _shift(parts))
-    cover = np.zeros(len(runs.data) + 1, np.int32)
-    if texts:
-        n_win = np.array([len(t) for t in texts], np.int64) - (LENGTH - 1)
-        part = np.array(part, np.int64)
-        order = np.argsort(part, kind="stable")
-        bits, got = [], {p: a for k, p, a in told if k == 1}
-        for p in np.unique(part):
-            n = int(n_win[part == p].sum())
-            bits.append(np.unpackbits(np.frombuffer(got[int(p)], np.uint8), count=n))
-        bits = np.concatenate(bits).astype(bool)
-        offset = np.empty(len(texts), np.int64)
-        offset[order] = np.cumsum(n_win[order]) - n_win[order]
-        step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        gone = bits[np.repeat(offset[entry], count) + step] | np.repeat(runs.ids[doc] > low[entry], count)
-        w = (np.repeat(start, count) + step)[gone]
-        np.add.at(cover, w, 1)
-        np.add.at(cover, w + LENGTH, -1)
-    return np.cumsum(cover[:-1]) > 0
+    if not texts:
+        return np.zeros(len(runs.data), bool)
+    n_win = np.array([len(t) for t in texts], np.int64) - (LENGTH - 1)
+    part = np.array(part, np.int64)
+    order = np.argsort(part, kind="stable")
+    used, n_of = np.unique(part, return_inverse=True)
+    n_bits = np.bincount(n_of, n_win).astype(np.int64)
+    got = {p: a for k, p, a in told if k == 1}
+    bits = np.concatenate([np.unpackbits(np.frombuffer(got[int(p)], np.uint8), count=int(n))
+                           for p, n in zip(used, n_bits)]).astype(bool)
+    offset = np.empty(len(texts), np.int64)
+    offset[order] = np.cumsum(n_win[order]) - n_win[order]
+    step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    gone = bits[np.repeat(offset[entry], count) + step] | np.repeat(runs.ids[doc] > low[entry], count)
+    w = (np.repeat(start, count) + step)[gone]
+    size = len(runs.data) + 1
+    return np.cumsum(np.bincount(w, minlength=size) - np.bincount(w + LENGTH, minlength=size))[:-1] > 0
 
 
 def _mark(parts: int, keep_text: bool):

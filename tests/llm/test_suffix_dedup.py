@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from costlake.llm import suffix_dedup as S
-from costlake.llm.suffix_array import find_rows, kasai, packed_rows, suffix_array
+from costlake.llm.suffix_array import find_rows, kasai, ranked_suffixes, suffix_array
 from tests.conftest import SF_SMALL
 
 
@@ -27,7 +27,8 @@ def test_suffix_array_and_common_prefixes(data):
 
     assert list(kasai(d, sa)) == [0] * bool(want) + [common(a, b) for a, b in zip(want, want[1:])]
     assert list(kasai(d, sa, 5)) == [0] * bool(want) + [min(5, common(a, b)) for a, b in zip(want, want[1:])]
-    some = suffix_array(d, 12)
+    some, rank = ranked_suffixes(d, 12)
+    assert list(kasai(d, some, 10, rank)) == [0] * bool(want) + [min(10, common(a, b)) for a, b in zip(some, some[1:])]
     assert [data[i:i + 12] for i in some] == sorted(data[i:i + 12] for i in range(len(data)))
 
 
@@ -36,7 +37,7 @@ def test_suffix_array_and_common_prefixes(data):
 def test_find_rows(table, rows):
     table = sorted(set(table))
     rows = rows + table[::3]
-    pack = lambda x: packed_rows(np.frombuffer(b"".join(x), np.uint8).reshape(len(x), 11))
+    pack = lambda x: np.frombuffer(b"".join(x), np.uint8).reshape(len(x), 11)
     assert list(find_rows(pack(table), pack(rows))) == [table.index(r) if r in table else -1 for r in rows]
 
 
