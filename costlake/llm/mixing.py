@@ -133,7 +133,10 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, key: str =
     cells = materialize(rows.groupBy(*DIMS).agg(F.sum("n_tokens").alias("tokens")))
     raked = rake(cells, targets or flat_targets(cells, flatten), budget_share, max_cells, rounds)
     p = F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.col("weight") / F.col("tokens"))).otherwise(1.0)
-    raked = raked.select(F.struct(*DIMS).alias("c"), "weight", p.alias("probability"))
+    raked, m = materialize(raked.select(F.struct(*DIMS).alias("c"), "weight", p.alias("probability")),
+                           {"n": F.count(F.lit(1))})
+    if m["n"] <= max_cells:      # else texts are shuffled by cell, hot cells split by AQE
+        raked = F.broadcast(raked)
     same = [F.col(d).eqNullSafe(F.col(f"c.{d}")) for d in DIMS]
     joined = rows.join(raked, same[0] & same[1] & same[2])
     return joined.select("_doc.*", "topic", "n_tokens", "weight", "probability",

@@ -30,6 +30,8 @@ MAX_REPEAT_PCT = 30
 SYMBOLS_RE = r"[#*$%&|<>]+"
 # A host is rejected when its shrunk failure rate is above this.
 MAX_HOST_RATE = 0.8
+# Counted host verdicts up to this many are broadcast; more are joined by shuffle.
+MAX_BROADCAST_HOSTS = 100_000
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 ADDED = (*MEASURES, "base_failed", "host_rate", "kept")
 
@@ -117,13 +119,15 @@ def host_quality(docs: DataFrame, host: str = "source", text: str = "text", drop
     """``docs`` with measures, ``base_failed``, ``host_rate`` and ``kept``.
 
     The measured rows are written once to the checkpoint folder and read
-    twice: for the host rates and for the join. The join side with the hosts
-    is small per host; a hot host is split by AQE's skew join once the hosts
-    outgrow Spark's own broadcast limit.
+    twice: for the host rates and for the join. Host verdicts are counted and
+    broadcast up to ``MAX_BROADCAST_HOSTS``, so texts are not shuffled by host;
+    beyond that AQE's skew join splits a hot host.
     """
     scored = materialize(base_rules(docs, text, drop_text))
-    rates = host_rates(scored, host, max_rate).select(
-        F.struct("host", "host_rate", "host_rejected").alias("_host"))
+    rates, m = materialize(host_rates(scored, host, max_rate).select(
+        F.struct("host", "host_rate", "host_rejected").alias("_host")), {"n": F.count(F.lit(1))})
+    if m["n"] <= MAX_BROADCAST_HOSTS:
+        rates = F.broadcast(rates)
     joined = scored.join(rates, scored[host].eqNullSafe(F.col("_host.host")), "left")
     return joined.select(*[scored[c] for c in scored.columns], F.col("_host.host_rate").alias("host_rate"),
                          (~F.col("base_failed") & ~F.col("_host.host_rejected")).alias("kept"))
