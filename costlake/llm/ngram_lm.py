@@ -35,13 +35,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from costlake.llm.blocks import block_id, planes, unplanes
+from costlake.llm.blocks import batch, block_id, by_part, planes, unplanes, whole_blocks
 from costlake.llm.text import packed, text_of
 from costlake.session import materialize
 
 MIN_PAIR = 2
 BACKOFF = 0.4
-ROWS_PER_BLOCK = 2048
+ROWS_PER_BLOCK = 1536
 BYTES_PER_PARTITION = 16 << 20
 OUT = ("n_words", "n_backoff", "lm_score")
 
@@ -98,68 +98,56 @@ def _grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return h, counts, two, at
 
 
+def _distinct(h: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A block's n-grams in hash order, and how often each occurs."""
+    g, n = np.unique(np.concatenate([h, two]), return_counts=True)
+    return g, n.astype(np.uint32)
+
+
+_ASKED = pa.schema([("block", pa.int64()), ("part", pa.int64()), ("grams", pa.binary()), ("counts", pa.binary()),
+                    ("words", pa.int64())])
+_TOLD = pa.schema([("block", pa.int64()), ("part", pa.int64()), ("totals", pa.binary())])
+
+
 def _ask(parts: int):
     """Per block and hash partition: its distinct n-grams and their counts."""
-    shift = _U(64 - (parts - 1).bit_length()) if parts > 1 else None
-    schema = pa.schema([("block", pa.int64()), ("part", pa.int64()), ("grams", pa.binary()), ("counts", pa.binary()),
-                        ("words", pa.int64())])
+    shift = _U(64 - (parts - 1).bit_length())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            block = b.column(0).to_numpy(zero_copy_only=False)
-            for one in np.unique(block):
-                texts = b.column(1).filter(pa.array(block == one))
-                h, _, two, _ = _grams(texts)
-                g, n = np.unique(np.concatenate([h, two]), return_counts=True)
-                n = n.astype(np.uint32)
-                part = (g >> shift).astype(np.int64) if parts > 1 else np.zeros(len(g), np.int64)
-                cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(g) else np.zeros(0, np.int64)
-                ends = np.r_[cut[1:], len(g)]
-                rows = [(int(one), int(part[i]), planes(np.diff(g[i:j], prepend=_U(0))), planes(n[i:j]),
-                         len(h) if i == 0 else 0) for i, j in zip(cut, ends)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[c] for r in rows], f.type) for c, f in enumerate(schema)], schema=schema)
+        for block, table in whole_blocks(batches):
+            h, _, two, _ = _grams(table["text"].combine_chunks())
+            g, n = _distinct(h, two)
+            part = (g >> shift).astype(np.int64)
+            cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(g) else []
+            rows = [(block, int(part[i]), planes(np.diff(g[i:j], prepend=_U(0))), planes(n[i:j]), len(h) if i == 0 else 0)
+                    for i, j in zip(cut, [*cut[1:], len(g)])]
+            if rows:
+                yield batch(_ASKED, rows)
 
     return run
 
 
 def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Totals of one hash partition after the other, joined back to each block's
-    n-grams; the input is sorted by partition."""
-    schema = pa.schema([("block", pa.int64()), ("grams", pa.binary()), ("totals", pa.binary())])
-    held, now = [], None
-
-    def totals() -> Iterator[pa.RecordBatch]:
-        asked = [np.cumsum(unplanes(g, np.uint64), dtype=_U) for _, g, _ in held]
+    n-grams, in the order in which the block asked."""
+    for held in by_part(batches):
+        asked = [np.cumsum(unplanes(r[2], np.uint64), dtype=_U) for r in held]
         g, at = np.unique(np.concatenate(asked), return_inverse=True)
-        n = np.bincount(at, np.concatenate([unplanes(c, np.uint32) for _, _, c in held]), len(g)).astype(np.uint64)
-        for (block, packed_grams, _), own in zip(held, asked):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int64()), pa.array([packed_grams], pa.binary()),
-                 pa.array([planes(n[np.searchsorted(g, own)])], pa.binary())], schema=schema)
-
-    for b in batches:
-        for i in range(b.num_rows):
-            part = b.column(1)[i].as_py()
-            if part != now and held:
-                yield from totals()
-                held = []
-            now = part
-            held.append((b.column(0)[i].as_py(), b.column(2)[i].as_py(), b.column(3)[i].as_py()))
-    if held:
-        yield from totals()
-
-
-def score_block(texts: pa.Array, grams: np.ndarray, totals: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
-    """(words, backed-off words, score) of each text, given the corpus totals of
-    all its n-grams (sorted)."""
+        n = np.bincount(at, np.concatenate([unplanes(r[3], np.uint32) for r in held]), len(g)).astype(np.uint64)
+        for r, own in zip(held, asked):
+            yield batch(_TOLD, [(r[0], r[1], planes(n[np.searchsorted(g, own)]))])
+
+
+def score_block(texts: pa.Array, totals: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
+    """(words, backed-off words, score) of each text of a block, given the corpus
+    totals of its distinct n-grams in hash order."""
     h, counts, two, at = _grams(texts)
+    grams, _ = _distinct(h, two)
+    if len(grams) != len(totals):
+        raise ValueError("a block changed between its two reads: pass stored=False")
 
     def total(x: np.ndarray) -> np.ndarray:
-        i = np.searchsorted(grams, x)
-        if len(x) and (i.max() >= len(grams) or (grams[i] != x).any()):
-            raise ValueError("a block changed between its two reads: pass stored=False")
-        return totals[i].astype(float)
+        return totals[np.searchsorted(grams, x)].astype(float)
 
     one, pair = total(h), total(two)
     alone = one / max(n, 1)
@@ -192,18 +180,16 @@ def lm_scores(docs: DataFrame, text: str = "text", stored: bool = True, drop_tex
         .observe(seen, F.coalesce(F.sum("words"), F.lit(0)).alias("n"))
     dealt = asked.repartition(max(parts, int(spark.conf.get("spark.sql.shuffle.partitions"))), "part")
     told = materialize(dealt.sortWithinPartitions("part")
-                       .mapInArrow(_answer, "block bigint, grams binary, totals binary"))
+                       .mapInArrow(_answer, "block bigint, part bigint, totals binary"))
     n = seen.get["n"]
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name == "_doc")
     schema = pa.schema([("n_words", pa.int64()), ("n_backoff", pa.int64()), ("lm_score", pa.float64())])
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        grams = [np.cumsum(unplanes(g.as_py(), np.uint64), dtype=_U) for g in right["grams"]]
-        counts = [unplanes(t.as_py(), np.uint64) for t in right["totals"]]
-        g, c = np.concatenate([np.zeros(0, _U), *grams]), np.concatenate([np.zeros(0, _U), *counts])
-        order = np.argsort(g, kind="stable")
-        texts = left["text"].combine_chunks()
-        cols = score_block(texts, g[order], c[order], n)
+        told = sorted(zip(right["part"].to_pylist(), right["totals"].to_pylist()))
+        totals = np.concatenate([np.zeros(0, _U), *[unplanes(t, np.uint64) for _, t in told]])
+        texts = left["text"].combine_chunks() if left.num_rows else pa.array([], pa.string())
+        cols = score_block(texts, totals, n)
         return pa.table([left["_doc"], *[pa.array(x, f.type) for x, f in zip(cols, schema, strict=True)]],
                         names=["_doc", *schema.names])
 
