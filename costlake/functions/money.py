@@ -20,7 +20,7 @@ def _col(c: str | Column) -> Column:
 
 
 def money(c: str | Column) -> Column:
-    """Text or number -> DECIMAL(18,6). Malformed text raises (ANSI cast)."""
+    """Text or number -> DECIMAL(28,15). Malformed text raises (ANSI cast)."""
     return _col(c).cast(MONEY_IN)
 
 

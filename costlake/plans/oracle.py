@@ -34,7 +34,7 @@ usage AS (
 SUMMARY = """
 summary AS (
   SELECT usage_date, product_code AS service_name,
-         SUM(COALESCE(CAST(cost AS DECIMAL(18,6)), 0)) AS daily_cost,
+         SUM(COALESCE(CAST(cost AS DECIMAL(28,15)), 0)) AS daily_cost,
          CAST(COUNT(*) AS BIGINT) AS record_count
   FROM usage GROUP BY usage_date, product_code
 )"""
@@ -104,13 +104,12 @@ FROM changed WHERE pct_change > 0.20"""
 SALT = "costlake-demo-salt"
 RUN_TS = "2024-02-01 00:00:00"
 
-CATEGORY = """CASE
-    WHEN {pc} IN ('AmazonEC2') THEN 'Compute'
-    WHEN {pc} IN ('AmazonS3') THEN 'Storage'
-    WHEN {pc} IN ('AmazonRDS', 'AmazonRedshift') THEN 'Database'
-    WHEN {pc} IN ('AWSLambda') THEN 'Serverless'
-    WHEN {pc} IN ('AmazonCloudWatch') THEN 'Monitoring'
-    ELSE 'Other' END"""
+# Product code and category.
+_CATEGORIES = {"AWSLambda": "Serverless", "AmazonCloudWatch": "Monitoring", "AmazonEC2": "Compute",
+               "AmazonRDS": "Database", "AmazonRedshift": "Database", "AmazonS3": "Storage"}
+CATEGORY = ("COALESCE((SELECT m.category FROM (VALUES "
+            + ", ".join(f"('{code}', '{category}')" for code, category in _CATEGORIES.items())
+            + ") AS m(code, category) WHERE m.code = {pc}), 'Other')")
 
 DIM_SERVICE = """
 obs AS (
@@ -219,7 +218,7 @@ SQL["dim_customer_scd2"] = _with(SNAPSHOTS, MASKED, DIM_CUSTOMER) + "SELECT * FR
 def _service_daily(usage: str = "usage") -> str:
     return f"""
   SELECT u.usage_date, d.service_key,
-         ROUND(SUM(COALESCE(CAST(u.cost AS DECIMAL(18,6)), 0)), 2) AS daily_cost,
+         ROUND(SUM(COALESCE(CAST(u.cost AS DECIMAL(28,15)), 0)), 2) AS daily_cost,
          CAST(COUNT(*) AS BIGINT) AS record_count,
          CAST(SUM(CASE WHEN u.cost IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_cost_count
   FROM {usage} u JOIN dim d ON u.product_code = d.product_code AND u.usage_type = d.usage_type
@@ -446,7 +445,7 @@ FROM per"""
 SQL["usage_metrics"] = _with(USAGE) + """
 SELECT CAST(COUNT(*) AS BIGINT) AS rows_read,
        CAST(COUNT(*) FILTER (WHERE cost IS NULL) AS BIGINT) AS null_cost,
-       CAST(COUNT(*) FILTER (WHERE cost IS NULL OR CAST(cost AS DECIMAL(18,6)) = 0) AS BIGINT) AS zero_or_null_cost,
+       CAST(COUNT(*) FILTER (WHERE cost IS NULL OR CAST(cost AS DECIMAL(28,15)) = 0) AS BIGINT) AS zero_or_null_cost,
        CAST(COUNT(*) FILTER (WHERE id IS NULL) AS BIGINT) AS null_id
 FROM usage"""
 

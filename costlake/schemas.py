@@ -50,9 +50,10 @@ OVERRIDE_CONTROL_ID = "C-11"
 # Raw usage layer: every column is text, NULL stays NULL.
 RAW_USAGE_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in USAGE_COLUMNS])
 
-# Money inside the engine: exact decimals, double only at the output edge.
-MONEY_IN = T.DecimalType(18, 6)
-MONEY_SUM = T.DecimalType(38, 6)
+# Money inside the engine: exact decimals, double only at the output edge. Usage
+# prices go down to 1e-9 and below per line, so a line keeps 15 decimals.
+MONEY_IN = T.DecimalType(28, 15)
+MONEY_SUM = T.DecimalType(38, 15)
 MONEY_2DP = T.DecimalType(38, 2)
 
 SNAPSHOT_SCHEMA = T.StructType([

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from costlake.functions.money import cost_or_zero, money
 from costlake.schemas import LEDGER_SCHEMA, RAW_USAGE_SCHEMA, SNAPSHOT_SCHEMA, USAGE_COLUMNS
 
 ID = "identity_line_item_id"
@@ -35,13 +35,11 @@ def validate_usage_schema(df: DataFrame) -> list[str]:
 
     Name check only, case-sensitive; extra columns are allowed.
     """
-    cols = list(df.columns)
-    if not cols:
-        return ["DataFrame has no columns"]
-    missing = [c for c in USAGE_COLUMNS if c not in cols]
-    if missing:
-        return [f"Missing required columns: {', '.join(missing)}"]
-    return []
+    have = set(df.columns)
+    lacking = ", ".join(name for name in RAW_USAGE_SCHEMA.names if name not in have)
+    if lacking and have:
+        return ["Missing required columns: " + lacking]
+    return [] if have else ["DataFrame has no columns"]
 
 
 def normalize_usage(df: DataFrame) -> DataFrame:
@@ -98,14 +96,22 @@ def read_raw_table(spark: SparkSession, table_path: str) -> DataFrame:
 def append_new_usage(batch: DataFrame, table_path: str, partition_by: str | None = None) -> AppendResult:
     """Append the new rows of ``batch`` to the raw table at ``table_path``.
 
+    Lines without an id cannot be keyed: they are set aside, and their number
+    and cost are in the metrics (``null_id``, ``null_id_cost``).
+
     Re-running with the same batch inserts 0. The count comes from an
-    ``Observation`` on the written rows, so no second job is run. With
+    ``Observation`` on the written rows; only the lines without an id are
+    counted by a pass of their own, over two columns of the batch. With
     ``partition_by`` (e.g. the usage start date) the table is written in
     one folder per value; a ``rebalance`` hint lets AQE split a value that
     holds most of the batch and merge small ones before the write.
     """
     spark = batch.sparkSession
     existing = read_raw_table(spark, table_path) if _exists(spark, table_path) else None
+    no_id = F.col(ID).isNull()
+    aside = normalize_usage(batch).agg(
+        F.count_if(no_id).alias("null_id"),
+        F.coalesce(F.sum(F.when(no_id, cost_or_zero("line_item_unblended_cost"))), F.lit(0)).alias("null_id_cost")).first()
     rows = new_usage_rows(batch, existing)
     if partition_by:
         rows = rows.hint("rebalance", partition_by)
@@ -119,8 +125,8 @@ def append_new_usage(batch: DataFrame, table_path: str, partition_by: str | None
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(table_path)
-    m = obs.get
-    return AppendResult(inserted=int(m.get("inserted", 0)), metrics=dict(m))
+    m = {**aside.asDict(), **obs.get}
+    return AppendResult(inserted=int(m.get("inserted", 0)), metrics=m)
 
 
 def read_customer_snapshot(spark: SparkSession, path: str) -> DataFrame:
@@ -133,7 +139,7 @@ def read_customer_snapshot(spark: SparkSession, path: str) -> DataFrame:
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Evidence ledger in JSON Lines; blank lines skipped, a missing file
     gives an empty frame with the ledger schema."""
-    if not os.path.exists(path) and not _exists(spark, path):
+    if not _exists(spark, path):
         return spark.createDataFrame([], LEDGER_SCHEMA)
     return (spark.read.schema(LEDGER_SCHEMA).option("mode", "FAILFAST").json(path)
             .filter(~(F.col("evidence_id").isNull() & F.col("control_id").isNull()
@@ -145,7 +151,7 @@ def _metric_columns() -> dict:
     return {
         "rows_read": F.count(F.lit(1)),
         "null_cost": F.count_if(cost.isNull()),
-        "zero_or_null_cost": F.count_if(cost.isNull() | (cost.cast("decimal(18,6)") == 0)),
+        "zero_or_null_cost": F.count_if(cost.isNull() | (money(cost) == 0)),
         "null_id": F.count_if(F.col(ID).isNull()),
     }
 

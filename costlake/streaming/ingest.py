@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from costlake.operators import dims as D
 from costlake.operators import facts as FA
 from costlake.plans.pipeline import RAW, RAW_PARTITION, raw_path, read_raw
 from costlake.sources.tables import Warehouse
@@ -27,9 +28,11 @@ def refresh_facts(wh: Warehouse, dates: DataFrame, run_ts: str) -> None:
     pipeline; each fact then rewrites only those date partitions.
     """
     raw = read_raw(wh)
-    ds = wh.read("dim_service")
-    if raw is None or ds is None:
+    if raw is None:
         return
+    # A service first seen in this batch must be known before its facts arrive.
+    wh.replace("dim_service", D.load_dim_service(raw, wh.read("dim_service"), run_ts))
+    ds = wh.read("dim_service")
     touched = raw.join(dates.select(F.col("line_item_usage_start_date")).distinct(),
                        "line_item_usage_start_date", "left_semi")
     wh.write_partitions("fact_daily_cost", FA.load_fact_daily_cost(
@@ -40,9 +43,6 @@ def refresh_facts(wh: Warehouse, dates: DataFrame, run_ts: str) -> None:
             touched, ds, dc, wh.read("fact_customer_cost"), run_ts, partitions_only=True))
 
 
-refresh_fact_daily = refresh_facts  # earlier name
-
-
 def ingest_stream(spark: SparkSession, source_dir: str, root: str, checkpoint_location: str,
                   schema: StructType | None = None, refresh: bool = False, run_ts: str = "stream"):
     """Process every file not yet seen in ``source_dir`` and stop

@@ -112,3 +112,18 @@ def test_new_rows_broadcast_and_shuffle_paths_agree(spark):
         spark.conf.unset("costlake.broadcast.maxRows")
     want = sorted([str(i) for i in range(100, 400) if i >= 300 or i % 2] + ["399"])
     assert a == b == want
+
+
+def test_tiny_costs_are_not_lost(spark):
+    from costlake.operators import summary as S
+    lines = [(f"l{i}", "2025-01-01", "AmazonS3", "Requests", "4.0E-7") for i in range(1000)]
+    out = S.daily_cost_summary(usage_df(spark, lines)).first()
+    assert float(out["daily_cost"]) == 0.0004
+
+
+def test_lines_without_an_id_are_counted(spark, tmp_root):
+    lines = [("a", "2025-01-01", "AmazonS3", "x", "1.5"), (None, "2025-01-01", "AmazonS3", "x", "5.00"),
+             (None, "2025-01-02", "AmazonS3", "x", None)]
+    for inserted in (1, 0):
+        got = U.append_new_usage(usage_df(spark, lines), tmp_root + "/raw")
+        assert got.inserted == inserted and got.metrics["null_id"] == 2 and float(got.metrics["null_id_cost"]) == 5.0
