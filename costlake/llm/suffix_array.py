@@ -6,6 +6,7 @@ from __future__ import annotations
 import numpy as np
 
 LANES_STEP = 64
+_BYTE_ENDS = np.uint64(1) << np.arange(0, 64, 8, dtype=np.uint64)
 
 
 def _first_eight(data: np.ndarray) -> np.ndarray:
@@ -26,9 +27,10 @@ def suffix_array(data: np.ndarray, depth: int | None = None) -> np.ndarray:
 
 
 def ranked_suffixes(data: np.ndarray, depth: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(suffix array, rank of each position; equal up to ``depth``, equal rank). Groups of equal prefixes are refined by the rank of what
-    follows, doubling the prefix each round; singleton groups are never sorted
-    again (Larsson and Sadakane)."""
+    """(suffix array, rank of each position; equal up to ``depth``, equal rank).
+    Groups of equal prefixes are refined by the rank of what follows, doubling
+    the prefix each round; singleton groups are never sorted again (Larsson and
+    Sadakane)."""
     n = len(data)
     if n == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -47,22 +49,19 @@ def ranked_suffixes(data: np.ndarray, depth: int | None = None) -> tuple[np.ndar
     rank = np.empty(n + 1, np.int64)
     rank[sa] = np.repeat(first, np.diff(np.r_[first, n]))
     rank[n] = -1
+    size = np.diff(np.r_[first, n])
+    at = np.flatnonzero(np.repeat(size > 1, size))
     h = 8
-    while depth is None or h < depth:
-        size = np.diff(np.r_[first, n])
-        open_ = np.repeat(size > 1, size)
-        at = np.flatnonzero(open_)
-        if not len(at):
-            break
+    while len(at) and (depth is None or h < depth):
         who = sa[at]
-        after = rank[np.minimum(who + h, n)]
-        order = np.argsort(rank[who] * (n + 1) + after + 1)
-        who, after = who[order], after[order]
+        key = rank[who] * (n + 1) + rank[np.minimum(who + h, n)] + 1
+        order = np.argsort(key)
+        who, key = who[order], key[order]
         sa[at] = who
-        r = rank[who]
-        new[at] = np.r_[True, (r[1:] != r[:-1]) | (after[1:] != after[:-1])]
-        first = np.flatnonzero(new)
-        rank[sa] = np.repeat(first, np.diff(np.r_[first, n]))
+        begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        size = np.diff(np.r_[begin, len(at)])
+        rank[who] = np.repeat(at[begin], size)
+        at = at[np.repeat(size > 1, size)]
         h *= 2
     return sa, rank[:n]
 
@@ -73,15 +72,16 @@ def kasai(data: np.ndarray, sa: np.ndarray, cap: int | None = None, rank: np.nda
     Kasai's walk in text order, where a common prefix shrinks by one at most
     from one position to the next, is run on many stretches of the text at once,
     one vector step per position of a stretch. For a suffix array of bounded
-    depth (``cap`` at most that), ``rank`` tells ties: the bound from the position
-    before holds only if what follows its predecessor ranks truly lower."""
+    depth (``cap`` at most that), ``rank`` tells ties: equal ranks share ``cap``
+    bytes without a comparison, and the bound from the position before holds
+    only if what follows its predecessor ranks truly lower."""
     n = len(data)
     if n < 2:
         return np.zeros(n, np.int64)
     cap = n if cap is None else cap
     before = np.full(n, -1, np.int64)
     before[sa[1:]] = sa[:-1]
-    plcp = np.zeros(n, np.int64)
+    plcp, eight = np.zeros(n, np.int64), _first_eight(data)
     starts = np.arange(0, n, LANES_STEP)
     h, was = np.zeros(len(starts), np.int64), np.full(len(starts), n, np.int64)
     for step in range(LANES_STEP):
@@ -93,14 +93,16 @@ def kasai(data: np.ndarray, sa: np.ndarray, cap: int | None = None, rank: np.nda
         if rank is not None:
             after = np.minimum(was + 1, n - 1)
             h[(was + 1 >= n) | (rank[after] >= rank[i])] = 0
+            h[(j >= 0) & (rank[j] == rank[i])] = cap
         h[j < 0] = 0
-        todo = np.flatnonzero(j >= 0)
-        while len(todo):
-            a, b, l = i[todo], j[todo], h[todo]
-            more = (l < cap) & (np.maximum(a, b) + l < n)
-            todo, a, b, l = todo[more], a[more], b[more], l[more]
-            todo = todo[data[a + l] == data[b + l]]
-            h[todo] += 1
+        room = np.minimum(cap, n - np.maximum(i, j))
+        todo = np.flatnonzero((j >= 0) & (h < room))
+        while len(todo):                       # eight bytes a step
+            l, most = h[todo], room[todo]
+            x = eight[i[todo] + l] ^ eight[j[todo] + l]
+            l = np.minimum(l + 8 - np.searchsorted(_BYTE_ENDS, x, "right"), most)
+            h[todo] = l
+            todo = todo[(x == 0) & (l < most)]
         plcp[i] = h
         was = np.where(j < 0, n, j)
     return plcp[sa]
