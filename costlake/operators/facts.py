@@ -6,12 +6,9 @@ A4 ``active_customers_per_date``, J3/D6 ``customer_cost``, A7, A8, J4.
 
 from __future__ import annotations
 
-from datetime import date
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from costlake.functions.dates import strict_date
 from costlake.functions.money import allocate_even, cost_or_zero, round_money
 from costlake.operators.joins import broadcast_limit, salted_join
 from costlake.operators.upsert import upsert, upsert_partitions
@@ -99,35 +96,40 @@ def active_customers_per_date(dim_customer: DataFrame, dates: DataFrame) -> Data
             .select(F.col("d").alias("usage_date"), F.col("active_count").cast("bigint")))
 
 
-def active_pairs(dim_customer: DataFrame, dates: DataFrame, date_span: tuple[str, str] | None = None) -> DataFrame:
+def active_pairs(dim_customer: DataFrame, dates: DataFrame, max_dates: int | None = None) -> DataFrame:
     """(usage_date, customer_key) for every version active on a date of ``dates``.
 
-    Each version is expanded to the days it is active, clipped to the span
-    of ``dates`` (no open-ended version runs to 9999), then kept on the
-    dates that occur (equi join against the distinct dates). The distinct
-    dates are at most the days of the span, a proven bound checked before
-    they are broadcast. Work is proportional to the output; no range join
-    or nested loop is planned. ``customer_key`` is the dimension's primary
-    key, so the pairs are distinct without a DISTINCT (U1; Q2 checks the key).
+    Dates are compared as text (``effective_from <= d < effective_to``), so one
+    with a time part belongs to its day. Each version is expanded over the
+    days that occur among ``dates`` (first ten characters; one array in a
+    scalar subquery, bounded by the calendar), so a batch of two dates years
+    apart makes two rows per version; the days then meet the date texts by an
+    equi join, and the exact comparison follows. ``max_dates`` is a known bound
+    on the distinct dates (counted here if absent); within the broadcast limit
+    they are broadcast. Versions are spread over the shuffle partitions before
+    they fan out: a small input split can make very many rows.
+    ``customer_key`` is the dimension's primary key, so the pairs are
+    distinct without a DISTINCT (U1; Q2 checks the key).
     """
     spark = dim_customer.sparkSession
-    d = dates.select("usage_date").distinct()
-    if date_span is None:
-        row = d.agg(F.min("usage_date"), F.max("usage_date")).first()
-        date_span = (row[0], row[1])
-    lo_d, hi_d = date_span
-    if lo_d is None:
-        return spark.createDataFrame([], "usage_date string, customer_key bigint")
-    span_days = (date.fromisoformat(hi_d) - date.fromisoformat(lo_d)).days + 1
-    v = _valid_versions(dim_customer)
-    lo = F.greatest(strict_date("effective_from"), F.to_date(F.lit(lo_d)))
-    hi = F.least(F.date_sub(strict_date("_to"), 1), F.to_date(F.lit(hi_d)))
-    days = (v.filter(lo <= hi)
-            .select("customer_key", F.explode(F.sequence(lo, hi)).alias("_d"))
-            .select(F.col("_d").cast("string").alias("usage_date"), "customer_key"))
-    if span_days <= broadcast_limit(spark):
+
+    def day(c: str) -> Column:
+        return F.substring(F.col(c), 1, 10)
+
+    d = dates.select("usage_date").filter(F.col("usage_date").isNotNull()).distinct().withColumn("_day", day("usage_date"))
+    days = d.agg(F.array_sort(F.collect_set("_day"))).scalar()
+    if max_dates is None:
+        max_dates = d.count()
+    if max_dates <= broadcast_limit(spark):
         d = F.broadcast(d)
-    return days.join(d, "usage_date", "inner")
+    hit = F.filter(F.col("_days"), lambda x: (x >= day("effective_from")) & (x <= day("_to")))
+    v = (_valid_versions(dim_customer)
+         .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "customer_key")
+         .withColumn("_days", days))
+    spans = v.select("customer_key", "effective_from", "_to", F.explode(hit).alias("_day"))
+    return (spans.join(d, "_day", "inner")
+            .filter((F.col("effective_from") <= F.col("usage_date")) & (F.col("usage_date") < F.col("_to")))
+            .select("usage_date", "customer_key"))
 
 
 # --- J3 / D6 -------------------------------------------------------------------------------
@@ -145,9 +147,8 @@ def allocation_per_service_day(sd: DataFrame, counts: DataFrame) -> DataFrame:
 
 def materialized_service_daily(raw: DataFrame, dim_service: DataFrame) -> tuple[DataFrame, dict]:
     """``service_daily`` written once to the checkpoint folder, with its row
-    count and date span observed on the same write (for size checks)."""
-    return materialize(service_daily(raw, dim_service), {
-        "rows": F.count(F.lit(1)), "lo": F.min("usage_date"), "hi": F.max("usage_date")})
+    count observed on the same write (for size checks)."""
+    return materialize(service_daily(raw, dim_service), {"rows": F.count(F.lit(1))})
 
 
 def customer_cost(raw: DataFrame, dim_service: DataFrame, dim_customer: DataFrame,
@@ -166,7 +167,7 @@ def customer_cost(raw: DataFrame, dim_service: DataFrame, dim_customer: DataFram
     sd, st = service_day or materialized_service_daily(raw, dim_service)
     counts = active_customers_per_date(dim_customer, sd)
     alloc = allocation_per_service_day(sd, counts)
-    pairs = active_pairs(dim_customer, sd, (st["lo"], st["hi"]))
+    pairs = active_pairs(dim_customer, sd, int(st["rows"]))
     # alloc has at most one row per service-day row: its bound is sd's count.
     if int(st["rows"]) <= broadcast_limit(raw.sparkSession):
         fact = pairs.join(F.broadcast(alloc), "usage_date", "inner")
@@ -184,7 +185,8 @@ def load_fact_customer_cost(raw: DataFrame, dim_service: DataFrame, dim_customer
     Stale rows (a customer no longer active on a date) survive the upsert,
     as in the reference; ``rebuild`` in the pipeline is the cure.
     """
-    src = customer_cost(raw, dim_service, dim_customer, run_ts).select(*FACT_CUSTOMER_COLUMNS)
+    sd, st = materialized_service_daily(raw, dim_service)
+    src = customer_cost(raw, dim_service, dim_customer, run_ts, (sd, st)).select(*FACT_CUSTOMER_COLUMNS)
     if existing is None:
         return src
     keys = ["usage_date", "customer_key", "service_key"]
@@ -192,7 +194,12 @@ def load_fact_customer_cost(raw: DataFrame, dim_service: DataFrame, dim_customer
     tgt = existing.select(*FACT_CUSTOMER_COLUMNS)
     # src is an aggregate (or a join of aggregates) keyed by ``keys``: unique by construction
     if partitions_only:
-        return upsert_partitions(tgt, src, keys, upd, "usage_date", check_unique=False)
+        # The dates come from the service-days, so the pairs are built once and
+        # the target is pruned by a broadcast, not shuffled by its date.
+        touched = sd.select("usage_date").distinct()
+        if int(st["rows"]) <= broadcast_limit(raw.sparkSession):
+            touched = F.broadcast(touched)
+        return upsert_partitions(tgt, src, keys, upd, "usage_date", check_unique=False, touched=touched)
     return upsert(tgt, src, keys, upd, check_unique=False)
 
 

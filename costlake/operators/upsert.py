@@ -75,16 +75,17 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update_cols: l
 
 
 def upsert_partitions(target: DataFrame, source: DataFrame, keys: list[str], update_cols: list[str],
-                      partition_col: str, check_unique: bool = True) -> DataFrame:
+                      partition_col: str, check_unique: bool = True, touched: DataFrame | None = None) -> DataFrame:
     """Upsert restricted to the ``partition_col`` values present in ``source``.
 
     Returns only the rows of the touched partitions; written with dynamic
     partition overwrite, the other partitions stay as they are. The set of
     touched values is a distinct over the source's partition column (dates:
     bounded by the calendar), joined as a semi join so the target scan can
-    be pruned.
+    be pruned. ``touched`` gives these values where a caller knows them from a
+    smaller frame; values beyond the source's keep their rows.
     """
     if partition_col not in keys:
         raise ValueError("partition column must be part of the key")
-    touched = source.select(partition_col).distinct()
+    touched = touched if touched is not None else source.select(partition_col).distinct()
     return upsert(target.join(touched, partition_col, "left_semi"), source, keys, update_cols, check_unique)

@@ -216,13 +216,15 @@ SQL["dim_customer_scd2"] = _with(SNAPSHOTS, MASKED, DIM_CUSTOMER) + "SELECT * FR
 
 
 def _service_daily(usage: str = "usage") -> str:
+    """The view's costs are text with two decimals: summed as whole cents."""
     return f"""
-  SELECT u.usage_date, d.service_key,
-         ROUND(SUM(COALESCE(CAST(u.cost AS DECIMAL(28,15)), 0)), 2) AS daily_cost,
-         CAST(COUNT(*) AS BIGINT) AS record_count,
-         CAST(SUM(CASE WHEN u.cost IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_cost_count
-  FROM {usage} u JOIN dim d ON u.product_code = d.product_code AND u.usage_type = d.usage_type
-  GROUP BY u.usage_date, d.service_key"""
+  SELECT usage_date, service_key, CAST(cents AS DECIMAL(36,0)) * CAST(0.01 AS DECIMAL(3,2)) AS daily_cost,
+         record_count, null_cost_count
+  FROM (SELECT product_code, usage_type, usage_date, CAST(COUNT(*) AS BIGINT) AS record_count,
+               CAST(COUNT(*) - COUNT(cost) AS BIGINT) AS null_cost_count,
+               SUM(CAST(replace(COALESCE(cost, '0.00'), '.', '') AS BIGINT)) AS cents
+        FROM {usage} GROUP BY ALL) per_type
+  JOIN dim USING (product_code, usage_type)"""
 
 
 SD = f"""
@@ -247,27 +249,37 @@ SELECT COALESCE(f1.usage_date, f2.usage_date) AS usage_date,
        CASE WHEN f2.usage_date IS NOT NULL THEN 'run-2' ELSE 'run-1' END AS _loaded_at
 FROM f1 FULL OUTER JOIN f2 ON f1.usage_date = f2.usage_date AND f1.service_key = f2.service_key"""
 
-ACTIVE = """
-ac AS (
-  SELECT DISTINCT sd.usage_date, c.customer_key
-  FROM sd JOIN dimc c
-    ON c.effective_from <= sd.usage_date AND COALESCE(c.effective_to, '9999-12-31') > sd.usage_date
+
+
+def _fact(dim: str, p: str = "") -> str:
+    """Customer fact over the versions in ``dim``. Active versions of a date are
+    those opened by then less those closed by then; a service-day's share is
+    in whole cents, worked out before any customer is joined."""
+    return f"""
+{p}cc AS (
+  SELECT usage_date, CAST(opened - closed AS BIGINT) AS active_count
+  FROM (SELECT usage_date,
+               (SELECT COUNT(*) FROM {dim} o WHERE o.effective_from <= days.usage_date) AS opened,
+               (SELECT COUNT(*) FROM {dim} e WHERE e.effective_to <= days.usage_date) AS closed
+        FROM (SELECT DISTINCT usage_date FROM sd) days) counted
+  WHERE opened > closed
 ),
-cc AS (SELECT usage_date, CAST(COUNT(*) AS BIGINT) AS active_count FROM ac GROUP BY usage_date),
-fc AS (
-  SELECT sd.usage_date, ac.customer_key, sd.service_key,
-         CAST(daily_cost * 100 AS BIGINT) AS cents, cc.active_count AS n,
-         sd.record_count, sd.null_cost_count
-  FROM sd JOIN ac ON sd.usage_date = ac.usage_date JOIN cc ON sd.usage_date = cc.usage_date
+{p}share AS (
+  SELECT usage_date, service_key, record_count, null_cost_count,
+         CAST(sign(daily_cost) * ((CAST(abs(daily_cost) * 200 AS HUGEINT) + active_count) // (2 * active_count))
+              AS DECIMAL(38,0)) AS alloc_cents
+  FROM sd JOIN {p}cc USING (usage_date)
 ),
-fact AS (
-  SELECT usage_date, customer_key, service_key,
-         CAST(sign(cents) * ((2 * abs(cents) + n) // (2 * n)) AS DOUBLE) / 100.0 AS allocated_cost,
-         CAST(sign(cents) * ((2 * abs(cents) + n) // (2 * n)) AS DECIMAL(38,0)) AS alloc_cents,
+{p}fact AS (
+  SELECT usage_date, customer_key, service_key, CAST(alloc_cents AS DOUBLE) / 100.0 AS allocated_cost, alloc_cents,
          record_count, null_cost_count
-  FROM fc
+  FROM {dim} v JOIN {p}share
+    ON usage_date >= effective_from AND (effective_to IS NULL OR usage_date < effective_to)
 )"""
 
+
+ACTIVE = _fact("dimc")
+
 _CUST = (USAGE, DIM_SERVICE, SD, SNAPSHOTS, MASKED, DIM_CUSTOMER, ACTIVE)
 
 SQL["active_customers"] = _with(*_CUST) + "SELECT usage_date, active_count FROM cc"
@@ -275,6 +287,27 @@ SQL["active_customers"] = _with(*_CUST) + "SELECT usage_date, active_count FROM
 SQL["fact_customer_cost"] = _with(*_CUST) + """
 SELECT usage_date, customer_key, service_key, allocated_cost, record_count, null_cost_count FROM fact"""
 
+USAGE_TIMED = USAGE.replace("usage AS (", "bare AS (", 1) + """,
+usage AS (
+  SELECT id, product_code, usage_type, cost,
+         usage_date || CASE WHEN CAST(substr(usage_date, 9, 2) AS INTEGER) % 3 = 1
+                              OR CAST(substr(usage_date, 9, 2) AS INTEGER) % 10 = 0 THEN 'T00:00:00Z' ELSE '' END
+         AS usage_date
+  FROM bare
+)"""
+
+SQL["customer_cost_timed_dates"] = _with(USAGE_TIMED, *_CUST[1:]) + """
+SELECT usage_date, customer_key, service_key, allocated_cost, record_count, null_cost_count FROM fact"""
+
+SQL["fact_customer_upsert"] = _with(*_CUST, """
+first_dim AS (SELECT customer_key, '2024-01-01' AS effective_from, CAST(NULL AS VARCHAR) AS effective_to FROM load1)""",
+                                    _fact("first_dim", "old_")) + """
+SELECT usage_date, customer_key, service_key, allocated_cost, record_count, null_cost_count, 'run-2' AS _loaded_at
+FROM fact
+UNION ALL
+SELECT usage_date, customer_key, service_key, allocated_cost, record_count, null_cost_count, 'run-1'
+FROM old_fact o ANTI JOIN fact f USING (usage_date, customer_key, service_key)"""
+
 SQL["segment_cost"] = _with(*_CUST) + """
 SELECT c.segment, CAST(SUM(f.alloc_cents) / 100 AS DOUBLE) AS total_cost
 FROM fact f JOIN dimc c ON f.customer_key = c.customer_key

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from costlake.operators import dims as D
 from costlake.operators import facts as FA
 from costlake.operators import summary as S
-from costlake.session import release_scratch, scratch_mark
+from costlake.session import scratch_scope
 from costlake.sources.tables import Warehouse, _fs
 from costlake.sources.usage import append_new_usage, normalize_usage, read_raw_table, read_usage
 
@@ -106,19 +106,20 @@ def run_pipeline(spark: SparkSession, root: str, usage_path: str | DataFrame, sn
     aggregates the whole raw table, as first/last-seen dates need.
     """
     wh = Warehouse(spark, root)
-    mark = scratch_mark(spark)
-    first_run = not wh.exists("fact_daily_cost")
+    # A fact that an earlier run did not reach is loaded for every date.
+    first_run = not wh.exists("fact_daily_cost") or (
+        wh.exists("dim_customer") and not wh.exists("fact_customer_cost"))
     batch = read_usage(spark, usage_path) if isinstance(usage_path, str) else usage_path
-    res = append_new_usage(batch, raw_path(wh), partition_by=RAW_PARTITION)
-    raw = read_raw(wh)
-    load_dimensions(wh, raw, snapshots, salt, run_ts)
-    dates = touched_dates(raw, normalize_usage(batch), snapshots, first_run or not incremental)
-    fact_input = raw if dates is None else raw.join(dates, RAW_PARTITION, "left_semi")
-    load_facts(wh, fact_input, run_ts)
+    with scratch_scope(spark):     # every table is written when it ends
+        res = append_new_usage(batch, raw_path(wh), partition_by=RAW_PARTITION)
+        raw = read_raw(wh)
+        load_dimensions(wh, raw, snapshots, salt, run_ts)
+        dates = touched_dates(raw, normalize_usage(batch), snapshots, first_run or not incremental)
+        fact_input = raw if dates is None else raw.join(dates, RAW_PARTITION, "left_semi")
+        load_facts(wh, fact_input, run_ts)
     counts = {t: wh.read(t).count() for t in ("dim_service", "dim_customer", "fact_daily_cost", "fact_customer_cost")
               if wh.exists(t)}
     counts[RAW] = raw.count()
-    release_scratch(spark, mark)     # every table is written; this run's staged frames are unused
     return PipelineResult(res.inserted, counts, S.daily_cost_summary(raw))
 
 
@@ -127,13 +128,12 @@ def rebuild_from_raw(spark: SparkSession, root: str, snapshots: list[Snapshot],
     replaying customer snapshots in date order. Removes stale fact rows that
     upserts keep."""
     wh = Warehouse(spark, root)
-    mark = scratch_mark(spark)
     for t in ("dim_service", "dim_customer", "fact_daily_cost", "fact_customer_cost"):
         wh.drop(t)
     raw = read_raw(wh)
-    load_dimensions(wh, raw, snapshots, salt, run_ts)
-    load_facts(wh, raw, run_ts)
-    release_scratch(spark, mark)
+    with scratch_scope(spark):
+        load_dimensions(wh, raw, snapshots, salt, run_ts)
+        load_facts(wh, raw, run_ts)
 
 
 def drop_raw_dates(spark: SparkSession, root: str, start: str, end: str) -> int:

@@ -169,6 +169,29 @@ def q_fact_customer_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dbl(FA.customer_cost(raw, ds, dc, RUN_TS), "allocated_cost").drop("_loaded_at")
 
 
+def q_customer_cost_timed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer fact where a fixed share of the usage dates, the first
+    and the last among them, carries a time part."""
+    raw, ds, dc = _customer_fact(spark, sf_dir)
+    d = F.col("line_item_usage_start_date")
+    day = F.substring(d, 9, 2).cast("int")
+    timed = raw.withColumn("line_item_usage_start_date", F.when(
+        (day % 3 == 1) | (day % 10 == 0), F.concat(d, F.lit("T00:00:00Z"))).otherwise(d))
+    return _dbl(FA.customer_cost(timed, ds, dc, RUN_TS), "allocated_cost").drop("_loaded_at")
+
+
+def q_fact_customer_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D6 stored form (T17): run 1 allocates to the customers of snapshot v1, run
+    2 to those of v2; rows of versions closed in between stay as run 1 left them."""
+    raw = raw_usage(spark, sf_dir)
+    ds = materialize(D.load_dim_service(raw, None, RUN_TS))
+    cust = V.table(spark, sf_dir, "customer")
+    d1 = materialize(D.load_dim_customer(None, V.snapshot_v1(cust), SALT, V.SNAPSHOT_V1_DATE))
+    d2 = materialize(D.load_dim_customer(d1, V.snapshot_v2(cust), SALT, V.SNAPSHOT_V2_DATE))
+    f1 = materialize(FA.load_fact_customer_cost(raw, ds, d1, None, "run-1"))
+    return _dbl(FA.load_fact_customer_cost(raw, ds, d2, f1, "run-2", partitions_only=True), "allocated_cost")
+
+
 def q_segment_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, ds, dc = _customer_fact(spark, sf_dir)
     return _dbl(FA.segment_cost(FA.customer_cost(raw, ds, dc, RUN_TS), dc), "total_cost")
@@ -329,6 +352,8 @@ QUERIES: dict[str, Query] = {
     "fact_daily_upsert": q_fact_daily_upsert,
     "active_customers": q_active_customers,
     "fact_customer_cost": q_fact_customer_cost,
+    "customer_cost_timed_dates": q_customer_cost_timed_dates,
+    "fact_customer_upsert": q_fact_customer_upsert,
     "segment_cost": q_segment_cost,
     "distinct_customers_per_date": q_distinct_customers_per_date,
     "enriched_fact": q_enriched_fact,

@@ -11,6 +11,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
@@ -64,29 +67,24 @@ def scratch_path(spark: SparkSession, kind: str = "tables") -> str:
     return f"{base}/costlake-{kind}/{uuid.uuid4().hex}"
 
 
-_SCRATCH: dict[str, list[str]] = {}
+_SCOPE: ContextVar[list[str] | None] = ContextVar("costlake_scratch", default=None)
 
 
-def scratch_mark(spark: SparkSession) -> int:
-    """Number of scratch folders written so far by this application."""
-    return len(_SCRATCH.get(spark.sparkContext.applicationId, []))
-
-
-def release_scratch(spark: SparkSession, since: int = 0) -> int:
-    """Delete the folders ``materialize`` wrote for this application after
-    mark ``since``. Call it once nothing lazy still reads them (e.g. at the
-    end of a pipeline run, with the mark taken at its start)."""
-    app = spark.sparkContext.applicationId
-    held = _SCRATCH.get(app, [])
-    paths, _SCRATCH[app] = held[since:], held[:since]
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for p in paths:
-        jp = jvm.org.apache.hadoop.fs.Path(p)
-        fs = jp.getFileSystem(conf)
-        if fs.exists(jp):
-            fs.delete(jp, True)
-    return len(paths)
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Owns the folders that ``materialize`` writes inside the block and deletes
+    them at its end, so nothing lazy that reads them may leave the block. Runs
+    in other threads, and blocks around this one, keep theirs."""
+    held: list[str] = []
+    token = _SCOPE.set(held)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in held:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
 
 
 def materialize(df: DataFrame, metrics: dict[str, Column] | None = None) -> DataFrame | tuple[DataFrame, dict]:
@@ -101,7 +99,8 @@ def materialize(df: DataFrame, metrics: dict[str, Column] | None = None) -> Data
     """
     spark = df.sparkSession
     path = scratch_path(spark)
-    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    if (held := _SCOPE.get()) is not None:
+        held.append(path)
     if metrics:
         obs = Observation(f"materialize-{uuid.uuid4().hex[:8]}")
         df.observe(obs, *[c.alias(n) for n, c in metrics.items()]).write.parquet(path)

@@ -1,10 +1,11 @@
 """The table layer: the only place that writes.
 
 A warehouse is a folder with one sub-folder per table. Each write creates a
-new version folder ``<table>/v=<n>`` and then switches a small pointer file
-(``_CURRENT``) to it, so a step may read the table it replaces (Spark cannot
-overwrite a path it is reading) and a failed write leaves the old version
-in place. Facts are partitioned by ``usage_date``; ``write_partitions``
+version folder of its own, ``<table>/v=<n>-<attempt>``, and then one commit file
+``<table>/_commits/<n>`` that names it; the highest commit is the table. So a
+step may read the table it replaces (Spark cannot overwrite a path it is
+reading), a write that fails at any point leaves the old version in place,
+and a retry takes a fresh folder. Facts are partitioned by ``usage_date``; ``write_partitions``
 rewrites only the dates present in the new rows (dynamic partition
 overwrite) inside the current version.
 """
@@ -12,6 +13,7 @@ overwrite) inside the current version.
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,15 +42,16 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
 
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
     fs, p = _fs(spark, path)
-    tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + ".tmp")
+    if fs.exists(p):
+        raise OSError(f"already written: {path}")
+    tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
     out = fs.create(tmp, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    fs.delete(p, False)
     if not fs.rename(tmp, p):
-        raise OSError(f"could not switch {path}")
+        raise OSError(f"could not write {path}")
 
 
 class Warehouse:
@@ -58,12 +61,17 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _pointer(self, name: str) -> str:
-        return f"{self.root}/{name}/_CURRENT"
+    def _committed(self, name: str) -> int:
+        """Number of the newest commit of ``name``, 0 if there is none."""
+        fs, p = _fs(self.spark, f"{self.root}/{name}/_commits")
+        if not fs.exists(p):
+            return 0
+        found = [st.getPath().getName() for st in fs.listStatus(p)]
+        return max((int(f) for f in found if f.isdigit()), default=0)
 
     def location(self, name: str) -> str | None:
-        v = _read_text(self.spark, self._pointer(name))
-        return None if v is None else f"{self.root}/{name}/{v}"
+        n = self._committed(name)
+        return f"{self.root}/{name}/{_read_text(self.spark, f'{self.root}/{name}/_commits/{n}')}" if n else None
 
     def exists(self, name: str) -> bool:
         return self.location(name) is not None
@@ -80,14 +88,10 @@ class Warehouse:
             reader = reader.schema(StructType.fromJson(json.loads(schema)))
         return reader.parquet(loc)
 
-    def _next_version(self, name: str) -> str:
-        cur = _read_text(self.spark, self._pointer(name))
-        n = int(cur.split("=")[1]) + 1 if cur else 1
-        return f"v={n}"
-
     def replace(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
         """Write ``df`` as a new version of ``name`` and switch to it."""
-        v = self._next_version(name)
+        n = self._committed(name) + 1
+        v = f"v={n}-{uuid.uuid4().hex[:12]}"
         if partition_by:
             # AQE sizes the write partitions: a hot value is split, small ones merged.
             df = df.hint("rebalance", *partition_by)
@@ -96,7 +100,7 @@ class Warehouse:
             w = w.partitionBy(*partition_by)
         w.parquet(f"{self.root}/{name}/{v}")
         _write_text(self.spark, f"{self.root}/{name}/{v}/_schema.json", json.dumps(df.schema.jsonValue()))
-        _write_text(self.spark, self._pointer(name), v)
+        _write_text(self.spark, f"{self.root}/{name}/_commits/{n}", v)
         return f"{self.root}/{name}/{v}"
 
     def write_partitions(self, name: str, df: DataFrame, partition_col: str | list[str] = "usage_date") -> str:

@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 from costlake.operators import dims as D
 from costlake.operators import facts as FA
 from costlake.plans.pipeline import RAW, RAW_PARTITION, raw_path, read_raw
+from costlake.session import scratch_scope
 from costlake.sources.tables import Warehouse
 from costlake.sources.usage import append_new_usage
 
@@ -58,9 +59,10 @@ def ingest_stream(spark: SparkSession, source_dir: str, root: str, checkpoint_lo
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        append_new_usage(batch, raw_path(wh), partition_by=RAW_PARTITION)
-        if refresh:
-            refresh_facts(wh, batch.select("line_item_usage_start_date"), run_ts)
+        with scratch_scope(spark):
+            append_new_usage(batch, raw_path(wh), partition_by=RAW_PARTITION)
+            if refresh:
+                refresh_facts(wh, batch.select("line_item_usage_start_date"), run_ts)
 
     q = (stream.writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", checkpoint_location)

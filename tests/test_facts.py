@@ -74,6 +74,16 @@ def test_active_counts_and_pairs_match_brute_force(spark):
     assert rows(FA.active_customers_per_date(dc, dd)) == want_counts
 
 
+def test_pairs_of_date_texts_with_time_and_of_dates_years_apart(spark):
+    dc = dim_customer(spark, [(1, 1, "A", "2023-01-01", "2025-01-02"), (2, 1, "A", "2025-01-02", None)])
+    dd = spark.createDataFrame([("2023-01-01T00:00:00Z",), ("2025-01-01",), ("2025-01-02T05:00:00Z",), (None,)],
+                               "usage_date string")
+    want = [("2023-01-01T00:00:00Z", 1), ("2025-01-01", 1), ("2025-01-02T05:00:00Z", 2)]
+    assert rows(FA.active_pairs(dc, dd), "usage_date", "customer_key") == want
+    assert rows(FA.active_customers_per_date(dc, dd.filter("usage_date IS NOT NULL"))) == [(d, 1) for d, _ in want]
+    assert rows(FA.active_pairs(dc, dd.limit(0)), "usage_date", "customer_key") == []
+
+
 def test_customer_cost_allocation(spark):
     raw = normalize_usage(usage_df(spark, [
         ("1", "2025-01-01", "EC2", "a", "1.16"), ("2", "2025-01-01", "S3", "b", None),

@@ -118,3 +118,36 @@ def test_incremental_runs_equal_full_reruns(spark, tmp_root):
         assert r.counts["raw_usage"] == 1000
         contents.append(_contents(Warehouse(spark, root)))
     assert contents[0] == contents[1]
+
+
+def test_retry_after_a_write_that_never_committed(spark, tmp_root):
+    wh = Warehouse(spark, tmp_root)
+    wh.replace("t", spark.range(3))
+    spark.range(9).write.parquet(f"{tmp_root}/t/v=2-lost")      # a crash before its commit
+    assert wh.read("t").count() == 3
+    wh.replace("t", spark.range(5))
+    assert wh.read("t").count() == 5
+
+
+def test_scratch_of_one_run_outlives_the_end_of_another(spark):
+    import threading
+
+    from costlake.session import materialize, scratch_scope
+    started, ended, got = threading.Event(), threading.Event(), []
+
+    def other():
+        with scratch_scope(spark):
+            df = materialize(spark.range(7))
+            started.set()
+            ended.wait(60)
+            got.append(df.count())
+
+    t = threading.Thread(target=other)
+    with scratch_scope(spark):
+        mine = materialize(spark.range(4))
+        t.start()
+        started.wait(60)
+        path = mine.inputFiles()[0]
+    ended.set()
+    t.join()
+    assert got == [7] and not os.path.exists(path.removeprefix("file:"))
