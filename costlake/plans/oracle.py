@@ -485,3 +485,71 @@ FROM usage"""
 SQL["duplicate_usage_ids"] = _with(USAGE_LONG) + """
 SELECT id AS identity_line_item_id, CAST(COUNT(*) AS BIGINT) AS n
 FROM usage GROUP BY id HAVING COUNT(*) > 1"""
+
+# --- inputs with faults ------------------------------------------------------------------------------
+
+SQL["dq_orphans_old_dims"] = _with(*_CUST, """
+old_dim AS (SELECT * FROM dim WHERE usage_type NOT LIKE '%:2')""") + "\nUNION ALL\n".join([
+    _orphan("fact_customer_cost.customer_key", "fact", "customer_key", "load1"),
+    _orphan("fact_customer_cost.service_key", "fact", "service_key", "old_dim"),
+    _orphan("fact_daily_cost.service_key", "sd", "service_key", "old_dim"),
+])
+
+SQL["dq_ranges_faulty"] = _with(USAGE, DIM_SERVICE, SD, """
+faulty AS (
+  SELECT CASE WHEN usage_date[10] = '4' THEN '' ELSE usage_date END AS usage_date,
+         CASE WHEN usage_date[10] = '3' THEN NULL ELSE service_key END AS service_key,
+         CASE service_key % 5 WHEN 0 THEN NULL WHEN 1 THEN -1 - abs(CAST(daily_cost AS DECIMAL(30,3)))
+              WHEN 2 THEN CAST(daily_cost AS DECIMAL(30,3)) + CAST(0.001 AS DECIMAL(4,3))
+              ELSE CAST(daily_cost AS DECIMAL(30,3)) END AS daily_cost,
+         CASE service_key % 4 WHEN 0 THEN 0 ELSE record_count END AS record_count,
+         CASE service_key % 4 WHEN 1 THEN -1 ELSE null_cost_count END AS null_cost_count
+  FROM sd
+)""") + DQ_RANGES.replace("FROM sd", "FROM faulty")
+
+SQL["dq_scd2_faulty"] = _with(SNAPSHOTS, MASKED, DIM_CUSTOMER, """
+faulty AS (
+  SELECT customer_id, effective_from,
+         customer_key - CASE WHEN customer_id % 13 = 5 THEN customer_key % 2 ELSE 0 END AS customer_key,
+         CASE customer_id % 13 WHEN 4 THEN '2023-12-31' WHEN 3 THEN NULL ELSE effective_to END AS effective_to,
+         CASE customer_id % 13 WHEN 1 THEN TRUE WHEN 2 THEN FALSE ELSE is_current END AS is_current
+  FROM dimc
+)""", SCDW.replace("FROM dimc", "FROM faulty")) + DQ_SCD2.replace("FROM dimc", "FROM faulty")
+
+SQL["dq_pii_faulty"] = _with(USAGE, DIM_SERVICE, SD, SNAPSHOTS, MASKED, DIM_CUSTOMER, """
+faulty AS (
+  SELECT CASE customer_id % 7 WHEN 1 THEN first_name || '@example.com' WHEN 2 THEN upper(email_token)
+              ELSE email_token END AS email_token,
+         CASE customer_id % 7 WHEN 3 THEN '555-000' || customer_id ELSE phone_redacted END AS phone_redacted
+  FROM dimc
+),
+leaky AS (SELECT *, '' AS "Email", '' AS phone FROM sd LIMIT 1)""") + DQ_PII.replace("FROM dimc", "FROM faulty").replace(
+    "CAST(0 AS BIGINT)", """CAST(COUNT(*) AS BIGINT) FROM (SELECT lower(unnest(json_keys(to_json(leaky)))) AS k FROM leaky) c
+  WHERE k IN ('email', 'phone', 'first_name', 'last_name')""")
+
+USAGE_BY_CODE = USAGE.replace("usage AS (", "plain AS (", 1) + """,
+usage AS (
+  SELECT id, usage_date, usage_type, cost,
+         CASE WHEN CAST(id AS BIGINT) % 9 < 6 THEN """ + repr(sorted(_CATEGORIES)) + """[CAST(id AS BIGINT) % 9 + 1]
+              ELSE product_code END AS product_code
+  FROM plain
+)"""
+
+SQL["dim_service_growth"] = SQL["dim_service_reload"].replace(_with(USAGE)[:-1], _with(USAGE_BY_CODE)[:-1]).replace(
+    "FROM usage WHERE usage_date < '2024-01-16'",
+    "FROM usage WHERE usage_date < '2024-01-16' AND product_code NOT IN " + str(tuple(sorted(_CATEGORIES))))
+
+SQL["top_services_ties"] = _with(USAGE_LONG.replace("usage AS (", "priced AS (", 1), """
+usage AS (SELECT * REPLACE (CASE WHEN usage_type LIKE 'S%' THEN '-' || cost ELSE '0' END AS cost,
+                            usage_type AS product_code) FROM priced)""",
+                                 SUMMARY) + SQL["top_services"].removeprefix(_with(USAGE, SUMMARY))
+
+SQL["weekly_anomalies_from_zero"] = SQL["weekly_anomalies"].replace(USAGE_LONG, USAGE_LONG.replace(
+    "usage AS (", "priced AS (", 1) + """,
+usage AS (SELECT * REPLACE (CASE WHEN CAST(usage_date[9:10] AS INTEGER) <= 15 THEN '0.00' ELSE cost END AS cost) FROM priced)""")
+
+SQL["masked_customers_padded"] = _with(SNAPSHOTS, MASKED) + "SELECT * FROM m2"
+
+SQL["usage_metrics_faulty"] = SQL["usage_metrics"].replace(USAGE, USAGE.replace("usage AS (", "priced AS (", 1) + """,
+usage AS (SELECT * REPLACE (CASE WHEN CAST(id AS BIGINT) % 50 = 8 THEN '0.00' ELSE cost END AS cost,
+                            CASE WHEN CAST(id AS BIGINT) % 40 <> 3 THEN id END AS id) FROM priced)""")

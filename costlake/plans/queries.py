@@ -18,6 +18,7 @@ from costlake.operators import dims as D
 from costlake.operators import facts as FA
 from costlake.operators import quality as QA
 from costlake.operators import summary as S
+from costlake.schemas import SERVICE_CATEGORIES
 from costlake.session import materialize
 from costlake.sources import views as V
 from costlake.sources.tables import run_sql
@@ -337,6 +338,110 @@ def q_duplicate_usage_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QA.duplicate_keys(raw_usage_long(spark, sf_dir), ["identity_line_item_id"])
 
 
+# --- inputs with faults: the checks and edge rules must see them -----------------------------
+
+ID, COST, PRODUCT = "identity_line_item_id", "line_item_unblended_cost", "line_item_product_code"
+
+
+def q_dq_orphans_old_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both facts against dimensions that lack the second customer
+    load and every third usage type."""
+    raw, ds, dc, fd, fc = _warehouse(spark, sf_dir)
+    old_customers = dc.filter(F.col("effective_from") < V.SNAPSHOT_V2_DATE)
+    return QA.referential_integrity(fc, fd, old_customers, ds.filter(~F.endswith("usage_type", F.lit(":2"))))
+
+
+def q_dq_ranges_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6: the daily fact with NULL, negative and three-decimal costs, bad
+    counts, lost keys and empty dates, by service key and day."""
+    key, day = F.col("service_key"), F.substring("usage_date", 9, 2).cast("int")
+    cost = F.col("daily_cost").cast("decimal(30,3)")
+    bad = (F.when(key % 5 == 0, F.lit(None)).when(key % 5 == 1, -1 - F.abs(cost))
+           .when(key % 5 == 2, cost + F.lit("0.001").cast("decimal(4,3)")).otherwise(cost))
+    f = fact_daily(spark, sf_dir).select(
+        F.when(day % 10 != 4, F.col("usage_date")).otherwise("").alias("usage_date"),
+        F.when(day % 10 != 3, key).alias("service_key"), bad.cast("decimal(32,3)").alias("daily_cost"),
+        F.when(key % 4 != 0, F.col("record_count")).otherwise(0).alias("record_count"),
+        F.when(key % 4 != 1, F.col("null_cost_count")).otherwise(-1).alias("null_cost_count"))
+    return QA.cost_range_checks(f, "daily_cost")
+
+
+def q_dq_scd2_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q5: the customer dimension with doubly current, never current, open
+    closed, backward and doubly keyed versions, by customer id."""
+    k = F.col("customer_id") % 13
+    d = dim_customer(spark, sf_dir).select(
+        "customer_id", "effective_from",
+        F.when((k == 5) & (F.col("customer_key") % 2 == 1), F.col("customer_key") - 1)
+        .otherwise(F.col("customer_key")).alias("customer_key"),
+        F.when(k == 4, F.lit("2023-12-31")).when(k != 3, F.col("effective_to")).alias("effective_to"),
+        F.when(k == 1, F.lit(True)).when(k == 2, F.lit(False)).otherwise(F.col("is_current")).alias("is_current"))
+    return QA.scd2_integrity(d)
+
+
+def q_dq_pii_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q7: a dimension with raw and upper-cased e-mail tokens and raw phones,
+    and a fact with two columns named like personal data."""
+    k = F.col("customer_id") % 7
+    d = dim_customer(spark, sf_dir).select(
+        F.when(k == 1, F.concat("first_name", F.lit("@example.com"))).when(k == 2, F.upper("email_token"))
+        .otherwise(F.col("email_token")).alias("email_token"),
+        F.when(k == 3, F.concat(F.lit("555-000"), F.col("customer_id").cast("string")))
+        .otherwise(F.col("phone_redacted")).alias("phone_redacted"))
+    fact = fact_daily(spark, sf_dir).withColumn("Email", F.lit("")).withColumn("phone", F.lit(""))
+    return QA.pii_leak_check(d, fact)
+
+
+def _usage_by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Usage lines where six of nine events are named by a mapped product code."""
+    at = F.col(ID).cast("bigint") % 9
+    codes = F.array(*[F.lit(c) for c in sorted(SERVICE_CATEGORIES)])
+    return raw_usage(spark, sf_dir).withColumn(
+        PRODUCT, F.when(at < F.size(codes), F.get(codes, at.cast("int"))).otherwise(F.col(PRODUCT)))
+
+
+def q_dim_service_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first load sees early lines of unmapped services, the
+    second every line; the mapped services are new in it."""
+    raw = _usage_by_code(spark, sf_dir)
+    early = raw.filter((F.col("line_item_usage_start_date") < FIRST_LOAD_BEFORE)
+                       & ~F.col(PRODUCT).isin(*SERVICE_CATEGORIES))
+    first = materialize(D.load_dim_service(early, None, "load-1"))
+    return D.load_dim_service(raw, first, "load-2").select(*_DIM_SERVICE_OUT, "_loaded_at", "_updated_at")
+
+
+def q_top_services_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1, A5: usage types as services; those named ``S...`` are credits, the
+    others cost nothing, so the limit cuts a tie that names must break."""
+    raw = raw_usage_long(spark, sf_dir).withColumn(PRODUCT, F.col("line_item_usage_type"))
+    one = raw.withColumn(COST, F.when(F.startswith(PRODUCT, F.lit("S")), F.concat(F.lit("-"), F.col(COST))).otherwise("0"))
+    return _dbl(S.top_services_by_cost(S.daily_cost_summary(one), 10), "total_cost")
+
+
+def q_weekly_anomalies_from_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first half of every month costs nothing, so weeks rise from zero."""
+    raw = raw_usage_long(spark, sf_dir)
+    day = F.substring("line_item_usage_start_date", 9, 2).cast("int")
+    half = raw.withColumn(COST, F.when(day <= 15, F.lit("0.00")).otherwise(F.col(COST)))
+    return _dbl(S.detect_cost_anomalies(S.daily_cost_summary(half), 0.20), "weekly_cost", "prev_weekly_cost")
+
+
+def q_masked_customers_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Padded upper-case e-mails and phones with other characters."""
+    c = V.snapshot_v2(V.table(spark, sf_dir, "customer"))
+    c = c.withColumn("email", F.concat(F.lit("  "), F.upper("email"), F.lit(" "))).withColumn(
+        "phone", F.concat(F.lit("+1 ("), F.translate("phone", "-", ") "), F.lit(" ext.")))
+    return D.mask_snapshot(c, SALT)
+
+
+def q_usage_metrics_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines without an id, and costs that are truly zero."""
+    n = F.col(ID).cast("bigint")
+    return usage_metrics_frame(raw_usage(spark, sf_dir)
+                               .withColumn(COST, F.when(n % 50 == 8, F.lit("0.00")).otherwise(F.col(COST)))
+                               .withColumn(ID, F.when(n % 40 != 3, F.col(ID))))
+
+
 QUERIES: dict[str, Query] = {
     "daily_cost_summary": q_daily_cost_summary,
     "cost_trend_7": q_cost_trend_7,
@@ -371,4 +476,13 @@ QUERIES: dict[str, Query] = {
     "override_status": q_override_status,
     "usage_metrics": q_usage_metrics,
     "duplicate_usage_ids": q_duplicate_usage_ids,
+    "dq_orphans_old_dims": q_dq_orphans_old_dims,
+    "dq_ranges_faulty": q_dq_ranges_faulty,
+    "dq_scd2_faulty": q_dq_scd2_faulty,
+    "dq_pii_faulty": q_dq_pii_faulty,
+    "dim_service_growth": q_dim_service_growth,
+    "top_services_ties": q_top_services_ties,
+    "weekly_anomalies_from_zero": q_weekly_anomalies_from_zero,
+    "masked_customers_padded": q_masked_customers_padded,
+    "usage_metrics_faulty": q_usage_metrics_faulty,
 }
