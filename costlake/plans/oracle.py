@@ -553,3 +553,10 @@ SQL["masked_customers_padded"] = _with(SNAPSHOTS, MASKED) + "SELECT * FROM m2"
 SQL["usage_metrics_faulty"] = SQL["usage_metrics"].replace(USAGE, USAGE.replace("usage AS (", "priced AS (", 1) + """,
 usage AS (SELECT * REPLACE (CASE WHEN CAST(id AS BIGINT) % 50 = 8 THEN '0.00' ELSE cost END AS cost,
                             CASE WHEN CAST(id AS BIGINT) % 40 <> 3 THEN id END AS id) FROM priced)""")
+
+SQL["control_evidence"] = f"""
+SELECT evidence_id, control_id FROM (
+  SELECT 'dq_ranges_faulty:' || check_name AS evidence_id, 'C-06' AS control_id, violations FROM ({SQL["dq_ranges_faulty"]}) r
+  UNION ALL SELECT 'dq_scd2_faulty:' || check_name, 'C-08', violations FROM ({SQL["dq_scd2_faulty"]}) v
+  UNION ALL SELECT 'dq_ranges:' || check_name, 'C-07', violations FROM ({SQL["dq_ranges"]}) c) ledger
+WHERE violations < 20 AND control_id IN ('C-04', 'C-05', 'C-06', 'C-08')"""

@@ -442,6 +442,18 @@ def q_usage_metrics_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
                                .withColumn(ID, F.when(n % 40 != 3, F.col(ID))))
 
 
+def q_control_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q8 detail: the passing evidence ids of required controls, over the
+    faulty ranges (C-06) and versions (C-08) and the clean ranges (C-07, not required)."""
+    checks = {"dq_ranges_faulty": "C-06", "dq_scd2_faulty": "C-08", "dq_ranges": "C-07"}
+    parts = [QUERIES[q](spark, sf_dir).select(
+        F.concat(F.lit(q + ":"), F.col("check_name")).alias("evidence_id"), F.lit(control).alias("control_id"),
+        F.when(F.col("violations") < 20, F.lit("pass")).otherwise(F.lit("fail")).alias("status"))
+        for q, control in checks.items()]
+    required = spark.createDataFrame([(c,) for c in REQUIRED_CONTROLS], "control_id string")
+    return QA.control_evidence(parts[0].unionByName(parts[1]).unionByName(parts[2]), required)
+
+
 QUERIES: dict[str, Query] = {
     "daily_cost_summary": q_daily_cost_summary,
     "cost_trend_7": q_cost_trend_7,
@@ -485,4 +497,5 @@ QUERIES: dict[str, Query] = {
     "weekly_anomalies_from_zero": q_weekly_anomalies_from_zero,
     "masked_customers_padded": q_masked_customers_padded,
     "usage_metrics_faulty": q_usage_metrics_faulty,
+    "control_evidence": q_control_evidence,
 }
