@@ -3,8 +3,10 @@
 A page becomes a sequence of scores: words score positive, tags negative. The
 contiguous run with the largest sum (one linear scan) is the content region.
 The weights come from labelled pages, those that mark their article with
-exactly one ``<article>`` element: log-odds of a word or tag to lie inside. A tag
-that is seen on most labelled pages but never inside an article ends any region.
+exactly one ``<article>`` element: log-odds of a word to lie inside, and of the
+pages with a tag inside to those with it outside, smoothed by one page. Only
+``article``, ``main``, ``body`` and ``html`` end any region; what the sample has not
+seen inside an article costs a finite amount, and nothing inside an ``<article>``.
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments, known by element or by class, id and role, carry no words:
 each counts as one tag.
@@ -57,8 +59,8 @@ _HINTED = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""
 _PART = re.compile(r"[a-z]+")
 
 TEXT, TAG, SKIP = 0, 1, 2
-DEFAULT_WEIGHTS = {"word": 1.0, "link word": 0.2, "other tag": -0.5, "skipped": -1.0,
-                   "article": -1e4, "main": -1e4, "body": -1e4, "html": -1e4}
+ENDS = frozenset(["article", "main", "body", "html"])
+DEFAULT_WEIGHTS = {"word": 1.0, "link word": 0.2, "other tag": -0.5, "skipped": -1.0, **dict.fromkeys(sorted(ENDS), -1e4)}
 
 
 def _skips(name: str, attrs: str, inside: bool) -> bool:
@@ -109,7 +111,8 @@ def tokens(page: str) -> Iterator[tuple[int, str, str, bool]]:
 
 
 def count_labelled(page: str) -> Counter:
-    """Counts of (word or tag, inside the article) on a labelled page."""
+    """Words by (kind, inside the article) on a labelled page, and 1 for each tag
+    that it has inside or outside."""
     got, inside = Counter(), False
     for kind, s, end, link in tokens(page):
         if kind == TEXT:
@@ -117,9 +120,8 @@ def count_labelled(page: str) -> Counter:
         elif kind == TAG:
             if s == "article":
                 inside = not end
-                got[s, False] += 1
             else:
-                got[s, inside] += 1
+                got[s, inside] = 1
     return got
 
 
@@ -134,7 +136,6 @@ def fit_weights(pages: DataFrame, html: str = "html", max_labelled: int = MAX_LA
             got = Counter()
             for page in b.column(0).to_pylist():
                 got += count_labelled(page)
-                got["page", True] += 1
             yield pa.RecordBatch.from_pylist(
                 [{"kind": k, "inside": i, "n": n} for (k, i), n in got.items()],
                 pa.schema([("kind", pa.string()), ("inside", pa.bool_()), ("n", pa.int64())]))
@@ -145,15 +146,12 @@ def fit_weights(pages: DataFrame, html: str = "html", max_labelled: int = MAX_LA
 
 
 def weights_from(got: dict[tuple[str, bool], int]) -> dict[str, float]:
-    n_pages = got.get(("page", True), 0)
     out = dict(DEFAULT_WEIGHTS)
-    for kind in {k for k, _ in got} - {"page"}:
+    for kind in {k for k, _ in got} - ENDS:
         a, b = got.get((kind, True), 0), got.get((kind, False), 0)
         odds = math.log((a + 1) / (b + 1))
         if kind in ("word", "link word"):
             out[kind] = min(3.0, max(0.2, odds))
-        elif not a and 2 * b >= n_pages:
-            out[kind] = -1e4
         else:
             out[kind] = -min(6.0, max(0.05, -odds))
     return out
@@ -163,12 +161,14 @@ def extract(page: str | None, weights: dict[str, float]) -> str:
     """The page's main text: blocks in page order, one space between them."""
     seq = list(tokens(page or ""))
     other, skipped = weights["other tag"], weights["skipped"]
-    best, best_at, here, start = 0.0, (0, 0), 0.0, 0
-    for i, (kind, s, _, link) in enumerate(seq):
+    best, best_at, here, start, inside = 0.0, (0, 0), 0.0, 0, 0
+    for i, (kind, s, end, link) in enumerate(seq):
         if kind == TEXT:
             here += weights["link word" if link else "word"] * len(s.split())
-        else:
+        elif kind == TAG and s in ENDS or not inside:
             here += skipped if kind == SKIP else weights.get(s, other)
+        if kind == TAG and s == "article":
+            inside = max(0, inside + (-1 if end else 1))
         if here > best:
             best, best_at = here, (start, i + 1)
         if here <= 0:

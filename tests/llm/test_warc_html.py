@@ -88,3 +88,19 @@ def test_odd_pages(spark):
     assert out[0][1] == "" and out[1][1] == "" and out[2][1] == "" and out[3] == out[4] and out[3][1] == "a < b <> \"c"
     assert out[-1][2] == 5 * 30000 - 1
     assert html_mss.main_text(df.limit(0)).count() == 0
+
+
+def test_tags_that_the_sample_has_only_outside_end_no_region():
+    words = "one two three four five six seven eight nine ten eleven twelve"
+    tables = "<table>" + f"<tr><td>{'x ' * 3}</td></tr>" * 150 + "</table>"
+    sample = [f"<body><div><article><h1>Title</h1><p>{words} {i}</p></article></div>{tables if i == 3 else ''}</body>"
+              for i in range(60)]
+    got = sum((html_mss.count_labelled(p) for p in sample), html_mss.Counter())
+    w = html_mss.weights_from(got)
+    assert got["td", False] == 1 and got["div", False] == 60
+    assert {k for k, v in w.items() if v < -6} == html_mss.ENDS
+    page = (f"<body><div><article><h1>Head line</h1><div><p>{words}</p></div><table><tr><td>cell a</td><td>cell b</td></tr>"
+            f"</table><div><p>{words} end</p></div></article></div></body>")
+    assert html_mss.extract(page, w) == f"Head line {words} cell a cell b {words} end"
+    page = f"<body><main><h1>Head line</h1><p>{words}</p><table><tr><td>cell a</td></tr></table><p>{words} end</p></main></body>"
+    assert html_mss.extract(page, w) == f"Head line {words} cell a {words} end"
