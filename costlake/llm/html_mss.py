@@ -9,7 +9,10 @@ pages with a tag inside to those with it outside, smoothed by one page. Only
 seen inside an article costs a finite amount, and nothing inside an ``<article>``.
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments, known by element or by class, id and role, carry no words:
-each counts as one tag.
+each counts as one tag. A hint is a part of a class, id or role; inside an article,
+and for ``article`` and ``main`` themselves, it must be a whole class or role or the
+whole id. Ids of sections and of ``CONTENT`` elements must match as a whole anywhere,
+and headings, paragraphs and cells inside an article always count.
 
 ``fit_weights`` learns from at most ``MAX_LABELLED`` labelled pages (those with
 the smallest content hashes, so the sample does not depend on partitioning);
@@ -52,10 +55,11 @@ BLOCKS = frozenset(
     "hr html legend li main ol p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 ARTICLES = frozenset(["article", "main"])
+CONTENT = frozenset("h1 h2 h3 h4 h5 h6 p td".split())
 
 _TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>"""
                     r"""|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
-_HINTED = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+_ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _PART = re.compile(r"[a-z]+")
 
 TEXT, TAG, SKIP = 0, 1, 2
@@ -63,13 +67,25 @@ ENDS = frozenset(["article", "main", "body", "html"])
 DEFAULT_WEIGHTS = {"word": 1.0, "link word": 0.2, "other tag": -0.5, "skipped": -1.0, **dict.fromkeys(sorted(ENDS), -1e4)}
 
 
-def _skips(name: str, attrs: str, inside: bool) -> bool:
+def _skips(name: str, attrs: str, inside: bool, nested: bool = False) -> bool:
+    """Whether an element is left out; ``inside`` an article, or ``nested`` in an
+    element that is left out."""
     if name in RAW or name in SKIPPED and not (name == "header" and inside):
         return True
-    if name in ("body", "html", *ARTICLES) or not attrs:
-        if name not in ARTICLES:
-            return False
-    return any(p in HINTS for a in _HINTED.findall(attrs) for p in _PART.findall(a.lower()))
+    if name in ("body", "html") or not attrs or inside and name in CONTENT:
+        return False
+    whole = inside or name in CONTENT or name in ARTICLES and not nested
+    for key, value in _ATTR.findall(attrs):
+        key, value = key.lower(), value.strip("\"'").lower()
+        if key == "id" and (whole or name == "section" or name in ARTICLES):
+            found = [value.strip()]
+        elif key in ("class", "id", "role"):
+            found = value.split() if whole else _PART.findall(value)
+        else:
+            continue
+        if any(x in HINTS and not (x == "header" and inside) for x in found):
+            return True
+    return False
 
 
 def tokens(page: str) -> Iterator[tuple[int, str, str, bool]]:
@@ -88,7 +104,7 @@ def tokens(page: str) -> Iterator[tuple[int, str, str, bool]]:
         if not name:
             continue
         end, attrs = m[1] or m[4] or "", m[3] or m[6] or ""
-        if skip and not (name in ARTICLES and not end and not _skips(name, attrs, False)):
+        if skip and not (name in ARTICLES and not end and not _skips(name, attrs, False, True)):
             if name == skip:
                 depth += -1 if end else 1
                 skip = skip if depth else ""

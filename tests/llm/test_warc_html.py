@@ -104,3 +104,20 @@ def test_tags_that_the_sample_has_only_outside_end_no_region():
     assert html_mss.extract(page, w) == f"Head line {words} cell a cell b {words} end"
     page = f"<body><main><h1>Head line</h1><p>{words}</p><table><tr><td>cell a</td></tr></table><p>{words} end</p></main></body>"
     assert html_mss.extract(page, w) == f"Head line {words} cell a {words} end"
+
+
+@pytest.mark.parametrize("page", [
+    f"<article><h2 id='related-work'>Head of this text</h2>{BODY}</article>",
+    f"<article><h2 class='header'>Head of this text</h2>{BODY}</article>",
+    f"<article><section id='search-strategy'><h2>Head of this text</h2>{BODY}</section></article>",
+    f"<article><div id='social-effects' class='response-rates'><p class=notice>Head of this text</p>{BODY}</div></article>",
+    f"<main><div class='header'><h1>Head of this text</h1></div><div data-id=search title='a class=ad'>{BODY}</div></main>",
+    f"<article class='post category-social-media' id='search-strategy'><p>Head of this text</p>{BODY}</article>",
+    f"<body><section id='response-rates'><h2 id='related-work'>Head of this text</h2>{BODY}</section></body>",
+    f"<body><div data-id='search' data-class=ad><h2>Head of this text</h2>{BODY}</div></body>",
+    f"<article><h2>Head of this text</h2>{BODY}<div id='comments'><p>{'I agree ' * 20}</p></div></article>",
+    f"<article><h2>Head of this text</h2>{BODY}<div class='box related'>More</div><div role=search>Find</div></article>",
+    f"<article><h2>Head of this text</h2>{BODY}</article><div id='comments'><article class='comment-body'>{'I agree ' * 50}</article></div>",
+])
+def test_words_that_only_contain_a_hint_stay(page):
+    assert html_mss.extract(page, html_mss.DEFAULT_WEIGHTS) == "Head of this text " + TEXT
