@@ -1,4 +1,5 @@
 import math
+import os
 from collections import Counter
 
 import numpy as np
@@ -90,3 +91,37 @@ def test_a_root_licence_covers_everything(spark):
     df = spark.createDataFrame([("LICENSE", MIT), ("x/y/z.py", "plain")], "path string, text string")
     got = {r["path"]: (r["license"], r["license_dir"]) for r in licenses.scan_licenses(df).collect()}
     assert got == {"LICENSE": ("MIT", None), "x/y/z.py": ("MIT", "")}
+
+
+def body_of(name):
+    folder = os.path.join(os.path.dirname(licenses.__file__), "license_texts")
+    with open(os.path.join(folder, f"{name}.txt")) as f:
+        return f.read()
+
+
+def test_bodies_and_long_headers(spark):
+    def commented(text, mark):
+        return "\n".join(f"{mark} {x}".rstrip() for x in text.split("\n"))
+
+    about = [f"this module keeps part {i} of the accounts and of their totals" for i in range(20)]
+    hint = "Copyright (c) 2020, The Authors. All rights reserved.\n\n"
+    rows = [("LICENSE", "Dedicated to the public domain under CC0 1.0 Universal"),
+            ("a/LICENSE", body_of("MIT").replace("AUTHORS", "OWNERS")), ("a/x.py", "plain"),
+            ("b/COPYING", hint + body_of("BSD-2-Clause")), ("b/c/LICENSE.md", hint + body_of("BSD-3-Clause")),
+            ("d/LICENSE", body_of("GPL-3.0")), ("d/x.py", None), ("e/LICENCE", body_of("Apache-2.0") + "\nCopyright 2020 Me\n"),
+            ("f/x.py", commented(hint + body_of("ISC"), "#") + "\nimport os\n"),
+            ("f/x.c", "/*\n" + commented(hint + body_of("MIT"), " *") + "\n */\nint x;"),
+            ("f/y.py", '"""' + hint + body_of("BSD-3-Clause") + '"""\nimport os'),
+            ("f/long.py", commented("\n".join([*about[:9], "Released under the MIT License", *about[9:]]), "#")),
+            ("f/wrapped.py", commented("\n".join([*about, hint + "It is kept here. Licensed under the Apache",
+                                                  "License, Version 2.0. See there."]), "#")),
+            ("f/plain.py", commented("\n".join(about), "#"))]
+    df = spark.createDataFrame(rows, "path string, text string")
+    got = {r["path"]: (r["license"], r["license_from"], r["license_dir"]) for r in licenses.scan_licenses(df).collect()}
+    names = {"LICENSE": "CC0-1.0", "a/LICENSE": "MIT", "b/COPYING": "BSD-2-Clause", "b/c/LICENSE.md": "BSD-3-Clause",
+             "d/LICENSE": "GPL-3.0", "e/LICENCE": "Apache-2.0", "f/x.py": "ISC", "f/x.c": "MIT", "f/y.py": "BSD-3-Clause",
+             "f/long.py": "MIT", "f/wrapped.py": "Apache-2.0"}
+    want = {path: (name, "file", None) for path, name in names.items()}
+    want |= {"a/x.py": ("MIT", "inherited", "a"), "d/x.py": ("GPL-3.0", "inherited", "d"),
+             "f/plain.py": ("CC0-1.0", "inherited", "")}
+    assert got == want
