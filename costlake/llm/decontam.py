@@ -9,10 +9,10 @@
 2. ``test_windows`` cuts the test items into windows of 13 consecutive words
    (an item of fewer words is one window) and orders each window's terms by
    their corpus frequency.
-3. ``candidates`` intersects offset-adjusted lists from the rarest terms: the
-   postings of the rarest term, shifted by its offset, are joined with the
-   shifted postings of the second rarest; equal starts are phrase candidates,
-   starts at most ``slop`` apart are proximity candidates.
+3. ``candidates`` intersects offset-adjusted lists of the rarest terms: two more
+   than a proximity match may lack, so that two are left. Their postings, shifted
+   by their offsets, meet in ranges of ``BLOCK`` places; equal starts are phrase
+   candidates, starts at most ``slop`` apart are proximity candidates.
 4. ``decontaminate`` joins the candidates back to the documents and checks
    each against the window word by word (terms are 64-bit hashes up to here).
 
@@ -41,6 +41,7 @@ from costlake.session import materialize
 WINDOW = 13
 SLOP = 2
 NEAR_SHARE = 0.8           # a proximity match has this share of the window's distinct words
+BLOCK = 64                 # starts that are compared with each other, a range of places in a document
 MAX_BROADCAST_ROWS = 200_000
 OUT = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "n_near")
 
@@ -93,37 +94,45 @@ def test_windows(test: DataFrame, n: int = WINDOW) -> DataFrame:
 
 
 def candidates(postings: DataFrame, windows: DataFrame, slop: int = SLOP) -> DataFrame:
-    """(doc, wid, start): places where the window's two rarest terms agree on
-    its start within ``slop`` words."""
+    """(doc, wid, start): places where two of the window's rarest terms agree on
+    its start within ``slop`` words. A near match lacks at most ``miss`` distinct
+    words, so two of the ``miss + 2`` rarest are there, and in an exact match all
+    agree. A window of one distinct word has every place of that word."""
     freq = postings.groupBy("term").agg(F.count(F.lit(1)).alias("freq"))
-    terms = windows.select("wid", F.size("win").alias("len"), F.posexplode("win").alias("off", "word")).select(
-        "wid", "len", "off", F.xxhash64("word").alias("term"))
-    # A window with a term that the corpus lacks occurs nowhere; its rarest
-    # list is empty, so the inner joins drop it.
-    ranked = terms.join(freq, "term", "left").withColumn("r", F.row_number().over(
-        Window.partitionBy("wid").orderBy(F.coalesce("freq", F.lit(0)), "off")))
-    rare, few = _bounded(ranked.filter("r <= 2").select("term", "wid", "off", "len", "r"))
-
-    def starts(rank: int) -> DataFrame:
-        at = _join_terms(postings, rare.filter(F.col("r") == rank), few)
-        return at.select("doc", "wid", "len", (F.col("pos") - F.col("off")).alias("start"))
-
-    first = starts(1)
-    width = slop + 1
-    block = F.floor(F.col("start") / width)
-    second = starts(2).select("doc", "wid", F.col("start").alias("other"),
-                              F.explode(F.array(block - 1, block, block + 1)).alias("block"))
-    both = (first.filter("len > 1").withColumn("block", block)
-            .join(second, ["doc", "wid", "block"])
-            .filter(F.abs(F.col("start") - F.col("other")) <= slop).select("doc", "wid", "start"))
-    return both.unionByName(first.filter("len = 1").select("doc", "wid", "start")).distinct()
+    n_distinct = F.size(F.array_distinct("win"))
+    miss = (n_distinct - F.ceil(F.lit(NEAR_SHARE) * n_distinct)).cast("int")
+    terms = windows.select("wid", miss.alias("miss"), (n_distinct == 1).alias("single"),
+                           F.posexplode("win").alias("off", "word")).select(
+        "wid", "miss", "single", "off", F.xxhash64("word").alias("term"))
+    each = terms.groupBy("wid", "miss", "single", "term").agg(F.collect_list("off").alias("offs"))
+    ranked = each.join(freq, "term", "left").withColumn("r", F.row_number().over(
+        Window.partitionBy("wid").orderBy(F.coalesce("freq", F.lit(0)), "term")))
+    # More than ``miss`` terms that the corpus lacks: neither match can occur.
+    lacks = F.count_if(F.col("freq").isNull()).over(Window.partitionBy("wid"))
+    rare, few = _bounded(ranked.withColumn("lacks", lacks)
+                         .filter("lacks <= miss AND r <= miss + 2 AND freq IS NOT NULL")
+                         .select("term", "wid", "single", "r", F.explode("offs").alias("off")))
+    at = _join_terms(postings, rare, few).select("doc", "wid", "single", "r", (F.col("pos") - F.col("off")).alias("start"))
+    alone = at.filter("single").select("doc", "wid", "start")
+    # Starts in the last ``slop`` places of a block are also in the next one.
+    block = F.floor(F.col("start") / BLOCK)
+    late = F.pmod("start", F.lit(BLOCK)) >= BLOCK - slop
+    dealt = at.filter("NOT single").select("doc", "wid", "r", "start", F.explode(
+        F.when(late, F.array(block, block + 1)).otherwise(F.array(block))).alias("block"))
+    groups = (dealt.groupBy("doc", "wid", "block")
+              .agg(F.collect_list(F.struct("start", "r")).alias("at"), F.min("r").alias("low"), F.max("r").alias("high"))
+              .filter("low < high"))
+    agree = F.filter("at", lambda a: F.exists("at", lambda b: (a.r != b.r) & (F.abs(a.start - b.start) <= slop)))
+    both = groups.select("doc", "wid", F.explode(F.transform(agree, lambda a: a.start)).alias("start"))
+    return both.unionByName(alone).distinct()
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, n: int = WINDOW, slop: int = SLOP, min_share_pct: int = 5,
                   key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text",
                   drop_text: bool = False) -> DataFrame:
     """``docs`` with n_words, n_hit, n_items, items_sha256, contaminated and
-    n_near (windows found within ``slop`` words but not word for word)."""
+    n_near (distinct windows of items found within ``slop`` words but not word for
+    word at that place)."""
     test = test_items(items, item_key, item_text)
     windows = materialize(test_windows(test, n))
     postings = build_index(docs, test, key, text)
@@ -131,7 +140,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, n: int = WINDOW, slop: int
     # The windows' words travel with the candidates of one document; their
     # number is bounded by the document's own length times its items.
     per_doc = (found.join(windows, "wid").groupBy("doc")
-               .agg(F.collect_list(F.struct("start", "item", "win")).alias("at")))
+               .agg(F.collect_list(F.struct("start", "item", "win", "wid")).alias("at")))
     d = docs.select(packed(docs, (*OUT, text) if drop_text else OUT), _doc_key(key, text).alias("doc"),
                     text_of(text).alias("text"))
     joined = d.join(per_doc, "doc", "left").select("_doc", "at", words_of("text").alias("words"))
@@ -140,12 +149,16 @@ def decontaminate(docs: DataFrame, items: DataFrame, n: int = WINDOW, slop: int
         return (c.start >= 0) & (F.slice(F.col("words"), at, F.size(c.win)) == c.win)
 
     def close(c: Column) -> Column:
-        around = F.slice(F.col("words"), F.greatest(c.start - slop, F.lit(0)) + 1, F.size(c.win) + 2 * slop)
+        first = F.greatest(c.start - slop, F.lit(0))
+        around = F.slice(F.col("words"), first + 1, F.greatest(c.start + F.size(c.win) + slop - first, F.lit(0)))
         return (F.size(F.array_intersect(around, c.win))
                 >= F.ceil(F.lit(NEAR_SHARE) * F.size(F.array_distinct(c.win))))
 
     two = joined.select("_doc", F.size("words").cast("bigint").alias("n_words"), F.filter("at", same).alias("hit"),
-                        F.size(F.filter("at", lambda c: ~same(c) & close(c))).alias("near"))
+                        F.filter("at", lambda c: ~same(c) & close(c)).alias("near"))
+    # A start beside an exact match of the same window is that match.
+    apart = F.filter("near", lambda c: ~F.exists("hit", lambda h: (h.wid == c.wid) & (F.abs(h.start - c.start) <= slop)))
+    two = two.select("_doc", "n_words", "hit", F.size(F.array_distinct(F.transform(apart, lambda c: c.wid))).alias("near"))
     spans = F.array_sort(F.transform("hit", lambda c: F.struct(c.start.alias("s"), (c.start + F.size(c.win)).alias("e"))))
     zero = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
     covered = F.aggregate(spans, zero, lambda a, x: F.struct(

@@ -63,6 +63,24 @@ def test_proximity_matches_are_reported(spark):
     assert near[1] == (13, 0) and near[3] == (0, 0) and near[2][0] == 0
 
 
+def test_a_near_copy_without_its_rarest_words_is_found(spark):
+    words = [f"w{i}" for i in range(13)]
+    common = " ".join(words[2:]) + " "
+
+    def near(*changed):
+        return " ".join("other" if i in changed else w for i, w in enumerate(words))
+
+    docs = [(1, near(0)), (2, "a b c " + near(0, 1) + " d e"), (3, near(0, 1, 2)), (4, near()), (5, near(4, 9)),
+            (6, near()[3:]), (7, common * 3), (8, near() + " " + "z " * 70 + near(0)), (9, "z " * 60 + near(12))]
+    out = run(spark, docs + [(10, "w0 w5 w1")], [(1, near())]).collect()
+    got = {r["doc_id"]: (r["n_hit"], r["n_near"]) for r in out}
+    assert got == {1: (0, 1), 2: (0, 1), 3: (0, 0), 4: (13, 0), 5: (0, 1), 6: (0, 1), 7: (0, 1), 8: (13, 1), 9: (0, 1),
+                   10: (0, 0)}
+    # the corpus lacks the replaced word altogether
+    out = run(spark, [(1, near(6)), (2, near(6, 7, 8))], [(1, near())]).collect()
+    assert {r["doc_id"]: r["n_near"] for r in out} == {1: 1, 2: 0}
+
+
 def rules(docs):
     out = []
     for d, _, t in docs:
