@@ -33,7 +33,8 @@ MAX_HOST_RATE = 0.8
 # Counted host verdicts up to this many are broadcast; more are joined by shuffle.
 MAX_BROADCAST_HOSTS = 100_000
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-ADDED = (*MEASURES, "base_failed", "host_rate", "kept")
+LINES = "_n_lines"          # working column: lines with a word
+ADDED = (*MEASURES, LINES, "base_failed", "host_rate", "kept")
 
 
 def _long(c: Column) -> Column:
@@ -60,7 +61,8 @@ def _repeat_words(sorted_windows: str) -> Column:
 
 
 def base_rules(docs: DataFrame, text: str = "text", drop_text: bool = False) -> DataFrame:
-    """``docs`` plus the measures of each whole text and ``base_failed``."""
+    """``docs`` plus the measures of each whole text, its lines with a word
+    (``LINES``) and ``base_failed``."""
     t = text_of(text)
     lines = F.filter(F.split(t, "\n", -1), lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]")))
     words = docs.select(
@@ -71,8 +73,9 @@ def base_rules(docs: DataFrame, text: str = "text", drop_text: bool = False) ->
         _long(F.size("words")).alias("n_words"),
         _long(F.char_length(F.array_join("words", ""))).alias("word_chars"),
         _long(F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
+        _long(F.size("lines")).alias(LINES),
         F.transform("words", lambda w: F.xxhash64(w)).alias("wh"))
-    plain = ["_doc", "n_symbols", "n_words", "word_chars", "n_dup_lines"]
+    plain = ["_doc", "n_symbols", "n_words", "word_chars", "n_dup_lines", LINES]
     n_win = F.size("wh") - (REPEAT_WINDOW - 1)
     windows = hashed.select(*plain, F.when(n_win > 1, F.transform(
         F.sequence(F.lit(1), n_win), lambda i: F.xxhash64(F.slice(F.col("wh"), i, F.lit(REPEAT_WINDOW))))).alias("win"))
@@ -82,14 +85,14 @@ def base_rules(docs: DataFrame, text: str = "text", drop_text: bool = False) ->
         "win", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))).alias("by_hash"))
     scored = in_order.select(*plain, _repeat_words("by_hash").alias("n_repeat_words"))
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PCT)
-    return scored.select("_doc.*", *MEASURES, failed.alias("base_failed"))
+    return scored.select("_doc.*", *MEASURES, LINES, failed.alias("base_failed"))
 
 
 def rule_failed() -> Column:
     """What counts against a host: a base failure, a tenth of the characters
-    symbols, or a third of the words' lines repeated earlier lines."""
+    symbols, or a third of the lines repeats of earlier lines."""
     return (F.col("base_failed") | (F.col("n_symbols") * 10 > F.col("word_chars"))
-            | (F.col("n_dup_lines") * 3 > F.col("n_words")))
+            | (F.col("n_dup_lines") * 3 > F.col(LINES)))
 
 
 def host_rates(scored: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
@@ -129,5 +132,5 @@ def host_quality(docs: DataFrame, host: str = "source", text: str = "text", drop
     if m["n"] <= MAX_BROADCAST_HOSTS:
         rates = F.broadcast(rates)
     joined = scored.join(rates, scored[host].eqNullSafe(F.col("_host.host")), "left")
-    return joined.select(*[scored[c] for c in scored.columns], F.col("_host.host_rate").alias("host_rate"),
+    return joined.select(*[scored[c] for c in scored.columns if c != LINES], F.col("_host.host_rate").alias("host_rate"),
                          (~F.col("base_failed") & ~F.col("_host.host_rejected")).alias("kept"))

@@ -126,3 +126,16 @@ def test_a_bad_host_takes_its_documents_with_it(spark):
     assert not out[100]["kept"] and out[200]["kept"] and out[301]["kept"] and not out[300]["kept"]
     assert out[300]["host_rate"] < 1 and out[200]["host"] == 5
     assert quality_rules.host_quality(df.limit(0)).count() == 0
+
+
+def test_a_host_of_repeated_lines_is_rejected(spark):
+    def text(i):
+        return "\n".join(f"read more about it\nstory{k} {i} number{k} told{k}" for k in range(12))
+
+    rows = [(i, "echo", text(i)) for i in range(60)]
+    rows += [(100 + i, "good", " ".join(f"word{k}" for k in range(40))) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    out = {r["doc_id"]: r for r in quality_rules.host_quality(df).collect()}
+    assert not out[0]["base_failed"] and out[0]["n_dup_lines"] == 11
+    assert {r["kept"] for i, r in out.items() if i < 100} == {False} and out[100]["kept"]
+    assert quality_rules.LINES not in out[0].asDict()
