@@ -5,8 +5,9 @@ equal payload), then every task packs its records into archives of about
 ``ARCHIVE_BYTES``: a Zstandard dictionary is built from the archive's own records
 and put into a leading skippable frame (magic 0x184D2A5D), and every record is
 one Zstandard frame, so any of them can be read by its offset. Archives are
-written under a name of their own attempt and moved into place, so a retried
-or speculative task replaces a file by an equal one. ``read_warc`` opens the
+written under a name of their own attempt and moved into place, and a task's rows
+are sorted first, whatever order the shuffle gave them, so a retried or
+speculative task replaces a file by an equal one. ``read_warc`` opens the
 archives through Spark's binary reader.
 
 A task holds one archive at a time. Equal payloads are found by a join with the
@@ -148,7 +149,8 @@ def write_warc(pages: DataFrame, folder: str, key: str = "page_id", html: str =
         if held:
             yield flush()
 
-    return materialize(revisits(pages, key, html).mapInArrow(write, "path string, records bigint, bytes bigint"))
+    rows = revisits(pages, key, html).sortWithinPartitions("sha1", "size", "page_id", "url")
+    return materialize(rows.mapInArrow(write, "path string, records bigint, bytes bigint"))
 
 
 def read_warc(spark: SparkSession, folder: str) -> DataFrame:

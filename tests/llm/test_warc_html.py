@@ -39,6 +39,17 @@ def test_round_trip_with_revisits(spark):
     assert warc.round_trip(df.limit(0)).count() == 0
 
 
+def test_archives_do_not_depend_on_the_order_of_rows(spark):
+    rows = [(i, f"http://h/{i}", f"<p>{i % 7} " + "word " * 300) for i in range(60)] + [(None, "u", "x"), (5, None, "x")]
+    told = []
+    for given in (rows, rows[::-1]):
+        folder = scratch_path(spark, "warc")
+        warc.write_warc(spark.createDataFrame(given, PAGE).coalesce(1), folder, archive_bytes=4000)
+        files = spark.read.format("binaryFile").load(folder).collect()
+        told.append(sorted((f["path"].rsplit("/", 1)[1], bytes(f["content"])) for f in files))
+    assert len(told[0]) > 2 and told[0] == told[1]
+
+
 def test_archive_layout():
     records = [warc.record(i, f"http://h/{i}", b"<html>" + bytes(str(i), "ascii") * 50, 60, "00" * 20, None) for i in range(500)]
     data = warc.pack(records)
