@@ -106,7 +106,12 @@ def _distinct(h: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 _ASKED = pa.schema([("block", pa.int64()), ("part", pa.int64()), ("grams", pa.binary()), ("counts", pa.binary()),
                     ("words", pa.int64())])
-_TOLD = pa.schema([("block", pa.int64()), ("part", pa.int64()), ("totals", pa.binary())])
+_TOLD = pa.schema([("block", pa.int64()), ("part", pa.int64()), ("totals", pa.binary()), ("check", pa.int64())])
+
+
+def checksum(grams: np.ndarray) -> int:
+    """64-bit sum over distinct n-grams; those of the parts add up to the block's."""
+    return int(_mix(grams ^ _BASE).sum(dtype=_U).astype(np.int64))
 
 
 def _ask(parts: int):
@@ -135,15 +140,16 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g, at = np.unique(np.concatenate(asked), return_inverse=True)
         n = np.bincount(at, np.concatenate([unplanes(r[3], np.uint32) for r in held]), len(g)).astype(np.uint64)
         for r, own in zip(held, asked):
-            yield batch(_TOLD, [(r[0], r[1], planes(n[np.searchsorted(g, own)]))])
+            yield batch(_TOLD, [(r[0], r[1], planes(n[np.searchsorted(g, own)]), checksum(own))])
 
 
-def score_block(texts: pa.Array, totals: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
+def score_block(texts: pa.Array, totals: np.ndarray, n: int, checks: list[int]) -> tuple[np.ndarray, ...]:
     """(words, backed-off words, score) of each text of a block, given the corpus
-    totals of its distinct n-grams in hash order."""
+    totals of its distinct n-grams in hash order and the checksums of the n-grams
+    that were answered."""
     h, counts, two, at = _grams(texts)
     grams, _ = _distinct(h, two)
-    if len(grams) != len(totals):
+    if len(grams) != len(totals) or (checksum(grams) - sum(checks)) % (1 << 64):
         raise ValueError("a block changed between its two reads: pass stored=False")
 
     def total(x: np.ndarray) -> np.ndarray:
@@ -180,7 +186,7 @@ def lm_scores(docs: DataFrame, text: str = "text", stored: bool = True, drop_tex
         .observe(seen, F.coalesce(F.sum("words"), F.lit(0)).alias("n"))
     dealt = asked.repartition(max(parts, int(spark.conf.get("spark.sql.shuffle.partitions"))), "part")
     told = materialize(dealt.sortWithinPartitions("part")
-                       .mapInArrow(_answer, "block bigint, part bigint, totals binary"))
+                       .mapInArrow(_answer, "block bigint, part bigint, totals binary, check bigint"))
     n = seen.get["n"]
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name == "_doc")
     schema = pa.schema([("n_words", pa.int64()), ("n_backoff", pa.int64()), ("lm_score", pa.float64())])
@@ -189,7 +195,7 @@ def lm_scores(docs: DataFrame, text: str = "text", stored: bool = True, drop_tex
         told = sorted(zip(right["part"].to_pylist(), right["totals"].to_pylist()))
         totals = np.concatenate([np.zeros(0, _U), *[unplanes(t, np.uint64) for _, t in told]])
         texts = left["text"].combine_chunks() if left.num_rows else pa.array([], pa.string())
-        cols = score_block(texts, totals, n)
+        cols = score_block(texts, totals, n, right["check"].to_pylist())
         return pa.table([left["_doc"], *[pa.array(x, f.type) for x, f in zip(cols, schema, strict=True)]],
                         names=["_doc", *schema.names])
 

@@ -59,6 +59,16 @@ def test_word_hashes_follow_the_words(texts, skip):
         {p for d in words for p in zip(d, d[1:])})
 
 
+def test_answers_of_another_block_are_refused():
+    asked = pa.record_batch({"block": [5], "text": ["a b c"]})
+    told = [r for b in ngram_lm._answer(ngram_lm._ask(16)(iter([asked]))) for r in b.to_pylist()]
+    totals = np.concatenate([unplanes(r["totals"], np.uint64) for r in told])
+    checks = [r.get("check") for r in told]
+    assert ngram_lm.score_block(pa.array(["a b c"]), totals, 3, checks)[0].tolist() == [3]
+    with pytest.raises(ValueError):
+        ngram_lm.score_block(pa.array(["x y z"]), totals, 3, checks)
+
+
 def test_planes_round_trip():
     x = np.array([0, 1, 2**63, 5], np.uint64)
     assert (unplanes(planes(x), np.uint64) == x).all()
