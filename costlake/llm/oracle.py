@@ -135,4 +135,68 @@ SELECT o.doc_id, o.dir || '/' || o.name AS path, coalesce(o.license, n.license)
 FROM owned o LEFT JOIN (SELECT dir, up, license, similarity FROM nearest WHERE r = 1) n USING (dir)
 """
 
-SQL = {"op3_stupid_backoff": OP3, "op4_license_scan": OP4, "op6_warc": OP6, "op1_decontaminate": OP1, "op7_host_quality": OP7}
+
+
+def _merkle_sql(levels: int = 8) -> str:
+    """The tree and its proofs, one step a level, over trees of up to 16^levels
+    leaves; with crc32 of the decimal id spelt out bit by bit."""
+
+    def enc(c: str) -> str:
+        return f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(enc(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    def tree(name: str, base: str, key: str) -> list[str]:
+        """Levels ``name0..`` (key, pos, node, n) over ``base``, the joined arrays
+        between them, and per node of level 0 its steps as two lists."""
+        out = [f"{name}0 AS ({base})"]
+        for k in range(levels):
+            out.append(f"{name}{k + 1} AS (SELECT {key}, pos // 16 AS pos, sha256(string_agg(node, '' ORDER BY pos)) AS node, "
+                       f"(any_value(n) + 15) // 16 AS n FROM {name}{k} WHERE n > 1 GROUP BY {key}, pos // 16)")
+            out.append(f"{name}w{k} AS (SELECT a.{key}, a.pos, coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS pre, "
+                       f"coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS post "
+                       f"FROM {name}{k} a JOIN {name}{k} b ON a.{key} = b.{key} AND a.pos // 16 = b.pos // 16 WHERE a.n > 1 GROUP BY a.{key}, a.pos)")
+        tops = " UNION ALL ".join(f"SELECT {key}, node FROM {name}{k} WHERE n = 1" for k in range(levels + 1))
+        out.append(f"{name}top AS ({tops})")
+        steps = " ".join(f"LEFT JOIN {name}w{k} s{k} ON s{k}.{key} = x.{key} AND s{k}.pos = x.pos // {16 ** k}" for k in range(levels))
+        pre, post = (", ".join(f"s{k}.{c}" for k in range(levels)) for c in ("pre", "post"))
+        out.append(f"{name}path AS (SELECT x.{key}, x.pos, list_filter([{pre}], lambda s: s IS NOT NULL) AS pre, "
+                   f"list_filter([{post}], lambda s: s IS NOT NULL) AS post FROM {name}0 x {steps})")
+        return out
+
+    bit = "xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)"
+    step = "xor(c, b)"
+    for _ in range(8):
+        step = f"list_transform([{step}], lambda c: {bit})[1]"
+    crc = (f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), "
+           f"lambda s: ascii(s)::BIGINT)), lambda c, b: {step}), 4294967295)")
+    low = f"CASE WHEN text IS NULL THEN NULL ELSE translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') END"
+    parts = [f"d AS (SELECT doc_id, coalesce('s' || source, '') AS grp, {leaf('text')} AS leaf, {leaf('low')} AS forged, "
+             f"coalesce({crc} % 5 = 0, false) AS bad FROM (SELECT *, {low} AS low FROM documents))",
+             "l AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, "
+             "count(*) OVER (PARTITION BY grp) AS n FROM d)"]
+    parts += tree("t", "SELECT grp, pos, leaf AS node, n FROM l", "grp")
+    parts += tree("r", "SELECT 1 AS one, row_number() OVER (ORDER BY encode(grp)) - 1 AS pos, node, count(*) OVER () AS n, grp FROM ttop", "one")
+    parts.append("full_path AS (SELECT l.*, s.node AS subroot, rtop.node AS root, list_concat(p.pre, q.pre) AS pre, "
+                 "list_concat(p.post, q.post) AS post FROM l JOIN tpath p ON p.grp = l.grp AND p.pos = l.pos "
+                 "JOIN r0 s ON s.grp = l.grp JOIN rpath q ON q.pos = s.pos CROSS JOIN rtop)")
+    parts.append("folded AS (SELECT *, CASE WHEN bad THEN forged ELSE leaf END AS start FROM full_path)")
+    climb = "start"
+    for k in range(1, 2 * levels + 1):
+        climb = f"CASE WHEN len(pre) < {k} THEN f{k - 1} ELSE sha256(pre[{k}] || f{k - 1} || post[{k}]) END"
+        parts.append(f"fold{k} AS (SELECT *, {climb} AS f{k} FROM {'folded0' if k == 1 else f'fold{k - 1}'})")
+        if k == 1:
+            parts.insert(-1, "folded0 AS (SELECT *, start AS f0 FROM folded)")
+    last = f"f{2 * levels}"
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT doc_id, leaf, subroot, root,
+       sha256(array_to_string(list_transform(range(1, len(pre) + 1), lambda i: pre[i] || post[i]), '')) AS proof_sha256,
+       {last} AS folded_root, {last} = root AS verified
+FROM fold{2 * levels}
+"""
+
+
+OP12 = _merkle_sql(levels=4)
+
+SQL = {"op12_merkle_manifest": OP12, "op3_stupid_backoff": OP3, "op4_license_scan": OP4, "op6_warc": OP6, "op1_decontaminate": OP1, "op7_host_quality": OP7}

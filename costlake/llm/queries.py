@@ -11,7 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costlake.llm import decontam, html_mss, licenses, mixing, ngram_lm, quality_rules, sharding, simhash, suffix_dedup, warc
+from costlake.llm import (
+    decontam, html_mss, licenses, merkle, mixing, ngram_lm, piece_encoding, quality_rules, sharding, simhash,
+    suffix_dedup, token_alignment, warc,
+)
 from costlake.sources.views import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +77,32 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("kept")
 
 
+def vocabulary(name: str) -> bytes:
+    """A public tokenizer's file, read on the driver."""
+    import public_tokenizers
+
+    return piece_encoding.read_model(public_tokenizers.path(name))
+
+
+def op11_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = piece_encoding.encode(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                vocabulary("piece_bpe_32k.model"), drop_text=True)
+    return out.select("doc_id", F.floor(F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+                      F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+                      F.sha2("spans", 256).alias("spans_sha256"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = merkle.manifest(table(spark, sf_dir, "documents"), tampered=merkle.every_fifth("doc_id"))
+    return out.drop("proof")
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                 vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"), drop_text=True)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -82,4 +111,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_decontaminate, op2_ring_shards, op3_stupid_backoff, op4_license_scan, op5_rake_mix, op6_warc,
-    op7_host_quality, op8_simhash_pigeonring, op9_main_text, op10_suffix_dedup, pipeline)}
+    op7_host_quality, op8_simhash_pigeonring, op9_main_text, op10_suffix_dedup,
+    op11_piece_encoding, op12_merkle_manifest, op13_token_alignment, pipeline)}
