@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from costlake.functions.masking import (
@@ -61,7 +61,24 @@ def load_dim_service(raw: DataFrame, existing: DataFrame | None, run_ts: str,
     The observations are one row per distinct service (bounded by the
     service catalogue), so the key numbering may use one partition.
     """
-    obs = _require_not_null(service_observations(raw), ["product_code", "usage_type"], "dim_service")
+    return dim_service_from(service_observations(raw), existing, run_ts, mapping)
+
+
+def merge_service_state(state: DataFrame | None, batch: DataFrame) -> DataFrame:
+    """A3 kept as a mergeable state: the observations of everything loaded so far
+    and of ``batch``, without the lines behind the state."""
+    seen = service_observations(batch)
+    if state is None:
+        return seen
+    return (state.unionByName(seen).groupBy("product_code", "usage_type")
+            .agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen")))
+
+
+def dim_service_from(observations: DataFrame, existing: DataFrame | None, run_ts: str,
+                     mapping: dict[str, str] | None = None) -> DataFrame:
+    """D2 from the observations (A3) of the lines loaded so far: those of a full
+    scan, or a state that ``merge_service_state`` carries from batch to batch."""
+    obs = _require_not_null(observations, ["product_code", "usage_type"], "dim_service")
     start = max_key_column(existing, "service_key")
     keyed = assign_surrogate_keys(obs, ["product_code", "usage_type"], "service_key", start, method="global")
     ts = F.lit(run_ts)
@@ -111,12 +128,16 @@ def mask_snapshot(snapshot: DataFrame, salt: str) -> DataFrame:
     The check is part of the ``customer_id`` output expression, so column
     pruning cannot drop it.
     """
+    return snapshot.select(*_checked_mask(snapshot, salt))
+
+
+def _checked_mask(snapshot: DataFrame, salt: str) -> list[Column]:
     check_salt(salt)
     reason = _reason(snapshot)
     checked_id = F.when(reason != "", F.raise_error(
         F.concat(F.lit("invalid customer row "), F.col("customer_id").cast("string"), F.lit(": "), reason))
     ).otherwise(F.col("customer_id"))
-    return snapshot.select(checked_id.alias("customer_id"), *_masked_columns(salt)[1:])
+    return [checked_id.alias("customer_id"), *_masked_columns(salt)[1:]]
 
 
 def mask_snapshot_quarantine(snapshot: DataFrame, salt: str) -> MaskResult:
@@ -214,6 +235,33 @@ def scd2_changes(dim: DataFrame | None, snapshot: DataFrame, salt: str, snapshot
     return history, out
 
 
+def replay_snapshots(snapshots: DataFrame, salt: str, tracked_cols: list[str] | None = None,
+                     date_col: str = "snapshot_date") -> DataFrame:
+    """The dimension after loading every snapshot of ``snapshots`` (snapshot
+    columns and ``date_col``) in date order, in one pass.
+
+    Gaps and islands: among a customer's rows by date, those whose tracked columns
+    differ from the row before start a version; the next start closes it. A
+    snapshot that lacks a customer has no row, so it changes nothing. Keys are
+    numbered by (start, customer_id), the order in which loads hand them out.
+    One shuffle on ``customer_id`` (a customer has at most one row per snapshot;
+    twice in one fails), then the key assignment.
+    """
+    tracked = tracked_cols or ["segment"]
+    masked = mask_snapshot(snapshots, salt).columns
+    rows = snapshots.select(F.col(date_col).cast("string").alias("_day"), *_checked_mask(snapshots, salt))
+    rows = unique_rows(rows, ["customer_id", "_day"], "customer snapshots", check_cols=tracked)
+    by_day = Window.partitionBy("customer_id").orderBy("_day")
+    starts = F.lag(F.lit(True)).over(by_day).isNull()
+    for c in tracked:
+        starts = starts | ~F.lag(c).over(by_day).eqNullSafe(F.col(c))
+    versions = rows.withColumn("_starts", starts).filter("_starts").select(
+        *masked, F.col("_day").alias("effective_from"), F.lead("_day").over(by_day).alias("effective_to"))
+    keyed = assign_surrogate_keys(versions, ["effective_from", "customer_id"], "customer_key")
+    return keyed.withColumn("is_current", F.col("effective_to").isNull()).withColumn(
+        "_loaded_at", F.col("effective_from")).select(*DIM_CUSTOMER_COLUMNS)
+
+
 # --- D7: snapshot diff ------------------------------------------------------------------
 
 def snapshot_diff(old: DataFrame, new: DataFrame, tracked_cols: list[str] | None = None,

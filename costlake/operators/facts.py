@@ -100,38 +100,54 @@ def active_pairs(dim_customer: DataFrame, dates: DataFrame, max_dates: int | Non
     """(usage_date, customer_key) for every version active on a date of ``dates``.
 
     Dates are compared as text (``effective_from <= d < effective_to``), so one
-    with a time part belongs to its day. Each version is expanded over the
-    days that occur among ``dates`` (first ten characters; one array in a
-    scalar subquery, bounded by the calendar), so a batch of two dates years
-    apart makes two rows per version; the days then meet the date texts by an
-    equi join, and the exact comparison follows. ``max_dates`` is a known bound
-    on the distinct dates (counted here if absent); within the broadcast limit
-    they are broadcast. Versions are spread over the shuffle partitions before
-    they fan out: a small input split can make very many rows.
+    with a time part belongs to its day. The days that occur among ``dates``
+    (first ten characters) make one sorted array, bounded by the calendar, and
+    every distinct bound of a version gets its positions in it once
+    (``_day_positions``). A version looks up its two bounds and takes the slice
+    between them, so it costs its output, however long the history; the days then meet
+    the date texts by an equi join, and the exact comparison follows. ``max_dates``
+    is a known bound on the distinct dates (counted here if absent); within the
+    broadcast limit they are broadcast. Versions are spread over the shuffle
+    partitions before they fan out: a small input split can make very many rows.
     ``customer_key`` is the dimension's primary key, so the pairs are
     distinct without a DISTINCT (U1; Q2 checks the key).
     """
     spark = dim_customer.sparkSession
-
-    def day(c: str) -> Column:
-        return F.substring(F.col(c), 1, 10)
-
-    d = dates.select("usage_date").filter(F.col("usage_date").isNotNull()).distinct().withColumn("_day", day("usage_date"))
+    d = dates.select("usage_date").filter(F.col("usage_date").isNotNull()).distinct().withColumn("_day", _day("usage_date"))
     days = d.agg(F.array_sort(F.collect_set("_day"))).scalar()
     if max_dates is None:
         max_dates = d.count()
     if max_dates <= broadcast_limit(spark):
         d = F.broadcast(d)
-    hit = F.filter(F.col("_days"), lambda x: (x >= day("effective_from")) & (x <= day("_to")))
     v = (_valid_versions(dim_customer)
          .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "customer_key")
-         .withColumn("_days", days))
-    spans = v.select("customer_key", "effective_from", "_to", F.explode(hit).alias("_day"))
+         .select("customer_key", "effective_from", "_to", _day("effective_from").alias("_a"), _day("_to").alias("_b")))
+    at = _day_positions(v, d)
+    low, high = at.select(F.col("_day").alias("_a"), "before"), at.select(F.col("_day").alias("_b"), "upto")
+    placed = v.join(low, "_a").join(high, "_b").filter(F.col("upto") > F.col("before"))
+    spans = placed.select("customer_key", "effective_from", "_to", F.explode(
+        F.slice(days, F.col("before") + 1, F.col("upto") - F.col("before"))).alias("_day"))
     return (spans.join(d, "_day", "inner")
             .filter((F.col("effective_from") <= F.col("usage_date")) & (F.col("usage_date") < F.col("_to")))
             .select("usage_date", "customer_key"))
 
 
+def _day(c: str) -> Column:
+    return F.substring(F.col(c), 1, 10)
+
+
+def _day_positions(versions: DataFrame, dates: DataFrame) -> DataFrame:
+    """(_day, before, upto): for each bound of a version, how many of the days of
+    ``dates`` lie before it, and how many up to it. One row per distinct day,
+    bounded by the calendar, so the running count may use one task."""
+    bounds = versions.select(F.explode(F.array("_a", "_b")).alias("_day"), F.lit(0).alias("hit"), F.lit(1).alias("asked"))
+    days = dates.select("_day", F.lit(1).alias("hit"), F.lit(0).alias("asked"))
+    each = bounds.unionByName(days).groupBy("_day").agg(F.max("hit").alias("hit"), F.max("asked").alias("asked"))
+    upto = F.sum("hit").over(Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (each.withColumn("upto", upto.cast("int")).withColumn("before", F.col("upto") - F.col("hit"))
+            .filter("asked = 1").select("_day", "before", "upto"))
+
+
 # --- J3 / D6 -------------------------------------------------------------------------------
 
 def allocation_per_service_day(sd: DataFrame, counts: DataFrame) -> DataFrame:
@@ -222,6 +238,28 @@ def distinct_customers_per_date(fact_customer: DataFrame) -> DataFrame:
     return fact_customer.groupBy("usage_date").agg(F.countDistinct("customer_key").alias("customers"))
 
 
+SKETCH_LG_K = 16        # 2^16 registers, a standard error of 0.4 %
+
+
+def distinct_sketches(rows: DataFrame, what: str, by: str = "usage_date", lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """A8, mergeable: one HyperLogLog sketch of ``what`` per ``by``. Stored by date, the
+    sketches of any range are unioned without the rows behind them."""
+    return rows.groupBy(by).agg(F.hll_sketch_agg(what, F.lit(lg_k)).alias("sketch"))
+
+
+def distinct_in_ranges(sketches: DataFrame, ranges: DataFrame, by: str = "usage_date") -> DataFrame:
+    """About how many distinct values each range (``range_start`` <= date <
+    ``range_end``, ISO text) holds, from the sketches of its dates alone. A range is
+    spelt out in its days (bounded by the calendar) and meets the dates by an
+    equi join."""
+    last = F.date_sub(F.to_date("range_end"), 1)
+    days = ranges.filter(last >= F.to_date("range_start")).select(
+        "range_start", "range_end", F.explode(F.sequence(F.to_date("range_start"), last)).alias("_day"))
+    days = days.select("range_start", "range_end", F.col("_day").cast("string").alias(by))
+    return (sketches.join(days, by).groupBy("range_start", "range_end")
+            .agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("customers")))
+
+
 def enrich_daily_fact(fact_daily: DataFrame, dim_service: DataFrame) -> DataFrame:
     """Daily fact with the service attributes (the planner's size check
     decides the broadcast of the dimension, as in ``service_daily``)."""

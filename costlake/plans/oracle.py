@@ -8,6 +8,8 @@ DECIMAL and cast to DOUBLE on the way out, exactly like the Spark side.
 
 from __future__ import annotations
 
+from costlake.schemas import SERVICE_CATEGORIES
+
 # --- shared CTE bodies ------------------------------------------------------------
 
 USAGE = """
@@ -104,11 +106,8 @@ FROM changed WHERE pct_change > 0.20"""
 SALT = "costlake-demo-salt"
 RUN_TS = "2024-02-01 00:00:00"
 
-# Product code and category.
-_CATEGORIES = {"AWSLambda": "Serverless", "AmazonCloudWatch": "Monitoring", "AmazonEC2": "Compute",
-               "AmazonRDS": "Database", "AmazonRedshift": "Database", "AmazonS3": "Storage"}
 CATEGORY = ("COALESCE((SELECT m.category FROM (VALUES "
-            + ", ".join(f"('{code}', '{category}')" for code, category in _CATEGORIES.items())
+            + ", ".join(f"('{code}', '{category}')" for code, category in SERVICE_CATEGORIES.items())
             + ") AS m(code, category) WHERE m.code = {pc}), 'Other')")
 
 DIM_SERVICE = """
@@ -530,14 +529,14 @@ leaky AS (SELECT *, '' AS "Email", '' AS phone FROM sd LIMIT 1)""") + DQ_PII.rep
 USAGE_BY_CODE = USAGE.replace("usage AS (", "plain AS (", 1) + """,
 usage AS (
   SELECT id, usage_date, usage_type, cost,
-         CASE WHEN CAST(id AS BIGINT) % 9 < 6 THEN """ + repr(sorted(_CATEGORIES)) + """[CAST(id AS BIGINT) % 9 + 1]
+         CASE WHEN CAST(id AS BIGINT) % 9 < 6 THEN """ + repr(sorted(SERVICE_CATEGORIES)) + """[CAST(id AS BIGINT) % 9 + 1]
               ELSE product_code END AS product_code
   FROM plain
 )"""
 
 SQL["dim_service_growth"] = SQL["dim_service_reload"].replace(_with(USAGE)[:-1], _with(USAGE_BY_CODE)[:-1]).replace(
     "FROM usage WHERE usage_date < '2024-01-16'",
-    "FROM usage WHERE usage_date < '2024-01-16' AND product_code NOT IN " + str(tuple(sorted(_CATEGORIES))))
+    "FROM usage WHERE usage_date < '2024-01-16' AND product_code NOT IN " + str(tuple(sorted(SERVICE_CATEGORIES))))
 
 SQL["top_services_ties"] = _with(USAGE_LONG.replace("usage AS (", "priced AS (", 1), """
 usage AS (SELECT * REPLACE (CASE WHEN usage_type LIKE 'S%' THEN '-' || cost ELSE '0' END AS cost,
@@ -560,3 +559,121 @@ SELECT evidence_id, control_id FROM (
   UNION ALL SELECT 'dq_scd2_faulty:' || check_name, 'C-08', violations FROM ({SQL["dq_scd2_faulty"]}) v
   UNION ALL SELECT 'dq_ranges:' || check_name, 'C-07', violations FROM ({SQL["dq_ranges"]}) c) ledger
 WHERE violations < 20 AND control_id IN ('C-04', 'C-05', 'C-06', 'C-08')"""
+
+
+# --- appends, loads and replays ----------------------------------------------------------------
+
+SQL["append_indexed"] = _with(USAGE_LONG, """
+dealt AS (
+  SELECT *, CASE WHEN usage_date < '1996-06-01' THEN 1 WHEN usage_date < '1998-01-01' THEN 2
+                 WHEN usage_date < '1999-09-01' THEN 3 ELSE 4 END AS batch FROM usage
+),
+owner AS (SELECT id, MIN(batch) AS batch FROM dealt GROUP BY id)""") + """
+SELECT id AS identity_line_item_id, usage_date AS line_item_usage_start_date, product_code AS line_item_product_code,
+       cost AS line_item_unblended_cost, 'batch-' || CAST(batch AS VARCHAR) AS load_id
+FROM dealt JOIN owner USING (id, batch)"""
+
+
+def _service_loads(cuts: list[str]) -> str:
+    """Four full loads, each over every line up to its cut."""
+    ctes, outs = [], []
+    for i, cut in enumerate([*cuts, "9999"], 1):
+        ctes.append(f"seen{i} AS (SELECT product_code, usage_type, MIN(usage_date) AS a, MAX(usage_date) AS b "
+                    f"FROM usage WHERE usage_date < '{cut}' GROUP BY 1, 2)")
+        top = f"(SELECT COALESCE(MAX(service_key), 0) FROM load{i - 1})" if i > 1 else "0"
+        key = f"ROW_NUMBER() OVER (ORDER BY product_code, usage_type) + {top}"
+        new = (f"SELECT CAST(service_key AS BIGINT) AS service_key, product_code, usage_type, a AS first_seen_date, b AS last_seen_date, "
+               f"'load-{i}' AS _loaded_at, 'load-{i}' AS _updated_at FROM (SELECT *, {key} AS service_key FROM seen{i}) k")
+        if i > 1:
+            new = (f"SELECT o.service_key, o.product_code, o.usage_type, o.first_seen_date, s.b AS last_seen_date, o._loaded_at, "
+                   f"'load-{i}' AS _updated_at FROM load{i - 1} o JOIN seen{i} s USING (product_code, usage_type) UNION ALL "
+                   f"{new} WHERE NOT EXISTS (SELECT 1 FROM load{i - 1} o WHERE o.product_code = k.product_code AND o.usage_type = k.usage_type)")
+        ctes.append(f"load{i} AS ({new})")
+        outs.append(f"SELECT CAST({i} AS BIGINT) AS load, *, {CATEGORY.format(pc='product_code')} AS service_category FROM load{i}")
+    return ", ".join(ctes) + "\n" + " UNION ALL ".join(outs)
+
+
+_CODES = "[" + ", ".join(f"'{c}'" for c in sorted(SERVICE_CATEGORIES)) + "]"
+SQL["dim_service_incremental"] = f"""WITH {USAGE.replace("usage AS", "plain AS")},
+usage AS (SELECT * REPLACE (CASE WHEN CAST(id AS BIGINT) % 9 < {len(SERVICE_CATEGORIES)}
+                                 THEN ({_CODES})[CAST(id AS BIGINT) % 9 + 1] ELSE product_code END AS product_code) FROM plain),
+""" + _service_loads(["2024-01-08", "2024-01-15", "2024-01-22"])
+
+
+def _snapshot_loads(dates: list[str]) -> str:
+    """CTEs ``dim0..``: one load after the other, each closing what changed."""
+    out = []
+    for k, d in enumerate(dates):
+        moved = f"((c_custkey + {k}) % 7 = 3 OR (c_custkey + {2 * k}) % 13 = 1)"
+        out.append(f"""s{k} AS (
+  SELECT c_custkey AS customer_id, sha256(lower(c_name) || '@example.com' || '{SALT}') AS email_token,
+         'XXX-XXX-' || right(lpad(CAST(c_custkey AS VARCHAR), 7, '0'), 4) AS phone_redacted,
+         regexp_extract(c_name, '^[^#]*') AS first_name, regexp_extract(c_name, '[^#]*$') AS last_name,
+         CASE WHEN NOT {moved} THEN c_mktsegment WHEN c_mktsegment = 'BUILDING' THEN 'MACHINERY' ELSE 'BUILDING' END AS segment
+  FROM customer WHERE (c_custkey + {3 * k}) % 11 <> 0)""")
+        before = f"dim{k - 1}" if k else "(SELECT CAST(0 AS BIGINT) AS customer_key, s0.*, '' AS effective_from, CAST(NULL AS VARCHAR) AS effective_to, TRUE AS is_current FROM s0 WHERE FALSE)"
+        out.append(f"""n{k} AS (
+  SELECT s.* FROM s{k} s LEFT JOIN {before} o ON o.customer_id = s.customer_id AND o.is_current
+  WHERE o.customer_id IS NULL OR o.segment IS DISTINCT FROM s.segment)""")
+        out.append(f"""dim{k} AS (
+  SELECT o.* REPLACE (CASE WHEN o.is_current AND n.customer_id IS NOT NULL THEN '{d}' ELSE o.effective_to END AS effective_to,
+                      o.is_current AND n.customer_id IS NULL AS is_current)
+  FROM {before} o LEFT JOIN n{k} n ON n.customer_id = o.customer_id
+  UNION ALL
+  SELECT CAST(ROW_NUMBER() OVER (ORDER BY customer_id) + (SELECT COALESCE(MAX(customer_key), 0) FROM {before}) AS BIGINT), n.*,
+         '{d}', CAST(NULL AS VARCHAR), TRUE FROM n{k} n)""")
+    return "WITH " + ",\n".join(out)
+
+
+SQL["scd2_replay"] = _snapshot_loads(["2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2024-02-01", "2024-02-15"]) + """
+SELECT *, effective_from AS _loaded_at FROM dim5"""
+
+SQL["active_pairs_long"] = _snapshot_loads(["1995-03-01", "1996-01-15", "1997-07-01", "1998-02-10", "1999-12-31", "2001-06-01"]) + """,
+days AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS d FROM lineitem)
+SELECT customer_key, COUNT(*) AS n_dates, strftime(MIN(d), '%Y-%m-%d') AS first_date, strftime(MAX(d), '%Y-%m-%d') AS last_date,
+       CAST(SUM(date_diff('day', DATE '1990-01-01', d)) AS BIGINT) AS day_sum
+FROM dim5 JOIN days ON d >= CAST(effective_from AS DATE) AND (effective_to IS NULL OR d < CAST(effective_to AS DATE))
+GROUP BY customer_key"""
+
+SQL["distinct_customers_range"] = """
+WITH ranges(range_start, range_end) AS (VALUES ('2024-01-01', '2024-01-08'), ('2024-01-05', '2024-01-20'),
+  ('2024-01-10', '2024-01-11'), ('2024-01-01', '2024-03-01'), ('2023-01-01', '2023-02-01'))
+SELECT range_start, range_end, COUNT(DISTINCT user_id) AS exact, TRUE AS within_2pct
+FROM ranges JOIN events ON CAST(ts AS DATE) >= CAST(range_start AS DATE) AND CAST(ts AS DATE) < CAST(range_end AS DATE)
+GROUP BY range_start, range_end"""
+
+SQL["stream_ingest"] = _with(USAGE) + """
+SELECT id AS identity_line_item_id, usage_date AS line_item_usage_start_date, product_code AS line_item_product_code,
+       usage_type AS line_item_usage_type, cost AS line_item_unblended_cost FROM usage"""
+
+SQL["variant_usage"] = """
+WITH texts AS (
+  SELECT event_id, '{"line": {"id": "' || event_id || '", "day": ' ||
+         CASE WHEN event_id % 101 = 9 THEN '{}' ELSE '"' || strftime(CAST(ts AS DATE), '%Y-%m-%d') || '"' END ||
+         '}, "product": {"code": "' || event_type || '", "types": ["' || event_type || ':' || (event_id % 3) || '", "x"]}, "cost": ' ||
+         CASE WHEN event_id % 89 = 3 THEN '"n/a"' WHEN event_id % 50 = 7 THEN 'null'
+              ELSE CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) END || '}' AS whole FROM events
+),
+cut AS (SELECT event_id, CASE WHEN event_id % 97 = 5 THEN left(whole, length(whole) - 9) ELSE whole END AS t FROM texts),
+j AS (SELECT event_id, CASE WHEN json_valid(t) THEN CAST(t AS JSON) END AS j FROM cut),
+p AS (SELECT event_id, j,
+             CASE WHEN json_type(j, '$.line.day') = 'VARCHAR' THEN j->>'$.line.day' END AS usage_date,
+             CASE WHEN json_type(j, '$.cost') IN ('DOUBLE', 'UBIGINT', 'BIGINT') THEN CAST(CAST(j->>'$.cost' AS DECIMAL(18,2)) AS DOUBLE) END AS cost FROM j)
+SELECT event_id, j->>'$.line.id' AS id, usage_date, j->>'$.product.code' AS product_code,
+       j->>'$.product.types[0]' AS usage_type, cost,
+       CASE WHEN j IS NULL THEN 'no JSON'
+            ELSE nullif(concat_ws(',', CASE WHEN usage_date IS NULL THEN 'usage_date' END,
+                                  CASE WHEN json_type(j, '$.cost') = 'VARCHAR' THEN 'cost' END), '') END AS problem
+FROM p"""
+
+SQL["ledger_from_files"] = """
+WITH e AS (
+  SELECT o_orderkey AS n, 'E-' || o_orderkey AS evidence_id, 'C-0' || (o_orderkey % 9) AS control_id,
+         CASE WHEN o_orderstatus = 'F' THEN 'pass' ELSE 'fail' END AS status,
+         CASE WHEN o_orderkey % 19 <> 4 THEN CAST(1 AS BIGINT) END AS deferred FROM orders
+),
+r AS (SELECT *, CASE WHEN n % 17 = 3 OR n % 29 = 7 THEN 'not a ledger entry'
+                     WHEN n % 23 = 5 THEN 'no control_id' END AS reason FROM e)
+SELECT evidence_id, CASE WHEN reason IS NULL THEN control_id END AS control_id, CASE WHEN reason IS NULL THEN status END AS status,
+       CASE WHEN reason IS NULL THEN deferred END AS deferred, reason
+FROM r"""

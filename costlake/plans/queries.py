@@ -19,10 +19,12 @@ from costlake.operators import facts as FA
 from costlake.operators import quality as QA
 from costlake.operators import summary as S
 from costlake.schemas import SERVICE_CATEGORIES
-from costlake.session import materialize
+from costlake.session import materialize, scratch_path
 from costlake.sources import views as V
-from costlake.sources.tables import run_sql
-from costlake.sources.usage import new_usage_rows, normalize_usage, usage_metrics_frame
+from costlake.sources.id_index import LOAD, MONTH, IndexedRaw
+from costlake.sources.semi_structured import usage_from_json
+from costlake.sources.tables import Warehouse, run_sql
+from costlake.sources.usage import new_usage_rows, normalize_usage, read_ledger_checked, usage_metrics_frame
 
 # Fixed parameters of the named queries.
 RUN_TS = "2024-02-01 00:00:00"
@@ -454,7 +456,148 @@ def q_control_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QA.control_evidence(parts[0].unionByName(parts[1]).unionByName(parts[2]), required)
 
 
+# --- appends, loads and replays that do not read the history -------------------------------------
+
+APPEND_CUTS = ["1996-06-01", "1998-01-01", "1999-09-01"]           # append_indexed: first days of batches 2-4
+SERVICE_CUTS = ["2024-01-08", "2024-01-15", "2024-01-22"]          # dim_service_incremental: likewise
+SERIES = ["2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2024-02-01", "2024-02-15"]
+LONG_SERIES = ["1995-03-01", "1996-01-15", "1997-07-01", "1998-02-10", "1999-12-31", "2001-06-01"]
+RANGES = [("2024-01-01", "2024-01-08"), ("2024-01-05", "2024-01-20"), ("2024-01-10", "2024-01-11"),
+          ("2024-01-01", "2024-03-01"), ("2023-01-01", "2023-02-01")]
+
+
+def _batches(raw: DataFrame, cuts: list[str]) -> list[DataFrame]:
+    """``raw`` cut at the given usage dates."""
+    d = F.col("line_item_usage_start_date")
+    edges = ["", *cuts, None]
+    return [raw.filter((d >= lo) & (d < hi)) if hi else raw.filter(d >= lo) for lo, hi in zip(edges, edges[1:])]
+
+
+def q_append_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 by the id index: four batches by ship date; the second is delivered again
+    under its own name and under another one, and neither changes a line."""
+    table = IndexedRaw(spark, scratch_path(spark, "raw"), buckets=16)
+    batches = _batches(raw_usage_long(spark, sf_dir), APPEND_CUTS)
+    for i, b in enumerate(batches, 1):
+        table.append(b, f"batch-{i}")
+    table.append(batches[1], "batch-2")
+    table.append(batches[1], "batch-2-again")
+    table.close()
+    return table.read().select(ID, "line_item_usage_start_date", PRODUCT, COST, LOAD)
+
+
+def q_dim_service_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2 from mergeable state: the dimension after each of four batches."""
+    state = dim = out = None
+    for i, b in enumerate(_batches(_usage_by_code(spark, sf_dir), SERVICE_CUTS), 1):
+        state = materialize(D.merge_service_state(state, b))
+        dim = materialize(D.dim_service_from(state, dim, f"load-{i}"))
+        after = dim.select(F.lit(i).cast("bigint").alias("load"), *_DIM_SERVICE_OUT, "_loaded_at", "_updated_at")
+        out = after if out is None else out.unionByName(after)
+    return out
+
+
+def q_scd2_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six snapshots at once."""
+    return D.replay_snapshots(V.snapshot_series(V.table(spark, sf_dir, "customer"), SERIES), SALT)
+
+
+def q_active_pairs_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 over the years of the long usage view: per version, which of its days
+    have usage (their number, first, last and the sum of their day numbers)."""
+    series = V.snapshot_series(V.table(spark, sf_dir, "customer"), LONG_SERIES)
+    dim = materialize(D.replay_snapshots(series, SALT))
+    dates = V.table(spark, sf_dir, "lineitem").select(
+        F.to_date("l_shipdate").cast("string").alias("usage_date")).distinct()
+    pairs = FA.active_pairs(dim, materialize(dates))
+    return pairs.groupBy("customer_key").agg(
+        F.count(F.lit(1)).alias("n_dates"), F.min("usage_date").alias("first_date"), F.max("usage_date").alias("last_date"),
+        F.sum(F.datediff(F.to_date("usage_date"), F.lit("1990-01-01").cast("date")).cast("bigint")).alias("day_sum"))
+
+
+def q_distinct_customers_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 by stored sketches, one per date: every range within 2 % of the exact
+    number of accounts (which a full pass counts beside it)."""
+    raw = raw_usage(spark, sf_dir).select(F.col("line_item_usage_start_date").alias("usage_date"),
+                                          F.col("line_item_usage_account_id").alias("account"))
+    sketches = materialize(FA.distinct_sketches(raw, "account"))
+    ranges = spark.createDataFrame(RANGES, "range_start string, range_end string")
+    about = FA.distinct_in_ranges(sketches, ranges)
+    in_range = [F.when((F.col("usage_date") >= lo) & (F.col("usage_date") < hi), F.struct(F.lit(lo).alias("range_start"), F.lit(hi).alias("range_end")))
+                for lo, hi in RANGES]
+    exact = (raw.distinct().select("account", F.explode(F.filter(F.array(*in_range), lambda r: r.isNotNull())).alias("r"))
+             .groupBy("r.range_start", "r.range_end").agg(F.countDistinct("account").alias("exact")))
+    return exact.join(about, ["range_start", "range_end"], "left").select(
+        "range_start", "range_end", "exact",
+        (F.abs(F.col("customers") - F.col("exact")) <= F.col("exact") * 0.02).alias("within_2pct"))
+
+
+def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file stream over usage lines in files, several epochs, then the first
+    epoch delivered again; the raw table equals the batch."""
+    from costlake.streaming.ingest import ingest_epochs, load_epoch
+
+    root = scratch_path(spark, "stream")
+    lines = raw_usage(spark, sf_dir)
+    cut = F.col("line_item_usage_start_date") < SERVICE_CUTS[1]
+    (lines.withColumn("late", ~cut).repartition(2, "late").drop("late").write.parquet(f"{root}/source"))
+    ingest_epochs(spark, f"{root}/source", f"{root}/wh", f"{root}/checkpoint", files_per_epoch=1, buckets=16)
+    table = IndexedRaw(spark, f"{root}/wh/raw_usage_indexed")
+    first = table.read("epoch-0").drop(LOAD, MONTH)
+    load_epoch(Warehouse(spark, f"{root}/wh"), table, first, "epoch-0", False, "replay")
+    table.close()
+    return table.read().select(ID, "line_item_usage_start_date", PRODUCT, "line_item_usage_type", COST)
+
+
+def q_variant_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """2.13: every event as a nested JSON text, some cut short, some with a cost or a
+    day of the wrong kind, read by path; valid and rejected rows."""
+    n = F.col("event_id")
+    day = F.to_date("ts").cast("string")
+    cost = (F.when(n % 89 == 3, '"n/a"').when(n % 50 == 7, "null").otherwise(F.col("value").cast("decimal(18,2)").cast("string")))
+    text = F.concat(F.lit('{"line": {"id": "'), n.cast("string"), F.lit('", "day": '),
+                    F.when(n % 101 == 9, F.lit("{}")).otherwise(F.concat(F.lit('"'), day, F.lit('"'))),
+                    F.lit('}, "product": {"code": "'), F.col("event_type"), F.lit('", "types": ["'), F.col("event_type"), F.lit(":"),
+                    (n % 3).cast("string"), F.lit('", "x"]}, "cost": '), cost, F.lit("}"))
+    rows = V.table(spark, sf_dir, "events").select(
+        n, F.when(n % 97 == 5, F.substr(text, F.lit(1), F.length(text) - 9)).otherwise(text).alias("payload"))
+    valid, rejected = usage_from_json(rows)
+    both = valid.withColumn("problem", F.lit(None).cast("string")).unionByName(rejected)
+    return _dbl(both, "cost")
+
+
+def q_ledger_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evidence of every order as JSON Lines, corrupted by a fixed rule, read
+    back: valid entries and rejected lines with their reason."""
+    n = F.col("o_orderkey")
+    entry = F.to_json(F.struct(
+        F.concat(F.lit("E-"), n.cast("string")).alias("evidence_id"),
+        F.when(n % 23 != 5, F.concat(F.lit("C-0"), (n % 9).cast("string"))).alias("control_id"),
+        F.when(F.col("o_orderstatus") == "F", "pass").otherwise("fail").alias("status"),
+        F.when(n % 19 != 4, F.array(F.lit("C-06"))).alias("standard_controls_deferred")))
+    line = (F.when(n % 17 == 3, F.substr(entry, F.lit(1), F.length(entry) - 5))
+            .when(n % 29 == 7, F.regexp_replace(entry, r'"status":"(\w+)"', '"status":["$1"], "standard_controls_deferred":7'))
+            .when(n % 31 == 11, F.concat(F.lit("  "), entry)).otherwise(entry))
+    path = scratch_path(spark, "ledger")
+    orders = V.table(spark, sf_dir, "orders").select(F.explode(F.when(n % 41 == 1, F.array(line, F.lit(" "))).otherwise(F.array(line))).alias("value"))
+    orders.write.text(path)
+    got = read_ledger_checked(spark, path)
+    none = F.lit(None).cast("string")
+    return (got.valid.select("evidence_id", "control_id", "status", F.size("standard_controls_deferred").cast("bigint").alias("deferred"), none.alias("reason"))
+            .withColumn("deferred", F.when(F.col("deferred") >= 0, F.col("deferred")))
+            .unionByName(got.rejected.select(F.regexp_extract("value", r"E-\d+", 0).alias("evidence_id"), none.alias("control_id"),
+                                             none.alias("status"), F.lit(None).cast("bigint").alias("deferred"), "reason")))
+
+
 QUERIES: dict[str, Query] = {
+    "append_indexed": q_append_indexed,
+    "dim_service_incremental": q_dim_service_incremental,
+    "scd2_replay": q_scd2_replay,
+    "active_pairs_long": q_active_pairs_long,
+    "distinct_customers_range": q_distinct_customers_range,
+    "stream_ingest": q_stream_ingest,
+    "variant_usage": q_variant_usage,
+    "ledger_from_files": q_ledger_from_files,
     "daily_cost_summary": q_daily_cost_summary,
     "cost_trend_7": q_cost_trend_7,
     "top_services": q_top_services,

@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from costlake.functions.money import cost_or_zero, money
+from pyspark.sql.types import StringType, StructField, StructType
+
 from costlake.schemas import LEDGER_SCHEMA, RAW_USAGE_SCHEMA, SNAPSHOT_SCHEMA, USAGE_COLUMNS
+from costlake.session import materialize
 
 ID = "identity_line_item_id"
 
@@ -30,16 +33,35 @@ def read_usage(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def validate_usage_schema(df: DataFrame) -> list[str]:
-    """Error strings for a usage frame; empty list means valid.
+@dataclass(frozen=True)
+class ColumnFinding:
+    """A required column that a frame does not have as such: ``absent``, or
+    ``spelling`` if only its letter case differs."""
+    name: str
+    problem: str
+    found: str | None = None
 
-    Name check only, case-sensitive; extra columns are allowed.
-    """
-    have = set(df.columns)
-    lacking = ", ".join(name for name in RAW_USAGE_SCHEMA.names if name not in have)
-    if lacking and have:
-        return ["Missing required columns: " + lacking]
-    return [] if have else ["DataFrame has no columns"]
+
+def usage_schema_findings(actual: StructType, required: StructType = RAW_USAGE_SCHEMA) -> list[ColumnFinding]:
+    """The required columns that ``actual`` lacks, in their order. Kinds are free (every
+    value becomes text), and so are further columns."""
+    by_case = {f.name.lower(): f.name for f in actual}
+    exact = frozenset(actual.names)
+    return [ColumnFinding(f.name, "spelling" if (near := by_case.get(f.name.lower())) else "absent", near)
+            for f in required if f.name not in exact]
+
+
+# The two messages of a failed check.
+NO_COLUMNS = "DataFrame has no columns"
+MISSING_COLUMNS = "Missing required columns: {}"
+
+
+def validate_usage_schema(df: DataFrame) -> list[str]:
+    """What is wrong with a usage frame's columns, as messages; none if valid."""
+    if not df.schema.fields:
+        return [NO_COLUMNS]
+    findings = usage_schema_findings(df.schema)
+    return [MISSING_COLUMNS.format(", ".join(f.name for f in findings))] if findings else []
 
 
 def normalize_usage(df: DataFrame) -> DataFrame:
@@ -67,7 +89,6 @@ def new_usage_rows(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
     anti-joined by a shuffle on the id, where AQE splits a skewed id.
     """
     from costlake.operators.joins import broadcast_limit
-    from costlake.session import materialize
 
     rows = normalize_usage(batch).filter(F.col(ID).isNotNull())
     if existing is None:
@@ -146,6 +167,29 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
                       & F.col("status").isNull())))
 
 
+@dataclass
+class LedgerRead:
+    valid: DataFrame
+    rejected: DataFrame
+    counts: dict[str, int]
+
+
+def read_ledger_checked(spark: SparkSession, path: str) -> LedgerRead:
+    """S7 with bad lines set aside: a line that is no JSON, has a field of the wrong
+    kind, or lacks its evidence or control id goes to ``rejected`` (its text and the
+    reason); blank lines are skipped. The parsed lines are stored once and
+    counted on the way."""
+    kinds = StructType([*LEDGER_SCHEMA.fields, StructField("_bad", StringType())])
+    lines = spark.read.text(path).filter(F.trim("value") != "").select(
+        "value", F.from_json("value", kinds, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("e"))
+    reason = (F.when(F.col("e").isNull() | F.col("e._bad").isNotNull(), "not a ledger entry")
+              .when(F.col("e.evidence_id").isNull(), "no evidence_id").when(F.col("e.control_id").isNull(), "no control_id"))
+    read, counts = materialize(lines.withColumn("reason", reason), {
+        "lines": F.count(F.lit(1)), "rejected": F.count("reason")})
+    return LedgerRead(read.filter("reason IS NULL").select("e.*").drop("_bad"),
+                      read.filter("reason IS NOT NULL").select("value", "reason"), counts)
+
+
 def _metric_columns() -> dict:
     cost = F.col("line_item_unblended_cost")
     return {

@@ -122,3 +122,20 @@ def snapshot_v1(customer: DataFrame) -> DataFrame:
 
 def snapshot_v2(customer: DataFrame) -> DataFrame:
     return _snapshot(customer, 2)
+
+
+def snapshot_series(customer: DataFrame, dates: list[str]) -> DataFrame:
+    """One full customer snapshot per date. Snapshot k lacks the keys with
+    (key + 3k) mod 11 = 0, moves the segment of those with (key + k) mod 7 = 3 or
+    (key + 2k) mod 13 = 1, and gives keys 5 modulo 11 a phone area of its own."""
+    key, k, seg = F.col("c_custkey"), F.col("k"), F.col("c_mktsegment")
+    moved = ((key + k) % 7 == 3) | ((key + 2 * k) % 13 == 1)
+    each = customer.select("c_custkey", "c_name", "c_mktsegment", F.posexplode(F.array(*map(F.lit, dates))).alias("k", "snapshot_date"))
+    return each.filter((key + 3 * k) % 11 != 0).select(
+        "snapshot_date", key.cast("bigint").alias("customer_id"),
+        F.concat(F.lower("c_name"), F.lit("@example.com")).alias("email"),
+        F.concat(F.when(key % 11 == 5, 560 + k).otherwise(555).cast("string"), F.lit("-"),
+                 F.lpad(key.cast("string"), 7, "0")).alias("phone"),
+        F.substring_index("c_name", "#", 1).alias("first_name"), F.substring_index("c_name", "#", -1).alias("last_name"),
+        F.when(moved, F.when(seg == SEGMENT_MOVE_TO, SEGMENT_MOVE_ALT).otherwise(SEGMENT_MOVE_TO)).otherwise(seg).alias("segment"),
+        F.lit(dates[0]).alias("created_at"))
