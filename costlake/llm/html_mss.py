@@ -9,20 +9,26 @@ pages with a tag inside to those with it outside, smoothed by one page. Only
 seen inside an article costs a finite amount, and nothing inside an ``<article>``.
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments, known by element or by class, id and role, carry no words:
-each counts as one tag. A hint is a part of a class, id or role; inside an article,
-and for ``article`` and ``main`` themselves, it must be a whole class or role or the
-whole id. Ids of sections and of ``CONTENT`` elements must match as a whole anywhere,
-and headings, paragraphs and cells inside an article always count.
+each counts as one tag. A hint is a whole class, id or role, or outside articles one
+whose further parts only say where (``site-footer``); headings, paragraphs and
+cells inside an article always count. On a page without article or main, an element that
+holds most of its words is no boilerplate, whatever its class.
+
+A page is read in one pass over its characters (``tokens``): tags by their attributes,
+a quote counting as such only after ``=``; elements by a stack, with the end tags that
+HTML lets pages leave out.
 
 ``fit_weights`` learns from at most ``MAX_LABELLED`` labelled pages (those with
-the smallest content hashes, so the sample does not depend on partitioning);
+the smallest content hashes, so the sample does not depend on partitioning): hashes
+are ordered, and only the pages that they name are read again, where they are;
 every page is extracted from its whole html.
 
 Defined results: a NULL or empty html, or one without words, gives the empty
-text; an element that never ends runs to the end of the page or to the next
-article; ties go to the first region; repeated rows are extracted one by one;
-an empty table gives an empty result; extra columns pass through, clashing
-names are replaced.
+text; an element that never ends runs to the end of its parent or the page, but an
+article in it counts; a nested article belongs to the outer one, of several others the
+best one counts, and ties go to the first region; very long and broken pages take time in
+proportion to their length; repeated rows are extracted one by one; an empty table gives an
+empty result; extra columns pass through, clashing names are replaced.
 """
 
 from __future__ import annotations
@@ -55,75 +61,214 @@ BLOCKS = frozenset(
     "hr html legend li main ol p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 ARTICLES = frozenset(["article", "main"])
+FOREIGN = frozenset(["svg", "math"])         # may close themselves
 CONTENT = frozenset("h1 h2 h3 h4 h5 h6 p td".split())
 
-_TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>"""
-                    r"""|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
-_ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+# Parts of a class that only say where a thing is, elements whose end tag may be
+# left out with what ends them (a like element) and bounds their search, and what ends a paragraph.
+PLACES = frozenset(
+    "site main page top bottom left right primary secondary box bar block area container wrapper wrap section list inner "
+    "outer global mobile desktop post body item items content text links area panel".split())
+IMPLIED = {"li": "li", "dt": "dd", "dd": "dd", "option": "option", "optgroup": "option", "td": "td", "th": "td", "tr": "tr", "p": "p"}
+ENCLOSING = {"li": frozenset("ul ol menu".split()), "dd": frozenset(["dl"]), "option": frozenset(["select"]),
+             "td": frozenset("tr table".split()), "tr": frozenset(["table"]),
+             "p": frozenset("table td th caption button object".split())}
+ENDS_P = frozenset(
+    "address article aside blockquote center details dialog dir div dl dt dd fieldset figcaption figure footer form h1 h2 h3 "
+    "h4 h5 h6 header hgroup hr li main menu nav ol p pre search section summary table ul".split())
+
+# The groups that a name's start ends, and those whose search its element bounds.
+_STARTS = {n: tuple(g for g, names in [(IMPLIED.get(n), [n]), ("td", ["tr"]), ("p", ENDS_P)] if g and n in names)
+           for n in {*IMPLIED, *ENDS_P}}
+_BOUNDS = {n: tuple(g for g, names in ENCLOSING.items() if n in names) for n in frozenset().union(*ENCLOSING.values())}
+
+_TAG_START = re.compile(r"<(?=[a-zA-Z/!?])")
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_ATTR = re.compile(r"""[\s/]*([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
+_TAIL = re.compile(r"[\s/]*")
 _PART = re.compile(r"[a-z]+")
+_CLOSE = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for name in RAW}
+_COMMENT = re.compile(r"--!?>")
 
 TEXT, TAG, SKIP = 0, 1, 2
 ENDS = frozenset(["article", "main", "body", "html"])
 DEFAULT_WEIGHTS = {"word": 1.0, "link word": 0.2, "other tag": -0.5, "skipped": -1.0, **dict.fromkeys(sorted(ENDS), -1e4)}
 
 
-def _skips(name: str, attrs: str, inside: bool, nested: bool = False) -> bool:
-    """Whether an element is left out; ``inside`` an article, or ``nested`` in an
-    element that is left out."""
-    if name in RAW or name in SKIPPED and not (name == "header" and inside):
-        return True
-    if name in ("body", "html") or not attrs or inside and name in CONTENT:
+def _hinted(name: str, attrs: list[tuple[str, str]], inside: bool, nested: bool = False) -> bool:
+    """Whether its class, id or role makes an element boilerplate; ``inside`` an
+    article, or ``nested`` in an element that is left out."""
+    if name in ("body", "html") or inside and name in CONTENT:
         return False
     whole = inside or name in CONTENT or name in ARTICLES and not nested
-    for key, value in _ATTR.findall(attrs):
-        key, value = key.lower(), value.strip("\"'").lower()
-        if key == "id" and (whole or name == "section" or name in ARTICLES):
-            found = [value.strip()]
-        elif key in ("class", "id", "role"):
-            found = value.split() if whole else _PART.findall(value)
-        else:
+    for key, value in attrs:
+        if key not in ("class", "id", "role"):
             continue
-        if any(x in HINTS and not (x == "header" and inside) for x in found):
-            return True
+        only = whole or key == "id" and (name == "section" or name in ARTICLES)
+        for word in [value.strip()] if key == "id" else value.split():
+            parts = [word] if only else _PART.findall(word)
+            hints = [p for p in parts if p in HINTS and not (p == "header" and inside)]
+            if hints and all(p in HINTS or p in PLACES for p in parts):
+                return True
     return False
 
 
-def tokens(page: str) -> Iterator[tuple[int, str, str, bool]]:
-    """(kind, tag name or raw text, '' or '/', in a link) in page order; what a
-    skipped element holds is left out."""
-    at, skip, depth, links, inside = 0, "", 0, 0, 0
+class _Open:
+    """The open elements of a page, with the implied ends of HTML."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, int, int]] = []        # name, what it leaves out, words before it
+        self.count: Counter = Counter()
+        self.latest = {g: [-1] for g in ENCLOSING}          # per enclosing element: place of the open one
+
+    def push(self, name: str, kind: int, words: int) -> None:
+        for g in _BOUNDS.get(name, ()):
+            self.latest[g].append(-1)
+        if name in IMPLIED:
+            self.latest[IMPLIED[name]][-1] = len(self.stack)
+        self.stack.append((name, kind, words))
+        self.count[name] += 1
+
+    def pop(self) -> tuple[str, int, int]:
+        name, kind, words = self.stack.pop()
+        self.count[name] -= 1
+        if name in IMPLIED:
+            self.latest[IMPLIED[name]][-1] = -1
+        for g in _BOUNDS.get(name, ()):
+            self.latest[g].pop()
+        return name, kind, words
+
+    def ended_by(self, name: str) -> int:
+        """Height of the stack when a start tag has ended what it ends."""
+        height = len(self.stack)
+        for g in _STARTS.get(name, ()):
+            if 0 <= (at := self.latest[g][-1]) < height:
+                height = at
+        return height
+
+
+def _attributes(page: str, at: int) -> tuple[list[tuple[str, str]], bool, int]:
+    """(attributes, self-closed, place behind the tag) from behind a tag's name."""
+    attrs = []
+    if page.startswith(">", at):
+        return attrs, False, at + 1
     while True:
-        m = _TOKEN.search(page, at)
-        text = page[at:m.start() if m else len(page)]
-        if text and not skip:
-            yield TEXT, text, "", links > 0
-        if not m:
-            return
+        end = _TAIL.match(page, at).end()
+        if end >= len(page) or page[end] == ">":
+            return attrs, page[end - 1] == "/", min(end + 1, len(page))
+        m = _ATTR.match(page, at)
+        attrs.append((m[1].lower(), (m[2] or m[3] or m[4] or "").lower()))
         at = m.end()
-        name = (m[2] or m[5] or "").lower()
-        if not name:
+
+
+KEPT, BY_NAME, BY_HINT, ARTICLE_IN_SKIPPED = 0, 1, 2, 3
+
+
+def tokens(page: str, spared: frozenset[int] = frozenset(), sizes: list[int] | None = None) -> Iterator[tuple[int, str, str, bool]]:
+    """(kind, tag name or raw text, '' or '/', in a link) in page order; what a
+    skipped element holds is left out. Elements skipped by a hint are numbered:
+    those in ``spared`` are not skipped, and ``sizes`` gets the words of each,
+    then of the page."""
+    is_open, at, words, hinted = _Open(), 0, 0, 0
+    skipping, inside, held, unclosed = 0, 0, [], set()
+    numbers: list[int] = []
+
+    def close(height: int) -> Iterator[tuple[int, str, str, bool]]:
+        nonlocal skipping, inside
+        while len(is_open.stack) > height:
+            name, kind, before = is_open.pop()
+            if kind == BY_HINT and sizes is not None:
+                sizes[numbers[-1]] = words - before
+            if kind in (BY_NAME, BY_HINT):
+                skipping -= 1
+            elif name in ARTICLES:
+                inside -= 1
+                if not skipping:
+                    yield TAG, name, "/", is_open.count["a"] > 0
+            if kind == BY_HINT:
+                numbers.pop()
+            elif kind == ARTICLE_IN_SKIPPED:
+                skipping = held.pop()
+
+    while at < len(page):
+        m = _TAG_START.search(page, at)
+        lt = m.start() if m else len(page)
+        text = page[at:lt]
+        if text:
+            words += len(text.split())
+            if not skipping:
+                yield TEXT, text, "", is_open.count["a"] > 0
+        if lt >= len(page):
+            break
+        at = lt
+        if page.startswith("<!--", at):
+            m = _COMMENT.search(page, at + 2)
+            at = m.end() if m else len(page)
             continue
-        end, attrs = m[1] or m[4] or "", m[3] or m[6] or ""
-        if skip and not (name in ARTICLES and not end and not _skips(name, attrs, False, True)):
-            if name == skip:
-                depth += -1 if end else 1
-                skip = skip if depth else ""
+        end = "/" if page.startswith("</", at) else ""
+        m = _NAME.match(page, at + 1 + len(end))
+        if not m:                                     # a declaration, or broken: up to the next >
+            gt = page.find(">", at)
+            at = gt + 1 if gt >= 0 else len(page)
             continue
-        skip = ""
-        if name in RAW and not end:
-            close = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-            at = close.end() if close else len(page) if name != "head" else at
-            yield SKIP, name, "", False
+        name = m[0].lower()
+        attrs, shut, at = _attributes(page, m.end())
+        link = is_open.count["a"] > 0
+        if end:
+            if is_open.count[name]:
+                k = len(is_open.stack) - 1
+                while is_open.stack[k][0] != name:
+                    k -= 1
+                was = skipping
+                yield from close(k)
+                if not was and not skipping and name not in ARTICLES:
+                    yield TAG, name, "/", link
+            elif not skipping and name not in ARTICLES:
+                yield TAG, name, "/", link
             continue
-        if not end and name not in VOID and not attrs.endswith("/") and _skips(name, attrs, inside > 0):
-            skip, depth = name, 1
-            yield SKIP, name, "", False
+        if (k := is_open.ended_by(name)) < len(is_open.stack):
+            yield from close(k)
+        if name in RAW:
+            if not skipping:
+                yield SKIP, name, "", False
+            if not (page[at - 2] == "/" and name in FOREIGN) and name not in unclosed:
+                m = _CLOSE[name].search(page, at)
+                if not m:
+                    unclosed.add(name)
+                at = m.end() if m else at if name in FOREIGN or name == "head" else len(page)
+            continue
+        if name in VOID or shut and name not in ARTICLES:
+            if not skipping:
+                yield TAG, name, "", link
+            continue
+        kind = KEPT
+        if name in SKIPPED and not (name == "header" and inside):
+            kind = BY_NAME
+        elif _hinted(name, attrs, inside > 0, skipping > 0):
+            kind = KEPT if hinted in spared else BY_HINT
+            if sizes is not None:
+                sizes.append(0)
+            if kind == BY_HINT:
+                numbers.append(hinted)
+            hinted += 1
+        elif skipping and name in ARTICLES:
+            kind = ARTICLE_IN_SKIPPED
+        if kind == ARTICLE_IN_SKIPPED:
+            held.append(skipping)
+            skipping = 0
+        is_open.push(name, kind, words)
+        if kind in (BY_NAME, BY_HINT):
+            if not skipping:
+                yield SKIP, name, "", False
+            skipping += 1
             continue
-        if name == "a":
-            links = max(0, links + (-1 if end else 1))
         if name in ARTICLES:
-            inside = max(0, inside + (-1 if end else 1))
-        yield TAG, name, end, links > 0
+            inside += 1
+        if not skipping:
+            yield TAG, name, "", is_open.count["a"] > 0
+    yield from close(0)
+    if sizes is not None:
+        sizes.append(words)
 
 
 def count_labelled(page: str) -> Counter:
@@ -145,19 +290,23 @@ def fit_weights(pages: DataFrame, html: str = "html", max_labelled: int = MAX_LA
     """Weights from labelled pages; the defaults where there are none."""
     h = F.lower(text_of(html))
     labelled = (pages.select(text_of(html).alias("html")).filter(F.regexp_count(h, F.lit("<article[\\s>]")) == 1)
-                .orderBy(F.xxhash64("html"), "html").limit(max_labelled))
+                .withColumn("h", F.xxhash64("html")))
+    # At most max_labelled numbers come to the driver; the pages stay where they are.
+    named = [r["h"] for r in labelled.select("h").distinct().orderBy("h").limit(max_labelled).collect()]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for b in batches:
-            got = Counter()
-            for page in b.column(0).to_pylist():
-                got += count_labelled(page)
-            yield pa.RecordBatch.from_pylist(
-                [{"kind": k, "inside": i, "n": n} for (k, i), n in got.items()],
-                pa.schema([("kind", pa.string()), ("inside", pa.bool_()), ("n", pa.int64())]))
-
-    rows = labelled.mapInArrow(count, "kind string, inside boolean, n bigint").groupBy("kind", "inside") \
-                   .agg(F.sum("n").alias("n")).collect()
+            for h, page in zip(b.column(0).to_pylist(), b.column(1)):
+                if h not in seen:
+                    seen.add(h)
+                    yield pa.RecordBatch.from_pylist(
+                        [{"h": h, "kind": k, "inside": i, "n": n} for (k, i), n in count_labelled(page.as_py()).items()],
+                        pa.schema([("h", pa.int64()), ("kind", pa.string()), ("inside", pa.bool_()), ("n", pa.int64())]))
+
+    # Equal pages give equal rows in every task that holds one.
+    rows = (labelled.filter(F.col("h").isin(named)).select("h", "html").mapInArrow(count, "h bigint, kind string, inside boolean, n bigint")
+            .distinct().groupBy("kind", "inside").agg(F.sum("n").alias("n")).collect())
     return weights_from({(r["kind"], r["inside"]): r["n"] for r in rows})
 
 
@@ -173,18 +322,30 @@ def weights_from(got: dict[tuple[str, bool], int]) -> dict[str, float]:
     return out
 
 
+def _page_tokens(page: str) -> list[tuple[int, str, str, bool]]:
+    sizes: list[int] = []
+    seq = list(tokens(page, sizes=sizes))
+    total = sizes.pop()
+    most = frozenset(n for n, size in enumerate(sizes) if 2 * size > total)
+    if most and not any(k == TAG and s in ARTICLES for k, s, _, _ in seq):
+        seq = list(tokens(page, most))
+    return seq
+
+
 def extract(page: str | None, weights: dict[str, float]) -> str:
     """The page's main text: blocks in page order, one space between them."""
-    seq = list(tokens(page or ""))
+    seq = _page_tokens(page or "")
     other, skipped = weights["other tag"], weights["skipped"]
     best, best_at, here, start, inside = 0.0, (0, 0), 0.0, 0, 0
     for i, (kind, s, end, link) in enumerate(seq):
+        if kind == TAG and s in ARTICLES and end:
+            inside = max(0, inside - 1)
         if kind == TEXT:
             here += weights["link word" if link else "word"] * len(s.split())
-        elif kind == TAG and s in ENDS or not inside:
+        elif not inside:                     # nothing costs inside the outermost article
             here += skipped if kind == SKIP else weights.get(s, other)
-        if kind == TAG and s == "article":
-            inside = max(0, inside + (-1 if end else 1))
+        if kind == TAG and s in ARTICLES and not end:
+            inside += 1
         if here > best:
             best, best_at = here, (start, i + 1)
         if here <= 0:
@@ -193,7 +354,7 @@ def extract(page: str | None, weights: dict[str, float]) -> str:
     for kind, s, _, _ in seq[best_at[0]:best_at[1]]:
         if kind == TEXT:
             run.append(html_lib.unescape(s))
-        elif kind == SKIP or s in BLOCKS:
+        elif s in BLOCKS or kind == SKIP and s in SKIPPED:
             blocks.append("".join(run))
             run = []
     blocks.append("".join(run))
