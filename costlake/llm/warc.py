@@ -48,6 +48,9 @@ DICT_SAMPLE_BYTES = 1 << 20
 LEVEL = 3
 DICT_MAGIC = 0x184D2A5D      # skippable frame that holds the dictionary
 DATE = "2024-01-01T00:00:00Z"
+# Characters that stand for themselves in a target URI; the header with a url that has others.
+_URI_SAFE = "%/:?#[]@!$&'()*+,;=~"
+URL_AS_GIVEN = "X-Url-As-Given"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -59,7 +62,10 @@ def record(page_id: int | None, url: str | None, payload: bytes, size: int, sha1
     name = f"page:{page_id}" if page_id is not None else f"uuid:{uuid.uuid5(uuid.NAMESPACE_URL, sha1_hex)}"
     head += [f"WARC-Record-ID: <urn:{name}>", f"WARC-Date: {DATE}"]
     if url is not None:
-        head.append("WARC-Target-URI: " + quote(url, safe="%/:?#[]@!$&'()*+,;=~"))
+        told = quote(url, safe=_URI_SAFE)
+        head.append("WARC-Target-URI: " + told)
+        if told != url:       # what a header cannot hold stays readable for ``read_warc``
+            head.append(f"{URL_AS_GIVEN}: " + base64.b64encode(url.encode()).decode())
     head.append("WARC-Payload-Digest: sha1:" + base64.b32encode(bytes.fromhex(sha1_hex)).decode())
     if refers_to is not None:
         head += [f"WARC-Refers-To: <urn:page:{refers_to}>", f"WARC-Profile: {_PROFILE}"]
@@ -175,7 +181,9 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
                         raise ValueError(f"{h['WARC-Record-ID']}: payload does not match its digest")
                     size = int(http.rpartition(b"Content-Length: ")[2]) if revisit else len(payload)
                     uri = h.get("WARC-Target-URI")
-                    rows.append((number(h["WARC-Record-ID"]), unquote(uri) if uri is not None else None, size, told,
+                    if URL_AS_GIVEN in h:
+                        uri = base64.b64decode(h[URL_AS_GIVEN]).decode()
+                    rows.append((number(h["WARC-Record-ID"]), uri, size, told,
                                  h["WARC-Type"], number(h.get("WARC-Refers-To")), None if revisit else payload))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema, strict=True)],
                                                  schema=schema)

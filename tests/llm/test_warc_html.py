@@ -132,3 +132,51 @@ def test_tags_that_the_sample_has_only_outside_end_no_region():
 ])
 def test_words_that_only_contain_a_hint_stay(page):
     assert html_mss.extract(page, html_mss.DEFAULT_WEIGHTS) == "Head of this text " + TEXT
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<article><p>Alpha beta.</p><svg class=i/><p>One two</p></article>", "Alpha beta. One two"),
+    ("<article><p>Alpha <svg><text>x</text></svg>beta.</p><math/><p>One two</p></article>", "Alpha beta. One two"),
+    ("<article><ul><li class=share>Share this<li>A real item</ul><p>More text</p></article>", "A real item More text"),
+    ("<article><dl><dt class=ad>Buy<dd class=ad>now<dt>Term<dd>Its meaning</dl></article>", "Term Its meaning"),
+    ("<article><table><tr><td>one<td>two<tr><td>three</table><p>after</p></article>", "one two three after"),
+    ("<body><p class=notice>note<p>Real text</body>", "Real text"),
+    ("<div class='layout has-sidebar'><p>The text of a page</p><div class=sidebar>links here</div></div>", "The text of a page"),
+    ("<div class=widget><p>A page of words in one widget</p><div class=share>share it</div></div>", "A page of words in one widget"),
+    ("<article><p>Before</p><blockquote><article>quoted words</article></blockquote><p>After</p></article>", "Before quoted words After"),
+    ("<main><h1>Head line</h1><article><p>Its text is here</p></article></main>", "Head line Its text is here"),
+    ("<article><p title=O'Neil>para one</p><p>it's two</p></article>", "para one it's two"),
+    ("<article><p data-x='a>b\" c' title=\"d'>e\">text</p></article>", "text"),
+    ("<div><article><p>One two three four</p></div><p>Tail</p>", "One two three four"),
+    ("<div class='site-footer'>About us</div><p>Text of a page with no article</p>", "Text of a page with no article"),
+    ("<p>one two</p><article>a b</article><article>c d</article>", "one two"),
+    ("<article>a b</article><article>c d</article>", "a b"),
+])
+def test_text_of_ordinary_html_stays(page, want):
+    assert html_mss.extract(page, html_mss.DEFAULT_WEIGHTS) == want
+
+
+@pytest.mark.parametrize("part,times", [
+    ("<a '", 500_000), ("<a b='", 300_000), ("<div>", 200_000), ("<ul><li>", 100_000), ("<head>", 200_000), ("<p><td><div>", 100_000),
+    ("<", 2_000_000), ("<!--", 500_000), ("<svg>", 200_000), ("</b ", 500_000), ("<script>", 200_000), ("<a =", 300_000)])
+def test_hostile_pages_take_linear_time(part, times):
+    import time
+    took = []
+    for n in (times // 8, times):
+        t = time.process_time()
+        html_mss.extract(part * n, html_mss.DEFAULT_WEIGHTS)
+        took.append(time.process_time() - t)
+    assert took[1] < 0.3 + 16 * took[0]         # eight times the page, not sixty-four times the time
+
+
+def test_the_sample_is_named_by_hashes(spark):
+    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet").select("html")
+    few = html_mss.fit_weights(pages.unionByName(pages).repartition(7), max_labelled=10)
+    assert few == html_mss.fit_weights(pages.coalesce(1), max_labelled=10)
+    assert html_mss.fit_weights(pages.limit(0)) == html_mss.DEFAULT_WEIGHTS
+
+
+def test_urls_come_back_as_they_were(spark):
+    urls = ["http://x/a%20b?q=%2Fz", "http://x/a b", "http://x/\u00e9", "x\r\nWARC-Type: y", "", " lead ", None, "http://x/%"]
+    pages = spark.createDataFrame([(i, u, "h") for i, u in enumerate(urls)], PAGE)
+    assert {r["page_id"]: r["url"] for r in warc.round_trip(pages).collect()} == dict(enumerate(urls))
