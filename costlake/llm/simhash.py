@@ -189,9 +189,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = SHINGLE) -> DataFrame:
     """One row of ``docs`` per component: that of the smallest doc_id (NULL last),
-    then of the smallest content hash. Rows with equal id and text count as one
-    row and collapse on the map side; whole texts are shuffled once."""
-    content = F.xxhash64(F.col(key), text_of(text))
+    then of the smallest content digest. Rows with equal id and text count as one
+    row and collapse on the map side; whole texts are shuffled once. Rows are told
+    apart by the SHA-256 of id and text, so no two different ones meet."""
+    content = F.unhex(F.sha2(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("-")), F.lit(":"), text_of(text)).cast("binary"), 256))
     narrow = docs.select(F.col(key).alias("id"), content.alias("row"), F.col(text).alias("text"))
     found = _grouped(narrow, "id", "text", n, True)
     kept = materialize(found.groupBy("label")
