@@ -18,6 +18,7 @@ import numpy as np
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
 CHAR_MAP, DUMMY_PREFIX, REMOVE_EXTRA, ESCAPE_SPACE = 2, 3, 4, 5
 SPACE_AS_SUFFIX = 24
+MODEL_TYPE, BPE = 3, 2
 USER_DEFINED = 4
 SPACE_MARK = "▁".encode()
 # A normaliser that changes nothing: empty map, no prefix, spaces as they are.
@@ -47,6 +48,15 @@ def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
         at += size
 
 
+def is_bpe(model: bytes) -> bool:
+    """Whether the pieces are merged by byte-pair encoding."""
+    trainer: dict[int, int | bytes] = {}
+    for number, value in fields(model):
+        if number == TRAINER:
+            trainer.update(fields(value))
+    return trainer.get(MODEL_TYPE) == BPE
+
+
 class CharMap:
     """The compiled character map: a double array of prefixes, each with the
     place of its replacement in a list of zero-ended strings."""

@@ -99,18 +99,20 @@ def test_op11_is_the_library(spark):
 
 ALIGNER = token_alignment.Aligner(BYTE_BPE, MODEL)
 BYTE_OF = token_alignment.byte_alphabet()
-A_NAME = {i: n for n, i in ALIGNER.a.get_vocab().items()}
+A_FILE = ALIGNER.a.own
+B_MODEL = sentencepiece.SentencePieceProcessor(model_proto=MODEL)
+A_NAME = {i: n for n, i in A_FILE.get_vocab().items()}
 
 
 def align_one(text):
     """((n_a, n_b, n_groups, n_links, groups), Counter of linked pairs)."""
-    a = ALIGNER.a.encode(" " + text, add_special_tokens=False).ids if text else []
-    b = ALIGNER.b.encode(text) if text else []
+    a = A_FILE.encode(" " + text, add_special_tokens=False).ids if text else []
+    b = B_MODEL.encode(text) if text else []
     as_bytes = [bytes(BYTE_OF[c] for c in A_NAME[i]) for i in a]
     bs_bytes = []
     for i in b:
-        p = ALIGNER.b.id_to_piece(i)
-        bs_bytes.append(bytes([int(p[3:5], 16)]) if ALIGNER.b.is_byte(i) else p.encode().replace("▁".encode(), b" "))
+        p = B_MODEL.id_to_piece(i)
+        bs_bytes.append(bytes([int(p[3:5], 16)]) if B_MODEL.is_byte(i) else p.encode().replace("▁".encode(), b" "))
     whole = (" " + text).encode()
     if not text or b"".join(as_bytes) != whole or b"".join(bs_bytes) != whole:
         return (0, 0, 0, 0, ""), Counter()
@@ -140,9 +142,24 @@ def align_all(texts):
                          sum(n * docs[p] for p, n in one[t][1].items())) for t in texts]
 
 
-@pytest.mark.parametrize("max_links", [1, 7, 1 << 21])
-def test_aligner(monkeypatch, max_links):
+def test_both_sides_take_their_fast_way():
+    assert ALIGNER.a.fast is not None and ALIGNER.b.by_word
+    assert ALIGNER.a._settled("plain text\n\té 日本") and not ALIGNER.a._settled("\x1c") and not ALIGNER.a._settled("a\u200b")
+    assert not token_alignment.WordPieces(with_normaliser("nmt_nfkc", 1, 1, 1)).by_word
+
+
+def test_words_in_and_out_of_memory(monkeypatch):
+    monkeypatch.setattr(token_alignment.WordPieces, "KEPT", 3)
+    words = token_alignment.WordPieces(MODEL)
+    texts = mixed_texts(200) + ["long" * 100 + " x", "  ▁ ▁a ▁"]
+    for t in texts:
+        assert words([t, t])[1].tolist() == B_MODEL.encode(t)
+
+
+@pytest.mark.parametrize("max_links,wide", [(1, 8), (7, 0), (1 << 21, 1), (1 << 21, 8)])
+def test_aligner(monkeypatch, max_links, wide):
     monkeypatch.setattr(token_alignment, "MAX_LINKS", max_links)
+    monkeypatch.setattr(token_alignment, "WIDE", wide)
     texts = mixed_texts(300)
     got = ALIGNER([t.encode() for t in texts])
     for k, t in enumerate(texts):
