@@ -677,3 +677,12 @@ r AS (SELECT *, CASE WHEN n % 17 = 3 OR n % 29 = 7 THEN 'not a ledger entry'
 SELECT evidence_id, CASE WHEN reason IS NULL THEN control_id END AS control_id, CASE WHEN reason IS NULL THEN status END AS status,
        CASE WHEN reason IS NULL THEN deferred END AS deferred, reason
 FROM r"""
+
+SQL["customer_slice"] = _with(*_CUST) + """
+SELECT f.usage_date, f.customer_key, f.service_key, f.allocated_cost, f.record_count, f.null_cost_count
+FROM fact f JOIN dimc c USING (customer_key) WHERE c.customer_id % 100 = 0"""
+
+SQL["fact_customer_upsert_bucketed"] = SQL["fact_customer_upsert"]
+
+SQL["dq_grain_bucketed"] = _with(*_CUST, USAGE_LONG_NAMED, f"grains AS ({GRAIN})") + """
+SELECT * FROM grains WHERE table_name = 'fact_customer_cost'"""

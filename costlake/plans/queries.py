@@ -18,12 +18,13 @@ from costlake.operators import dims as D
 from costlake.operators import facts as FA
 from costlake.operators import quality as QA
 from costlake.operators import summary as S
-from costlake.schemas import SERVICE_CATEGORIES
+from costlake.schemas import MONEY_2DP, SERVICE_CATEGORIES
 from costlake.session import materialize, scratch_path
 from costlake.sources import views as V
 from costlake.sources.id_index import LOAD, MONTH, IndexedRaw
 from costlake.sources.semi_structured import usage_from_json
-from costlake.sources.tables import Warehouse, run_sql
+from costlake.sources.bucketed import bucketed, upsert_bucketed
+from costlake.sources.tables import Warehouse, lookup, run_sql, write_for_lookup
 from costlake.sources.usage import new_usage_rows, normalize_usage, read_ledger_checked, usage_metrics_frame
 
 # Fixed parameters of the named queries.
@@ -458,6 +459,8 @@ def q_control_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- appends, loads and replays that do not read the history -------------------------------------
 
+FACT_CUSTOMER_KEYS = ["usage_date", "customer_key", "service_key"]
+FACT_BUCKETS = 16
 APPEND_CUTS = ["1996-06-01", "1998-01-01", "1999-09-01"]           # append_indexed: first days of batches 2-4
 SERVICE_CUTS = ["2024-01-08", "2024-01-15", "2024-01-22"]          # dim_service_incremental: likewise
 SERIES = ["2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2024-02-01", "2024-02-15"]
@@ -589,7 +592,43 @@ def q_ledger_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                                              none.alias("status"), F.lit(None).cast("bigint").alias("deferred"), "reason")))
 
 
+def q_customer_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P8 by customer: the stored fact's rows of the customers whose id 100 divides."""
+    raw, ds, dc = _customer_fact(spark, sf_dir)
+    path = scratch_path(spark, "lookup")
+    write_for_lookup(FA.customer_cost(raw, ds, dc, RUN_TS), path, "customer_key", ["usage_date"], dc.count())
+    fact = spark.read.schema(f"customer_key bigint, service_key bigint, allocated_cost {MONEY_2DP.simpleString()}, "
+                             "record_count bigint, null_cost_count bigint, usage_date string").parquet(path)
+    wanted = dc.filter(F.col("customer_id") % 100 == 0).select("customer_key")
+    return _dbl(lookup(fact, "customer_key", wanted), "allocated_cost")
+
+
+def q_fact_customer_upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D6, D1 on a bucketed target: the second run's allocation meets the stored
+    first run bucket to bucket."""
+    raw = raw_usage(spark, sf_dir)
+    ds = materialize(D.load_dim_service(raw, None, RUN_TS))
+    cust = V.table(spark, sf_dir, "customer")
+    d1 = materialize(D.load_dim_customer(None, V.snapshot_v1(cust), SALT, V.SNAPSHOT_V1_DATE))
+    d2 = materialize(D.load_dim_customer(d1, V.snapshot_v2(cust), SALT, V.SNAPSHOT_V2_DATE))
+    with bucketed(FA.load_fact_customer_cost(raw, ds, d1, None, "run-1"), FACT_CUSTOMER_KEYS, FACT_BUCKETS) as target:
+        source = FA.load_fact_customer_cost(raw, ds, d2, None, "run-2")
+        out = upsert_bucketed(target, source, FACT_CUSTOMER_KEYS,
+                              ["allocated_cost", "record_count", "null_cost_count", "_loaded_at"], FACT_BUCKETS, check_unique=False)
+        return _dbl(materialize(out), "allocated_cost")
+
+
+def q_dq_grain_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2 on a bucketed fact: no exchange of its rows."""
+    raw, ds, dc = _customer_fact(spark, sf_dir)
+    with bucketed(FA.customer_cost(raw, ds, dc, RUN_TS), FACT_CUSTOMER_KEYS, FACT_BUCKETS) as fact:
+        return materialize(QA.grain_check(fact, FACT_CUSTOMER_KEYS, "fact_customer_cost"))
+
+
 QUERIES: dict[str, Query] = {
+    "customer_slice": q_customer_slice,
+    "fact_customer_upsert_bucketed": q_fact_customer_upsert_bucketed,
+    "dq_grain_bucketed": q_dq_grain_bucketed,
     "append_indexed": q_append_indexed,
     "dim_service_incremental": q_dim_service_incremental,
     "scd2_replay": q_scd2_replay,

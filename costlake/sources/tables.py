@@ -161,3 +161,27 @@ def partition_lookup(df: DataFrame, usage_date: str | None = None, start: str |
     if end is not None:
         df = df.filter(c < end)
     return df
+
+
+MAX_PUSHED_KEYS = 1000      # looked-up values that go into the scan's own filter
+
+
+def write_for_lookup(df: DataFrame, path: str, key: str, partition_by: list[str], distinct_keys: int,
+                     row_group_bytes: int = 128 << 20) -> None:
+    """Write ``df`` so that a lookup by ``key`` reads few row groups: sorted by it inside
+    each partition value (narrow minima and maxima), with a Parquet Bloom filter
+    on it for row groups whose range holds a value that they lack."""
+    (df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, key).write
+     .option(f"parquet.bloom.filter.enabled#{key}", "true")
+     .option(f"parquet.bloom.filter.expected.ndv#{key}", str(distinct_keys))
+     .option("parquet.block.size", str(row_group_bytes)).partitionBy(*partition_by).parquet(path))
+
+
+def lookup(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is in ``wanted`` (one column, same name). Few values
+    (counted) become the scan's filter, where statistics and Bloom filters skip row
+    groups; more are joined, and the planner's size check decides how."""
+    few = wanted.select(key).filter(F.col(key).isNotNull()).distinct().limit(MAX_PUSHED_KEYS + 1).collect()
+    if len(few) <= MAX_PUSHED_KEYS:
+        return df.filter(F.col(key).isin([r[0] for r in few]))
+    return df.join(wanted.select(key).distinct(), key, "left_semi")

@@ -185,3 +185,51 @@ def test_no_python_in_the_new_queries(spark):
         p = plan(QUERIES[name](spark, SF_SMALL))
         for bad in ("PythonUDF", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert bad not in p, (name, bad)
+
+
+def scan(df):
+    """The file scan of a plan without an exchange, after it ran."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return leaves.apply(0)
+
+
+def test_lookup_skips_row_groups(spark, tmp_root):
+    from costlake.sources.tables import lookup, write_for_lookup
+    df = spark.range(200_000).selectExpr("id * 2 AS customer_key", "cast(id as string) AS v", "'2024-01-01' AS usage_date")
+    write_for_lookup(df.repartition(3), tmp_root + "/t", "customer_key", ["usage_date"], 200_000, row_group_bytes=200_000)
+    t = spark.read.schema("customer_key bigint, v string, usage_date string").parquet(tmp_root + "/t")
+    ids = spark.createDataFrame([(100_000,), (100_001,), (None,)], "customer_key bigint")
+    got = lookup(t, "customer_key", ids)
+    read = scan(got).metrics().apply("numOutputRows").value()
+    assert [r.customer_key for r in got.collect()] == [100_000] and read < 40_000
+    # an absent value inside the range of every row group: the Bloom filters alone tell
+    mixed = spark.range(60_000).selectExpr("(id * 7919) % 60000 * 2 AS customer_key", "cast(id as string) AS v")
+    (mixed.coalesce(1).write.option("parquet.bloom.filter.enabled#customer_key", "true").option("parquet.enable.dictionary", "false")
+     .option("parquet.bloom.filter.expected.ndv#customer_key", "60000").parquet(tmp_root + "/u"))
+    odd = lookup(spark.read.parquet(tmp_root + "/u"), "customer_key", spark.createDataFrame([(60_001,)], "customer_key bigint"))
+    assert scan(odd).metrics().apply("numOutputRows").value() == 0
+
+
+def test_many_keys_are_joined(spark, monkeypatch):
+    from costlake.sources import tables
+    monkeypatch.setattr(tables, "MAX_PUSHED_KEYS", 2)
+    t = spark.range(100).withColumnRenamed("id", "k")
+    assert rows(tables.lookup(t, "k", spark.createDataFrame([(1,), (5,), (7,), (7,)], "k bigint"))) == [(1,), (5,), (7,)]
+
+
+def test_bucketed_target_is_not_exchanged(spark):
+    from costlake.operators import quality as QA
+    from costlake.sources.bucketed import bucketed, upsert_bucketed
+    t = spark.createDataFrame([("d1", 1, 10), ("d1", 2, 20)], "d string, k long, v long")
+    s = spark.createDataFrame([("d1", 2, 21), ("d2", 3, 30)], "d string, k long, v long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with bucketed(t, ["d", "k"], 4) as target:
+            out = upsert_bucketed(target, s, ["d", "k"], ["v"], 4, check_unique=False)
+            p = plan(out)
+            assert "Bucketed: true" in p and p.count("Exchange") == 1, p
+            assert "Exchange hashpartitioning(d" not in plan(QA.grain_check(target, ["d", "k"], "t"))
+            assert rows(out) == [("d1", 1, 10), ("d1", 2, 21), ("d2", 3, 30)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
