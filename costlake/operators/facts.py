@@ -66,9 +66,9 @@ def load_fact_daily_cost(raw: DataFrame, dim_service: DataFrame, existing: DataF
 
 # --- J2 / A4 -------------------------------------------------------------------------------
 
-def _valid_versions(dim_customer: DataFrame) -> DataFrame:
+def _valid_versions(dim_customer: DataFrame, *more: str) -> DataFrame:
     to = F.coalesce(F.col("effective_to"), F.lit(OPEN_END_DATE))
-    return (dim_customer.select("customer_key", "effective_from", to.alias("_to"))
+    return (dim_customer.select("customer_key", "effective_from", to.alias("_to"), *more)
             .filter(F.col("_to") >= F.col("effective_from")))
 
 
@@ -233,6 +233,32 @@ def segment_cost(fact_customer: DataFrame, dim_customer: DataFrame) -> DataFrame
     return j.groupBy("segment").agg(round_money(F.sum("_c"), 2).cast(MONEY_2DP).alias("total_cost"))
 
 
+def segment_cost_by_counts(raw: DataFrame, dim_service: DataFrame, dim_customer: DataFrame) -> DataFrame:
+    """A7 without the customer fact: a date's share goes to each of its active
+    customers, so a segment costs the share times its active customers.
+
+    The sweep of ``active_customers_per_date`` runs per segment; no pair of a date
+    and a customer is ever made. Rows: dates x segments, and service-days."""
+    sd, _ = materialized_service_daily(raw, dim_service)
+    v = _valid_versions(dim_customer, "segment")
+    deltas = (v.select("segment", F.col("effective_from").alias("d"), F.lit(1).alias("delta"))
+              .unionByName(v.filter(F.col("_to") != OPEN_END_DATE)
+                           .select("segment", F.col("_to").alias("d"), F.lit(-1).alias("delta")))
+              .groupBy("segment", "d").agg(F.sum("delta").alias("delta"), F.lit(0).alias("is_usage")))
+    # Every segment on every usage date: the segments are one small array.
+    names = v.agg(F.collect_set(F.struct("segment"))).scalar()
+    probes = (sd.select(F.col("usage_date").alias("d")).distinct().withColumn("s", F.explode(names))
+              .select(F.col("s.segment").alias("segment"), "d", F.lit(0).cast("bigint").alias("delta"), F.lit(1).alias("is_usage")))
+    w = Window.partitionBy("segment").orderBy("d").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    active = (deltas.unionByName(probes).withColumn("active", F.sum("delta").over(w))
+              .filter("is_usage = 1 AND active > 0").select("segment", F.col("d").alias("usage_date"), "active"))
+    alloc = allocation_per_service_day(sd, active_customers_per_date(dim_customer, sd))
+    per_day = alloc.groupBy("usage_date").agg(F.sum("allocated_cost").alias("share"))
+    cents = F.sum((F.col("share") * 100).cast("decimal(38,0)") * F.col("active").cast("decimal(18,0)"))
+    return (active.join(per_day, "usage_date").groupBy("segment")
+            .agg((cents.cast("decimal(36,0)") * F.lit("0.01").cast("decimal(3,2)")).cast(MONEY_2DP).alias("total_cost")))
+
+
 def distinct_customers_per_date(fact_customer: DataFrame) -> DataFrame:
     """COUNT(DISTINCT customer_key) per date."""
     return fact_customer.groupBy("usage_date").agg(F.countDistinct("customer_key").alias("customers"))

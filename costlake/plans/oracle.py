@@ -686,3 +686,6 @@ SQL["fact_customer_upsert_bucketed"] = SQL["fact_customer_upsert"]
 
 SQL["dq_grain_bucketed"] = _with(*_CUST, USAGE_LONG_NAMED, f"grains AS ({GRAIN})") + """
 SELECT * FROM grains WHERE table_name = 'fact_customer_cost'"""
+
+SQL["segment_cost_of_fact"] = SQL["segment_cost"]
+SQL["warehouse_rebuild"] = SQL["fact_customer_cost"]

@@ -164,8 +164,9 @@ def _customer_fact(spark: SparkSession, sf_dir: str, keep_dim: bool = True):
 
 
 def q_active_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw, ds, dc = _customer_fact(spark, sf_dir, keep_dim=False)
-    return FA.active_customers_per_date(dc, FA.service_daily(raw, ds))
+    # Every line's service is in the dimension that these lines give, so its dates are theirs.
+    raw, _, dc = _customer_fact(spark, sf_dir, keep_dim=False)
+    return FA.active_customers_per_date(dc, raw.select(F.col("line_item_usage_start_date").alias("usage_date")))
 
 
 def q_fact_customer_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,6 +198,12 @@ def q_fact_customer_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_segment_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw, ds, dc = _customer_fact(spark, sf_dir)
+    return _dbl(FA.segment_cost_by_counts(raw, ds, dc), "total_cost")
+
+
+def q_segment_cost_of_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A7 from the customer fact itself."""
     raw, ds, dc = _customer_fact(spark, sf_dir)
     return _dbl(FA.segment_cost(FA.customer_cost(raw, ds, dc, RUN_TS), dc), "total_cost")
 
@@ -625,6 +632,20 @@ def q_dq_grain_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
         return materialize(QA.grain_check(fact, FACT_CUSTOMER_KEYS, "fact_customer_cost"))
 
 
+def q_warehouse_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two daily runs into a warehouse, then every derived table
+    rebuilt from the raw layer and both snapshots; the customer fact."""
+    from costlake.plans.pipeline import Snapshot, rebuild_from_raw, run_pipeline
+
+    root = scratch_path(spark, "warehouse")
+    raw, cust = raw_usage(spark, sf_dir), V.table(spark, sf_dir, "customer")
+    snaps = [Snapshot(V.snapshot_v1(cust), V.SNAPSHOT_V1_DATE), Snapshot(V.snapshot_v2(cust), V.SNAPSHOT_V2_DATE)]
+    for batch, snap in zip(_batches(raw, [FIRST_LOAD_BEFORE]), snaps):
+        run_pipeline(spark, root, batch, [snap], SALT, RUN_TS)
+    rebuild_from_raw(spark, root, snaps, SALT, RUN_TS)
+    return _dbl(Warehouse(spark, root).read("fact_customer_cost"), "allocated_cost").drop("_loaded_at")
+
+
 QUERIES: dict[str, Query] = {
     "customer_slice": q_customer_slice,
     "fact_customer_upsert_bucketed": q_fact_customer_upsert_bucketed,
@@ -654,6 +675,8 @@ QUERIES: dict[str, Query] = {
     "customer_cost_timed_dates": q_customer_cost_timed_dates,
     "fact_customer_upsert": q_fact_customer_upsert,
     "segment_cost": q_segment_cost,
+    "segment_cost_of_fact": q_segment_cost_of_fact,
+    "warehouse_rebuild": q_warehouse_rebuild,
     "distinct_customers_per_date": q_distinct_customers_per_date,
     "enriched_fact": q_enriched_fact,
     "new_usage_rows": q_new_usage_rows,

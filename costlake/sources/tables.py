@@ -7,7 +7,8 @@ step may read the table it replaces (Spark cannot overwrite a path it is
 reading), a write that fails at any point leaves the old version in place,
 and a retry takes a fresh folder. Facts are partitioned by ``usage_date``; ``write_partitions``
 rewrites only the dates present in the new rows (dynamic partition
-overwrite) inside the current version.
+overwrite) inside the current version, from staged rows that a reader after a crash
+finds and puts in place.
 """
 
 from __future__ import annotations
@@ -82,6 +83,7 @@ class Warehouse:
         loc = self.location(name)
         if loc is None:
             return None
+        self._finish_overwrites(name)
         schema = _read_text(self.spark, f"{loc}/_schema.json")
         reader = self.spark.read
         if schema:
@@ -114,13 +116,33 @@ class Warehouse:
         loc = self.location(name)
         if loc is None:
             return self.replace(name, df, cols)
-        # Spark cannot overwrite partitions it reads in the same plan: stage first.
-        from costlake.session import materialize
-        staged = materialize(df).hint("rebalance", *cols)
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*cols).parquet(loc))
+        self._finish_overwrites(name)
+        # Spark cannot overwrite partitions it reads in the same plan: the rows are staged
+        # first, and stay named until the overwrite is done, so a crash in it is mended.
+        attempt = uuid.uuid4().hex
+        df.write.parquet(f"{self.root}/{name}/_staged/{attempt}")
+        _write_text(self.spark, f"{self.root}/{name}/_pending/{attempt}", json.dumps({"cols": cols, "into": loc}))
+        self._finish_overwrites(name)
         return loc
 
+    def _finish_overwrites(self, name: str) -> None:
+        """Carry out the overwrites of ``name`` that are staged; one that was cut short is
+        done again from its start, with the same result."""
+        fs, p = _fs(self.spark, f"{self.root}/{name}/_pending")
+        if not fs.exists(p):
+            return
+        for f in sorted(st.getPath().getName() for st in fs.listStatus(p) if not st.getPath().getName().endswith(".tmp")):
+            told = json.loads(_read_text(self.spark, f"{self.root}/{name}/_pending/{f}"))
+            staged = f"{self.root}/{name}/_staged/{f}"
+            self._overwrite(self.spark.read.parquet(staged), told["cols"], told["into"])
+            for done in (f"{self.root}/{name}/_pending/{f}", staged):
+                fs.delete(_fs(self.spark, done)[1], True)
+
+    @staticmethod
+    def _overwrite(rows: DataFrame, cols: list[str], loc: str) -> None:
+        (rows.hint("rebalance", *cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*cols).parquet(loc))
+
     def drop(self, name: str) -> None:
         fs, p = _fs(self.spark, f"{self.root}/{name}")
         if fs.exists(p):
