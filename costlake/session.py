@@ -71,20 +71,34 @@ _SCOPE: ContextVar[list[str] | None] = ContextVar("costlake_scratch", default=No
 
 
 @contextmanager
-def scratch_scope(spark: SparkSession) -> Iterator[None]:
-    """Owns the folders that ``materialize`` writes inside the block and deletes
-    them at its end, so nothing lazy that reads them may leave the block. Runs
-    in other threads, and blocks around this one, keep theirs."""
+def scratch_noted() -> Iterator[list[str]]:
+    """The folders that ``materialize`` writes inside the block, as a list for
+    whoever will ``delete_folders`` them once nothing reads them any more. Runs in
+    other threads, and blocks around this one, keep theirs."""
     held: list[str] = []
     token = _SCOPE.set(held)
     try:
-        yield
+        yield held
     finally:
         _SCOPE.reset(token)
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        for path in held:
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(conf).delete(p, True)
+
+
+def delete_folders(spark: SparkSession, paths: list[str]) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Owns the folders that ``materialize`` writes inside the block and deletes
+    them at its end, so nothing lazy that reads them may leave the block."""
+    with scratch_noted() as held:
+        try:
+            yield
+        finally:
+            delete_folders(spark, held)
 
 
 def materialize(df: DataFrame, metrics: dict[str, Column] | None = None) -> DataFrame | tuple[DataFrame, dict]:
