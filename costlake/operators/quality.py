@@ -203,12 +203,14 @@ def override_status(ledger: DataFrame) -> DataFrame:
     return agg.select(F.col("overrides_found").cast("bigint"), status.alias("status"))
 
 
-def override_details(ledger: DataFrame) -> DataFrame:
-    """Q9 detail: one row per override with its remediation fields."""
-    return (ledger.filter(F.col("control_id") == OVERRIDE_CONTROL_ID)
-            .select(F.col("evidence_id").alias("override_id"),
-                    F.coalesce(F.col("standard_controls_deferred"), F.array().cast("array<string>"))
-                    .alias("deferred_controls"),
-                    "remediation_deadline",
-                    F.coalesce(F.col("remediation_status"), F.lit("unknown")).alias("remediation_status"),
-                    F.coalesce(F.col("emergency_approver"), F.lit("unknown")).alias("emergency_approver")))
+def deferred_controls(ledger: DataFrame) -> DataFrame:
+    """Q9 by control: which controls open overrides (not ``completed``) put off, how many
+    of them do, whether any is escalated, and the first deadline."""
+    still_open = ledger.filter((F.col("control_id") == OVERRIDE_CONTROL_ID)
+                               & ~F.coalesce(F.col("remediation_status") == "completed", F.lit(False)))
+    each = still_open.select("evidence_id", "remediation_status", "remediation_deadline",
+                             F.explode(F.array_distinct("standard_controls_deferred")).alias("control_id"))
+    return each.groupBy("control_id").agg(
+        F.count(F.lit(1)).alias("open_overrides"),
+        F.coalesce(F.bool_or(F.col("remediation_status") == "escalated"), F.lit(False)).alias("escalated"),
+        F.min("remediation_deadline").alias("first_deadline"))

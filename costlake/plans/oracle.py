@@ -689,3 +689,15 @@ SELECT * FROM grains WHERE table_name = 'fact_customer_cost'"""
 
 SQL["segment_cost_of_fact"] = SQL["segment_cost"]
 SQL["warehouse_rebuild"] = SQL["fact_customer_cost"]
+
+SQL["deferred_controls"] = """
+WITH l AS (
+  SELECT o_orderkey AS n, strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS deadline,
+         CASE WHEN o_orderkey % 5 = 1 THEN 'completed' WHEN o_orderkey % 7 = 2 THEN 'pending'
+              WHEN o_orderkey % 1009 = 3 THEN 'escalated' END AS state
+  FROM orders WHERE o_orderkey % 3 = 0
+),
+d AS (SELECT n, deadline, state, unnest(['C-0' || (n % 4), 'C-06']) AS control_id FROM l
+      WHERE n % 11 <> 4 AND state IS DISTINCT FROM 'completed')
+SELECT control_id, COUNT(*) AS open_overrides, COALESCE(bool_or(state = 'escalated'), FALSE) AS escalated,
+       MIN(deadline) AS first_deadline FROM d GROUP BY control_id"""

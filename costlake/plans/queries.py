@@ -632,6 +632,18 @@ def q_dq_grain_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
         return materialize(QA.grain_check(fact, FACT_CUSTOMER_KEYS, "fact_customer_cost"))
 
 
+def q_deferred_controls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q9 by control, over a ledger with an entry per order: a third are overrides."""
+    n = F.col("o_orderkey")
+    ledger = V.table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("E-"), n.cast("string")).alias("evidence_id"),
+        F.when(n % 3 == 0, "C-11").otherwise("C-06").alias("control_id"),
+        F.when(n % 5 == 1, "completed").when(n % 7 == 2, "pending").when(n % 1009 == 3, "escalated").alias("remediation_status"),
+        F.when(n % 11 != 4, F.array(F.concat(F.lit("C-0"), (n % 4).cast("string")), F.lit("C-06"))).alias("standard_controls_deferred"),
+        F.to_date("o_orderdate").cast("string").alias("remediation_deadline"))
+    return QA.deferred_controls(ledger)
+
+
 def q_warehouse_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two daily runs into a warehouse, then every derived table
     rebuilt from the raw layer and both snapshots; the customer fact."""
@@ -677,6 +689,7 @@ QUERIES: dict[str, Query] = {
     "segment_cost": q_segment_cost,
     "segment_cost_of_fact": q_segment_cost_of_fact,
     "warehouse_rebuild": q_warehouse_rebuild,
+    "deferred_controls": q_deferred_controls,
     "distinct_customers_per_date": q_distinct_customers_per_date,
     "enriched_fact": q_enriched_fact,
     "new_usage_rows": q_new_usage_rows,

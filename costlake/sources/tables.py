@@ -143,6 +143,20 @@ class Warehouse:
         (rows.hint("rebalance", *cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*cols).parquet(loc))
 
+    def vacuum(self, name: str, keep: int = 2) -> int:
+        """Delete all but the newest ``keep`` versions of ``name``, and what failed attempts
+        before them left; returns the number of folders. Nobody may still read those."""
+        newest = self._committed(name)
+        fs, p = _fs(self.spark, f"{self.root}/{name}")
+        gone = 0
+        for st in fs.listStatus(p) if newest else []:
+            folder = st.getPath().getName()
+            if folder.startswith("v=") and int(folder[2:].split("-")[0]) <= newest - keep:
+                gone += bool(fs.delete(st.getPath(), True))
+        for n in range(1, newest - keep + 1):
+            fs.delete(_fs(self.spark, f"{self.root}/{name}/_commits/{n}")[1], False)
+        return gone
+
     def drop(self, name: str) -> None:
         fs, p = _fs(self.spark, f"{self.root}/{name}")
         if fs.exists(p):
@@ -158,12 +172,22 @@ def run_sql(spark: SparkSession, text: str, tables: dict[str, DataFrame] | None
             args: dict | None = None) -> DataFrame:
     """Run SQL text over named frames with named parameters (``:name``).
 
-    Frames are registered as temporary views of this session; parameters
+    The frames are temporary views while the text is analysed and no longer: the
+    session keeps its own views, also those of the same names. Parameters
     are bound by Spark (no string splicing).
     """
-    for name, df in (tables or {}).items():
+    tables = tables or {}
+    held = {t.name: spark.table(t.name) for t in spark.catalog.listTables() if t.isTemporary and t.name in tables}
+    for name, df in tables.items():
         df.createOrReplaceTempView(name)
-    return spark.sql(text, args=args or None)
+    try:
+        return spark.sql(text, args=args or None)
+    finally:
+        for name in tables:
+            if name in held:
+                held[name].createOrReplaceTempView(name)
+            else:
+                spark.catalog.dropTempView(name)
 
 
 def read_parquet_sql(spark: SparkSession, path: str) -> DataFrame:

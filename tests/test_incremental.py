@@ -260,3 +260,24 @@ def test_an_overwrite_that_crashes_is_finished_by_the_next_reader(spark, tmp_roo
 def test_segment_cost_makes_no_pairs(spark):
     p = plan(QUERIES["segment_cost"](spark, SF_SMALL))
     assert "CartesianProduct" not in p and "NestedLoop" not in p
+
+
+def test_vacuum_keeps_the_newest_versions(spark, tmp_root):
+    from costlake.sources.tables import Warehouse
+    wh = Warehouse(spark, tmp_root)
+    for i in range(4):
+        wh.replace("t", spark.range(i + 1))
+    assert wh.vacuum("t") == 2 and wh.read("t").count() == 4
+    assert wh.vacuum("t", keep=1) == 1 and wh.vacuum("t", keep=1) == 0 and wh.read("t").count() == 4
+    wh.replace("t", spark.range(9))
+    assert wh.read("t").count() == 9 and wh.vacuum("none") == 0
+
+
+def test_sql_leaves_no_views(spark):
+    from costlake.sources.tables import run_sql
+    spark.range(3).createOrReplaceTempView("mine")
+    out = run_sql(spark, "SELECT count(*) AS n FROM mine JOIN other USING (id) WHERE id >= :lo",
+                  {"mine": spark.range(10), "other": spark.range(8)}, {"lo": 2})
+    assert out.first().n == 6 and spark.table("mine").count() == 3
+    assert "other" not in {t.name for t in spark.catalog.listTables()}
+    spark.catalog.dropTempView("mine")

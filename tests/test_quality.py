@@ -83,7 +83,9 @@ def test_gate_and_overrides(spark, tmp_root):
         {"evidence_id": "E2", "control_id": "C-04", "status": "pass"},
         {"evidence_id": "E3", "control_id": "C-05", "status": "fail"},
         {"evidence_id": "O1", "control_id": "C-11", "status": "pass", "remediation_status": "completed"},
-        {"evidence_id": "O2", "control_id": "C-11", "status": "pass", "remediation_status": "escalated"},
+        {"evidence_id": "O2", "control_id": "C-11", "status": "pass", "remediation_status": "escalated",
+         "standard_controls_deferred": ["C-06", "C-06", "C-07"], "remediation_deadline": "2025-02-01"},
+        {"evidence_id": "O3", "control_id": "C-04", "status": "fail", "standard_controls_deferred": ["C-07"]},
     ])
     req = spark.createDataFrame([("C-04",), ("C-05",)], "control_id string")
     cov = {r.control_id: (r.status, r.evidence_count, r.gate_result) for r in QA.control_coverage(led, req).collect()}
@@ -93,7 +95,11 @@ def test_gate_and_overrides(spark, tmp_root):
     assert rows(QA.control_evidence(led, req)) == [("C-04", "E1"), ("C-04", "E2")]
     o = QA.override_status(led).first()
     assert (o.overrides_found, o.status) == (2, "ESCALATED")
-    assert QA.override_details(led).count() == 2
+    late = led.unionByName(_ledger(spark, tmp_root, [
+        {"evidence_id": "O4", "control_id": "C-11", "status": "pass", "standard_controls_deferred": ["C-07"],
+         "remediation_deadline": "2025-01-01"},
+        {"evidence_id": "O5", "control_id": "C-11", "remediation_status": "completed", "standard_controls_deferred": ["C-08"]}]))
+    assert rows(QA.deferred_controls(late)) == [("C-06", 1, True, "2025-02-01"), ("C-07", 2, True, "2025-01-01")]
     done = led.filter("evidence_id != 'O2'")
     assert QA.override_status(done).first().status == "REMEDIATED"
     pending = _ledger(spark, tmp_root, [{"evidence_id": "O3", "control_id": "C-11", "status": "pass"}])
