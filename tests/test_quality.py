@@ -95,7 +95,8 @@ def test_gate_and_overrides(spark, tmp_root):
     assert rows(QA.control_evidence(led, req)) == [("C-04", "E1"), ("C-04", "E2")]
     o = QA.override_status(led).first()
     assert (o.overrides_found, o.status) == (2, "ESCALATED")
-    late = led.unionByName(_ledger(spark, tmp_root, [
+    os.mkdir(os.path.join(tmp_root, "more"))
+    late = led.unionByName(_ledger(spark, os.path.join(tmp_root, "more"), [
         {"evidence_id": "O4", "control_id": "C-11", "status": "pass", "standard_controls_deferred": ["C-07"],
          "remediation_deadline": "2025-01-01"},
         {"evidence_id": "O5", "control_id": "C-11", "remediation_status": "completed", "standard_controls_deferred": ["C-08"]}]))
