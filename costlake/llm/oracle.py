@@ -21,11 +21,26 @@ grams AS (SELECT doc_id, n, i, array_to_string(words[i:i + n - 1], ' ') AS w
 hits AS (SELECT doc_id, item_id, i, n FROM grams JOIN win USING (n, w)),
 covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM hits, unnest(range(i, i + n)) AS u(p) GROUP BY doc_id),
 named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
-          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id),
+-- Near matches: a word of the item stands within two words of its place on a diagonal (start in the
+-- document less place in the item); a window is near where at most a fifth of its words do not.
+tok AS (SELECT doc_id, p, words[p] AS w FROM d, unnest(range(1, len(words) + 1)) AS u(p)),
+itok AS (SELECT item_id, n, q, words[q] AS w FROM sized, unnest(range(1, len(words) + 1)) AS u(q)),
+placed AS (SELECT DISTINCT doc_id, item_id, n, p - q + s AS diag, q FROM tok JOIN itok USING (w), unnest(range(-2, 3)) AS u(s)),
+dense AS (SELECT doc_id, item_id, diag FROM placed GROUP BY doc_id, item_id, n, diag HAVING count(*) >= ceil(0.8 * n)),
+near AS (SELECT doc_id, item_id, n, diag, i FROM placed JOIN dense USING (doc_id, item_id, diag) JOIN sized USING (item_id, n),
+              unnest(range(greatest(1, q - n + 1), least(q, len(words) - n + 1) + 1)) AS u(i)
+         GROUP BY doc_id, item_id, n, diag, i HAVING count(*) >= ceil(0.8 * n)),
+near_at AS (SELECT DISTINCT doc_id, n, diag + i AS at_word, array_to_string(words[i:i + n - 1], ' ') AS w
+            FROM near JOIN sized USING (item_id, n)),
+apart AS (SELECT doc_id, count(DISTINCT w) AS n_near FROM near_at a
+          WHERE NOT EXISTS (SELECT 1 FROM grams g WHERE g.doc_id = a.doc_id AND g.n = a.n AND g.w = a.w AND abs(g.i - a.at_word) <= 2)
+          GROUP BY doc_id)
 SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
-       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
-FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated,
+       coalesce(n_near, 0)::BIGINT AS n_near
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN apart USING (doc_id)
 """
 
 OP7 = rf"""

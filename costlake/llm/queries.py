@@ -23,7 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontam.decontaminate(table(spark, sf_dir, "documents").select("doc_id", "text"),
                                  table(spark, sf_dir, "benchmark"), drop_text=True)
-    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "n_near")
 
 
 def op2_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

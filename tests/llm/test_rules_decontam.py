@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -81,6 +82,63 @@ def test_a_near_copy_without_its_rarest_words_is_found(spark):
     assert {r["doc_id"]: r["n_near"] for r in out} == {1: 1, 2: 0}
 
 
+def near_by_hand(text, items, n=13, slop=2):
+    """Distinct windows with a near match that is no exact one of theirs."""
+    w, found = plain(text), set()
+    wins = {tuple(t[s:s + n]) for t in map(plain, items) if t for s in range(max(1, len(t) - n + 1))}
+    for win in wins:
+        k = len(win)
+        near, exact = [], []
+        for s in range(-k - slop, len(w) + slop + 1):
+            placed = sum(any(0 <= s + i + d < len(w) and w[s + i + d] == x for d in range(-slop, slop + 1)) for i, x in enumerate(win))
+            if 10 * placed >= 8 * k:
+                near.append(s)
+            if s >= 0 and tuple(w[s:s + k]) == win:
+                exact.append(s)
+        if any(all(abs(s - e) > slop for e in exact) for s in near):
+            found.add(win)
+    return len(found)
+
+
+@settings(max_examples=5, deadline=None)
+@given(seed=st.integers(0, 10**6))
+def test_near_matches_by_hand(spark, seed):
+    rng = random.Random(seed)
+    items = [" ".join(rng.choice("abcdefgh") for _ in range(k)) for k in (1, 2, 3, 5, 6, 13, 16, 20)] + ["x x x x x x", "a b a b a b a b a b a b a b"]
+    docs = [(0, None), (1, "")]
+    for i in range(2, 30):
+        words = rng.choice(items).split()
+        for _ in range(rng.randint(0, 5)):
+            at = rng.randrange(len(words) + 1)
+            words[at:at + rng.randint(0, 2)] = rng.choices("abcdefghz", k=rng.randint(0, 2))
+        docs.append((i, " ".join(rng.choices("qrs", k=rng.randint(0, 40)) + words + rng.choices("qa", k=3))))
+    got = {r["doc_id"]: r["n_near"] for r in run(spark, docs, list(enumerate(items))).collect()}
+    assert got == {d: near_by_hand(t, items) for d, t in docs}
+
+
+def test_order_and_places_count(spark):
+    words = [f"w{i}" for i in range(13)]
+    swapped = words[:3] + [words[4], words[3]] + words[5:]
+    docs = [(1, " ".join(reversed(words))), (2, " ".join(swapped)), (3, " z z z ".join(words))]
+    got = {r["doc_id"]: r["n_near"] for r in run(spark, docs, [(1, " ".join(words))]).collect()}
+    assert got == {1: 0, 2: 1, 3: 0}
+
+
+def test_clashing_columns_and_shuffled_joins(spark, monkeypatch):
+    long = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, "a " + long + " b", 5, "x"), (1, "a " + long + " b", 5, "x"), (2, long.replace("w9", "zz"), 6, None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, doc int, words string").selectExpr(
+        "*", "7 AS n_hit", "8 AS at", "9 AS id", "10 AS spans", "11 AS term")
+    items = spark.createDataFrame([(1, long), (2, long)], "item_id long, text string")
+    one = decontam.decontaminate(d, items)
+    assert one.columns == ["doc_id", "text", "doc", "words", "at", "id", "spans", "term", "n_words", "n_hit", "n_items",
+                           "items_sha256", "n_near", "contaminated"]
+    rows = sorted(map(str, one.collect()))
+    assert [(r["doc_id"], r["n_hit"], r["n_items"], r["at"]) for r in one.collect()] == [(1, 30, 2, 8), (1, 30, 2, 8), (2, 20, 2, 8)]
+    monkeypatch.setattr(decontam, "MAX_BROADCAST_ROWS", 0)
+    assert sorted(map(str, decontam.decontaminate(d, items).collect())) == rows
+
+
 def rules(docs):
     out = []
     for d, _, t in docs:
