@@ -1,8 +1,11 @@
 """Stupid-backoff scores of documents by joins with n-gram count tables.
 
-score(w2 | w1) is count(w1 w2) / count(w1) where the pair occurs at least
-``MIN_PAIR`` times in the corpus, else ``BACKOFF`` * count(w2) / N; the first word
-of a text scores count(w) / N. A document's score is the sum of the log10.
+A document is scored by all the others: every count is the corpus' less its own.
+A word's score is count(context word) / count(context) with the longest context,
+of ``order`` - 1 words at most, for which the count is above zero, times ``BACKOFF``
+for each word by which the context was shortened; without context it is
+count(word) / (words of the other documents), and a word that no other document has
+counts as one. A document's score is the sum of the log10.
 
 Words are any runs of non-space bytes; n-grams travel as 64-bit hashes.
 
@@ -39,10 +42,12 @@ from costlake.llm.blocks import batch, block_id, by_part, planes, unplanes, whol
 from costlake.llm.text import packed, text_of
 from costlake.session import materialize
 
-MIN_PAIR = 2
+ORDER = 2                   # words of an n-gram; see README for the price of 3
 BACKOFF = 0.4
 ROWS_PER_BLOCK = 1536
 BYTES_PER_PARTITION = 16 << 20
+ANSWER_BYTES = 1 << 20      # answers that leave a task together
+BYTES_PER_TASK = 64 << 20   # of texts, in a task that reads blocks with their answers
 OUT = ("n_words", "n_backoff", "lm_score")
 
 _U = np.uint64
@@ -83,24 +88,28 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return _mix(np.add.reduceat(_BYTE[b[word]] * power[place], start) + length.astype(_U)), counts
 
 
-def pairs(h: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each pair, index of its second word); none across texts."""
-    second = np.ones(len(h), bool)
-    starts = (np.cumsum(counts) - counts)[counts > 0]
-    second[starts] = False
-    at = np.flatnonzero(second)
-    return _mix(h[at - 1] * _U(3) + _mix(h[at])), at
+def ngrams(h: np.ndarray, counts: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per length from 1 to ``order``: (hash of each n-gram, index of its last word);
+    none across texts."""
+    place = np.arange(len(h)) - np.repeat(np.cumsum(counts) - counts, counts)
+    out, whole = [(h, np.arange(len(h)))], h
+    for k in range(2, order + 1):
+        at = np.flatnonzero(place >= k - 1)
+        g = _mix(whole[at - 1] * _U(2 * k - 1) + _mix(h[at]))
+        whole = np.zeros(len(h), _U)
+        whole[at] = g
+        out.append((g, at))
+    return out
 
 
-def _grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _grams(texts: pa.Array, order: int) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
     h, counts = word_hashes(texts)
-    two, at = pairs(h, counts)
-    return h, counts, two, at
+    return counts, ngrams(h, counts, order)
 
 
-def _distinct(h: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _distinct(grams: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """A block's n-grams in hash order, and how often each occurs."""
-    g, n = np.unique(np.concatenate([h, two]), return_counts=True)
+    g, n = np.unique(np.concatenate([x for x, _ in grams]), return_counts=True)
     return g, n.astype(np.uint32)
 
 
@@ -114,17 +123,17 @@ def checksum(grams: np.ndarray) -> int:
     return int(_mix(grams ^ _BASE).sum(dtype=_U).astype(np.int64))
 
 
-def _ask(parts: int):
+def _ask(parts: int, order: int = ORDER):
     """Per block and hash partition: its distinct n-grams and their counts."""
     shift = _U(64 - (parts - 1).bit_length())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, table in whole_blocks(batches):
-            h, _, two, _ = _grams(table["text"].combine_chunks())
-            g, n = _distinct(h, two)
+            counts, grams = _grams(table["text"].combine_chunks(), order)
+            g, n = _distinct(grams)
             part = (g >> shift).astype(np.int64)
             cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(g) else []
-            rows = [(block, int(part[i]), planes(np.diff(g[i:j], prepend=_U(0))), planes(n[i:j]), len(h) if i == 0 else 0)
+            rows = [(block, int(part[i]), planes(np.diff(g[i:j], prepend=_U(0))), planes(n[i:j]), int(counts.sum()) if i == 0 else 0)
                     for i, j in zip(cut, [*cut[1:], len(g)])]
             if rows:
                 yield batch(_ASKED, rows)
@@ -139,34 +148,50 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = [np.cumsum(unplanes(r[2], np.uint64), dtype=_U) for r in held]
         g, at = np.unique(np.concatenate(asked), return_inverse=True)
         n = np.bincount(at, np.concatenate([unplanes(r[3], np.uint32) for r in held]), len(g)).astype(np.uint64)
-        for r, own in zip(held, asked):
-            yield batch(_TOLD, [(r[0], r[1], planes(n[np.searchsorted(g, own)]), checksum(own))])
-
-
-def score_block(texts: pa.Array, totals: np.ndarray, n: int, checks: list[int]) -> tuple[np.ndarray, ...]:
+        rows, size = [], 0
+        for r, own in zip(held, asked):      # a batch costs far more than a row
+            rows.append((r[0], r[1], planes(n[np.searchsorted(g, own)]), checksum(own)))
+            size += 8 * len(own) + 32
+            if size > ANSWER_BYTES:
+                yield batch(_TOLD, rows)
+                rows, size = [], 0
+        if rows:
+            yield batch(_TOLD, rows)
+
+
+def score_block(texts: pa.Array, totals: np.ndarray, n: int, checks: list[int], order: int = ORDER) -> tuple[np.ndarray, ...]:
     """(words, backed-off words, score) of each text of a block, given the corpus
     totals of its distinct n-grams in hash order and the checksums of the n-grams
     that were answered."""
-    h, counts, two, at = _grams(texts)
-    grams, _ = _distinct(h, two)
+    counts, by_length = _grams(texts, order)
+    grams, _ = _distinct(by_length)
     if len(grams) != len(totals) or (checksum(grams) - sum(checks)) % (1 << 64):
         raise ValueError("a block changed between its two reads: pass stored=False")
-
-    def total(x: np.ndarray) -> np.ndarray:
-        return totals[np.searchsorted(grams, x)].astype(float)
-
-    one, pair = total(h), total(two)
-    alone = one / max(n, 1)
-    p = alone.copy()
-    p[at] = np.where(pair >= MIN_PAIR, pair / one[at - 1], BACKOFF * alone[at])
-    back = np.zeros(len(h))
-    back[at] = pair < MIN_PAIR
     doc = np.repeat(np.arange(len(counts)), counts)
+    size = len(doc)
+    # Per length and word: occurrences in other documents of the n-gram that ends there.
+    others = []
+    for g, at in by_length:
+        of = np.searchsorted(grams, g)
+        _, which, own = np.unique(doc[at] * max(len(grams), 1) + of, return_inverse=True, return_counts=True)
+        here = np.zeros(size)
+        here[at] = totals[of].astype(float) - own[which]
+        others.append(here)
+    rest = np.maximum(float(n) - counts, 1.0)[doc]
+    place = np.arange(size) - np.repeat(np.cumsum(counts) - counts, counts)
+    longest = np.minimum(place + 1, order)
+    p = BACKOFF ** (longest - 1.0) * np.maximum(others[0], 1.0) / rest
+    found = np.where(others[0] > 0, 1, 0)
+    for k in range(2, order + 1):
+        hit = np.flatnonzero(others[k - 1] > 0)
+        p[hit] = BACKOFF ** (longest[hit] - float(k)) * others[k - 1][hit] / others[k - 2][hit - 1]
+        found[hit] = k
+    back = (np.maximum(found, 1) < longest).astype(float)
     return counts, np.bincount(doc, back, len(counts)).astype(np.int64), np.bincount(doc, np.log10(p), len(counts))
 
 
 def lm_scores(docs: DataFrame, text: str = "text", stored: bool = True, drop_text: bool = False,
-              rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+              rows_per_block: int = ROWS_PER_BLOCK, order: int = ORDER) -> DataFrame:
     """``docs`` with n_words, n_backoff (words scored by backing off) and
     lm_score (sum of log10 scores)."""
     spark = docs.sparkSession
@@ -182,7 +207,7 @@ def lm_scores(docs: DataFrame, text: str = "text", stored: bool = True, drop_tex
                        packed(docs, (*OUT, text) if drop_text else OUT))
     seen = Observation(f"ngram-words-{uuid.uuid4().hex[:8]}")
     asked = rows.select("block", "text").mapInArrow(
-        _ask(parts), "block bigint, part bigint, grams binary, counts binary, words bigint") \
+        _ask(parts, order), "block bigint, part bigint, grams binary, counts binary, words bigint") \
         .observe(seen, F.coalesce(F.sum("words"), F.lit(0)).alias("n"))
     dealt = asked.repartition(max(parts, int(spark.conf.get("spark.sql.shuffle.partitions"))), "part")
     told = materialize(dealt.sortWithinPartitions("part")
@@ -195,10 +220,12 @@ def lm_scores(docs: DataFrame, text: str = "text", stored: bool = True, drop_tex
         told = sorted(zip(right["part"].to_pylist(), right["totals"].to_pylist()))
         totals = np.concatenate([np.zeros(0, _U), *[unplanes(t, np.uint64) for _, t in told]])
         texts = left["text"].combine_chunks() if left.num_rows else pa.array([], pa.string())
-        cols = score_block(texts, totals, n, right["check"].to_pylist())
+        cols = score_block(texts, totals, n, right["check"].to_pylist(), order)
         return pa.table([left["_doc"], *[pa.array(x, f.type) for x, f in zip(cols, schema, strict=True)]],
                         names=["_doc", *schema.names])
 
-    out = rows.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
+    # Blocks meet their answers in as many tasks as the bytes ask for.
+    near = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(size) // BYTES_PER_TASK)
+    out = rows.repartition(near, "block").groupBy("block").cogroup(told.repartition(near, "block").groupBy("block")).applyInArrow(
         score, f"{kinds}, n_words bigint, n_backoff bigint, lm_score double")
     return out.select("_doc.*", "n_words", "n_backoff", "lm_score")

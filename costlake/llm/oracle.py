@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from costlake.llm.licenses import COMMENT_BREAK, LICENSE_FILE, MIN_COSINE, NAMES_LICENCE, TEMPLATES
-from costlake.llm.ngram_lm import BACKOFF, MIN_PAIR
+from costlake.llm.ngram_lm import BACKOFF
 from costlake.llm.quality_rules import MAX_HOST_RATE, MAX_REPEAT_PCT, MIN_WORDS, REPEAT_WINDOW
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -46,7 +46,7 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN
 OP7 = rf"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t,
                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
-lines AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines
+lines AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines, count(*) AS n_lines
           FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
           WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
 windows AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(words[i:i + {REPEAT_WINDOW - 1}], chr(10))) AS times
@@ -56,11 +56,12 @@ repeated AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words
 m AS (SELECT doc_id, source, len(words)::BIGINT AS n_words,
              coalesce(list_sum(list_transform(words, lambda w: length(w))), 0)::BIGINT AS word_chars,
              len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+             coalesce(n_lines, 0) AS n_lines,
              coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
       FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN repeated USING (doc_id)),
 b AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PCT} * n_words AS base_failed FROM m),
 hosts AS (SELECT source, count(*)::DOUBLE AS n,
-                 sum((base_failed OR n_symbols * 10 > word_chars OR n_dup_lines * 3 > n_words)::INT)::DOUBLE AS f
+                 sum((base_failed OR n_symbols * 10 > word_chars OR n_dup_lines * 3 > n_lines)::INT)::DOUBLE AS f
           FROM b GROUP BY source),
 pooled AS (SELECT sum(f) / sum(n) AS m, sum(f * f / n) / sum(n) AS msq, count(*) / sum(n) AS noise FROM hosts),
 prior AS (SELECT m, 1 / least(0.5, greatest(1e-4, CASE WHEN m > 0 AND m < 1 AND noise < 1
@@ -88,11 +89,16 @@ w AS (SELECT doc_id, i, words[i] AS w, CASE WHEN i > 1 THEN words[i - 1] END AS
 one AS (SELECT w, count(*)::DOUBLE AS c FROM w GROUP BY w),
 two AS (SELECT v, w, count(*)::DOUBLE AS c FROM w WHERE v IS NOT NULL GROUP BY v, w),
 total AS (SELECT sum(c) AS n FROM one),
-scored AS (SELECT w.doc_id, w.v IS NOT NULL AND two.c < {MIN_PAIR} AS back,
-                  CASE WHEN w.v IS NULL THEN one.c / n WHEN two.c >= {MIN_PAIR} THEN two.c / before.c
-                       ELSE {BACKOFF} * (one.c / n) END AS p
-           FROM w JOIN one USING (w) JOIN total ON true LEFT JOIN two ON two.v = w.v AND two.w = w.w
-           LEFT JOIN one AS before ON before.w = w.v)
+own_one AS (SELECT doc_id, w, count(*)::DOUBLE AS c FROM w GROUP BY doc_id, w),
+own_two AS (SELECT doc_id, v, w, count(*)::DOUBLE AS c FROM w WHERE v IS NOT NULL GROUP BY doc_id, v, w),
+other AS (SELECT w.doc_id, w.v, coalesce(two.c - t.c, 0) AS pair, before.c - b.c AS first, one.c - o.c AS alone,
+                 greatest(total.n - len(d.words), 1) AS rest
+          FROM w JOIN d USING (doc_id) JOIN total ON true JOIN one USING (w) JOIN own_one o ON o.doc_id = w.doc_id AND o.w = w.w
+          LEFT JOIN two ON two.v = w.v AND two.w = w.w LEFT JOIN own_two t ON t.doc_id = w.doc_id AND t.v = w.v AND t.w = w.w
+          LEFT JOIN one AS before ON before.w = w.v LEFT JOIN own_one b ON b.doc_id = w.doc_id AND b.w = w.v),
+scored AS (SELECT doc_id, v IS NOT NULL AND pair = 0 AS back,
+                  CASE WHEN pair > 0 THEN pair / first
+                       ELSE CASE WHEN v IS NULL THEN 1 ELSE {BACKOFF} END * greatest(alone, 1) / rest END AS p FROM other)
 SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(count(*) FILTER (back), 0)::BIGINT AS n_backoff,
        round(coalesce(sum(log10(p)), 0.0), 4) AS lm_score
 FROM d LEFT JOIN scored USING (doc_id) GROUP BY d.doc_id, len(words)
@@ -109,7 +115,7 @@ def _norm(text: str) -> str:
 OP4 = rf"""
 WITH f AS (SELECT doc_id, coalesce(text, '') AS t,
                   source || '/' || (doc_id // 10000) || '/' || (doc_id // 100) AS dir,
-                  length(text) <= 1000 AND regexp_matches(text, '{NAMES_LICENCE}') AS named FROM documents),
+                  regexp_matches(text, '{NAMES_LICENCE}') AS named FROM documents),
 p AS (SELECT doc_id, t, dir, CASE WHEN named THEN 'LICENSE' ELSE doc_id || '.txt' END AS name FROM f),
 raw AS (SELECT doc_id, unnest(string_split(regexp_replace(t, '{COMMENT_BREAK}', ' ', 'g'), chr(10))) AS x FROM p),
 found AS (SELECT DISTINCT doc_id, {_norm('x')} AS line FROM raw WHERE regexp_matches(x, '{NAMES_LICENCE}')),

@@ -37,8 +37,8 @@ def op3_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_files(docs: DataFrame) -> DataFrame:
     """Documents as files of a source tree: ``source/<ten thousand>/<hundred>/name``;
-    a short text that names a licence is its directory's LICENSE file."""
-    named = (F.char_length("text") <= 1000) & F.rlike("text", F.lit(licenses.NAMES_LICENCE))
+    one that names a licence is its directory's LICENSE file."""
+    named = F.rlike("text", F.lit(licenses.NAMES_LICENCE))
     bucket = [F.floor(F.col("doc_id") / n).cast("string") for n in (10_000, 100)]
     name = F.when(named, "LICENSE").otherwise(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
     return docs.select("doc_id", "text", F.concat_ws("/", "source", *bucket, name).alias("path"))

@@ -13,32 +13,35 @@ from costlake.llm.blocks import planes, unplanes
 from tests.llm.brute import SPACE
 
 
-def brute_scores(texts):
+def brute_scores(texts, order):
+    """Every document by the counts of the others, one word and context at a time."""
     words = [SPACE.findall(t or "") for t in texts]
-    one = Counter(w for d in words for w in d)
-    two = Counter(p for d in words for p in zip(d, d[1:]))
-    n, out = sum(one.values()), []
-    for d in words:
+    each = [Counter(tuple(d[i:i + k]) for k in range(1, order + 1) for i in range(len(d) - k + 1)) for d in words]
+    every, n, out = sum(each, Counter()), sum(map(len, words)), []
+    for d, own in zip(words, each):
         s = back = 0
         for i, w in enumerate(d):
-            if i and two[d[i - 1], w] >= 2:
-                p = two[d[i - 1], w] / one[d[i - 1]]
-            else:
-                p = one[w] / n * (0.4 if i else 1)
-                back += bool(i)
-            s += math.log10(p)
+            longest = min(i + 1, order)
+            for k in range(longest, 0, -1):
+                gram = tuple(d[i - k + 1:i + 1])
+                c = every[gram] - own[gram]
+                if c or k == 1:
+                    under = every[gram[:-1]] - own[gram[:-1]] if k > 1 else max(n - len(d), 1)
+                    s += math.log10(0.4 ** (longest - k) * max(c, 1) / under)
+                    back += k < longest
+                    break
         out.append((len(d), back, round(s, 6) + 0.0))
     return out
 
 
-@pytest.mark.parametrize("per_block", [1, 2, 100])
-def test_scores_equal_brute_force(spark, per_block):
-    texts = [None, "", " \n", "a", "a b a b", "a b c", "é\x0bb ü", "x" * 5000, "y z " * 8000, "a b a b", "a b a b"]
+@pytest.mark.parametrize("per_block,order", [(1, 2), (2, 3), (100, 2), (100, 4), (3, 1)])
+def test_scores_equal_brute_force(spark, per_block, order):
+    texts = [None, "", " \n", "a", "a b a b", "a b c", "é\x0bb ü", "x" * 5000, "y z " * 8000, "a b a b", "a b a b", "a b c d a b c"]
     rows = [(i if i < 9 else 9, t, "kept") for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "doc_id long, text string, block string").repartition(3)
-    out = ngram_lm.lm_scores(df, stored=False, rows_per_block=per_block).collect()
+    out = ngram_lm.lm_scores(df, stored=False, rows_per_block=per_block, order=order).collect()
     got = sorted((r["doc_id"], r["text"] or "", (r["n_words"], r["n_backoff"], round(r["lm_score"], 6) + 0.0)) for r in out)
-    want = sorted((i if i < 9 else 9, t or "", s) for i, (t, s) in enumerate(zip(texts, brute_scores(texts))))
+    want = sorted((i if i < 9 else 9, t or "", s) for i, (t, s) in enumerate(zip(texts, brute_scores(texts, order))))
     assert got == want and {r["block"] for r in out} == {"kept"}
     assert ngram_lm.lm_scores(df.limit(0), stored=False).count() == 0
 
@@ -54,7 +57,7 @@ def test_word_hashes_follow_the_words(texts, skip):
     for w, x in zip(flat, h):
         assert by.setdefault(w, x) == x
     assert len(set(by.values())) == len(by)
-    two, at = ngram_lm.pairs(h, counts)
+    two, at = ngram_lm.ngrams(h, counts, 2)[1]
     assert len(two) == sum(max(0, len(d) - 1) for d in words) and len(set(two)) == len(
         {p for d in words for p in zip(d, d[1:])})
 
