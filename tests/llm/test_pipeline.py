@@ -35,7 +35,7 @@ def test_stages_equal_brute_force(spark):
 
 def test_run_returns_the_last_stage(spark):
     out = P.run(spark, SF_SMALL)
-    assert out.columns == ["doc_id", "lang", "source", "n_chars", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
     assert out.count() > 0
 
 
@@ -44,3 +44,32 @@ def test_every_stage_takes_an_empty_table(spark):
     for _, stage in P.STAGES:
         docs = stage(spark, docs, SF_SMALL) if docs.columns == P.COLUMNS else docs
     assert docs.count() == 0
+
+
+def test_stages_take_odd_rows_and_columns(spark):
+    """NULLs in every column, empty and very long texts, repeated rows, clashing names."""
+    words = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, words, "en", "s", 5), (1, words, "en", "s", 5), (2, None, None, None, None), (3, "", "", "", 0), (None, words + " x y z", None, None, None),
+            (None, None, None, None, None), (4, " ".join(f"long{i}" for i in range(60_000)), "en", "s", 1), (5, "short", "en", "s", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr(
+        "*", "7 AS n_words", "8 AS shard", "9 AS slot", "10 AS size", "'t' AS topic", "11 AS fp")
+    extra = docs.columns
+    for name, stage in P.STAGES[:-1]:
+        docs = materialize(stage(spark, docs, SF_SMALL))
+        assert sorted(docs.columns) == sorted(extra), name
+        if name == "near_dedup":
+            assert sorted(str(r["doc_id"]) for r in docs.collect()) == ["1", "4", "None"]
+    last = P.STAGES[-1][1](spark, docs, SF_SMALL)
+    assert {"text", "topic", "fp", "n_words"} <= set(last.columns) and last.count() == docs.count()
+
+
+def test_a_stage_frees_what_the_one_before_left(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    lazy = P.quality(spark, docs, SF_SMALL)
+    held = list(P._left)
+    two = P.near_dedup(spark, lazy, SF_SMALL)            # not written: what it reads stays
+    assert set(P._left) >= set(held)
+    n = two.count()
+    one = materialize(P.quality(spark, docs, SF_SMALL))
+    held = list(P._left)
+    assert P.near_dedup(spark, one, SF_SMALL).count() == n and not set(held) & set(P._left)
