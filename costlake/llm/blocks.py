@@ -43,8 +43,7 @@ def by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
     held: list[tuple] = []
     now = None
     for b in batches:
-        for i in range(b.num_rows):
-            block, part, *rest = (c[i].as_py() for c in b.columns)
+        for block, part, *rest in zip(*(c.to_pylist() for c in b.columns)):
             if part != now and held:
                 yield held
                 held = []

@@ -26,9 +26,11 @@ def suffix_array(data: np.ndarray, depth: int | None = None) -> np.ndarray:
     return ranked_suffixes(data, depth)[0]
 
 
-def ranked_suffixes(data: np.ndarray, depth: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+def ranked_suffixes(data: np.ndarray, depth: int | None = None,
+                    need: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(suffix array, rank of each position; equal up to ``depth``, equal rank).
-    Groups of equal prefixes are refined by the rank of what follows, doubling
+    With ``need`` (bytes per position) a position takes part only while a round can tell
+    it apart within its own: the order holds for those that need ``depth``. Groups of equal prefixes are refined by the rank of what follows, doubling
     the prefix each round; singleton groups are never sorted again (Larsson and
     Sadakane)."""
     n = len(data)
@@ -53,6 +55,10 @@ def ranked_suffixes(data: np.ndarray, depth: int | None = None) -> tuple[np.ndar
     at = np.flatnonzero(np.repeat(size > 1, size))
     h = 8
     while len(at) and (depth is None or h < depth):
+        if need is not None:
+            at = at[need[sa[at]] > h]
+            if not len(at):
+                break
         who = sa[at]
         key = rank[who] * (n + 1) + rank[np.minimum(who + h, n)] + 1
         order = np.argsort(key)
@@ -67,32 +73,43 @@ def ranked_suffixes(data: np.ndarray, depth: int | None = None) -> tuple[np.ndar
 
 
 def kasai(data: np.ndarray, sa: np.ndarray, cap: int | None = None, rank: np.ndarray | None = None) -> np.ndarray:
-    """Common prefix (up to ``cap``) of each suffix with its predecessor in ``sa``.
+    """Common prefix (up to ``cap``) of each suffix with its predecessor in ``sa``,
+    which may hold some of the positions only.
 
     Kasai's walk in text order, where a common prefix shrinks by one at most
     from one position to the next, is run on many stretches of the text at once,
-    one vector step per position of a stretch. For a suffix array of bounded
-    depth (``cap`` at most that), ``rank`` tells ties: equal ranks share ``cap``
-    bytes without a comparison, and the bound from the position before holds
-    only if what follows its predecessor ranks truly lower."""
-    n = len(data)
-    if n < 2:
-        return np.zeros(n, np.int64)
+    one vector step per position of a stretch. The bound needs both this position and
+    the one behind the last predecessor in ``sa``; else the comparison starts
+    anew. For a suffix array of bounded depth (``cap`` at most that), ``rank`` tells ties:
+    equal ranks share ``cap`` bytes without a comparison, and the bound from the
+    position before holds only if what follows its predecessor ranks truly lower."""
+    n, m = len(data), len(sa)
+    if m < 2:
+        return np.zeros(m, np.int64)
     cap = n if cap is None else cap
     before = np.full(n, -1, np.int64)
     before[sa[1:]] = sa[:-1]
+    held = np.zeros(n, bool)
+    held[sa] = True
+    at = np.flatnonzero(held)
     plcp, eight = np.zeros(n, np.int64), _first_eight(data)
-    starts = np.arange(0, n, LANES_STEP)
+    starts = np.arange(0, m, LANES_STEP)
     h, was = np.zeros(len(starts), np.int64), np.full(len(starts), n, np.int64)
+    last = np.full(len(starts), -2, np.int64)
     for step in range(LANES_STEP):
-        i = starts + step
-        live = i < n
-        i, h, was, starts = i[live], h[live], was[live], starts[live]
+        k = starts + step
+        live = k < m
+        if not live.all():
+            k, h, was, last, starts = k[live], h[live], was[live], last[live], starts[live]
+        i = at[k]
         j = before[i]
         h = np.maximum(h - 1, 0)
+        after = np.minimum(was + 1, n - 1)
+        lost = (was + 1 >= n) | (last + 1 != i) | ~held[after]
+        if rank is not None:
+            lost |= rank[after] >= rank[i]
+        h[lost] = 0
         if rank is not None:
-            after = np.minimum(was + 1, n - 1)
-            h[(was + 1 >= n) | (rank[after] >= rank[i])] = 0
             h[(j >= 0) & (rank[j] == rank[i])] = cap
         h[j < 0] = 0
         room = np.minimum(cap, n - np.maximum(i, j))
@@ -104,7 +121,7 @@ def kasai(data: np.ndarray, sa: np.ndarray, cap: int | None = None, rank: np.nda
             h[todo] = l
             todo = todo[(x == 0) & (l < most)]
         plcp[i] = h
-        was = np.where(j < 0, n, j)
+        was, last = np.where(j < 0, n, j), i
     return plcp[sa]
 
 

@@ -52,7 +52,9 @@ GRAM = 16
 ROWS_PER_BLOCK = 1024
 PIECE_BYTES = 1 << 17
 SHARD_BYTES = 2 << 20
-BYTES_PER_PARTITION = 2 << 20
+BYTES_PER_PARTITION = 8 << 20
+ANSWER_BYTES = 1 << 20      # answers that leave a task together
+BYTES_PER_TASK = 64 << 20   # of texts, in a task that reads blocks with their answers
 HOT_DOCS = 1000             # a minimiser of more documents has its windows dealt one by one
 NO_ID = (1 << 63) - 1
 OUT = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
@@ -194,8 +196,26 @@ def _ask(parts: int):
     return run
 
 
+def _answers(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Answer rows in batches of about ``ANSWER_BYTES``: blocks and partitions
+    exchange many small rows, and a batch costs far more than a row."""
+    held, size = [], 0
+    for r in rows:
+        held.append(r)
+        size += len(r[3]) + 32
+        if size > ANSWER_BYTES:
+            yield batch(_TOLD, held)
+            held, size = [], 0
+    if held:
+        yield batch(_TOLD, held)
+
+
 def _tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per block and minimiser: 0 in one document only, 1 shared, 2 hot."""
+    yield from _answers(_tell_rows(batches))
+
+
+def _tell_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for held in by_part(batches):
         asked = [np.cumsum(unplanes(r[2], np.uint64), dtype=_U) for r in held]
         g, at = np.unique(np.concatenate(asked), return_inverse=True)
@@ -206,7 +226,7 @@ def _tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs = np.bincount(at, np.concatenate([unplanes(r[5], np.uint32) for r in held]), len(g))
         status = np.where(low == high, 0, np.where(docs > HOT_DOCS, 2, 1)).astype(np.uint8)
         for r, own in zip(held, asked):
-            yield batch(_TOLD, [(r[0], 0, r[1], status[np.searchsorted(g, own)].tobytes())])
+            yield r[0], 0, r[1], status[np.searchsorted(g, own)].tobytes()
 
 
 def _status(told: list[tuple[int, int, bytes]]) -> np.ndarray:
@@ -257,14 +277,15 @@ def smallest_holder(data: np.ndarray, sizes: np.ndarray, low: np.ndarray, length
         base = int(ends[s] - sizes[s])
         e = max(s + 1, int(np.searchsorted(ends, base + shard_bytes, "right")))
         d = data[base:int(ends[e - 1])]
-        sa, rank = ranked_suffixes(d, length)
-        group = np.cumsum(kasai(d, sa, length, rank) < length) - 1
+        # A byte serves windows up to its segment's end only.
+        left = np.repeat(ends[s:e] - base, sizes[s:e]) - np.arange(len(d))
+        sa, rank = ranked_suffixes(d, length, np.minimum(left, length))
         win = np.full(len(d), -1, np.int64)
         at = np.arange(first_win[s], first_win[e - 1] + n_win[e - 1])
         where = np.repeat((ends - sizes)[s:e] - base, n_win[s:e]) + at - np.repeat(first_win[s:e], n_win[s:e])
         win[where] = at
-        ok = win[sa] >= 0                      # windows inside one segment
-        group, who, pos = group[ok], win[sa][ok], sa[ok]
+        pos = sa[win[sa] >= 0]                 # windows inside one segment
+        group, who = np.cumsum(kasai(d, pos, length, rank) < length) - 1, win[pos]
         new = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.zeros(0, np.int64)
         least = np.minimum.reduceat(out[who], new) if len(new) else np.zeros(0, np.int64)
         arrays.append((d, pos[new] if len(new) else new, least, who, np.repeat(np.arange(len(new)), np.diff(np.r_[new, len(group)]))))
@@ -285,6 +306,10 @@ def smallest_holder(data: np.ndarray, sizes: np.ndarray, low: np.ndarray, length
 
 
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from _answers(_judge_rows(batches))
+
+
+def _judge_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for held in by_part(batches):
         # Equal segments of several blocks are one segment of the shard.
         seen: dict[bytes, int] = {}
@@ -304,7 +329,7 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r, e, low_here in zip(held, which, lows):
             n = n_win[e]
             at = np.arange(n.sum()) + np.repeat(first[e] - (np.cumsum(n) - n), n)
-            yield batch(_TOLD, [(r[0], 1, r[1], np.packbits(least[at] < np.repeat(low_here, n)).tobytes())])
+            yield r[0], 1, r[1], np.packbits(least[at] < np.repeat(low_here, n)).tobytes()
 
 
 def removed_mask(runs: Runs, told: list[tuple[int, int, bytes]], parts: int) -> np.ndarray:
@@ -354,18 +379,21 @@ def dedup_substrings(docs: DataFrame, key: str = "doc_id", text: str = "text", s
         docs = materialize(docs)
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text_of(text))), F.lit(0))).first()[0]
     parts = 1 << max(4, (int(size) // BYTES_PER_PARTITION).bit_length())
-    tasks = max(parts, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(block_id(rows_per_block).alias("block"),
                        F.coalesce(F.col(key).cast("bigint"), F.lit(NO_ID)).alias("id"),
                        text_of(text).cast("binary").alias("text"),
                        packed(docs, (*OUT, text) if drop_text else OUT))
     plain = rows.select("block", "id", "text")
     asked = plain.mapInArrow(_ask(parts), _ddl(_ASKED))
-    told = materialize(asked.repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(_tell, _ddl(_TOLD)))
-    cut = plain.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_cut(parts), _ddl(_CUT))
-    judged = materialize(cut.repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(_judge, _ddl(_TOLD)))
+    told = materialize(asked.repartition(max(parts, tasks), "part").sortWithinPartitions("part").mapInArrow(_tell, _ddl(_TOLD)))
+    # Blocks meet their answers in as many tasks as the bytes ask for.
+    near = max(tasks, int(size) // BYTES_PER_TASK)
+    cut = plain.repartition(near, "block").groupBy("block").cogroup(told.repartition(near, "block").groupBy("block")).applyInArrow(_cut(parts), _ddl(_CUT))
+    judged = materialize(cut.repartition(max(parts, tasks), "part").sortWithinPartitions("part").mapInArrow(_judge, _ddl(_TOLD)))
     kind = rows.schema["_doc"].dataType.simpleString()
-    out = rows.groupBy("block").cogroup(told.unionByName(judged).groupBy("block")).applyInArrow(
+    answers = told.unionByName(judged).repartition(near, "block")
+    out = rows.repartition(near, "block").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _mark(parts, not drop_text),
         f"_doc {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
     return out.select("_doc.*", *OUT)

@@ -32,6 +32,22 @@ def test_suffix_array_and_common_prefixes(data):
     assert [data[i:i + 12] for i in some] == sorted(data[i:i + 12] for i in range(len(data)))
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="ab", min_size=1, max_size=30).map(str.encode), min_size=1, max_size=12), st.integers(1, 20))
+def test_windows_alone_are_ordered_and_compared(segments, length):
+    """Ranks by need, and common prefixes of the windows only."""
+    data = b"".join(segments)
+    d, size = np.frombuffer(data, np.uint8), np.array([len(s) for s in segments])
+    left = np.repeat(np.cumsum(size), size) - np.arange(len(d))
+    sa, rank = ranked_suffixes(d, length, np.minimum(left, length))
+    assert sorted(sa) == list(range(len(data)))
+    some = sa[left[sa] >= length]
+    windows = [data[i:i + length] for i in some]
+    assert windows == sorted(windows)
+    same = [0] * bool(windows) + [int(a == b) for a, b in zip(windows, windows[1:])]
+    assert list((kasai(d, some, length, rank) >= length).astype(int)) == same
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.binary(min_size=11, max_size=11), max_size=40), st.lists(st.binary(min_size=11, max_size=11), max_size=20))
 def test_find_rows(table, rows):
