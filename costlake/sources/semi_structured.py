@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from costlake.session import materialize
+
 
 def typed_variant(rows: DataFrame, text: str, paths: dict[str, tuple[str, str]], optional: tuple[str, ...] = ()) -> DataFrame:
     """``rows`` without ``text``, with a column per entry of ``paths`` (name -> path,
@@ -43,6 +45,7 @@ USAGE_PATHS = {
 
 
 def usage_from_json(rows: DataFrame, text: str = "payload") -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected) usage lines of JSON texts; only the cost may be absent."""
-    read = typed_variant(rows, text, USAGE_PATHS, optional=("cost",))
+    """(valid, rejected) usage lines of JSON texts; only the cost may be absent. The typed
+    rows are stored once, so that a text is parsed once for both frames."""
+    read = materialize(typed_variant(rows, text, USAGE_PATHS, optional=("cost",)))
     return read.filter("problem IS NULL").drop("problem"), read.filter("problem IS NOT NULL")
