@@ -1,18 +1,22 @@
 """The customer fact grows by tasks, not by rows a task, and its rows are not shuffled."""
 
+import glob
 import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from costlake.operators import dims as D
 from costlake.operators import facts as FA
 from costlake.operators import quality as QA
 from costlake.operators.joins import dealt_joins
+from costlake.session import materialize
+from costlake.sources import id_index
 from costlake.sources.bucketed import bucketed, upsert_bucketed
 from costlake.sources.tables import Warehouse, lookup, write_for_lookup
 
-from .conftest import rows, usage_df
+from .conftest import USAGE_COLS, rows, usage_df
 
 KEYS = ["usage_date", "customer_key", "service_key"]
 UPDATED = ["allocated_cost", "record_count", "null_cost_count", "_loaded_at"]
@@ -125,3 +129,49 @@ def test_json_lines_are_parsed_once_for_both_frames(spark):
     valid, rejected = usage_from_json(texts)
     assert "parse_json" not in plan(valid) + plan(rejected)
     assert [r.event_id for r in valid.collect()] == [1] and [(r.event_id, r.problem) for r in rejected.collect()] == [(2, "no JSON")]
+
+
+def test_lines_are_appended_without_a_stored_copy_and_may_be_read_from_their_own_load(spark, small_tasks, tmp_root, monkeypatch):
+    """An append stores ids beside the lines, never the lines twice; it may read what it replaces."""
+    stored = []
+    monkeypatch.setattr(id_index, "materialize", lambda df, m=None: stored.append(df.columns) or materialize(df, m))
+    batch = usage_df(spark, [(str(i % 50), f"2024-0{1 + i % 3}-{1 + i % 9:02d}", "ec2", "t", "1") for i in range(90)])
+    for limit in ("10", "1000"):                                          # ids joined by a shuffle, and broadcast
+        spark.conf.set("costlake.broadcast.maxRows", limit)
+        parts = spark.conf.get("spark.sql.shuffle.partitions")
+        t = id_index.IndexedRaw(spark, f"{tmp_root}/{limit}", buckets=4)
+        try:
+            assert t.append(batch.filter("identity_line_item_id < '3'"), "l1").inserted == 46
+            held = rows(t.read())
+            assert t.append(t.read("l1"), "l1").inserted == 0 and rows(t.read()) == held
+            r = t.append(batch, "l2")
+            assert r.inserted == 44 and r.metrics["new_ids"] == 27 and t.read().count() == 90
+            assert t.append(batch.filter("identity_line_item_id < '3'"), "l3").metrics == {"inserted": 0, "null_cost": 0, "new_ids": 0}
+            for f in glob.glob(f"{tmp_root}/{limit}/lines/*/*/*.parquet"):  # one month, in order of days
+                days = [x.line_item_usage_start_date for x in spark.read.parquet(f).collect()]
+                assert days == sorted(days)
+        finally:
+            t.close()
+            spark.conf.unset("costlake.broadcast.maxRows")
+        assert spark.conf.get("spark.sql.shuffle.partitions") == parts
+    assert stored and all(set(c) == {"identity_line_item_id", "fresh"} for c in stored)
+
+
+def test_rows_meet_the_ids_before_they_become_lines(spark, small_tasks, tmp_root):
+    """``lines_of`` gets only the kept rows, as narrow as they came; what it drops claims no id."""
+    seen = []
+
+    def lines_of(r):
+        seen.append(r)
+        made = r.filter("n % 5 != 0")
+        return made.select(*[F.col("identity_line_item_id") if c == "identity_line_item_id" else F.concat(F.lit("2024-01-0"), F.col("n") % 9 + 1)
+                             if c == "line_item_usage_start_date" else F.lit("1") for c in USAGE_COLS]).toDF(*USAGE_COLS)
+
+    t = id_index.IndexedRaw(spark, tmp_root, buckets=4)
+    at = lambda lo, hi: spark.createDataFrame([(str(i % 20), i) for i in range(lo, hi)], "identity_line_item_id string, n int")
+    assert t.append(at(0, 10), "l1", lines_of).inserted == 8             # 0 and 5 are no lines, and stay free
+    assert t.append(at(0, 32), "l2", lines_of).inserted == 8
+    ids = [r[0] for r in rows(t.ids())]
+    assert sorted(map(int, ids)) == [i for i in range(20) if i % 5]
+    assert [r.columns for r in seen[1::2]] == [["identity_line_item_id", "n"]] * 2 and seen[3].count() == 11
+    t.close()
