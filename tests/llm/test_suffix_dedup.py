@@ -119,3 +119,58 @@ def test_edge_rows(spark, monkeypatch, hot):
     for r in out.collect():
         assert len(r["kept"]) == r["n_bytes"] - r["n_removed"] and r["part"] == 1
     assert S.dedup_substrings(df.limit(0), stored=False).count() == 0
+
+
+def test_rows_between_blocks_and_parts_follow_the_bytes(spark, monkeypatch):
+    """Many short documents are one block, so the answers are a row per part and no more."""
+    told, keep = [], S.materialize
+
+    def counted(df):
+        out = keep(df)
+        told.append(out.count())
+        return out
+
+    monkeypatch.setattr(S, "materialize", counted)
+    rows = [(i, f"document {i % 2000} " * 4 + "of a few lines that others have as well") for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert result(S.dedup_substrings(df)) == brute(rows)
+    assert len(told) == 2 and max(told) <= 16
+
+
+def test_blocks_hold_fewer_of_long_texts():
+    assert S.block_rows(0, 0.0, 0.0) == S.BLOCK_ROWS == S.block_rows(10**6, 1e7, 1e8)
+    assert S.block_rows(10**6, 1e10, 1e14) == S.BLOCK_BYTES // 10_000
+    few_long = S.block_rows(10**6, 1e9 + 1e4 * 1e5, 1e15 + 1e4 * 1e10)     # 1 % of 100 KB: they may stand together
+    assert few_long < 10**6 * S.BLOCK_BYTES / 2e9 and few_long * 100_000 < 2 * S.BLOCK_MOST
+    assert S.block_rows(3, 3e9, 3e18) == 1
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_suffix_arrays_hold_windows_that_may_repeat(monkeypatch, clash):
+    rng = random.Random(3)
+    word = lambda n: bytes(rng.randrange(256) for _ in range(n))
+    passage = word(70)
+    segs = [word(100) for _ in range(200)] + [word(60) + passage, passage[:60] + word(60), b"a" * 90]
+    low = np.array([rng.randint(0, 100) for _ in segs])
+    sorted_bytes, sort = [], S.ranked_suffixes
+    monkeypatch.setattr(S, "ranked_suffixes", lambda d, *more: sorted_bytes.append(len(d)) or sort(d, *more))
+    if clash:       # a hash that tells nothing leaves all windows to compare
+        monkeypatch.setattr(S, "window_hashes", lambda d, sizes, length: np.zeros((sizes - length + 1).sum(), np.uint64))
+    sizes = np.array([len(s) for s in segs])
+    got = S.smallest_holder(np.frombuffer(b"".join(segs), np.uint8), sizes, low)
+    best = {}
+    for s, w in zip(segs, low):
+        for i in range(len(s) - 49):
+            best[s[i:i + 50]] = min(best.get(s[i:i + 50], 10**9), w)
+    assert list(got) == [best[s[i:i + 50]] for s in segs for i in range(len(s) - 49)]
+    assert (sum(sorted_bytes) == sizes.sum()) if clash else (sum(sorted_bytes) <= 60 + 60 + 90)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(alphabet="ab", max_size=40).map(str.encode), min_size=1, max_size=12), st.integers(1, 20))
+def test_equal_windows_are_never_lost(segments, length):
+    sizes = np.array([len(s) for s in segments])
+    h = S.window_hashes(np.frombuffer(b"".join(segments), np.uint8), sizes, length)
+    windows = [s[i:i + length] for s in segments for i in range(len(s) - length + 1)]
+    assert len(h) == len(windows) and len(set(zip(h.tolist(), windows))) == len(set(windows))
+    assert all(told or windows.count(w) == 1 for told, w in zip(S.repeated(h), windows))
