@@ -56,6 +56,7 @@ BLOCK_BYTES = 16 << 20      # of texts of mean size, in a block
 BLOCK_MOST = 48 << 20       # of texts of the size that a byte's text has on average (long ones may stand together)
 BLOCK_ROWS = 1 << 16
 PIECE_BYTES = 1 << 17
+RUNS_AT_ONCE = 1 << 15
 SHARD_BYTES = 2 << 20
 BYTES_PER_PARTITION = 32 << 20
 ANSWER_BYTES = 1 << 20      # answers that leave a task together
@@ -388,11 +389,20 @@ def removed_mask(runs: Runs, told: list[tuple[int, int, bytes]], parts: int) ->
                            for p, n in zip(used, n_bits)]).astype(bool)
     offset = np.empty(len(texts), np.int64)
     offset[order] = np.cumsum(n_win[order]) - n_win[order]
-    step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    gone = bits[np.repeat(offset[entry], count) + step] | np.repeat(runs.ids[doc] > low[entry], count)
-    w = (np.repeat(start, count) + step)[gone]
-    size = len(runs.data) + 1
-    return np.cumsum(np.bincount(w, minlength=size) - np.bincount(w + LENGTH, minlength=size))[:-1] > 0
+    gone = np.zeros(len(runs.data), bool)
+    for i in range(0, len(entry), RUNS_AT_ONCE):
+        of, n = entry[i:i + RUNS_AT_ONCE], count[i:i + RUNS_AT_ONCE]
+        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        larger = runs.ids[doc[i:i + RUNS_AT_ONCE]] > low[of]
+        hit = bits[np.repeat(offset[of], n) + step] | np.repeat(larger, n)
+        gone[(np.repeat(start[i:i + RUNS_AT_ONCE], n) + step)[hit]] = True
+    have = 1
+    while have < LENGTH:            # a window that begins here covers so many bytes
+        h = min(have, LENGTH - have)
+        wider = gone.copy()
+        wider[h:] |= gone[:-h]
+        gone, have = wider, have + h
+    return gone
 
 
 def _mark(parts: int, keep_text: bool):
