@@ -127,7 +127,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], budget_share: float,
             at = {v: i for i, v in enumerate(share)}
             codes.append(np.array([at[r[d]] for r in rows], np.int64))
             shares.append(np.array(list(share.values()), float))
-    for i in range(TRIES):
+    for i in range(TRIES + 1):
         budget = total * budget_share * SHRINK ** i
         if few:
             w = rake_arrays(tokens, codes, shares, budget, rounds)
